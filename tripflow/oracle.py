@@ -122,3 +122,94 @@ SELECT CASE WHEN GROUPING(pickup_hour) = 0 THEN 'pickup_hour' WHEN GROUPING(PU_B
 FROM seg GROUP BY GROUPING SETS ((pickup_hour), (PU_Borough), (trip_type))
 HAVING count(*) >= 100"""),
 }
+
+# --------------------------------------------------------------------------- fitted features
+FIT = f"""train AS (SELECT * FROM prepared WHERE split = 'train'),
+tz AS (
+  SELECT t.*, pu.Borough AS PU_Borough, du.Borough AS DO_Borough,
+         {haversine('pu.latitude', 'pu.longitude', 'du.latitude', 'du.longitude')} AS dist
+  FROM train t LEFT JOIN zones pu ON t.PULocationID = pu.LocationID
+               LEFT JOIN zones du ON t.DOLocationID = du.LocationID),
+fit_scalars AS (
+  SELECT count(*) AS total, COALESCE(quantile_cont(dist, 0.5) FILTER (WHERE dist > 0), 1.0) AS median_distance FROM tz),
+fit_mode AS (
+  SELECT COALESCE((SELECT trip_type FROM train WHERE trip_type IS NOT NULL GROUP BY trip_type
+                   ORDER BY count(*) DESC, trip_type LIMIT 1), 1.0) AS trip_type_mode),
+pu_freq AS (SELECT PULocationID AS k, count(*) / (SELECT total FROM fit_scalars) AS f FROM train GROUP BY PULocationID),
+do_freq AS (SELECT DOLocationID AS k, count(*) / (SELECT total FROM fit_scalars) AS f FROM train GROUP BY DOLocationID),
+route_freq AS (SELECT PULocationID AS pk, DOLocationID AS dk, count(*) / (SELECT total FROM fit_scalars) AS f
+               FROM train GROUP BY PULocationID, DOLocationID),
+cats AS (
+  SELECT DISTINCT 'VendorID' AS col, COALESCE(CAST(VendorID AS VARCHAR), '__missing__') AS cat FROM tz
+  UNION SELECT 'trip_type', COALESCE(CAST(trip_type AS VARCHAR), '__missing__') FROM tz
+  UNION SELECT 'PU_Borough', COALESCE(PU_Borough, '__missing__') FROM tz
+  UNION SELECT 'DO_Borough', COALESCE(DO_Borough, '__missing__') FROM tz),
+cats_ranked AS (SELECT col, cat, row_number() OVER (PARTITION BY col ORDER BY cat) AS pos FROM cats)"""
+
+FEAT = f"""feat AS (
+  SELECT p.trip_id,
+         COALESCE(p.passenger_count, 1.0) AS passenger_count,
+         COALESCE(p.trip_type, (SELECT trip_type_mode FROM fit_mode)) AS trip_type_f,
+         p.VendorID,
+         CAST(month(p.lpep_pickup_datetime) AS DOUBLE) AS pickup_month,
+         CAST(day(p.lpep_pickup_datetime) AS DOUBLE) AS day_of_month,
+         COALESCE({haversine('pu.latitude', 'pu.longitude', 'du.latitude', 'du.longitude')},
+                  (SELECT median_distance FROM fit_scalars)) AS estimated_distance_miles,
+         CAST(COALESCE(pu.Borough = du.Borough, false) AS DOUBLE) AS same_borough,
+         sin(2 * pi() * hour(p.lpep_pickup_datetime) / 24.0) AS hour_sin,
+         cos(2 * pi() * hour(p.lpep_pickup_datetime) / 24.0) AS hour_cos,
+         sin(2 * pi() * (isodow(p.lpep_pickup_datetime) - 1) / 7.0) AS day_sin,
+         cos(2 * pi() * (isodow(p.lpep_pickup_datetime) - 1) / 7.0) AS day_cos,
+         CAST(isodow(p.lpep_pickup_datetime) - 1 IN (5, 6) AS DOUBLE) AS is_weekend,
+         CAST(hour(p.lpep_pickup_datetime) IN (7, 8, 9, 16, 17, 18) AS DOUBLE) AS is_rush_hour,
+         COALESCE(pf.f, 0.0) AS PU_zone_frequency,
+         COALESCE(df.f, 0.0) AS DO_zone_frequency,
+         COALESCE(rf.f, 0.0) AS route_frequency,
+         pu.Borough AS PU_Borough, du.Borough AS DO_Borough
+  FROM prepared p
+  LEFT JOIN zones pu ON p.PULocationID = pu.LocationID
+  LEFT JOIN zones du ON p.DOLocationID = du.LocationID
+  LEFT JOIN pu_freq pf ON p.PULocationID IS NOT DISTINCT FROM pf.k
+  LEFT JOIN do_freq df ON p.DOLocationID IS NOT DISTINCT FROM df.k
+  LEFT JOIN route_freq rf ON p.PULocationID IS NOT DISTINCT FROM rf.pk AND p.DOLocationID IS NOT DISTINCT FROM rf.dk),
+onehot AS (
+  SELECT f.trip_id, c.col || '_' || c.cat AS feature,
+         CAST((CASE c.col WHEN 'VendorID' THEN COALESCE(CAST(f.VendorID AS VARCHAR), '__missing__')
+                          WHEN 'trip_type' THEN COALESCE(CAST(f.trip_type_f AS VARCHAR), '__missing__')
+                          WHEN 'PU_Borough' THEN COALESCE(f.PU_Borough, '__missing__')
+                          ELSE COALESCE(f.DO_Borough, '__missing__') END) = c.cat AS DOUBLE) AS value
+  FROM feat f CROSS JOIN cats_ranked c WHERE c.pos > 1),
+base_long AS (
+  UNPIVOT (SELECT trip_id, passenger_count, pickup_month, day_of_month, estimated_distance_miles, same_borough,
+                  hour_sin, hour_cos, day_sin, day_cos, is_weekend, is_rush_hour, PU_zone_frequency,
+                  DO_zone_frequency, route_frequency FROM feat)
+  ON passenger_count, pickup_month, day_of_month, estimated_distance_miles, same_borough, hour_sin, hour_cos,
+     day_sin, day_cos, is_weekend, is_rush_hour, PU_zone_frequency, DO_zone_frequency, route_frequency
+  INTO NAME feature VALUE value)"""
+
+FEATURE_CTES = (*BASE, ZONES, FIT, FEAT)
+
+ORACLE.update({
+    "route_frequency": with_ctes(*BASE, ZONES, FIT, body="""
+SELECT COALESCE(CAST(pk AS VARCHAR), '__missing__') || '_' || COALESCE(CAST(dk AS VARCHAR), '__missing__') AS PU_DO_route,
+       round(f, 6) AS route_frequency
+FROM route_freq"""),
+    "zone_frequency_lookup": with_ctes(*FEATURE_CTES, body="""
+SELECT trip_id, round(PU_zone_frequency, 6) AS PU_zone_frequency, round(DO_zone_frequency, 6) AS DO_zone_frequency,
+       round(route_frequency, 6) AS route_frequency
+FROM feat"""),
+    "distance_median": with_ctes(*BASE, ZONES, FIT, body="""
+SELECT round(median_distance, 6) AS median_distance, total AS train_rows FROM fit_scalars"""),
+    "trip_type_mode": with_ctes(*BASE, ZONES, FIT, body="""
+SELECT trip_id, COALESCE(trip_type, (SELECT trip_type_mode FROM fit_mode)) AS trip_type,
+       COALESCE(passenger_count, 1.0) AS passenger_count
+FROM prepared"""),
+    "categories": with_ctes(*BASE, ZONES, FIT, body="""
+SELECT col AS "column", CAST(pos AS INTEGER) AS position, cat AS category FROM cats_ranked"""),
+    "one_hot": with_ctes(*FEATURE_CTES, body="""
+SELECT trip_id, feature, round(value, 6) + 0.0 AS value FROM onehot"""),
+    "feature_matrix": with_ctes(*FEATURE_CTES, body="""
+SELECT trip_id, feature, round(value, 6) + 0.0 AS value FROM base_long
+UNION ALL
+SELECT trip_id, feature, round(value, 6) + 0.0 AS value FROM onehot"""),
+})

@@ -51,6 +51,12 @@ class Inputs:
         raw = self.raw if name is None else self.split_raw(name)
         return prepare_training_data(raw, keep=keep)
 
+    @cached_property
+    def features(self):
+        from tripflow.plans.features import TripFeatures
+
+        return TripFeatures(zones=self.zones, keepCols=[TRIP_KEY, "duration"]).fit(self.prepared("train"))
+
 
 # --------------------------------------------------------------------------- slice 1
 def q_prepared_trips(spark, sf_dir):
@@ -116,6 +122,88 @@ def q_segment_metrics(spark, sf_dir):
                       round6(F.col("mae")).alias("mae"))
 
 
+# --------------------------------------------------------------------------- fitted features
+def q_route_frequency(spark, sf_dir):
+    """A2 + F9: normalised route counts over train rows, keyed by the PU_DO route string."""
+    from tripflow.functions.columns import route_key
+
+    m = Inputs(spark, sf_dir).features
+    t = m.route_frequency_table()
+    return t.select(route_key(F.col("PULocationID"), F.col("DOLocationID")).alias("PU_DO_route"),
+                    round6(F.col("route_frequency")).alias("route_frequency"))
+
+
+def q_zone_frequency_lookup(spark, sf_dir):
+    """A2 + J3: train frequencies looked up for every prepared trip (unseen -> 0.0)."""
+    inp = Inputs(spark, sf_dir)
+    out = inp.features.transform(inp.prepared())
+    return out.select(TRIP_KEY, *[round6(F.col(c)).alias(c) for c in
+                                  ("PU_zone_frequency", "DO_zone_frequency", "route_frequency")])
+
+
+def q_distance_median(spark, sf_dir):
+    """A1 + P12: exact median of positive zone distances over train rows, fallback 1.0."""
+    from tripflow.plans.features import enrich_summary
+
+    inp = Inputs(spark, sf_dir)
+    m = inp.features
+    d = F.col("estimated_distance_miles")
+    return enrich_summary(m.summary, inp.zones).agg(
+        round6(F.coalesce(F.percentile(F.when(d > 0, d), F.lit(0.5), F.col("n")), F.lit(1.0))).alias("median_distance"),
+        F.sum("n").alias("train_rows"),
+    )
+
+
+def q_trip_type_mode(spark, sf_dir):
+    """A3 + P10: learned trip-type mode applied to every prepared trip (and passenger default)."""
+    inp = Inputs(spark, sf_dir)
+    m = inp.features
+    from tripflow.functions.columns import lax_double
+
+    return inp.prepared().select(
+        TRIP_KEY,
+        F.coalesce(lax_double(F.col("trip_type")), F.lit(m.trip_type_fallback)).alias("trip_type"),
+        F.coalesce(lax_double(F.col("passenger_count")), F.lit(1.0)).alias("passenger_count"),
+    )
+
+
+def q_categories(spark, sf_dir):
+    """A4 + P11: sorted train categories per categorical column; position 1 is the dropped one."""
+    from tripflow.functions.columns import with_sentinel
+    from tripflow.plans.features import enrich_summary
+    from tripflow.schema import CATEGORICAL_FEATURE_COLUMNS
+
+    inp = Inputs(spark, sf_dir)
+    enriched = enrich_summary(inp.features.summary, inp.zones)
+    arrays = enriched.agg(*[F.array_sort(F.collect_set(with_sentinel(F.col(c)))).alias(c)
+                            for c in CATEGORICAL_FEATURE_COLUMNS])
+    stacked = arrays.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("cats")) for c in CATEGORICAL_FEATURE_COLUMNS])).alias("s"))
+    return stacked.select(F.col("s.column").alias("column"), F.posexplode(F.col("s.cats"))).select(
+        "column", (F.col("pos") + 1).cast("int").alias("position"), F.col("col").alias("category"))
+
+
+def _long_features(spark, sf_dir, only_one_hot: bool):
+    from tripflow.plans.features import BASE_FEATURES
+
+    inp = Inputs(spark, sf_dir)
+    m = inp.features
+    long = m.long_form(m.transform(inp.prepared()), [TRIP_KEY])
+    if only_one_hot:
+        long = long.where(~F.col("feature").isin(BASE_FEATURES))
+    return long.select(TRIP_KEY, "feature", round6(F.col("value")).alias("value"))
+
+
+def q_one_hot(spark, sf_dir):
+    """one-hot columns (first train category dropped, unseen -> all zeros), long form."""
+    return _long_features(spark, sf_dir, True)
+
+
+def q_feature_matrix(spark, sf_dir):
+    """M1 + M2 + M3 + P13 + F11: the full fitted feature matrix for every prepared trip, long form."""
+    return _long_features(spark, sf_dir, False)
+
+
 QUERIES = {
     "prepared_trips": q_prepared_trips,
     "chronological_split": q_chronological_split,
@@ -123,4 +211,11 @@ QUERIES = {
     "zone_enriched": q_zone_enriched,
     "time_features": q_time_features,
     "segment_metrics": q_segment_metrics,
+    "route_frequency": q_route_frequency,
+    "zone_frequency_lookup": q_zone_frequency_lookup,
+    "distance_median": q_distance_median,
+    "trip_type_mode": q_trip_type_mode,
+    "categories": q_categories,
+    "one_hot": q_one_hot,
+    "feature_matrix": q_feature_matrix,
 }
