@@ -92,7 +92,7 @@ def residual_histogram(scored: DataFrame, bins: int = 40) -> DataFrame:
     if hi == lo:
         bucket = F.lit(1)
     else:
-        bucket = F.least(F.width_bucket(F.col("r"), F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins))
+        bucket = F.least(F.floor((F.col("r") - F.lit(lo)) * F.lit(float(bins)) / F.lit(hi - lo)) + 1, F.lit(bins))
     counts = res.groupBy(bucket.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     width = (hi - lo) / bins if hi != lo else 0.0
     return (

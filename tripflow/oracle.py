@@ -213,3 +213,142 @@ SELECT trip_id, feature, round(value, 6) + 0.0 AS value FROM base_long
 UNION ALL
 SELECT trip_id, feature, round(value, 6) + 0.0 AS value FROM onehot"""),
 })
+
+# --------------------------------------------------------------------------- evaluation and monitoring
+SCORED_ALL = f"""scored_all AS (
+  SELECT p.*, 10.0 + 2.0 * COALESCE({haversine('pu.latitude', 'pu.longitude', 'du.latitude', 'du.longitude')}, 1.0)
+              AS prediction
+  FROM prepared p LEFT JOIN zones pu ON p.PULocationID = pu.LocationID
+                  LEFT JOIN zones du ON p.DOLocationID = du.LocationID)"""
+
+MON = """mon AS (
+  SELECT split, trip_id,
+         COALESCE(CAST(VendorID AS VARCHAR), '__MISSING__') AS VendorID,
+         COALESCE(CAST(PULocationID AS VARCHAR), '__MISSING__') AS PULocationID,
+         COALESCE(CAST(DOLocationID AS VARCHAR), '__MISSING__') AS DOLocationID,
+         COALESCE(CAST(trip_type AS VARCHAR), '__MISSING__') AS trip_type,
+         CAST(hour(lpep_pickup_datetime) AS VARCHAR) AS pickup_hour,
+         CAST(isodow(lpep_pickup_datetime) - 1 AS VARCHAR) AS pickup_day_of_week,
+         passenger_count, lpep_pickup_datetime, duration, prediction
+  FROM scored_all)"""
+
+MON_CTES = (*BASE, ZONES, SCORED_ALL, MON)
+CAT_COLS = "VendorID, PULocationID, DOLocationID, trip_type, pickup_hour, pickup_day_of_week"
+
+
+def cat_drift_cte(ref: str, cur: str, name: str = "cat_scores") -> str:
+    return f"""cat_long_{name} AS (
+  UNPIVOT (SELECT CASE WHEN split = '{ref}' THEN 0 ELSE 1 END AS side, {CAT_COLS} FROM mon WHERE split IN ('{ref}', '{cur}'))
+  ON {CAT_COLS} INTO NAME "column" VALUE value),
+cat_counts_{name} AS (
+  SELECT "column", value, count(*) FILTER (WHERE side = 0) AS n_ref, count(*) FILTER (WHERE side = 1) AS n_cur
+  FROM cat_long_{name} GROUP BY "column", value),
+cat_p_{name} AS (
+  SELECT "column", n_ref / sum(n_ref) OVER (PARTITION BY "column") AS p,
+         n_cur / sum(n_cur) OVER (PARTITION BY "column") AS q
+  FROM cat_counts_{name}),
+{name} AS (
+  SELECT "column", sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END
+                                     + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS drift_score
+  FROM cat_p_{name} GROUP BY "column")"""
+
+
+def num_drift_cte(ref: str, cur: str, cols: list[str], name: str = "num_scores") -> str:
+    c = ", ".join(cols)
+    return f"""num_long_{name} AS (
+  UNPIVOT (SELECT CASE WHEN split = '{ref}' THEN 0 ELSE 1 END AS side, {c} FROM mon WHERE split IN ('{ref}', '{cur}'))
+  ON {c} INTO NAME "column" VALUE value),
+num_counts_{name} AS (
+  SELECT "column", value, count(*) FILTER (WHERE side = 0) AS n_ref, count(*) FILTER (WHERE side = 1) AS n_cur
+  FROM num_long_{name} WHERE NOT isnan(value) GROUP BY "column", value),
+num_cdf_{name} AS (
+  SELECT "column", value,
+         sum(n_ref) OVER w / sum(n_ref) OVER (PARTITION BY "column") AS fr,
+         sum(n_cur) OVER w / sum(n_cur) OVER (PARTITION BY "column") AS fc,
+         lead(value) OVER (PARTITION BY "column" ORDER BY value) AS nxt
+  FROM num_counts_{name}
+  WINDOW w AS (PARTITION BY "column" ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+num_w1_{name} AS (SELECT "column", sum(COALESCE(abs(fr - fc) * (nxt - value), 0)) AS w1 FROM num_cdf_{name} GROUP BY "column"),
+num_sd_{name} AS (SELECT "column", stddev_pop(value) FILTER (WHERE side = 0) AS sd FROM num_long_{name}
+                  WHERE NOT isnan(value) GROUP BY "column"),
+{name} AS (
+  SELECT w."column", w.w1 / greatest(COALESCE(s.sd, 0), 0.001) AS drift_score
+  FROM num_w1_{name} w JOIN num_sd_{name} s ON w."column" = s."column")"""
+
+
+DRIFT_COLS = ["VendorID", "PULocationID", "DOLocationID", "trip_type", "pickup_hour", "pickup_day_of_week",
+              "passenger_count"]
+
+ORACLE.update({
+    "split_metrics": with_ctes(*BASE, ZONES, SCORED_ALL, body="""
+SELECT split, count(*) AS "rows", round(sqrt(avg((duration - prediction) * (duration - prediction))), 6) AS rmse,
+       round(avg(abs(duration - prediction)), 6) AS mae
+FROM scored_all GROUP BY split"""),
+    "residual_histogram": with_ctes(*BASE, ZONES, SCORED_TEST, body="""
+, res AS (SELECT duration - prediction AS r FROM scored),
+b AS (SELECT min(r) AS lo, max(r) AS hi FROM res),
+counts AS (
+  SELECT CASE WHEN b.hi = b.lo THEN 1
+              ELSE least(CAST(floor((r - b.lo) * 40.0 / (b.hi - b.lo)) AS BIGINT) + 1, 40) END AS bin,
+         count(*) AS c
+  FROM res, b GROUP BY 1),
+bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 41))
+SELECT bins.bin AS bin, round(b.lo + (bins.bin - 1) * ((b.hi - b.lo) / 40), 6) AS bin_start,
+       round(b.lo + bins.bin * ((b.hi - b.lo) / 40), 6) AS bin_end, CAST(COALESCE(counts.c, 0) AS BIGINT) AS "count"
+FROM bins CROSS JOIN b LEFT JOIN counts ON bins.bin = counts.bin"""),
+    "axis_limits": with_ctes(*BASE, ZONES, SCORED_TEST, body="""
+SELECT round(least(min(duration), min(prediction)), 6) AS axis_min,
+       round(greatest(max(duration), max(prediction)), 6) AS axis_max
+FROM scored"""),
+    "monitoring_frame": with_ctes(*MON_CTES, body="""
+SELECT trip_id, VendorID, PULocationID, DOLocationID, trip_type, pickup_hour, pickup_day_of_week, passenger_count,
+       strftime(lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') AS lpep_pickup_datetime,
+       round(duration, 6) AS duration, round(prediction, 6) AS prediction
+FROM mon WHERE split = 'test'"""),
+    "missing_share": with_ctes(*MON_CTES, body="""
+, m AS (
+  SELECT count(*) AS "rows",
+         sum(CAST(passenger_count IS NULL AS BIGINT) + CAST(lpep_pickup_datetime IS NULL AS BIGINT)
+             + CAST(VendorID IS NULL AS BIGINT) + CAST(trip_type IS NULL AS BIGINT)) AS missing_cells
+  FROM mon WHERE split = 'test')
+SELECT "rows", CAST(COALESCE(missing_cells, 0) AS BIGINT) AS missing_cells,
+       round(COALESCE(missing_cells, 0) / ("rows" * 8.0), 6) AS missing_share
+FROM m"""),
+    "categorical_drift": with_ctes(*MON_CTES, cat_drift_cte("train", "test"), body="""
+SELECT "column", round(drift_score, 6) AS drift_score, CAST(drift_score >= 0.1 AS DOUBLE) AS drift_detected
+FROM cat_scores"""),
+    "numeric_drift": with_ctes(*MON_CTES, num_drift_cte("train", "test", ["passenger_count", "duration", "prediction"]),
+                               body="""
+SELECT "column", round(drift_score, 6) AS drift_score, CAST(drift_score >= 0.1 AS DOUBLE) AS drift_detected
+FROM num_scores"""),
+    "input_report": with_ctes(
+        *MON_CTES, cat_drift_cte("train", "test"), num_drift_cte("train", "test", ["passenger_count"]), body=f"""
+, s AS (SELECT "column", CAST(drift_score >= 0.1 AS DOUBLE) AS det FROM cat_scores
+        UNION ALL SELECT "column", CAST(drift_score >= 0.1 AS DOUBLE) FROM num_scores),
+miss AS (
+  SELECT sum(CAST(passenger_count IS NULL AS BIGINT) + CAST(lpep_pickup_datetime IS NULL AS BIGINT)) / (count(*) * 8.0)
+         AS share
+  FROM mon WHERE split = 'test')
+SELECT round(sum(det), 6) AS input_drifted_columns_count, round(sum(det) / 7.0, 6) AS input_drifted_columns_share,
+       round((SELECT share FROM miss), 6) AS input_missing_value_share,
+       {", ".join(f"round(COALESCE(max(det) FILTER (WHERE \"column\" = '{c}'), 0), 6) AS input_{c}_drift_detected"
+                  for c in DRIFT_COLS)},
+       round(CAST(sum(det) / 7.0 >= 0.3 AS DOUBLE), 6) AS input_drift_warning
+FROM s"""),
+    "quality_report": with_ctes(*MON_CTES, num_drift_cte("val", "test", ["duration", "prediction"]), body="""
+, e AS (
+  SELECT split, sqrt(avg((duration - prediction) * (duration - prediction))) AS rmse,
+         avg(abs(duration - prediction)) AS mae
+  FROM mon WHERE split IN ('val', 'test') GROUP BY split),
+cur AS (SELECT * FROM e WHERE split = 'test'),
+ref AS (SELECT * FROM e WHERE split = 'val'),
+d AS (SELECT max(drift_score) FILTER (WHERE "column" = 'duration') AS ds,
+             max(drift_score) FILTER (WHERE "column" = 'prediction') AS ps FROM num_scores)
+SELECT round(cur.rmse, 6) AS quality_rmse, round(cur.mae, 6) AS quality_mae,
+       round(cur.rmse * cur.rmse, 6) AS quality_mse_from_rmse,
+       CAST(CAST((abs(cur.rmse - ref.rmse) > 0.1 * abs(ref.rmse)) AS INTEGER)
+            + CAST((abs(cur.mae - ref.mae) > 0.1 * abs(ref.mae)) AS INTEGER)
+            + CAST(d.ds >= 0.1 AS INTEGER) + CAST(d.ps >= 0.1 AS INTEGER) AS DOUBLE) AS quality_failed_tests,
+       round(d.ds, 6) AS quality_duration_drift_score, round(d.ps, 6) AS quality_prediction_drift_score
+FROM cur, ref, d"""),
+})

@@ -51,6 +51,27 @@ class Inputs:
         raw = self.raw if name is None else self.split_raw(name)
         return prepare_training_data(raw, keep=keep)
 
+    @cached_property
+    def prepared_split(self) -> DataFrame:
+        """Every clean trip with its split label (the split is decided on raw rows, before cleaning)."""
+        return prepare_training_data(self.splitter.assign(self.raw), keep=(TRIP_KEY, "split"))
+
+    @cached_property
+    def scorer(self) -> DistanceFormulaScorer:
+        return DistanceFormulaScorer(self.zones)
+
+    def scored(self, name: str | None = None) -> DataFrame:
+        """Formula-scored prepared trips of one split (or of all, with ``split``)."""
+        if name is None:
+            return self.scorer.transform(self.prepared_split)
+        return self.scorer.transform(self.prepared(name))
+
+    def monitoring(self, name: str) -> DataFrame:
+        """Monitoring frame of one split: 8 monitored inputs + duration and prediction."""
+        from tripflow.operators.monitor import monitoring_frame
+
+        return monitoring_frame(self.scored(name), keep=(TRIP_KEY, "duration", "prediction"))
+
     @cached_property
     def features(self):
         from tripflow.plans.features import TripFeatures
@@ -204,6 +225,90 @@ def q_feature_matrix(spark, sf_dir):
     return _long_features(spark, sf_dir, False)
 
 
+# --------------------------------------------------------------------------- evaluation
+def q_split_metrics(spark, sf_dir):
+    """A5: rows, rmse and mae per split in one aggregate."""
+    from tripflow.operators.evaluate import split_metrics
+
+    m = split_metrics(Inputs(spark, sf_dir).scored())
+    return m.select("split", "rows", round6(F.col("rmse")).alias("rmse"), round6(F.col("mae")).alias("mae"))
+
+
+def q_residual_histogram(spark, sf_dir):
+    """A16 + P15: 40-bin residual histogram of the test split, empty bins included."""
+    from tripflow.operators.evaluate import residual_histogram
+
+    h = residual_histogram(Inputs(spark, sf_dir).scored("test"))
+    return h.select("bin", round6(F.col("bin_start")).alias("bin_start"), round6(F.col("bin_end")).alias("bin_end"),
+                    "count")
+
+
+def q_axis_limits(spark, sf_dir):
+    """Common actual/predicted axis range of the test split."""
+    from tripflow.operators.evaluate import axis_limits
+
+    a = axis_limits(Inputs(spark, sf_dir).scored("test"))
+    return a.select(round6(F.col("axis_min")).alias("axis_min"), round6(F.col("axis_max")).alias("axis_max"))
+
+
+# --------------------------------------------------------------------------- monitoring
+def q_monitoring_frame(spark, sf_dir):
+    """S6 + P14 + P11: the labelled monitoring frame of the test split."""
+    m = Inputs(spark, sf_dir).monitoring("test")
+    return m.select(
+        TRIP_KEY, "VendorID", "PULocationID", "DOLocationID", "trip_type", "pickup_hour", "pickup_day_of_week",
+        "passenger_count", format_second(F.col(PICKUP)).alias(PICKUP), round6(F.col("duration")).alias("duration"),
+        round6(F.col("prediction")).alias("prediction"),
+    )
+
+
+def q_missing_share(spark, sf_dir):
+    """Missing cells over the test split's monitored inputs."""
+    from tripflow.operators.monitor import missing_share
+
+    m = missing_share(Inputs(spark, sf_dir).monitoring("test"))
+    return m.select("rows", "missing_cells", round6(F.col("missing_share")).alias("missing_share"))
+
+
+def _drift_out(df):
+    return df.select("column", round6(F.col("drift_score")).alias("drift_score"), "drift_detected")
+
+
+def q_categorical_drift(spark, sf_dir):
+    """J6 + D4: Jensen-Shannon drift of the six categorical inputs, train (reference) vs test (current)."""
+    from tripflow.operators.monitor import categorical_drift
+
+    inp = Inputs(spark, sf_dir)
+    return _drift_out(categorical_drift(inp.monitoring("train"), inp.monitoring("test")))
+
+
+def q_numeric_drift(spark, sf_dir):
+    """Normalised Wasserstein drift of passenger_count, duration, prediction, train vs test."""
+    from tripflow.operators.monitor import numeric_drift
+
+    inp = Inputs(spark, sf_dir)
+    return _drift_out(numeric_drift(inp.monitoring("train"), inp.monitoring("test"),
+                                    ["passenger_count", "duration", "prediction"]))
+
+
+def q_input_report(spark, sf_dir):
+    """D1 + D3 + A10 + A11: input drift/missing metrics, train inputs vs test inputs."""
+    from tripflow.operators.monitor import input_report
+
+    inp = Inputs(spark, sf_dir)
+    r = input_report(inp.monitoring("train"), inp.monitoring("test"))
+    return r.select(*[round6(F.col(c)).alias(c) for c in r.columns])
+
+
+def q_quality_report(spark, sf_dir):
+    """D2 + A12-A14: quality metrics, validation (reference) vs test (current)."""
+    from tripflow.operators.monitor import quality_report
+
+    inp = Inputs(spark, sf_dir)
+    r = quality_report(inp.monitoring("val"), inp.monitoring("test"))
+    return r.select(*[round6(F.col(c)).alias(c) for c in r.columns])
+
+
 QUERIES = {
     "prepared_trips": q_prepared_trips,
     "chronological_split": q_chronological_split,
@@ -218,4 +323,13 @@ QUERIES = {
     "categories": q_categories,
     "one_hot": q_one_hot,
     "feature_matrix": q_feature_matrix,
+    "split_metrics": q_split_metrics,
+    "residual_histogram": q_residual_histogram,
+    "axis_limits": q_axis_limits,
+    "monitoring_frame": q_monitoring_frame,
+    "missing_share": q_missing_share,
+    "categorical_drift": q_categorical_drift,
+    "numeric_drift": q_numeric_drift,
+    "input_report": q_input_report,
+    "quality_report": q_quality_report,
 }
