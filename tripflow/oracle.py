@@ -352,3 +352,65 @@ SELECT round(cur.rmse, 6) AS quality_rmse, round(cur.mae, 6) AS quality_mae,
        round(d.ds, 6) AS quality_duration_drift_score, round(d.ps, 6) AS quality_prediction_drift_score
 FROM cur, ref, d"""),
 })
+
+# --------------------------------------------------------------------------- lineage, registry, tuning, serving log
+VERSIONS = """versions AS (
+  SELECT event_type AS model, event_id AS version, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS rmse_test
+  FROM events),
+folded AS (
+  SELECT *, min(rmse_test) OVER (PARTITION BY model ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              AS champion_metric_before
+  FROM versions),
+decided AS (
+  SELECT *, CASE WHEN rmse_test IS NULL THEN 'challenger'
+                 WHEN champion_metric_before IS NULL OR rmse_test <= champion_metric_before THEN 'champion'
+                 ELSE 'challenger' END AS decision
+  FROM folded)"""
+
+REQUEST_LOG = """log AS (
+  SELECT event_id AS request_id, [1, 10, 100][event_id % 3 + 1] AS batch_size,
+         [1, 5, 10][(event_id // 3) % 3 + 1] AS concurrency,
+         CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
+         ts AS started_at,
+         ts + to_microseconds(CAST(round(round(value / 1000.0, 6) * 1000000) AS BIGINT)) AS ended_at,
+         value / 1000.0 AS latency_s
+  FROM events)"""
+
+ORACLE.update({
+    "lineage_coverage": with_ctes(*BASE, body="""
+SELECT split AS dataset, count(*) AS n_rows, strftime(min(lpep_pickup_datetime), '%Y-%m-%d %H:%M:%S') AS start,
+       strftime(max(lpep_pickup_datetime), '%Y-%m-%d %H:%M:%S') AS "end"
+FROM prepared GROUP BY split"""),
+    "lineage_gate": with_ctes(*BASE, body="""
+SELECT split AS dataset, count(*) AS n_rows, true AS matches FROM prepared WHERE split IN ('train', 'val') GROUP BY split"""),
+    "champion_fold": with_ctes(VERSIONS, body="""
+SELECT model, version, rmse_test, champion_metric_before, decision FROM decided"""),
+    "model_aliases": with_ctes(VERSIONS, body="""
+SELECT model, max(version) FILTER (WHERE decision = 'champion') AS champion_version,
+       max(version) FILTER (WHERE decision = 'challenger') AS challenger_version, count(*) AS versions
+FROM decided GROUP BY model"""),
+    "best_trial": """
+WITH t AS (
+  SELECT user_id AS study, event_id AS trial, value AS rmse_val, event_id % 7 + 3 AS max_depth,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS min_child_weight
+  FROM events WHERE value IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY study ORDER BY rmse_val, trial) AS rn,
+             count(*) OVER (PARTITION BY study) AS n_trials FROM t)
+SELECT study, n_trials, trial AS best_trial, round(rmse_val, 6) AS best_rmse_val, max_depth, min_child_weight
+FROM r WHERE rn = 1""",
+    "latency_profile": with_ctes(REQUEST_LOG, body="""
+SELECT batch_size, concurrency, count(*) AS request_count,
+       round(avg(CAST(status = 200 AS DOUBLE)), 6) AS success_rate,
+       round(count(*) / (date_diff('microsecond', min(started_at), max(ended_at)) / 1e6), 6) AS requests_per_second,
+       round(quantile_cont(latency_s, 0.5) * 1000.0, 6) AS latency_ms_p50,
+       round(quantile_cont(latency_s, 0.95) * 1000.0, 6) AS latency_ms_p95,
+       round(quantile_cont(latency_s, 0.99) * 1000.0, 6) AS latency_ms_p99
+FROM log GROUP BY batch_size, concurrency"""),
+    "tiled_batch": """
+WITH r AS (
+  SELECT event_id // 10 AS request_id, event_id AS trip_id,
+         row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1 AS k,
+         count(*) OVER (PARTITION BY event_id // 10) AS m
+  FROM events)
+SELECT r.request_id, CAST(g.range AS INTEGER) AS pos, r.trip_id FROM r JOIN range(0, 100) g ON g.range % r.m = r.k""",
+})

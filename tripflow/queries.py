@@ -309,6 +309,71 @@ def q_quality_report(spark, sf_dir):
     return r.select(*[round6(F.col(c)).alias(c) for c in r.columns])
 
 
+# --------------------------------------------------------------------------- lineage
+def q_lineage_coverage(spark, sf_dir):
+    """Rows and pickup time range of every prepared split (the fingerprint is in ``lineage_gate``)."""
+    from tripflow.operators.lineage import split_fingerprints
+
+    fp = split_fingerprints(Inputs(spark, sf_dir).prepared_split)
+    return fp.select("dataset", "n_rows", "start", "end")
+
+
+def q_lineage_gate(spark, sf_dir):
+    """D8 + F13: tags recorded at training vs the data read again now; one pass/fail row per reference split."""
+    from tripflow.operators.lineage import lineage_checks, split_fingerprints, training_lineage
+
+    recorded = split_fingerprints(Inputs(spark, sf_dir).prepared_split)
+    tags = training_lineage(recorded, {"train": f"{sf_dir}/events.parquet#train", "val": f"{sf_dir}/events.parquet#val"})
+    again = split_fingerprints(Inputs(spark, sf_dir).prepared_split)
+    return lineage_checks(tags, again).select("dataset", "n_rows", "matches")
+
+
+# --------------------------------------------------------------------------- registry, tuning, serving log
+def q_champion_fold(spark, sf_dir):
+    """Alias decision of every registered version, in one blocked ordered scan per model."""
+    from tripflow.operators.registry import champion_fold
+
+    d = champion_fold(adapter.model_versions(spark, sf_dir))
+    return d.select("model", "version", "rmse_test", "champion_metric_before", "decision")
+
+
+def q_model_aliases(spark, sf_dir):
+    """W2 (final state): current champion and challenger version per model."""
+    from tripflow.operators.registry import champion_fold, current_aliases
+
+    return current_aliases(champion_fold(adapter.model_versions(spark, sf_dir)))
+
+
+def q_best_trial(spark, sf_dir):
+    """Lowest validation rmse per study, with the trial's parameters."""
+    from tripflow.operators.registry import best_trial
+
+    b = best_trial(adapter.tuning_trials(spark, sf_dir))
+    return b.select("study", "n_trials", "best_trial", round6(F.col("best_rmse_val")).alias("best_rmse_val"),
+                    "max_depth", "min_child_weight")
+
+
+def q_latency_profile(spark, sf_dir):
+    """Latency percentiles, success rate and throughput per (batch size, concurrency) case."""
+    from tripflow.operators.servelog import latency_profile
+
+    p = latency_profile(adapter.request_log(spark, sf_dir))
+    return p.select("batch_size", "concurrency", "request_count", *[round6(F.col(c)).alias(c) for c in (
+        "success_rate", "requests_per_second", "latency_ms_p50", "latency_ms_p95", "latency_ms_p99")])
+
+
+TILE_SIZE = 100
+
+
+def q_tiled_batch(spark, sf_dir):
+    """Every request's trips tiled cyclically to the largest benchmark batch size."""
+    from tripflow.operators.servelog import tile_array
+
+    reqs = adapter.request_trip_ids(spark, sf_dir)
+    tiled = reqs.where(F.size("trip_ids") > 0).select("request_id", F.posexplode(tile_array(F.col("trip_ids"), TILE_SIZE)))
+    return tiled.select("request_id", F.col("pos").cast("int").alias("pos"), F.col("col").alias(TRIP_KEY))
+
+
 QUERIES = {
     "prepared_trips": q_prepared_trips,
     "chronological_split": q_chronological_split,
@@ -332,4 +397,11 @@ QUERIES = {
     "numeric_drift": q_numeric_drift,
     "input_report": q_input_report,
     "quality_report": q_quality_report,
+    "lineage_coverage": q_lineage_coverage,
+    "lineage_gate": q_lineage_gate,
+    "champion_fold": q_champion_fold,
+    "model_aliases": q_model_aliases,
+    "best_trial": q_best_trial,
+    "latency_profile": q_latency_profile,
+    "tiled_batch": q_tiled_batch,
 }

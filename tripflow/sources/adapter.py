@@ -100,3 +100,13 @@ def tuning_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") % 7 + 3).alias("max_depth"),
         F.get_json_object(F.col("props"), "$.k").cast("int").alias("min_child_weight"),
     )
+
+
+REQUEST_SIZE = 10
+
+
+def request_trip_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of ten consecutive trips (``event_id DIV 10``); ids in order. Groups are bounded by 10 rows."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.groupBy(F.floor(F.col("event_id") / REQUEST_SIZE).alias("request_id")).agg(
+        F.array_sort(F.collect_list(F.col("event_id"))).alias("trip_ids"))
