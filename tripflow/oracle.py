@@ -414,3 +414,73 @@ WITH r AS (
   FROM events)
 SELECT r.request_id, CAST(g.range AS INTEGER) AS pos, r.trip_id FROM r JOIN range(0, 100) g ON g.range % r.m = r.k""",
 })
+
+# --------------------------------------------------------------------------- requests
+REQUESTS = """req_trips AS (
+  SELECT trip_id // 10 AS request_id, trip_id,
+         '{' || concat_ws(',',
+           '"VendorID":' || CASE WHEN trip_id % 101 = 0 THEN '1.5'
+                                 WHEN trip_id % 13 = 0 THEN '"' || CAST(VendorID AS VARCHAR) || '"'
+                                 ELSE CAST(VendorID AS VARCHAR) END,
+           '"lpep_pickup_datetime":"' || CASE WHEN trip_id % 97 = 0 THEN strftime(lpep_pickup_datetime, '%d/%m/%Y')
+                                              WHEN trip_id % 89 = 0 THEN strftime(lpep_pickup_datetime, '%Y-%-m-%-d %-H:%-M:%-S')
+                                              ELSE strftime(lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') END || '"',
+           '"PULocationID":' || CAST(PULocationID AS VARCHAR),
+           '"DOLocationID":' || CAST(DOLocationID AS VARCHAR),
+           '"passenger_count":' || CAST(passenger_count AS VARCHAR),
+           '"trip_type":' || CAST(trip_type AS VARCHAR)) || '}' AS j
+  FROM raw_trips),
+bodies AS (
+  SELECT request_id, '{"trips":[' || string_agg(j, ',' ORDER BY trip_id) || ']}' AS body FROM req_trips GROUP BY request_id),
+parsed AS (
+  SELECT request_id,
+         from_json(body, '{"trips":[{"VendorID":"VARCHAR","lpep_pickup_datetime":"VARCHAR","PULocationID":"VARCHAR",
+                                     "DOLocationID":"VARCHAR","passenger_count":"VARCHAR","trip_type":"VARCHAR"}]}').trips AS trips
+  FROM bodies),
+items AS (
+  SELECT request_id, generate_subscripts(trips, 1) - 1 AS pos, unnest(trips) AS trip FROM parsed),
+checked AS (
+  SELECT request_id, pos, trip,
+         CASE WHEN NOT COALESCE(TRY_CAST(trip.VendorID AS DOUBLE) = floor(TRY_CAST(trip.VendorID AS DOUBLE)), false)
+                THEN 'VendorID'
+              WHEN trip.lpep_pickup_datetime IS NULL
+                OR NOT regexp_full_match(trip.lpep_pickup_datetime, '[0-9]{4}-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9]) (2[0-3]|[01][0-9]|[0-9]):([0-5][0-9]|[0-9]):([0-5][0-9]|[0-9])')
+                OR try_strptime(trip.lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') IS NULL THEN 'lpep_pickup_datetime'
+              WHEN NOT COALESCE(TRY_CAST(trip.PULocationID AS DOUBLE) = floor(TRY_CAST(trip.PULocationID AS DOUBLE)), false)
+                THEN 'PULocationID'
+              WHEN NOT COALESCE(TRY_CAST(trip.DOLocationID AS DOUBLE) = floor(TRY_CAST(trip.DOLocationID AS DOUBLE)), false)
+                THEN 'DOLocationID'
+              WHEN trip.passenger_count IS NOT NULL AND TRY_CAST(trip.passenger_count AS DOUBLE) IS NULL THEN 'passenger_count'
+              WHEN trip.trip_type IS NOT NULL AND TRY_CAST(trip.trip_type AS DOUBLE) IS NULL THEN 'trip_type'
+         END AS problem
+  FROM items),
+validated AS (
+  SELECT p.request_id, CAST(len(p.trips) AS INTEGER) AS n_trips,
+         CAST(count(c.problem) AS INTEGER) AS n_invalid_trips,
+         CAST(min(c.pos) FILTER (WHERE c.problem IS NOT NULL) AS INTEGER) AS first_invalid_pos,
+         arg_min(c.problem, c.pos) FILTER (WHERE c.problem IS NOT NULL) AS first_invalid_field,
+         count(c.problem) = 0 AS valid
+  FROM parsed p LEFT JOIN checked c ON p.request_id = c.request_id
+  GROUP BY p.request_id, p.trips),
+req_scored AS (
+  SELECT c.request_id, c.pos,
+         10.0 + 2.0 * COALESCE(""" + haversine('pu.latitude', 'pu.longitude', 'du.latitude', 'du.longitude') + """, 1.0)
+           AS prediction
+  FROM checked c JOIN validated v ON c.request_id = v.request_id AND v.valid
+  LEFT JOIN zones pu ON CAST(TRY_CAST(c.trip.PULocationID AS DOUBLE) AS BIGINT) = pu.LocationID
+  LEFT JOIN zones du ON CAST(TRY_CAST(c.trip.DOLocationID AS DOUBLE) AS BIGINT) = du.LocationID)"""
+
+ORACLE.update({
+    "request_validation": with_ctes(RAW, ZONES, REQUESTS, body="""
+SELECT request_id, n_trips, valid, n_invalid_trips, first_invalid_pos, first_invalid_field FROM validated"""),
+    "request_scoring": with_ctes(RAW, ZONES, REQUESTS, body="""
+, per AS (SELECT request_id, count(*) AS n, string_agg(printf('%.6f', prediction), ',' ORDER BY pos) AS txt
+          FROM req_scored GROUP BY request_id)
+SELECT v.request_id, CASE WHEN v.valid THEN 200 ELSE 422 END AS status,
+       CASE WHEN v.valid THEN CAST(per.n AS INTEGER) END AS n_predictions,
+       CASE WHEN v.valid THEN per.txt END AS predictions_text,
+       'green_taxi_duration_model' AS model_name, 1 AS model_version, 'champion' AS model_alias
+FROM validated v LEFT JOIN per ON v.request_id = per.request_id"""),
+    "stream_scoring": with_ctes(RAW, ZONES, REQUESTS, body="""
+SELECT request_id, CAST(pos AS INTEGER) AS pos, round(prediction, 6) AS prediction FROM req_scored"""),
+})

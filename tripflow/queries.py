@@ -374,6 +374,52 @@ def q_tiled_batch(spark, sf_dir):
     return tiled.select("request_id", F.col("pos").cast("int").alias("pos"), F.col("col").alias(TRIP_KEY))
 
 
+# --------------------------------------------------------------------------- requests and streaming
+MODEL_METADATA = {"model_name": "green_taxi_duration_model", "model_version": 1, "model_alias": "champion"}
+
+
+def _validated_requests(spark, sf_dir):
+    from tripflow.plans.scoring import parse_requests, validate_requests
+
+    return validate_requests(parse_requests(adapter.request_bodies(spark, sf_dir)))
+
+
+def q_request_validation(spark, sf_dir):
+    """S7 + P16: every request parsed from JSON and validated; one bad trip rejects the request."""
+    v = _validated_requests(spark, sf_dir)
+    return v.select("request_id", "n_trips", "valid", "n_invalid_trips", "first_invalid_pos", "first_invalid_field")
+
+
+def q_request_scoring(spark, sf_dir):
+    """M8 + M9: predictions per request in trip order with model metadata (rejected requests: 422)."""
+    from tripflow.plans.scoring import score_requests
+
+    inp = Inputs(spark, sf_dir)
+    r = score_requests(_validated_requests(spark, sf_dir), inp.scorer, MODEL_METADATA)
+    text = F.array_join(F.transform("predictions", lambda x: F.format_string("%.6f", x)), ",")
+    return r.select("request_id", "status", F.when(F.col("predictions").isNotNull(), F.size("predictions"))
+                    .alias("n_predictions"),
+                    text.alias("predictions_text"), "model_name", "model_version", "model_alias")
+
+
+def q_stream_scoring(spark, sf_dir):
+    """ST1: the same requests as a file stream; scored trips of valid requests (equals the batch answer)."""
+    import uuid
+
+    from tripflow.session import scratch_path
+    from tripflow.streaming.scoring import run_available
+
+    inp = Inputs(spark, sf_dir)
+    run = scratch_path(spark, f"stream-scoring-{uuid.uuid4().hex}")
+    lines = adapter.request_bodies(spark, sf_dir).select(
+        F.concat(F.lit('{"request_id":'), F.col("request_id").cast("string"), F.lit(","),
+                 F.expr("substring(body, 2)")).alias("value"))
+    lines.write.text(f"{run}/source")
+    run_available(spark, f"{run}/source", f"{run}/sink", f"{run}/checkpoint", inp.scorer)
+    out = spark.read.parquet(f"{run}/sink/scored")
+    return out.select("request_id", F.col("pos").cast("int").alias("pos"), round6(F.col("prediction")).alias("prediction"))
+
+
 QUERIES = {
     "prepared_trips": q_prepared_trips,
     "chronological_split": q_chronological_split,
@@ -404,4 +450,7 @@ QUERIES = {
     "best_trial": q_best_trial,
     "latency_profile": q_latency_profile,
     "tiled_batch": q_tiled_batch,
+    "request_validation": q_request_validation,
+    "request_scoring": q_request_scoring,
+    "stream_scoring": q_stream_scoring,
 }

@@ -110,3 +110,38 @@ def request_trip_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     return ev.groupBy(F.floor(F.col("event_id") / REQUEST_SIZE).alias("request_id")).agg(
         F.array_sort(F.collect_list(F.col("event_id"))).alias("trip_ids"))
+
+
+def _json_value(text, quoted=False):
+    return F.concat(F.lit('"'), text, F.lit('"')) if quoted else text
+
+
+def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests as JSON text (S7): ten consecutive trips per request, built from ``events``.
+
+    Trips exercise the contract: ids quoted as strings (``event_id % 13 = 0``), a fractional vendor
+    (``% 101``), unpadded datetimes (``% 89``), a wrong datetime format (``% 97``) and absent optional
+    fields (nulls are omitted).
+    """
+    t = trips_from_events(read_table(spark, sf_dir, "events"))
+    eid = F.col(TRIP_KEY)
+    ts = F.col(PICKUP)
+    pickup = (F.when(eid % 97 == 0, F.date_format(ts, "dd/MM/yyyy"))
+              .when(eid % 89 == 0, F.date_format(ts, "y-M-d H:m:s"))
+              .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss")))
+    vendor = (F.when(eid % 101 == 0, F.lit("1.5"))
+              .when(eid % 13 == 0, F.concat(F.lit('"'), F.col("VendorID").cast("string"), F.lit('"')))
+              .otherwise(F.col("VendorID").cast("string")))
+    parts = [
+        F.concat(F.lit('"VendorID":'), vendor),
+        F.concat(F.lit('"lpep_pickup_datetime":"'), pickup, F.lit('"')),
+        F.concat(F.lit('"PULocationID":'), F.col("PULocationID").cast("string")),
+        F.concat(F.lit('"DOLocationID":'), F.col("DOLocationID").cast("string")),
+        F.concat(F.lit('"passenger_count":'), F.col("passenger_count").cast("string")),  # null -> omitted
+        F.concat(F.lit('"trip_type":'), F.col("trip_type").cast("string")),
+    ]
+    trip_json = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    grouped = t.groupBy(F.floor(eid / REQUEST_SIZE).alias("request_id")).agg(
+        F.array_sort(F.collect_list(F.struct(eid.alias("k"), trip_json.alias("j")))).alias("items"))
+    body = F.concat(F.lit('{"trips":['), F.array_join(F.transform("items", lambda x: x["j"]), ","), F.lit("]}"))
+    return grouped.select("request_id", body.alias("body"))
