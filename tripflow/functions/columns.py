@@ -40,3 +40,24 @@ def safe_name(name: str) -> str:
 
 def round6(col: Column) -> Column:
     return F.round(col, 6)
+
+
+INTEGER_SIGNATURE_COLUMNS = ("VendorID", "PULocationID", "DOLocationID")
+FLOAT_SIGNATURE_COLUMNS = ("passenger_count", "trip_type")
+
+
+def strict_bigint(col: Column, name: str) -> Column:
+    """Numeric-or-fail, then truncated to an integer (a missing id fails too)."""
+    d = col.cast("double")  # ANSI: junk text raises here
+    return F.when(d.isNull() | F.isnan(d), F.raise_error(F.lit(f"{name} must be numeric"))).otherwise(d).cast("bigint")
+
+
+def signature_cast(df):
+    """Ids must be numeric (raise), counts coerced (junk -> null)."""
+    out = df
+    for c in INTEGER_SIGNATURE_COLUMNS:
+        out = out.withColumn(c, strict_bigint(F.col(c), c))
+    for c in FLOAT_SIGNATURE_COLUMNS:
+        if c in out.columns:
+            out = out.withColumn(c, lax_double(F.col(c)))
+    return out

@@ -484,3 +484,19 @@ FROM validated v LEFT JOIN per ON v.request_id = per.request_id"""),
     "stream_scoring": with_ctes(RAW, ZONES, REQUESTS, body="""
 SELECT request_id, CAST(pos AS INTEGER) AS pos, round(prediction, 6) AS prediction FROM req_scored"""),
 })
+
+ORACLE.update({
+    "monthly_union": with_ctes(RAW, body="""
+, t AS (SELECT *, least(CAST(floor((day(lpep_pickup_datetime) - 1) / 10) AS INTEGER), 2) AS part FROM raw_trips)
+SELECT trip_id, 'p' || CAST(part AS VARCHAR) AS period, VendorID, passenger_count,
+       CASE WHEN part = 1 THEN NULL ELSE fare_amount END AS fare_amount,
+       strftime(lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') AS lpep_pickup_datetime
+FROM t"""),
+    "signature_cast": with_ctes(RAW, ZONES, REQUESTS, body="""
+SELECT c.request_id, CAST(c.pos AS INTEGER) AS pos,
+       CAST(trunc(CAST(c.trip.VendorID AS DOUBLE)) AS BIGINT) AS VendorID,
+       CAST(trunc(CAST(c.trip.PULocationID AS DOUBLE)) AS BIGINT) AS PULocationID,
+       CAST(trunc(CAST(c.trip.DOLocationID AS DOUBLE)) AS BIGINT) AS DOLocationID,
+       TRY_CAST(c.trip.passenger_count AS DOUBLE) AS passenger_count, TRY_CAST(c.trip.trip_type AS DOUBLE) AS trip_type
+FROM checked c JOIN validated v ON c.request_id = v.request_id AND v.valid"""),
+})

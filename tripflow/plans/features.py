@@ -91,10 +91,12 @@ class _FeatureParams(Params):
     broadcastMaxRows = Param(Params._dummy(), "broadcastMaxRows", "largest lookup table to broadcast",
                              TypeConverters.toInt)
     keepCols = Param(Params._dummy(), "keepCols", "input columns passed through transform", TypeConverters.toListString)
+    featuresCol = Param(Params._dummy(), "featuresCol", "when not empty, also assemble the features into this vector",
+                        TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(labelCol="duration", broadcastMaxRows=BROADCAST_MAX_ROWS, keepCols=[])
+        self._setDefault(labelCol="duration", broadcastMaxRows=BROADCAST_MAX_ROWS, keepCols=[], featuresCol="")
 
 
 class TripFeatures(Estimator, _FeatureParams):
@@ -102,7 +104,7 @@ class TripFeatures(Estimator, _FeatureParams):
 
     @keyword_only
     def __init__(self, *, zones: Dimension = None, labelCol: str = "duration", broadcastMaxRows: int = BROADCAST_MAX_ROWS,
-                 keepCols=None):
+                 keepCols=None, featuresCol: str = ""):
         super().__init__()
         self.zones = zones
         kwargs = {k: v for k, v in self._input_kwargs.items() if k != "zones" and v is not None}
@@ -113,8 +115,10 @@ class TripFeatures(Estimator, _FeatureParams):
         if label not in dataset.columns:
             raise ValueError(f"the target column {label!r} is required to fit TripFeatures")
         summary = fit_summary(dataset).checkpoint(eager=True)
-        return TripFeaturesModel.from_summary(summary, self.zones, self.getOrDefault(self.broadcastMaxRows),
-                                              self.getOrDefault(self.keepCols))
+        model = TripFeaturesModel.from_summary(summary, self.zones, self.getOrDefault(self.broadcastMaxRows),
+                                               self.getOrDefault(self.keepCols))
+        model._set(featuresCol=self.getOrDefault(self.featuresCol))
+        return model
 
 
 class TripFeaturesModel(Model, _FeatureParams):
@@ -251,7 +255,14 @@ class TripFeaturesModel(Model, _FeatureParams):
             as_text = with_sentinel(source[c], FEATURE_MISSING)
             for cat in self.categories[c][1:]:
                 values[f"{c}_{cat}"] = (as_text == F.lit(cat)).cast("int")
-        return out.select(*keep, *[values[n].alias(safe_name(n)) for n in self.feature_names])
+        out = out.select(*keep, *[values[n].alias(safe_name(n)) for n in self.feature_names])
+        vec = self.getOrDefault(self.featuresCol)
+        if vec:
+            from pyspark.ml.feature import VectorAssembler
+
+            # every feature is null-free by construction (fills and 0/1 flags), so "error" never trips
+            out = VectorAssembler(inputCols=self.physical_names(), outputCol=vec, handleInvalid="error").transform(out)
+        return out
 
     def long_form(self, transformed: DataFrame, id_cols) -> DataFrame:
         """(ids..., feature, value): one row per feature, display names, doubles. A narrow Generate, no shuffle."""
@@ -280,6 +291,7 @@ class TripFeaturesModel(Model, _FeatureParams):
             "feature_names": self.feature_names, "route_rows": self.route_rows, "pu_rows": self.pu_rows,
             "do_rows": self.do_rows, "zone_rows": self.zones.rows,
             "broadcastMaxRows": self.getOrDefault(self.broadcastMaxRows), "keepCols": self.getOrDefault(self.keepCols),
+            "featuresCol": self.getOrDefault(self.featuresCol),
         }
         spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string").coalesce(1).write.mode(
             "overwrite").text(f"{path}/meta")
@@ -290,7 +302,8 @@ class TripFeaturesModel(Model, _FeatureParams):
 
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
         model = cls()
-        model._set(broadcastMaxRows=meta["broadcastMaxRows"], keepCols=meta["keepCols"])
+        model._set(broadcastMaxRows=meta["broadcastMaxRows"], keepCols=meta["keepCols"],
+                   featuresCol=meta.get("featuresCol", ""))
         model.summary = spark.read.parquet(f"{path}/summary")
         model.zones = Dimension(spark.read.parquet(f"{path}/zones"), rows=meta["zone_rows"])
         for k in ("total_rows", "median_distance", "trip_type_fallback", "categories", "feature_names", "route_rows",

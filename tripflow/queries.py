@@ -420,6 +420,84 @@ def q_stream_scoring(spark, sf_dir):
     return out.select("request_id", F.col("pos").cast("int").alias("pos"), round6(F.col("prediction")).alias("prediction"))
 
 
+# --------------------------------------------------------------------------- model
+# champion parameters with a short boosting run: the registered query must stay cheap to check;
+# the full 550-tree run is ``plans.train.build_pipeline(zones, CHAMPION_PARAMS)``
+QUERY_TREES = 20
+
+
+def _fitted_pipeline(inp: "Inputs"):
+    from tripflow.plans.train import build_pipeline
+    from tripflow.schema import CHAMPION_PARAMS
+
+    return build_pipeline(inp.zones, {**CHAMPION_PARAMS, "n_estimators": QUERY_TREES}).fit(inp.prepared("train"))
+
+
+def q_gbt_scoring(spark, sf_dir):
+    """M4 + M5 + M8: fit the raw-input pipeline on train, score every prepared trip."""
+    from tripflow.plans.train import score
+
+    inp = Inputs(spark, sf_dir)
+    s = score(_fitted_pipeline(inp), inp.prepared_split, keep=(TRIP_KEY, "split", "duration"))
+    return s.select(TRIP_KEY, "split", round6(F.col("duration")).alias("duration"),
+                    round6(F.col("prediction")).alias("prediction"))
+
+
+def q_feature_importance(spark, sf_dir):
+    """O2: top-20 features of the fitted boosted trees."""
+    from tripflow.plans.train import feature_importance
+
+    fi = feature_importance(_fitted_pipeline(Inputs(spark, sf_dir)))
+    return fi.select("rank", "feature", round6(F.col("importance")).alias("importance"))
+
+
+# --------------------------------------------------------------------------- sources, contracts, sampling
+def q_monthly_union(spark, sf_dir):
+    """S1 + U1: trips landed as ten-day files with drifting schemas (one without fares, one with integer
+    counts), read back over a grid with one missing period, conformed and unioned."""
+    import uuid
+
+    from tripflow.session import scratch_path
+    from tripflow.sources.monthly import read_periods
+
+    raw = Inputs(spark, sf_dir).raw
+    base = scratch_path(spark, f"monthly-{uuid.uuid4().hex}")
+    part = F.least(F.floor((F.dayofmonth(PICKUP) - 1) / 10), F.lit(2)).cast("int")
+    tagged = raw.withColumn("__part", part)
+    tagged.where("__part = 0").drop("__part").write.parquet(f"{base}/p0")
+    tagged.where("__part = 1").drop("__part", "fare_amount").write.parquet(f"{base}/p1")
+    tagged.where("__part = 2").drop("__part").withColumn("passenger_count", F.col("passenger_count").cast("bigint")) \
+        .withColumn("VendorID", F.col("VendorID").cast("int")).write.parquet(f"{base}/p2")
+    grid = {f"p{i}": f"{base}/p{i}" for i in range(4)}  # p3 was never landed
+    scan = read_periods(spark, grid, extra=(TRIP_KEY,))
+    if scan.missing != ["p3"]:
+        raise RuntimeError(f"unexpected missing periods {scan.missing}")
+    return scan.frame.select(TRIP_KEY, "period", "VendorID", "passenger_count", "fare_amount",
+                             format_second(F.col(PICKUP)).alias(PICKUP))
+
+
+def q_signature_cast(spark, sf_dir):
+    """Request fields of valid requests cast to the model signature (ids integral, counts lax)."""
+    from tripflow.functions.columns import signature_cast
+    from tripflow.plans.scoring import parse_requests
+
+    parsed = parse_requests(adapter.request_bodies(spark, sf_dir))
+    v = _validated_requests(spark, sf_dir).where("valid").select("request_id")
+    rows = parsed.join(v, "request_id", "left_semi").select("request_id", F.posexplode("trips").alias("pos", "t"))
+    flat = rows.select("request_id", F.col("pos").cast("int").alias("pos"), "t.*")
+    return signature_cast(flat).select("request_id", "pos", "VendorID", "PULocationID", "DOLocationID",
+                                       "passenger_count", "trip_type")
+
+
+def q_exact_sample(spark, sf_dir):
+    """Exactly 500 seeded rows of the test monitoring frame (stable under repartitioning)."""
+    from tripflow.operators.monitor import exact_sample
+    from tripflow.schema import RANDOM_SEED
+
+    m = Inputs(spark, sf_dir).monitoring("test")
+    return exact_sample(m, 500, RANDOM_SEED, key_cols=[TRIP_KEY]).select(TRIP_KEY, "VendorID", "trip_type")
+
+
 QUERIES = {
     "prepared_trips": q_prepared_trips,
     "chronological_split": q_chronological_split,
@@ -453,4 +531,9 @@ QUERIES = {
     "request_validation": q_request_validation,
     "request_scoring": q_request_scoring,
     "stream_scoring": q_stream_scoring,
+    "gbt_scoring": q_gbt_scoring,
+    "feature_importance": q_feature_importance,
+    "monthly_union": q_monthly_union,
+    "signature_cast": q_signature_cast,
+    "exact_sample": q_exact_sample,
 }
