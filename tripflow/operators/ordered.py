@@ -44,13 +44,13 @@ def _combine(kind: str, a: Column, b: Column) -> Column:
 
 
 def ordered_scan(df: DataFrame, groups: list[str], order: str, running: list[Running], next_col: str | None = None,
-                 block_rows: int = BLOCK_ROWS, rows: int | None = None) -> DataFrame:
+                 block_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """``df`` plus one column per ``running`` spec (and the next ``order`` value in the group when ``next_col``).
 
     ``order`` must be unique within a group (callers group by it first).
     """
     n = df.count() if rows is None else rows
-    blocks = max(1, math.ceil(n / block_rows))
+    blocks = max(1, math.ceil(n / (block_rows or BLOCK_ROWS)))
     tmp = [f"__v{i}" for i in range(len(running))]
     base = df.select("*", *[r.value.alias(t) for r, t in zip(running, tmp)])
     ranged = base.repartitionByRange(blocks, *[F.col(g) for g in groups], F.col(order))

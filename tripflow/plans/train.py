@@ -100,7 +100,9 @@ def train_and_evaluate(zones: Dimension, train: DataFrame, splits: DataFrame, pa
     importance and lineage from the same persisted scored frame.
     """
     model = build_pipeline(zones, params).fit(train)
-    scored = score(model, splits, keep=("split", "duration")).persist()
+    # raw segment keys pass through next to the features (none of them is a feature name)
+    keep = ("split", "duration", "lpep_pickup_datetime", "PULocationID", "trip_type")
+    scored = score(model, splits, keep=keep).persist()
     metrics = scored.groupBy("split").agg(*error_aggs())
     return model, metrics, scored
 
