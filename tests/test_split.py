@@ -52,3 +52,13 @@ def test_split_stable_under_repartition(spark):
     a = {r.trip_id: r.split for r in ChronologicalSplit().fit(df).assign(df).collect()}
     b = {r.trip_id: r.split for r in ChronologicalSplit().fit(df.repartition(7)).assign(df).collect()}
     assert a == b
+
+
+def test_hot_instant_and_null_boundaries(spark):
+    same = dt.datetime(2026, 1, 1, 12)
+    times = [same] * 30 + [None] * 20  # one instant holds most rows; the 80 % cut falls among nulls
+    keys = [(i * 37) % 101 for i in range(50)]
+    df = _frame(spark, times, keys)
+    s = ChronologicalSplit(buckets=4, exact_rows=2).fit(df)
+    got = {r.trip_id: r.split for r in s.assign(df).collect()}
+    assert got == _reference(times, keys)

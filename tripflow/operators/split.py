@@ -62,8 +62,9 @@ class ChronologicalSplit:
     # ----------------------------------------------------------------- fit
     def fit(self, raw: DataFrame) -> "ChronologicalSplit":
         keys = raw.select(F.col(self.ts_col).alias("ts"), F.col(self.key_col).cast("bigint").alias("k")).select(
-            _micros(F.col("ts")).alias("m"), "k"
+            "ts", _micros(F.col("ts")).alias("m"), "k"
         )
+        self._levels = {}
         stats = keys.agg(F.count(F.lit(1)).alias("n"), F.count("m").alias("nn"), F.min("m").alias("lo"),
                          F.max("m").alias("hi"), F.min("k").alias("klo"), F.max("k").alias("khi")).first()
         n, nn = stats["n"], stats["nn"]
@@ -79,17 +80,29 @@ class ChronologicalSplit:
                 self.boundaries.append(self._locate(keys.where(F.col("m").isNotNull()), pos, stats["lo"], stats["hi"], stats))
         return self
 
-    def _narrow(self, frame: DataFrame, value: Column, rank: int, lo: int, hi: int):
-        """One level: count rows per equal-width bucket of ``value`` in [lo, hi]; return the bucket holding ``rank``."""
+    def _narrow(self, frame: DataFrame, value: Column, rank: int, lo: int, hi: int, on_time: bool = False):
+        """One level: count rows per equal-width bucket of ``value`` in [lo, hi]; return the bucket holding ``rank``.
+
+        On the time axis the range is also stated on the raw timestamp, so the parquet scan
+        skips row groups outside it (min/max statistics) at every level after the first.
+        Levels are memoised: both cut positions share the first one.
+        """
         width = max(1, -(-(hi - lo + 1) // self.buckets))
-        counts = (
-            frame.where(value.between(lo, hi))
-            .groupBy(F.floor((value - F.lit(lo)) / F.lit(width)).alias("b"))
-            .agg(F.count(F.lit(1)).alias("c"))
-            .collect()
-        )
+        memo_key = (lo, hi) if on_time else None  # only the time axis always narrows the same frame
+        counts = self._levels.get(memo_key) if memo_key else None
+        if counts is None:
+            cond = value.between(lo, hi)
+            if on_time:
+                cond = F.col("ts").between(_ts_literal(lo), _ts_literal(hi)) & cond
+            counts = sorted(
+                frame.where(cond).groupBy(F.floor((value - F.lit(lo)) / F.lit(width)).alias("b"))
+                .agg(F.count(F.lit(1)).alias("c")).collect(),
+                key=lambda r: r["b"],
+            )
+            if memo_key:
+                self._levels[memo_key] = counts
         seen = 0
-        for row in sorted(counts, key=lambda r: r["b"]):
+        for row in counts:
             if seen + row["c"] > rank:
                 b_lo = lo + row["b"] * width
                 return b_lo, min(hi, b_lo + width - 1), rank - seen, row["c"]
@@ -100,10 +113,11 @@ class ChronologicalSplit:
         m = F.col("m")
         count = stats["nn"]
         while count > self.exact_rows and lo != hi:
-            lo, hi, rank, count = self._narrow(frame, m, rank, lo, hi)
+            lo, hi, rank, count = self._narrow(frame, m, rank, lo, hi, on_time=True)
+        in_range = F.col("ts").between(_ts_literal(lo), _ts_literal(hi)) & m.between(lo, hi)
         if count > self.exact_rows:  # a hot instant: continue on the tie-break key
-            return self._locate_key(frame.where(m == lo), rank, stats["klo"], stats["khi"], lo, count)
-        row = frame.where(m.between(lo, hi)).orderBy("m", "k").offset(rank).limit(1).first()
+            return self._locate_key(frame.where(in_range), rank, stats["klo"], stats["khi"], lo, count)
+        row = frame.where(in_range).orderBy("m", "k").offset(rank).limit(1).first()
         return Boundary(row["m"], row["k"])
 
     def _locate_key(self, frame: DataFrame, rank: int, klo: int, khi: int, ts_micros, count: int) -> Boundary:
