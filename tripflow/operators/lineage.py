@@ -99,3 +99,12 @@ def monitoring_summary(spark: SparkSession, *, current_name: str, current_path:
     schema = ("run_at string, current_name string, current_path string, rows_reference bigint, rows_current bigint, "
               "has_labels boolean, model string, lineage string, metrics string")
     return spark.createDataFrame([tuple(record[k] for k in record)], schema)
+
+
+def file_sha256(spark: SparkSession, path: str) -> str:
+    """sha-256 of one file's bytes, or ``unavailable`` when it does not exist (a file is one task's unit)."""
+    from tripflow.sources.monthly import path_exists
+
+    if not path_exists(spark, path):
+        return "unavailable"
+    return spark.read.format("binaryFile").load(path).select(F.sha2(F.col("content"), 256).alias("h")).first()["h"]

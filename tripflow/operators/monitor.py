@@ -18,6 +18,8 @@ single-partition window. The whole batch is used; sampling (O5) is optional.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,6 +85,74 @@ def missing_share(frame: DataFrame, cols=INPUT_MONITORING_COLUMNS) -> DataFrame:
     )
 
 
+@dataclass
+class MonitoringBatch:
+    input_frame: DataFrame
+    quality_frame: DataFrame | None
+
+
+def load_monitoring_batch(raw: DataFrame, scorer, max_rows: int | None = None, seed: int = 42,
+                          keep=()) -> MonitoringBatch:
+    """Labelled (has dropoff time) or unlabelled batch, chosen from the columns at plan time.
+
+    Labelled: the training preparation (so rows are filtered exactly as in training), then a
+    quality frame with ``duration`` and ``prediction``. Unlabelled: the six serving inputs only.
+    ``max_rows`` optionally applies the seeded exact sample (O5) *before* scoring; by default the
+    whole batch is monitored.
+    """
+    from tripflow.operators.prepare import prepare_training_data, select_model_inputs
+    from tripflow.schema import DROPOFF
+
+    if DROPOFF in raw.columns:
+        if "trip_distance" not in raw.columns:
+            raise ValueError("Labeled monitoring data must contain trip_distance for training-equivalent filtering.")
+        inputs = prepare_training_data(raw, keep=tuple(keep))
+        labelled = True
+    else:
+        inputs = select_model_inputs(raw, keep=tuple(keep))
+        labelled = False
+    if max_rows is not None:
+        inputs = exact_sample(inputs, max_rows, seed)
+    scored = scorer.transform(inputs)
+    extra = (*keep, "duration", "prediction") if labelled else tuple(keep)
+    frame = monitoring_frame(scored, keep=extra)
+    if not labelled:
+        return MonitoringBatch(frame, None)
+    return MonitoringBatch(frame.drop("duration", "prediction"), frame)
+
+
+def column_summary(frame: DataFrame, categorical=CATEGORICAL_MONITORING_COLUMNS,
+                   numeric=tuple(NUMERIC_INPUT_COLUMNS)) -> DataFrame:
+    """D3: per monitored column: role, rows, missing, distinct, top value (+ min/max/mean/std when numeric).
+
+    Categorical figures come from one grouped value count over the stacked frame; numeric
+    figures from one aggregate. Top value: highest count, lowest value on ties.
+    """
+    cat_long = frame.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in categorical])))
+    counts = cat_long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    cat = counts.groupBy("column").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
+        F.count("value").alias("distinct"),
+        F.min_by(F.col("value"), F.struct(-F.col("n"), F.col("value"))).alias("top_value"),
+    ).select("column", F.lit("categorical").alias("role"), "rows", "missing", "distinct", "top_value",
+             *[F.lit(None).cast("double").alias(x) for x in ("min", "max", "mean", "std")])
+    parts = [cat]
+    for c in numeric:
+        v = F.col(c)
+        parts.append(frame.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("missing"),
+            F.count_distinct(v).alias("distinct"),
+            F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+        ).select(F.lit(c).alias("column"), F.lit("numerical").alias("role"), "rows", "missing", "distinct",
+                 F.lit(None).cast("string").alias("top_value"), "min", "max", "mean", "std"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ---------------------------------------------------------------- value counts
 def _stack(frame: DataFrame, cols, side: int, as_double: bool) -> DataFrame:
     cast = "double" if as_double else "string"

@@ -500,3 +500,23 @@ SELECT c.request_id, CAST(c.pos AS INTEGER) AS pos,
        TRY_CAST(c.trip.passenger_count AS DOUBLE) AS passenger_count, TRY_CAST(c.trip.trip_type AS DOUBLE) AS trip_type
 FROM checked c JOIN validated v ON c.request_id = v.request_id AND v.valid"""),
 })
+
+ORACLE.update({
+    "data_summary": with_ctes(*MON_CTES, body=f"""
+, cat AS (
+  UNPIVOT (SELECT {CAT_COLS} FROM mon WHERE split = 'test')
+  ON {CAT_COLS} INTO NAME "column" VALUE value),
+cc AS (SELECT "column", value, count(*) AS n FROM cat GROUP BY "column", value),
+cc_ranked AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS rn FROM cc)
+SELECT "column", 'categorical' AS role, CAST(sum(n) AS BIGINT) AS "rows",
+       CAST(sum(CASE WHEN value IS NULL THEN n ELSE 0 END) AS BIGINT) AS missing,
+       CAST(count(value) AS BIGINT) AS "distinct", max(value) FILTER (WHERE rn = 1) AS top_value,
+       CAST(NULL AS DOUBLE) AS "min", CAST(NULL AS DOUBLE) AS "max", CAST(NULL AS DOUBLE) AS mean,
+       CAST(NULL AS DOUBLE) AS std
+FROM cc_ranked GROUP BY "column"
+UNION ALL
+SELECT 'passenger_count', 'numerical', count(*), count(*) FILTER (WHERE passenger_count IS NULL),
+       count(DISTINCT passenger_count), NULL, round(min(passenger_count), 6), round(max(passenger_count), 6),
+       round(avg(passenger_count), 6), round(stddev_samp(passenger_count), 6)
+FROM mon WHERE split = 'test'"""),
+})

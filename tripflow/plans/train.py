@@ -70,15 +70,22 @@ def feature_importance(model: PipelineModel, top_n: int = TOP_FEATURES) -> DataF
 
 
 def score(model: PipelineModel, df: DataFrame, keep=()) -> DataFrame:
-    """M8: batch scoring of raw inputs; ``keep`` columns pass through next to ``prediction``."""
+    """M8: batch scoring of raw inputs -> ``keep`` columns + ``prediction`` (one narrow pass + broadcast lookups).
+
+    A kept column whose name is also a feature name (``passenger_count``) travels under a
+    temporary name, so raw inputs and features never clash.
+    """
     fm = feature_model(model)
+    features = set(fm.physical_names()) | {FEATURES_VECTOR, "prediction"}
+    carried = {c: (f"__keep_{c}" if c in features else c) for c in dict.fromkeys(keep)}
+    renamed = df.select("*", *[F.col(c).alias(t) for c, t in carried.items() if t != c])
     original = fm.getOrDefault(fm.keepCols)
-    fm._set(keepCols=list(dict.fromkeys([*original, *keep])))
+    fm._set(keepCols=list(dict.fromkeys([*original, *carried.values()])))
     try:
-        out = model.transform(df)
+        out = model.transform(renamed)
     finally:
         fm._set(keepCols=original)
-    return out.drop(FEATURES_VECTOR)
+    return out.select(*[F.col(t).alias(c) for c, t in carried.items()], "prediction")
 
 
 class PipelineScorer:
@@ -88,7 +95,7 @@ class PipelineScorer:
         self.model, self.keep = model, tuple(keep)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        passthrough = [c for c in df.columns if c not in ("prediction",)]
+        passthrough = [c for c in df.columns if c != "prediction"]
         return score(self.model, df, keep=tuple(dict.fromkeys([*self.keep, *passthrough])))
 
 
@@ -150,3 +157,49 @@ def random_search(zones: Dimension, train: DataFrame, validation: DataFrame, n_t
             for n, r, p in results]
     return spark.createDataFrame(rows, "study int, trial int, rmse_val double, max_depth int, min_child_weight int, "
                                        "learning_rate double, n_estimators int")
+
+
+def input_example(df: DataFrame, order_col: str = "lpep_pickup_datetime", n: int = 3) -> DataFrame:
+    """The first ``n`` rows in a stated order (a top-k, not a scan of everything to one task)."""
+    return df.orderBy(order_col).limit(n)
+
+
+def run_training(zones: Dimension, splits: DataFrame, out_path: str, params: dict | None = None,
+                 code_revision: str = "unavailable") -> dict:
+    """M6: train on the train split, evaluate every split, and write the report tables under ``out_path``.
+
+    ``splits``: prepared rows of all splits with ``split``. Tables: metrics (A5), segments of the
+    test split (A6), residual histogram (A16), axis limits (A17), feature importance (O2),
+    lineage tags (D7); plus the fitted pipeline.
+    """
+    from tripflow.operators.evaluate import axis_limits, residual_histogram, segment_metrics
+    from tripflow.operators.lineage import split_fingerprints, training_lineage
+
+    train = splits.where("split = 'train'").drop("split")
+    model, metrics, scored = train_and_evaluate(zones, train, splits, params)
+    test = scored.where("split = 'test'")
+    metrics.write.mode("overwrite").parquet(f"{out_path}/metrics")
+    segment_metrics(test, zones).write.mode("overwrite").parquet(f"{out_path}/segments")
+    residual_histogram(test).write.mode("overwrite").parquet(f"{out_path}/residual_histogram")
+    axis_limits(test).write.mode("overwrite").parquet(f"{out_path}/axis_limits")
+    feature_importance(model).write.mode("overwrite").parquet(f"{out_path}/feature_importance")
+    tags = training_lineage(split_fingerprints(splits), {"train": f"{out_path}#train", "val": f"{out_path}#val"},
+                            code_revision)
+    tags.write.mode("overwrite").parquet(f"{out_path}/lineage")
+    save_pipeline(model, f"{out_path}/model")
+    scored.unpersist()
+    return {r["split"]: {"rmse": r["rmse"], "mae": r["mae"], "rows": r["rows"]}
+            for r in metrics.collect()}
+
+
+def save_pipeline(model: PipelineModel, path: str) -> None:
+    """The feature stage carries small fitted tables and saves itself; the trees use MLlib's writer."""
+    feature_model(model).save(f"{path}/features")
+    model.stages[-1].write().overwrite().save(f"{path}/gbt")
+
+
+def load_pipeline(spark: SparkSession, path: str) -> PipelineModel:
+    from pyspark.ml.regression import GBTRegressionModel
+
+    return PipelineModel(stages=[TripFeaturesModel.load(spark, f"{path}/features"),
+                                 GBTRegressionModel.load(f"{path}/gbt")])

@@ -270,6 +270,15 @@ def q_missing_share(spark, sf_dir):
     return m.select("rows", "missing_cells", round6(F.col("missing_share")).alias("missing_share"))
 
 
+def q_data_summary(spark, sf_dir):
+    """D3: per monitored column of the test split: role, rows, missing, distinct, top value, numeric stats."""
+    from tripflow.operators.monitor import column_summary
+
+    c = column_summary(Inputs(spark, sf_dir).monitoring("test"))
+    return c.select("column", "role", "rows", "missing", "distinct", "top_value",
+                    *[round6(F.col(x)).alias(x) for x in ("min", "max", "mean", "std")])
+
+
 def _drift_out(df):
     return df.select("column", round6(F.col("drift_score")).alias("drift_score"), "drift_detected")
 
@@ -517,6 +526,7 @@ QUERIES = {
     "axis_limits": q_axis_limits,
     "monitoring_frame": q_monitoring_frame,
     "missing_share": q_missing_share,
+    "data_summary": q_data_summary,
     "categorical_drift": q_categorical_drift,
     "numeric_drift": q_numeric_drift,
     "input_report": q_input_report,
