@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tripflow.operators.joins import Dimension
 
 BLOCK_ROWS = 1_000_000
+MAX_BLOCKS = 16_384  # beyond this, blocks grow instead (a block's window sort spills like any sort)
 BLOCK = "__block"
 
 
@@ -50,7 +51,7 @@ def ordered_scan(df: DataFrame, groups: list[str], order: str, running: list[Run
     ``order`` must be unique within a group (callers group by it first).
     """
     n = df.count() if rows is None else rows
-    blocks = max(1, math.ceil(n / (block_rows or BLOCK_ROWS)))
+    blocks = min(MAX_BLOCKS, max(1, math.ceil(n / (block_rows or BLOCK_ROWS))))
     tmp = [f"__v{i}" for i in range(len(running))]
     base = df.select("*", *[r.value.alias(t) for r, t in zip(running, tmp)])
     ranged = base.repartitionByRange(blocks, *[F.col(g) for g in groups], F.col(order))
