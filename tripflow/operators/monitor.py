@@ -35,6 +35,7 @@ from tripflow.schema import (
     MONITOR_MISSING,
     PICKUP,
 )
+from tripflow.session import ensure_checkpoint_dir
 
 # fixed choices of our drift statistics
 DRIFT_THRESHOLD = 0.1
@@ -195,6 +196,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols) -> DataFrame:
 
     W1 = sum over distinct values x_i of |F_ref(x_i) - F_cur(x_i)| * (x_{i+1} - x_i).
     """
+    ensure_checkpoint_dir(reference.sparkSession)
     counts = value_counts(reference, current, cols, as_double=True).checkpoint(eager=True)
     c = _with_totals(counts)
     mean = c.groupBy("column").agg((F.sum(F.col("value") * F.col("n_ref")) / F.first("t_ref")).alias("mu"))

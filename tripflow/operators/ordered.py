@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.operators.joins import Dimension
+from tripflow.session import ensure_checkpoint_dir
 
 BLOCK_ROWS = 1_000_000
 MAX_BLOCKS = 16_384  # beyond this, blocks grow instead (a block's window sort spills like any sort)
@@ -55,6 +56,7 @@ def ordered_scan(df: DataFrame, groups: list[str], order: str, running: list[Run
     tmp = [f"__v{i}" for i in range(len(running))]
     base = df.select("*", *[r.value.alias(t) for r, t in zip(running, tmp)])
     ranged = base.repartitionByRange(blocks, *[F.col(g) for g in groups], F.col(order))
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = ranged.withColumn(BLOCK, F.spark_partition_id()).checkpoint(eager=True)
 
     keys = [*groups, BLOCK]

@@ -37,6 +37,7 @@ from tripflow.schema import (
     FEATURE_MISSING,
     PICKUP,
 )
+from tripflow.session import ensure_checkpoint_dir
 
 BASE_FEATURES = [
     "passenger_count",
@@ -114,6 +115,7 @@ class TripFeatures(Estimator, _FeatureParams):
         label = self.getOrDefault(self.labelCol)
         if label not in dataset.columns:
             raise ValueError(f"the target column {label!r} is required to fit TripFeatures")
+        ensure_checkpoint_dir(dataset.sparkSession)
         summary = fit_summary(dataset).checkpoint(eager=True)
         model = TripFeaturesModel.from_summary(summary, self.zones, self.getOrDefault(self.broadcastMaxRows),
                                                self.getOrDefault(self.keepCols))
