@@ -136,6 +136,7 @@ class TripFeaturesModel(Model, _FeatureParams):
         self.route_rows = 0
         self.pu_rows = 0
         self.do_rows = 0
+        self._tables: dict[str, tuple[DataFrame, int]] | None = None
 
     # ------------------------------------------------------------------ fit
     @classmethod
@@ -195,6 +196,23 @@ class TripFeaturesModel(Model, _FeatureParams):
             f"{side}_Borough", f"{side}_lat", f"{side}_long", f"{side}_zone_frequency",
         )
 
+    def lookup_tables(self) -> dict[str, tuple[DataFrame, int]]:
+        """The three lookup tables, materialised once per model (checkpointed, exact row counts).
+
+        They are small (bounded by the fit summary) and every transform, batch or micro-batch,
+        then only broadcasts them instead of re-deriving them from the summary.
+        """
+        if self._tables is None:
+            ensure_checkpoint_dir(self.summary.sparkSession)
+            route = self.route_frequency_table().select(
+                F.col(PU).alias("__r_pu"), F.col(DO).alias("__r_do"), "route_frequency")
+            tables = {}
+            for name, df in (("PU", self._lookup("PU")), ("DO", self._lookup("DO")), ("route", route)):
+                frozen = df.checkpoint(eager=True)
+                tables[name] = (frozen, frozen.count())
+            self._tables = tables
+        return self._tables
+
     def _side(self, df: DataFrame, rows: int) -> DataFrame:
         return F.broadcast(df) if rows <= self.getOrDefault(self.broadcastMaxRows) else df
 
@@ -223,12 +241,11 @@ class TripFeaturesModel(Model, _FeatureParams):
             trip_type.alias("__trip_type"),
             ts.alias("__ts"),
         )
-        pu_l, do_l = self._lookup("PU"), self._lookup("DO")
-        route = self.route_frequency_table().select(
-            F.col(PU).alias("__r_pu"), F.col(DO).alias("__r_do"), "route_frequency")
-        out = base.join(self._side(pu_l, self.pu_rows + self.zones.rows), F.col("__pu").eqNullSafe(F.col("__PU_lk")), "left")
-        out = out.join(self._side(do_l, self.do_rows + self.zones.rows), F.col("__do").eqNullSafe(F.col("__DO_lk")), "left")
-        out = out.join(self._side(route, self.route_rows),
+        tables = self.lookup_tables()
+        (pu_l, pu_n), (do_l, do_n), (route, route_n) = tables["PU"], tables["DO"], tables["route"]
+        out = base.join(self._side(pu_l, pu_n), F.col("__pu").eqNullSafe(F.col("__PU_lk")), "left")
+        out = out.join(self._side(do_l, do_n), F.col("__do").eqNullSafe(F.col("__DO_lk")), "left")
+        out = out.join(self._side(route, route_n),
                        F.col("__pu").eqNullSafe(F.col("__r_pu")) & F.col("__do").eqNullSafe(F.col("__r_do")), "left")
 
         h, dow = hour(F.col("__ts")), weekday_monday0(F.col("__ts"))

@@ -45,7 +45,7 @@ def gbt_from_params(params: dict, label: str = "duration", seed: int = RANDOM_SE
         maxDepth=int(min(p["max_depth"], 30)), stepSize=float(p["learning_rate"]), maxIter=int(p["n_estimators"]),
         subsamplingRate=float(p["subsample"]), minInstancesPerNode=max(1, int(p["min_child_weight"])),
         featureSubsetStrategy=str(float(p["colsample_bytree"])), minInfoGain=float(p["gamma"]),
-        seed=seed, checkpointInterval=10, cacheNodeIds=False, maxBins=64,
+        seed=seed, checkpointInterval=10, cacheNodeIds=False, maxBins=32,
     )
 
 
@@ -55,6 +55,22 @@ def build_pipeline(zones: Dimension, params: dict | None = None, keep=("duration
     return Pipeline(stages=[features, gbt_from_params(params or {})])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Training input with at least the session's parallelism in partitions.
+
+    Tree learning runs one aggregation job per level over the input partitions; a
+    small landed file arrives as one partition and would use one core. Large inputs
+    already have many partitions and pass through untouched (no shuffle).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def fit_pipeline(zones: Dimension, train: DataFrame, params: dict | None = None) -> PipelineModel:
+    """M5 fit: raw training rows -> fitted pipeline (features learned on these rows only)."""
+    return build_pipeline(zones, params).fit(spread(train))
+
+
 def feature_model(model: PipelineModel) -> TripFeaturesModel:
     return model.stages[0]
 
@@ -110,7 +126,7 @@ def train_and_evaluate(zones: Dimension, train: DataFrame, splits: DataFrame, pa
     (model, split metrics, scored frame); the caller derives segments, histogram,
     importance and lineage from the same persisted scored frame.
     """
-    model = build_pipeline(zones, params).fit(train)
+    model = fit_pipeline(zones, train, params)
     # raw segment keys pass through next to the features (none of them is a feature name)
     keep = ("split", "duration", "lpep_pickup_datetime", "PULocationID", "trip_type")
     scored = score(model, splits, keep=keep).persist()
@@ -145,11 +161,11 @@ def random_search(zones: Dimension, train: DataFrame, validation: DataFrame, n_t
     """
     rng = random.Random(seed)
     trials = [(i, {**sample_params(rng), **(overrides or {})}) for i in range(n_trials)]
-    train_c, val_c = train.persist(), validation.persist()
+    train_c, val_c = spread(train).persist(), validation.persist()
 
     def run(trial):
         number, params = trial
-        model = build_pipeline(zones, params).fit(train_c)
+        model = fit_pipeline(zones, train_c, params)
         e = score(model, val_c, keep=("duration",))
         rmse = e.agg(F.sqrt(F.avg((F.col("duration") - F.col("prediction")) ** 2)).alias("r")).first()["r"]
         return (number, float(rmse), params)

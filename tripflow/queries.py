@@ -436,10 +436,10 @@ QUERY_TREES = 20
 
 
 def _fitted_pipeline(inp: "Inputs"):
-    from tripflow.plans.train import build_pipeline
+    from tripflow.plans.train import fit_pipeline
     from tripflow.schema import CHAMPION_PARAMS
 
-    return build_pipeline(inp.zones, {**CHAMPION_PARAMS, "n_estimators": QUERY_TREES}).fit(inp.prepared("train"))
+    return fit_pipeline(inp.zones, inp.prepared("train"), {**CHAMPION_PARAMS, "n_estimators": QUERY_TREES})
 
 
 def q_gbt_scoring(spark, sf_dir):
