@@ -126,47 +126,64 @@ def column_summary(frame: DataFrame, categorical=CATEGORICAL_MONITORING_COLUMNS,
                    numeric=tuple(NUMERIC_INPUT_COLUMNS)) -> DataFrame:
     """D3: per monitored column: role, rows, missing, distinct, top value (+ min/max/mean/std when numeric).
 
-    Categorical figures come from one grouped value count over the stacked frame; numeric
-    figures from one aggregate. Top value: highest count, lowest value on ties.
+    One stacked value count over the frame (the frame is read once, hot values pre-combined),
+    checkpointed; every figure is an aggregate over that table. Top value: highest count,
+    lowest value on ties. Numeric std is the sample std over non-missing values.
     """
-    cat_long = frame.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in categorical])))
-    counts = cat_long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    cat = counts.groupBy("column").agg(
+    ensure_checkpoint_dir(frame.sparkSession)
+    counts = stacked_counts(frame.limit(0), frame, categorical=categorical, numeric=numeric) \
+        .select("column", "value", "num", F.col("n_cur").alias("n")).checkpoint(eager=True)
+    cat = counts.where(F.col("column").isin(list(categorical))).groupBy("column").agg(
         F.sum("n").alias("rows"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
         F.count("value").alias("distinct"),
         F.min_by(F.col("value"), F.struct(-F.col("n"), F.col("value"))).alias("top_value"),
     ).select("column", F.lit("categorical").alias("role"), "rows", "missing", "distinct", "top_value",
              *[F.lit(None).cast("double").alias(x) for x in ("min", "max", "mean", "std")])
-    parts = [cat]
-    for c in numeric:
-        v = F.col(c)
-        parts.append(frame.agg(
-            F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("missing"),
-            F.count_distinct(v).alias("distinct"),
-            F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        ).select(F.lit(c).alias("column"), F.lit("numerical").alias("role"), "rows", "missing", "distinct",
-                 F.lit(None).cast("string").alias("top_value"), "min", "max", "mean", "std"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    nums = counts.where(F.col("column").isin(list(numeric)))
+    present = F.col("num").isNotNull()
+    first = nums.groupBy("column").agg(
+        F.sum("n").alias("rows"), F.sum(F.when(~present, F.col("n")).otherwise(0)).alias("missing"),
+        F.count("num").alias("distinct"), F.min("num").alias("min"), F.max("num").alias("max"),
+        (F.sum(F.col("num") * F.col("n")) / F.sum(F.when(present, F.col("n")))).alias("mean"))
+    # one row per numeric column: a proven-small broadcast
+    spread = nums.join(F.broadcast(first.select("column", "mean")), "column").groupBy("column").agg(
+        F.sum(F.when(present, F.col("n") * (F.col("num") - F.col("mean")) ** 2)).alias("ss"),
+        F.sum(F.when(present, F.col("n"))).alias("k"))
+    num = first.join(F.broadcast(spread), "column").select(
+        "column", F.lit("numerical").alias("role"), "rows", "missing", "distinct",
+        F.lit(None).cast("string").alias("top_value"), "min", "max", "mean",
+        F.when(F.col("k") > 1, F.sqrt(F.col("ss") / (F.col("k") - 1))).alias("std"))
+    return cat.unionByName(num)
 
 
 # ---------------------------------------------------------------- value counts
-def _stack(frame: DataFrame, cols, side: int, as_double: bool) -> DataFrame:
-    cast = "double" if as_double else "string"
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast(cast).alias("value")) for c in cols]
-    return frame.select(F.inline(F.array(*pairs))).withColumn("side", F.lit(side))
-
-
-def value_counts(reference: DataFrame, current: DataFrame, cols, as_double: bool = False) -> DataFrame:
-    """(column, value, n_ref, n_cur) — both sides aligned in ONE grouped count (a full outer join in effect)."""
-    long = _stack(reference, cols, 0, as_double).unionByName(_stack(current, cols, 1, as_double))
-    if as_double:  # numeric tests ignore missing values
-        long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    return long.groupBy("column", "value").agg(
+NULL_TALLY = "__null_cells__"  # pseudo column: per-row count of missing cells, counted like a value
+
+
+def stacked_counts(reference: DataFrame, current: DataFrame, categorical=(), numeric=(), tally=()) -> DataFrame:
+    """ONE grouped count over both sides: (column, value, num, n_ref, n_cur).
+
+    Categorical columns count their string ``value``; numeric columns their double ``num``
+    (NaN -> null = missing); with ``tally``, the pseudo column ``__null_cells__`` counts rows by
+    how many of those columns are null, so the missing share comes from the same pass. The
+    two sides are aligned by the grouping itself (a full outer join in effect), and map-side
+    partial aggregation absorbs hot values.
+    """
+    def side(frame: DataFrame, s: int) -> DataFrame:
+        none_s, none_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+        items = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), none_d.alias("num"))
+                 for c in categorical]
+        items += [F.struct(F.lit(c).alias("column"), none_s.alias("value"),
+                           F.nanvl(F.col(c).cast("double"), none_d).alias("num")) for c in numeric]
+        if tally:
+            nulls = sum((F.col(c).isNull().cast("int") for c in tally), F.lit(0))
+            items.append(F.struct(F.lit(NULL_TALLY).alias("column"), none_s.alias("value"),
+                                  nulls.cast("double").alias("num")))
+        return frame.select(F.inline(F.array(*items))).withColumn("side", F.lit(s))
+
+    long = side(reference, 0).unionByName(side(current, 1))
+    return long.groupBy("column", "value", "num").agg(
         F.count_if(F.col("side") == 0).alias("n_ref"), F.count_if(F.col("side") == 1).alias("n_cur"))
 
 
@@ -180,25 +197,28 @@ def _detected(score: Column) -> Column:
     return F.coalesce(score >= F.lit(DRIFT_THRESHOLD), F.lit(False)).cast("double")
 
 
-def categorical_drift(reference: DataFrame, current: DataFrame, cols=CATEGORICAL_MONITORING_COLUMNS) -> DataFrame:
-    """(column, drift_score, drift_detected) by Jensen-Shannon distance."""
-    c = _with_totals(value_counts(reference, current, cols))
+def _scored(df: DataFrame) -> DataFrame:
+    return df.select("column", "drift_score", _detected(F.col("drift_score")).alias("drift_detected"))
+
+
+def js_from_counts(counts: DataFrame) -> DataFrame:
+    """D4 over categorical count rows: Jensen-Shannon distance per column."""
+    c = _with_totals(counts)
     p = F.col("n_ref") / F.col("t_ref")
     q = F.col("n_cur") / F.col("t_cur")
     m = (p + q) / 2.0
     term = F.when(p > 0, p * F.ln(p / m)).otherwise(0.0) + F.when(q > 0, q * F.ln(q / m)).otherwise(0.0)
-    js = c.groupBy("column").agg(F.sqrt(F.greatest(F.sum(term) / 2.0, F.lit(0.0))).alias("drift_score"))
-    return js.select("column", "drift_score", _detected(F.col("drift_score")).alias("drift_detected"))
+    return _scored(c.groupBy("column").agg(F.sqrt(F.greatest(F.sum(term) / 2.0, F.lit(0.0))).alias("drift_score")))
 
 
-def numeric_drift(reference: DataFrame, current: DataFrame, cols) -> DataFrame:
-    """(column, drift_score, drift_detected) by Wasserstein distance / max(std_ref, 0.001).
+def wasserstein_from_counts(counts: DataFrame) -> DataFrame:
+    """D5 over numeric count rows: W1 / max(std_ref, 0.001) per column; missing values are ignored.
 
-    W1 = sum over distinct values x_i of |F_ref(x_i) - F_cur(x_i)| * (x_{i+1} - x_i).
+    W1 = sum over distinct values x_i of |F_ref(x_i) - F_cur(x_i)| * (x_{i+1} - x_i), the running
+    shares coming from a blocked ordered scan.
     """
-    ensure_checkpoint_dir(reference.sparkSession)
-    counts = value_counts(reference, current, cols, as_double=True).checkpoint(eager=True)
-    c = _with_totals(counts)
+    c = _with_totals(counts.where(F.col("num").isNotNull()).select(
+        "column", F.col("num").alias("value"), "n_ref", "n_cur"))
     mean = c.groupBy("column").agg((F.sum(F.col("value") * F.col("n_ref")) / F.first("t_ref")).alias("mu"))
     std = (
         c.join(F.broadcast(mean), "column")
@@ -216,19 +236,43 @@ def numeric_drift(reference: DataFrame, current: DataFrame, cols) -> DataFrame:
     out = w1.join(F.broadcast(std), "column").select(
         "column", (F.col("wasserstein") / F.greatest(F.coalesce(F.col("std_ref"), F.lit(0.0)), F.lit(MIN_NORM_STD)))
         .alias("drift_score"))
-    return out.select("column", "drift_score", _detected(F.col("drift_score")).alias("drift_detected"))
+    return _scored(out)
+
+
+def categorical_drift(reference: DataFrame, current: DataFrame, cols=CATEGORICAL_MONITORING_COLUMNS) -> DataFrame:
+    """(column, drift_score, drift_detected) by Jensen-Shannon distance (each frame read once)."""
+    ensure_checkpoint_dir(reference.sparkSession)
+    return js_from_counts(stacked_counts(reference, current, categorical=cols).checkpoint(eager=True))
+
+
+def numeric_drift(reference: DataFrame, current: DataFrame, cols) -> DataFrame:
+    """(column, drift_score, drift_detected) by normalised Wasserstein distance."""
+    ensure_checkpoint_dir(reference.sparkSession)
+    counts = stacked_counts(reference, current, numeric=cols).checkpoint(eager=True)
+    return wasserstein_from_counts(counts)
 
 
 # ---------------------------------------------------------------- reports
 def input_report(reference: DataFrame, current: DataFrame, drift_warning_share: float = DRIFT_WARNING_SHARE) -> DataFrame:
-    """D1 (+A9, A10, A11): one row of input metrics, names as in the reference's metric dictionary."""
-    cat = categorical_drift(reference, current)
-    num = numeric_drift(reference, current, NUMERIC_INPUT_COLUMNS)
+    """D1 (+A9, A10, A11): one row of input metrics, names as in the reference's metric dictionary.
+
+    Each frame is read ONCE: one stacked count (categorical values, numeric values and the
+    per-row null tally) is checkpointed, and every metric is an aggregate over that small table.
+    """
+    ensure_checkpoint_dir(reference.sparkSession)
+    counts = stacked_counts(reference, current, categorical=CATEGORICAL_MONITORING_COLUMNS,
+                            numeric=NUMERIC_INPUT_COLUMNS, tally=INPUT_MONITORING_COLUMNS).checkpoint(eager=True)
+    cat = js_from_counts(counts.where(F.col("column").isin(CATEGORICAL_MONITORING_COLUMNS)))
+    num = wasserstein_from_counts(counts.where(F.col("column").isin(NUMERIC_INPUT_COLUMNS)))
     per_col = cat.unionByName(num)
     n_cols = len(DRIFT_MONITORING_COLUMNS)
     flags = per_col.groupBy().pivot("column", DRIFT_MONITORING_COLUMNS).agg(F.first("drift_detected"))
     summary = per_col.agg(F.sum("drift_detected").alias("input_drifted_columns_count"))
-    miss = missing_share(current).select(F.col("missing_share").alias("input_missing_value_share"))
+    cells = F.lit(float(len(INPUT_MONITORING_COLUMNS)))
+    miss = counts.where(F.col("column") == NULL_TALLY).agg(
+        F.sum(F.col("num") * F.col("n_cur")).alias("missing"), F.sum("n_cur").alias("rows")).select(
+        F.when(F.col("rows") > 0, F.col("missing") / (F.col("rows") * cells)).otherwise(F.lit(0.0))
+        .alias("input_missing_value_share"))
     # three one-row frames: combine by a constant key (a 1x1 equi-join, broadcast)
     k = F.lit(1).alias("__k")
     out = (

@@ -55,7 +55,7 @@ def latency_profile(log: DataFrame) -> DataFrame:
         (F.timestamp_diff("MICROSECOND", F.min("started_at"), F.max("ended_at")) / F.lit(1e6)).alias("elapsed_s"),
     )
     pct = exact_percentiles(log, keys, "latency_s")
-    out = case.join(pct, keys, "left")
+    out = case.join(Dimension(pct).side(), keys, "left")  # one row per case; broadcast after a size check
     return out.select(
         *keys, "request_count", "success_rate",
         F.when(F.col("elapsed_s") > 0, F.col("request_count") / F.col("elapsed_s")).alias("requests_per_second"),
