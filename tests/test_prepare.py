@@ -66,3 +66,17 @@ def test_haversine_is_positive_and_plausible(spark):
 
     d = spark.range(1).select(haversine_miles(F.lit(40.75), F.lit(-73.99), F.lit(40.65), F.lit(-73.95)).alias("d")).first().d
     assert 6.5 < d < 7.5
+
+
+def test_wall_clock_survives_a_dst_session_zone(spark):
+    """Pickup truncation, formatting and durations use wall-clock fields, whatever the session zone."""
+    from tripflow.functions.timefeat import format_second
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = [(1, ts("2024-03-10 02:30:15"), ts("2024-03-10 03:10:15"), 1, 2, 1.0, 2.0, 1.0, 1.0)]
+        out = prepare_training_data(spark.createDataFrame(rows, RAW_SCHEMA))
+        r = out.select(format_second(F.col("lpep_pickup_datetime")).alias("p"), "duration").first()
+        assert (r.p, r.duration) == ("2024-03-10 02:30:15", 40.0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

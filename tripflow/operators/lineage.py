@@ -14,9 +14,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions.timefeat import format_second
 from tripflow.schema import LINEAGE_REQUIRED_TAGS, PICKUP
 
-SECOND = "yyyy-MM-dd HH:mm:ss"
 SPLIT_STRATEGY = "chronological_60_20_20"
 
 
@@ -34,8 +34,8 @@ def split_fingerprints(frame: DataFrame, split_col: str = "split", ts_col: str =
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_sum"),
         F.bit_xor(h).alias("hash_xor"),
-        F.date_format(F.min(ts_col), SECOND).alias("start"),
-        F.date_format(F.max(ts_col), SECOND).alias("end"),
+        format_second(F.min(ts_col)).alias("start"),
+        format_second(F.max(ts_col)).alias("end"),
     )
     return agg.select("dataset", "n_rows", "start", "end", fingerprint_column().alias("fingerprint"))
 

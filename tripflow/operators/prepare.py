@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.functions.timefeat import as_timestamp, to_second
+from tripflow.functions.timefeat import as_timestamp, to_second, wall_diff_micros
 from tripflow.schema import (
     DROPOFF,
     MAX_DURATION_MINUTES,
@@ -27,8 +27,8 @@ def require_columns(df: DataFrame, required, what: str = "Training data is missi
 
 
 def duration_minutes(pickup, dropoff):
-    """Wall-clock difference in minutes (NTZ, so DST never shifts it)."""
-    return F.timestamp_diff("MICROSECOND", pickup, dropoff) / F.lit(1e6) / F.lit(60.0)
+    """Wall-clock difference in minutes, from the fields (no session zone, so DST never shifts it)."""
+    return wall_diff_micros(pickup, dropoff).cast("double") / F.lit(1e6) / F.lit(60.0)
 
 
 def clean_trip_filter(df: DataFrame, duration_col: str = "duration"):

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.functions.timefeat import wall_diff_micros
 from tripflow.operators.joins import Dimension
 from tripflow.operators.ordered import Running, ordered_scan
 
@@ -52,7 +53,7 @@ def latency_profile(log: DataFrame) -> DataFrame:
     case = log.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("request_count"),
         F.avg((F.col("status") == 200).cast("double")).alias("success_rate"),
-        (F.timestamp_diff("MICROSECOND", F.min("started_at"), F.max("ended_at")) / F.lit(1e6)).alias("elapsed_s"),
+        (wall_diff_micros(F.min("started_at"), F.max("ended_at")) / F.lit(1e6)).alias("elapsed_s"),
     )
     pct = exact_percentiles(log, keys, "latency_s")
     out = case.join(Dimension(pct).side(), keys, "left")  # one row per case; broadcast after a size check

@@ -22,9 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripflow.functions.timefeat import ntz_micros
 from tripflow.schema import PICKUP, SPLIT_NAMES, TRAIN_FRACTION, VALIDATION_END_FRACTION
 
-EPOCH = "1970-01-01 00:00:00"
 
 
 @dataclass(frozen=True)
@@ -36,7 +36,7 @@ class Boundary:
 
 
 def _micros(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast(T.TimestampNTZType()), ts)
+    return ntz_micros(ts)
 
 
 def _ts_literal(micros: int) -> Column:

@@ -12,7 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.columns import round6
-from tripflow.functions.timefeat import cyclical, format_second, hour, is_rush_hour, is_weekend, weekday_monday0
+from tripflow.functions.timefeat import (
+    cyclical,
+    format_micros,
+    format_second,
+    hour,
+    is_rush_hour,
+    is_weekend,
+    weekday_monday0,
+)
 from tripflow.operators.evaluate import segment_metrics
 from tripflow.operators.joins import Dimension, checked_zones, enrich_zones
 from tripflow.operators.prepare import prepare_training_data
@@ -22,7 +30,6 @@ from tripflow.schema import PICKUP
 from tripflow.sources import adapter
 from tripflow.sources.adapter import TRIP_KEY
 
-MICRO_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 class Inputs:
@@ -104,8 +111,8 @@ def q_split_report(spark, sf_dir):
     agg = raw.groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(clean).alias("clean_rows"),
-        F.date_format(F.min(PICKUP), MICRO_FORMAT).alias("start"),
-        F.date_format(F.max(PICKUP), MICRO_FORMAT).alias("end"),
+        format_micros(F.min(PICKUP)).alias("start"),
+        format_micros(F.max(PICKUP)).alias("end"),
     )
     return agg.select("split", "rows", "clean_rows", round6(F.col("rows") * 100.0 / F.lit(inp.splitter.n_rows)).alias("share_pct"),
                       "start", "end")

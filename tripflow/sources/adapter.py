@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions.timefeat import format_ntz, format_second
 from tripflow.schema import DROPOFF, PICKUP
 from tripflow.sources.tables import read_table
 
@@ -126,9 +127,9 @@ def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = trips_from_events(read_table(spark, sf_dir, "events"))
     eid = F.col(TRIP_KEY)
     ts = F.col(PICKUP)
-    pickup = (F.when(eid % 97 == 0, F.date_format(ts, "dd/MM/yyyy"))
-              .when(eid % 89 == 0, F.date_format(ts, "y-M-d H:m:s"))
-              .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss")))
+    pickup = (F.when(eid % 97 == 0, format_ntz(ts, "%3$02d/%2$02d/%1$04d"))
+              .when(eid % 89 == 0, format_ntz(ts, "%d-%d-%d %d:%d:%d"))
+              .otherwise(format_second(ts)))
     vendor = (F.when(eid % 101 == 0, F.lit("1.5"))
               .when(eid % 13 == 0, F.concat(F.lit('"'), F.col("VendorID").cast("string"), F.lit('"')))
               .otherwise(F.col("VendorID").cast("string")))

@@ -72,5 +72,6 @@ def month_grid(base: str, years, months) -> dict[str, str]:
 
 def write_raw(df: DataFrame, path: str) -> None:
     """The merged raw table, partitioned by pickup month so period filters prune files."""
-    df.withColumn("pickup_month", F.date_format(F.col(PICKUP), "yyyy-MM")).write.mode("overwrite") \
+    month = F.format_string("%04d-%02d", F.year(PICKUP), F.month(PICKUP))  # wall-clock fields, no zone
+    df.withColumn("pickup_month", month).write.mode("overwrite") \
         .partitionBy("pickup_month").parquet(path)
