@@ -159,6 +159,7 @@ def column_summary(frame: DataFrame, categorical=CATEGORICAL_MONITORING_COLUMNS,
 
 # ---------------------------------------------------------------- value counts
 NULL_TALLY = "__null_cells__"  # pseudo column: per-row count of missing cells, counted like a value
+ABS_ERROR = "__abs_error"      # pseudo column: |duration - prediction|, counted like a value
 
 
 def stacked_counts(reference: DataFrame, current: DataFrame, categorical=(), numeric=(), tally=()) -> DataFrame:
@@ -290,25 +291,33 @@ def input_report(reference: DataFrame, current: DataFrame, drift_warning_share:
     )
 
 
-def error_summary(frame: DataFrame) -> DataFrame:
-    e = residual()
-    return frame.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), F.avg(e).alias("mean_error"))
-
-
 def quality_report(reference: DataFrame, current: DataFrame) -> DataFrame:
     """D2 (+A12-A14): one row of quality metrics for a labelled current batch.
 
     Checks (ours, named; a check fails when its status is not SUCCESS): current
     rmse and mae within 10 % of the reference batch's, no drift of ``duration``
     and of ``prediction``.
+
+    Each frame is read (and scored) once: the absolute error joins duration and prediction
+    in one stacked value count, checkpointed; rmse and mae are sums over that table.
     """
-    drift = numeric_drift(reference, current, ["duration", "prediction"])
+    ensure_checkpoint_dir(reference.sparkSession)
+    err = F.abs(residual())
+    counts = stacked_counts(reference.withColumn(ABS_ERROR, err), current.withColumn(ABS_ERROR, err),
+                            numeric=["duration", "prediction", ABS_ERROR]).checkpoint(eager=True)
+    drift = wasserstein_from_counts(counts.where(F.col("column").isin("duration", "prediction")))
     scores = drift.groupBy().pivot("column", ["duration", "prediction"]).agg(
         F.first("drift_score").alias("s"), F.first("drift_detected").alias("d"))
-    cur = error_summary(current)
-    ref = error_summary(reference).select(*[F.col(c).alias(f"ref_{c}") for c in ("rmse", "mae", "mean_error")])
+    a = counts.where((F.col("column") == ABS_ERROR) & F.col("num").isNotNull())
+    v = F.col("num")
+    errors = a.agg(
+        F.sqrt(F.sum(v * v * F.col("n_cur")) / F.sum("n_cur")).alias("rmse"),
+        (F.sum(v * F.col("n_cur")) / F.sum("n_cur")).alias("mae"),
+        F.sqrt(F.sum(v * v * F.col("n_ref")) / F.sum("n_ref")).alias("ref_rmse"),
+        (F.sum(v * F.col("n_ref")) / F.sum("n_ref")).alias("ref_mae"),
+    )
     k = F.lit(1).alias("__k")
-    row = cur.select(k, "*").join(F.broadcast(ref.select(k, "*")), "__k").join(F.broadcast(scores.select(k, "*")), "__k")
+    row = errors.select(k, "*").join(F.broadcast(scores.select(k, "*")), "__k")
 
     def within(a: str, b: str) -> Column:
         return F.abs(F.col(a) - F.col(b)) <= F.lit(QUALITY_TOLERANCE) * F.abs(F.col(b))
