@@ -197,7 +197,7 @@ class TripFeaturesModel(Model, _FeatureParams):
         )
 
     def lookup_tables(self) -> dict[str, tuple[DataFrame, int]]:
-        """The three lookup tables, materialised once per model (checkpointed, exact row counts).
+        """The three lookup tables, materialised once per model (checkpointed) with proven row bounds.
 
         They are small (bounded by the fit summary) and every transform, batch or micro-batch,
         then only broadcasts them instead of re-deriving them from the summary.
@@ -206,11 +206,12 @@ class TripFeaturesModel(Model, _FeatureParams):
             ensure_checkpoint_dir(self.summary.sparkSession)
             route = self.route_frequency_table().select(
                 F.col(PU).alias("__r_pu"), F.col(DO).alias("__r_do"), "route_frequency")
-            tables = {}
-            for name, df in (("PU", self._lookup("PU")), ("DO", self._lookup("DO")), ("route", route)):
-                frozen = df.checkpoint(eager=True)
-                tables[name] = (frozen, frozen.count())
-            self._tables = tables
+            # row bounds known from the fit (no extra job): a zone side holds at most zones + seen keys,
+            # the route table at most the fit-summary rows
+            bounds = {"PU": self.pu_rows + self.zones.rows, "DO": self.do_rows + self.zones.rows,
+                      "route": self.route_rows}
+            self._tables = {name: (df.checkpoint(eager=True), bounds[name])
+                            for name, df in (("PU", self._lookup("PU")), ("DO", self._lookup("DO")), ("route", route))}
         return self._tables
 
     def _side(self, df: DataFrame, rows: int) -> DataFrame:
