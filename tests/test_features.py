@@ -80,3 +80,21 @@ def test_train_only_fit(spark, zones, labelled):
     a = TripFeatures(zones=zones).fit(train)
     b = TripFeatures(zones=zones).fit(train.repartition(3))
     assert (a.median_distance, a.trip_type_fallback, a.categories) == (b.median_distance, b.trip_type_fallback, b.categories)
+
+
+def test_mode_tie_takes_lowest_and_all_null_falls_back(spark, zones, labelled):
+    tie = labelled.withColumn("trip_type", F.when(F.col("VendorID") == 1, 2.0).otherwise(1.0))  # 3 vs 3
+    assert TripFeatures(zones=zones).fit(prepare_training_data(tie)).trip_type_fallback == 1.0
+    none = labelled.withColumn("trip_type", F.lit(None).cast("double"))
+    m = TripFeatures(zones=zones).fit(prepare_training_data(none))
+    assert m.trip_type_fallback == 1.0 and m.categories["trip_type"] == ["__missing__"]
+
+
+def test_unknown_zones_give_zero_same_borough(spark, fitted):
+    m, _ = fitted
+    row = spark.createDataFrame([(1, ts("2026-02-04 12:00:00"), 98, 97, 1.0, 1.0)],  # zones never seen
+                                "VendorID bigint, lpep_pickup_datetime timestamp_ntz, PULocationID bigint, "
+                                "DOLocationID bigint, passenger_count double, trip_type double")
+    r = m.transform(row).first().asDict()
+    assert r["same_borough"] == 0 and r["estimated_distance_miles"] == m.median_distance
+    assert r["PU_zone_frequency"] == 0.0 and r["DO_zone_frequency"] == 0.0

@@ -41,11 +41,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; create a scratch one only if none is configured."""
+    """Return the session's checkpoint folder; create a scratch one only in local mode when none is configured."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is useless to other executors: a cluster must name a shared one
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/...)")
         configured = tempfile.mkdtemp(prefix="tripflow-ckpt-", dir=os.environ.get("TRIPFLOW_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     if not spark.sparkContext.getCheckpointDir():
