@@ -6,7 +6,8 @@ rows ``[0, n*6//10)`` are train, ``[n*6//10, n*8//10)`` validation, the rest tes
 Plan: the row at a cut position is located by narrowing equal-width pickup
 buckets (one small grouped count per level; a level's bucket table has at most
 ``buckets`` rows), then by tie-break key ranges if a single instant holds too
-many rows, and finally by a bounded top-k over at most ``exact_rows`` rows. The
+many rows, and finally by a bounded top-k over at most ``exact_rows`` rows (the only
+rows that reach the driver: at most 20,000 (pickup, key) pairs). The
 result is a pair of boundary keys; each split is then a plain comparison
 predicate on (pickup, key) that Catalyst pushes into the parquet scan. No row
 ever moves through the driver, and a hot hour (or a hot instant) only costs one
@@ -50,7 +51,7 @@ def _cut_positions(n: int, fractions) -> list[int]:
 
 class ChronologicalSplit:
     def __init__(self, ts_col: str = PICKUP, key_col: str = "trip_id", buckets: int = 1024,
-                 exact_rows: int = 200_000, fractions=(TRAIN_FRACTION, VALIDATION_END_FRACTION)):
+                 exact_rows: int = 20_000, fractions=(TRAIN_FRACTION, VALIDATION_END_FRACTION)):
         self.ts_col = ts_col
         self.key_col = key_col
         self.buckets = buckets
