@@ -23,6 +23,7 @@ from __future__ import annotations
 import random
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -67,8 +68,17 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def fit_pipeline(zones: Dimension, train: DataFrame, params: dict | None = None) -> PipelineModel:
-    """M5 fit: raw training rows -> fitted pipeline (features learned on these rows only)."""
-    return build_pipeline(zones, params).fit(spread(train))
+    """M5 fit: raw training rows -> fitted pipeline (features learned on these rows only).
+
+    The input is cached for the fit: the feature statistics and the tree learner's
+    metadata, split-candidate and binning passes all read it (a lost block is recomputed
+    from lineage).
+    """
+    data = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return build_pipeline(zones, params).fit(data)
+    finally:
+        data.unpersist()
 
 
 def feature_model(model: PipelineModel) -> TripFeaturesModel:
