@@ -2,7 +2,6 @@ import json
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from tripflow.plans.scorers import ConstantScorer
 from tripflow.plans.scoring import parse_requests, score_requests, validate_requests

@@ -3,7 +3,6 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import RAW_SCHEMA
 from tripflow.functions.columns import signature_cast
 from tripflow.session import scratch_path
 from tripflow.sources.monthly import month_grid, read_periods, write_raw

@@ -31,7 +31,6 @@ from tripflow.sources import adapter
 from tripflow.sources.adapter import TRIP_KEY
 
 
-
 class Inputs:
     """Lazily built inputs of one (session, sf_dir) pair."""
 
