@@ -30,3 +30,30 @@ def test_split_predicate_and_pruning_reach_the_scan(spark):
     assert scan, plan
     assert "GreaterThanOrEqual(ts" in scan[0] or "GreaterThan(ts" in scan[0]
     assert "event_type" not in scan[0].split("ReadSchema")[-1]  # unused column is pruned
+
+
+def _executed(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["zone_enriched", "feature_matrix", "segment_metrics"])
+def test_dimension_lookups_are_broadcast(spark, name):
+    plan = _executed(entry.queries()[name](spark, SF))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, plan
+
+
+@pytest.mark.parametrize("name", ["segment_metrics", "split_report", "split_metrics", "lineage_coverage"])
+def test_big_aggregations_combine_map_side(spark, name):
+    """A hot key is pre-aggregated in every task: a partial aggregate sits below each shuffle of the big table."""
+    plan = _executed(entry.queries()[name](spark, SF))
+    assert "partial_" in plan, plan
+
+
+def test_fit_summary_is_one_partial_aggregate(spark):
+    from tripflow.plans.features import fit_summary
+    from tripflow.queries import Inputs
+
+    df = fit_summary(Inputs(spark, SF).prepared("train"))
+    plan = _executed(df)
+    assert plan.count("partial_count") == 1 and "Window" not in plan
