@@ -3,15 +3,17 @@
 Semantics: order all raw rows by (pickup ascending, nulls last; tie-break key),
 rows ``[0, n*6//10)`` are train, ``[n*6//10, n*8//10)`` validation, the rest test.
 
-Plan: the row at a cut position is located by narrowing equal-width pickup
-buckets (one small grouped count per level; a level's bucket table has at most
-``buckets`` rows), then by tie-break key ranges if a single instant holds too
-many rows, and finally by a bounded top-k over at most ``exact_rows`` rows (the only
-rows that reach the driver: at most 20,000 (pickup, key) pairs). The
+Plan: one grouped count per pickup hour gives the row total, the null count and
+each hour's time and key range (the driver gets one small row per hour that has
+data). The hour holding a cut is narrowed by equal-width buckets while it holds
+more than ``exact_rows`` rows (one small grouped count per level, its range also
+stated on the raw timestamp so parquet skips row groups), then by tie-break key
+ranges if a single instant holds too many rows. Finally all cuts are resolved in
+ONE scan: the rows of each cut's final range are numbered within that cut (a
+window partitioned by cut, each partition at most ``exact_rows`` rows) and the
+row at the cut's rank is the boundary; only those rows reach the driver. The
 result is a pair of boundary keys; each split is then a plain comparison
-predicate on (pickup, key) that Catalyst pushes into the parquet scan. No row
-ever moves through the driver, and a hot hour (or a hot instant) only costs one
-more level of bucketing.
+predicate on (pickup, key) that Catalyst pushes into the parquet scan.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +29,6 @@ from tripflow.functions.timefeat import ntz_micros
 from tripflow.schema import PICKUP, SPLIT_NAMES, TRAIN_FRACTION, VALIDATION_END_FRACTION
 
 
-
 @dataclass(frozen=True)
 class Boundary:
     """First row of a split in (pickup, key) order. ``ts_micros is None`` means the row has a null pickup."""
@@ -45,6 +46,9 @@ def _ts_literal(micros: int) -> Column:
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(T.TimestampNTZType())
 
 
+HOUR_MICROS = 3_600_000_000
+
+
 def _cut_positions(n: int, fractions) -> list[int]:
     return [n * num // den for num, den in fractions]
 
@@ -66,21 +70,61 @@ class ChronologicalSplit:
             "ts", _micros(F.col("ts")).alias("m"), "k"
         )
         self._levels = {}
-        stats = keys.agg(F.count(F.lit(1)).alias("n"), F.count("m").alias("nn"), F.min("m").alias("lo"),
-                         F.max("m").alias("hi"), F.min("k").alias("klo"), F.max("k").alias("khi")).first()
-        n, nn = stats["n"], stats["nn"]
+        m = F.col("m")
+        # job 1: rows, key range and time range per pickup hour (null pickups form their own group);
+        # one row per hour that has data, so the driver gets a small table
+        hours = keys.groupBy(F.floor(m / F.lit(HOUR_MICROS)).alias("b")).agg(
+            F.count(F.lit(1)).alias("c"), F.min("m").alias("lo"), F.max("m").alias("hi"),
+            F.min("k").alias("klo"), F.max("k").alias("khi")).collect()
+        nulls = next((r for r in hours if r["b"] is None), None)
+        timed = sorted((r for r in hours if r["b"] is not None), key=lambda r: r["b"])
+        nn = sum(r["c"] for r in timed)
+        n = nn + (nulls["c"] if nulls else 0)
         self.n_rows = n
-        self.boundaries = []
-        for pos in _cut_positions(n, self.fractions):
+        cuts = _cut_positions(n, self.fractions)
+        self.boundaries = [None] * len(cuts)
+        nonnull = keys.where(m.isNotNull())
+        exact = []  # (cut index, lo, hi, rank): resolved together below
+        for i, pos in enumerate(cuts):
             if pos >= n:
-                self.boundaries.append(None)
-            elif pos >= nn:  # boundary among null pickups, ordered by key
-                self.boundaries.append(
-                    self._locate_key(keys.where(F.col("m").isNull()), pos - nn, stats["klo"], stats["khi"], None, n - nn))
+                continue
+            if pos >= nn:  # boundary among null pickups, ordered by key
+                self.boundaries[i] = self._locate_key(keys.where(m.isNull()), pos - nn, nulls["klo"], nulls["khi"],
+                                                      None, n - nn)
+                continue
+            seen = 0
+            for hour in timed:
+                if seen + hour["c"] > pos:
+                    break
+                seen += hour["c"]
+            rank, lo, hi, count = pos - seen, hour["lo"], hour["hi"], hour["c"]
+            while count > self.exact_rows and lo != hi:
+                lo, hi, rank, count = self._narrow(nonnull, m, rank, lo, hi, on_time=True)
+            if count > self.exact_rows:  # a hot instant: continue on the tie-break key
+                self.boundaries[i] = self._locate_key(nonnull.where(self._in_time(lo, lo)), rank, hour["klo"],
+                                                      hour["khi"], lo, count)
             else:
-                self.boundaries.append(self._locate(keys.where(F.col("m").isNotNull()), pos, stats["lo"], stats["hi"], stats))
+                exact.append((i, lo, hi, rank))
+        if exact:
+            self._resolve_exact(nonnull, exact)
         return self
 
+    def _in_time(self, lo: int, hi: int) -> Column:
+        """[lo, hi] on the micros column, also stated on the raw timestamp so the scan can skip row groups."""
+        return F.col("ts").between(_ts_literal(lo), _ts_literal(hi)) & F.col("m").between(lo, hi)
+
+    def _resolve_exact(self, frame: DataFrame, exact) -> None:
+        """All remaining cuts in ONE scan: rows of each cut's final range (at most ``exact_rows`` each) are
+        numbered in (pickup, key) order within that cut, and the row at the cut's rank is its boundary."""
+        tags = F.array(*[F.when(self._in_time(lo, hi), F.lit(i)) for i, lo, hi, _ in exact])
+        ranks = F.create_map(*[x for i, _, _, r in exact for x in (F.lit(i), F.lit(r))])
+        wanted = F.reduce(F.array(*[self._in_time(lo, hi) for _, lo, hi, _ in exact]), F.lit(False),
+                          lambda acc, x: acc | x)
+        tagged = frame.where(wanted).select("m", "k", F.explode(tags).alias("cut")).where(F.col("cut").isNotNull())
+        numbered = tagged.withColumn("rn", F.row_number().over(Window.partitionBy("cut").orderBy("m", "k")))
+        for row in numbered.where(F.col("rn") == ranks[F.col("cut")] + 1).select("cut", "m", "k").collect():
+            self.boundaries[row["cut"]] = Boundary(row["m"], row["k"])
+
     def _narrow(self, frame: DataFrame, value: Column, rank: int, lo: int, hi: int, on_time: bool = False):
         """One level: count rows per equal-width bucket of ``value`` in [lo, hi]; return the bucket holding ``rank``.
 
@@ -110,17 +154,6 @@ class ChronologicalSplit:
             seen += row["c"]
         raise RuntimeError("split boundary not found; input changed during fit")
 
-    def _locate(self, frame: DataFrame, rank: int, lo: int, hi: int, stats) -> Boundary:
-        m = F.col("m")
-        count = stats["nn"]
-        while count > self.exact_rows and lo != hi:
-            lo, hi, rank, count = self._narrow(frame, m, rank, lo, hi, on_time=True)
-        in_range = F.col("ts").between(_ts_literal(lo), _ts_literal(hi)) & m.between(lo, hi)
-        if count > self.exact_rows:  # a hot instant: continue on the tie-break key
-            return self._locate_key(frame.where(in_range), rank, stats["klo"], stats["khi"], lo, count)
-        row = frame.where(in_range).orderBy("m", "k").offset(rank).limit(1).first()
-        return Boundary(row["m"], row["k"])
-
     def _locate_key(self, frame: DataFrame, rank: int, klo: int, khi: int, ts_micros, count: int) -> Boundary:
         k = F.col("k")
         while count > self.exact_rows and klo != khi:
