@@ -50,7 +50,8 @@ HOUR_MICROS = 3_600_000_000
 
 
 def _cut_positions(n: int, fractions) -> list[int]:
-    return [n * num // den for num, den in fractions]
+    """Cut positions as the reference computes them: int(n * fraction) in double precision."""
+    return [int(n * float(f)) for f in fractions]
 
 
 class ChronologicalSplit:

@@ -32,7 +32,9 @@ SPLIT = """ranked AS (
   FROM raw_trips),
 split_trips AS (
   SELECT * EXCLUDE (rn, n_all),
-         CASE WHEN rn < n_all * 6 // 10 THEN 'train' WHEN rn < n_all * 8 // 10 THEN 'val' ELSE 'test' END AS split
+         CASE WHEN rn < CAST(floor(CAST(n_all AS DOUBLE) * CAST(0.6 AS DOUBLE)) AS BIGINT) THEN 'train'
+              WHEN rn < CAST(floor(CAST(n_all AS DOUBLE) * CAST(0.8 AS DOUBLE)) AS BIGINT) THEN 'val'
+              ELSE 'test' END AS split
   FROM ranked)"""
 
 PREPARED = """with_duration AS (

@@ -43,9 +43,10 @@ LEAKAGE_AND_PAYMENT_COLUMNS = [
 MAX_TRIP_DISTANCE = 100.0
 MAX_DURATION_MINUTES = 300.0
 
-# chronological split fractions: train [0, 0.6), validation [0.6, 0.8), test [0.8, 1]
-TRAIN_FRACTION = (6, 10)
-VALIDATION_END_FRACTION = (8, 10)
+# chronological split fractions: train [0, 0.6), validation [0.6, 0.8), test [0.8, 1];
+# a cut is int(n * fraction) in double precision (for very large n this can be one below n*6//10)
+TRAIN_FRACTION = 0.6
+VALIDATION_END_FRACTION = 0.8
 SPLIT_NAMES = ("train", "val", "test")
 
 EARTH_RADIUS_MILES = 3958.8
