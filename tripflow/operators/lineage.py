@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.timefeat import format_second
-from tripflow.schema import LINEAGE_REQUIRED_TAGS, PICKUP
+from tripflow.schema import LINEAGE_REQUIRED_TAGS, MODEL_INPUT_COLUMNS, PICKUP
 
 SPLIT_STRATEGY = "chronological_60_20_20"
 
@@ -26,9 +26,16 @@ def fingerprint_column():
                               F.col("hash_xor").cast("string")), 256)
 
 
-def split_fingerprints(frame: DataFrame, split_col: str = "split", ts_col: str = PICKUP) -> DataFrame:
-    """D7 for every split at once: (dataset, n_rows, start, end, fingerprint) — one grouped aggregate."""
-    cols = [c for c in frame.columns if c != split_col]
+CONTENT_COLUMNS = [*MODEL_INPUT_COLUMNS, "duration"]
+
+
+def split_fingerprints(frame: DataFrame, split_col: str = "split", ts_col: str = PICKUP, cols=None) -> DataFrame:
+    """D7 for every split at once: (dataset, n_rows, start, end, fingerprint) — one grouped aggregate.
+
+    The fingerprint covers the split's content: the model inputs and the target (``cols``
+    to override), never pass-through keys, so training and monitoring fingerprint the same thing.
+    """
+    cols = cols or [c for c in CONTENT_COLUMNS if c in frame.columns]
     h = F.xxhash64(*[F.col(c) for c in sorted(cols)])
     agg = frame.groupBy(F.col(split_col).alias("dataset")).agg(
         F.count(F.lit(1)).alias("n_rows"),
