@@ -59,3 +59,35 @@ def test_self_drift_is_zero(spark, rows):
     df = spark.createDataFrame(rows, "VendorID string, passenger_count double")
     assert all(r.drift_score == 0.0 for r in categorical_drift(df, df, ["VendorID"]).collect())
     assert all(r.drift_score == 0.0 for r in numeric_drift(df, df, ["passenger_count"]).collect())
+
+
+def _strptime_ok(text: str) -> bool:
+    import datetime as _dt
+
+    try:
+        _dt.datetime.strptime(text, "%Y-%m-%d %H:%M:%S")
+        return True
+    except ValueError:
+        return False
+
+
+def _field(lo: int, hi: int):
+    return st.tuples(st.integers(lo, hi), st.booleans()).map(lambda t: f"{t[0]:02d}" if t[1] else str(t[0]))
+
+
+DATETIME_TEXT = st.tuples(
+    st.integers(1000, 9999).map(str), _field(0, 13), _field(0, 32), _field(0, 25), _field(0, 61), _field(0, 61),
+    st.sampled_from(["-", "/"]), st.sampled_from([" ", "T"]),
+).map(lambda t: f"{t[0]}{t[6]}{t[1]}{t[6]}{t[2]}{t[7]}{t[3]}:{t[4]}:{t[5]}")
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture,
+                                                            HealthCheck.large_base_example, HealthCheck.too_slow])
+@given(st.lists(DATETIME_TEXT, min_size=200, max_size=200))
+def test_pickup_validation_equals_strptime(spark, texts):
+    """A pickup is valid exactly when Python's strptime accepts it with the contract format."""
+    from tripflow.plans.scoring import _pickup
+
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = {r.s: r.ok for r in df.select("s", _pickup(F.col("s")).isNotNull().alias("ok")).collect()}
+    assert got == {t: _strptime_ok(t) for t in texts}
