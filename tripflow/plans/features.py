@@ -12,9 +12,10 @@ statistic is then derived from that small table:
 * mode of trip type (lowest value on ties, nulls ignored, fallback 1.0)
 * sorted categories of vendor, trip type, pickup/dropoff borough (null -> sentinel)
 
-Transform plan: column expressions plus three lookup joins (pickup table, dropoff
-table, route table) whose sizes are known from fit and are broadcast only under
-the limit; no shuffle otherwise, and it is streaming-safe (stream-static joins).
+Transform plan: column expressions plus three lookup joins (pickup, dropoff and
+route tables, materialised once per model) whose sizes are bounded by the fit and
+which are broadcast only under the limit; no shuffle otherwise, and it is
+streaming-safe (stream-static joins).
 """
 
 from __future__ import annotations
