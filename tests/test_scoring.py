@@ -6,7 +6,7 @@ import pytest
 from tripflow.plans.scorers import ConstantScorer
 from tripflow.plans.scoring import parse_requests, score_requests, validate_requests
 
-META = {"model_name": "green_taxi_duration_model", "model_version": 7, "model_alias": "champion"}
+META = {"model_name": "trip_duration_model", "model_version": 7, "model_alias": "champion"}
 
 
 def _trip(**over):

@@ -481,7 +481,7 @@ SELECT request_id, n_trips, valid, n_invalid_trips, first_invalid_pos, first_inv
 SELECT v.request_id, CASE WHEN v.valid THEN 200 ELSE 422 END AS status,
        CASE WHEN v.valid THEN CAST(per.n AS INTEGER) END AS n_predictions,
        CASE WHEN v.valid THEN per.txt END AS predictions_text,
-       'green_taxi_duration_model' AS model_name, 1 AS model_version, 'champion' AS model_alias
+       'trip_duration_model' AS model_name, 1 AS model_version, 'champion' AS model_alias
 FROM validated v LEFT JOIN per ON v.request_id = per.request_id"""),
     "stream_scoring": with_ctes(RAW, ZONES, REQUESTS, body="""
 SELECT request_id, CAST(pos AS INTEGER) AS pos, round(prediction, 6) AS prediction FROM req_scored"""),

@@ -390,7 +390,7 @@ def q_tiled_batch(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- requests and streaming
-MODEL_METADATA = {"model_name": "green_taxi_duration_model", "model_version": 1, "model_alias": "champion"}
+MODEL_METADATA = {"model_name": "trip_duration_model", "model_version": 1, "model_alias": "champion"}
 
 
 def _validated_requests(spark, sf_dir):
