@@ -6,7 +6,8 @@ rows are range-partitioned on (group, order) into blocks of bounded size, each
 block's totals form a small table whose own prefix gives every block its
 offset, and the running value inside a block is a window over that block only.
 The block id is materialised before the table is checkpointed, so a recomputed
-task (lost executor) sees the same blocks.
+task (lost executor) sees the same blocks. When the row count proves the input
+fits one block, a window per group is already bounded and is used directly.
 """
 
 from __future__ import annotations
@@ -55,6 +56,14 @@ def ordered_scan(df: DataFrame, groups: list[str], order: str, running: list[Run
     blocks = min(MAX_BLOCKS, max(1, math.ceil(n / (block_rows or BLOCK_ROWS))))
     tmp = [f"__v{i}" for i in range(len(running))]
     base = df.select("*", *[r.value.alias(t) for r, t in zip(running, tmp)])
+    if blocks == 1 and groups:
+        # the count proves the whole input fits one block: a window per group is already bounded
+        w = Window.partitionBy(*groups).orderBy(order)
+        cols = [_block_agg(r.kind, F.col(t)).over(w.rowsBetween(Window.unboundedPreceding, 0 if r.inclusive else -1))
+                .alias(r.name) for r, t in zip(running, tmp)]
+        if next_col:
+            cols.append(F.lead(order).over(w).alias(next_col))
+        return base.select(*[F.col(c) for c in df.columns], *cols)
     ranged = base.repartitionByRange(blocks, *[F.col(g) for g in groups], F.col(order))
     ensure_checkpoint_dir(df.sparkSession)
     ranged = ranged.withColumn(BLOCK, F.spark_partition_id()).checkpoint(eager=True)
