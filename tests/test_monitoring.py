@@ -96,3 +96,14 @@ def test_exact_sample_is_stable(spark):
     b = {r.id for r in exact_sample(df.repartition(5), 100, 42).collect()}
     assert len(a) == 100 and a == b
     assert exact_sample(df, 5000, 42).count() == 1000
+
+
+def test_empty_or_all_missing_current_side_does_not_fail(spark, frame):
+    """An empty or all-missing side does not fail the report, and it is never flagged as drift."""
+    missing = frame.withColumn("passenger_count", F.lit(None).cast("double"))
+    r = {x.column: x for x in numeric_drift(frame, missing, ["passenger_count"]).collect()}
+    assert r["passenger_count"].drift_detected == 0.0
+    empty = frame.limit(0)
+    assert categorical_drift(frame, empty).count() == 6
+    rep = input_report(frame, missing).first()
+    assert rep.input_missing_value_share == pytest.approx(6 / 48)

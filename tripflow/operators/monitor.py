@@ -145,7 +145,7 @@ def column_summary(frame: DataFrame, categorical=CATEGORICAL_MONITORING_COLUMNS,
     first = nums.groupBy("column").agg(
         F.sum("n").alias("rows"), F.sum(F.when(~present, F.col("n")).otherwise(0)).alias("missing"),
         F.count("num").alias("distinct"), F.min("num").alias("min"), F.max("num").alias("max"),
-        (F.sum(F.col("num") * F.col("n")) / F.sum(F.when(present, F.col("n")))).alias("mean"))
+        F.try_divide(F.sum(F.col("num") * F.col("n")), F.sum(F.when(present, F.col("n")))).alias("mean"))
     # one row per numeric column: a proven-small broadcast
     spread = nums.join(F.broadcast(first.select("column", "mean")), "column").groupBy("column").agg(
         F.sum(F.when(present, F.col("n") * (F.col("num") - F.col("mean")) ** 2)).alias("ss"),
@@ -205,8 +205,8 @@ def _scored(df: DataFrame) -> DataFrame:
 def js_from_counts(counts: DataFrame) -> DataFrame:
     """D4 over categorical count rows: Jensen-Shannon distance per column."""
     c = _with_totals(counts)
-    p = F.col("n_ref") / F.col("t_ref")
-    q = F.col("n_cur") / F.col("t_cur")
+    p = F.try_divide(F.col("n_ref"), F.col("t_ref"))  # an empty side gives null, not a division error
+    q = F.try_divide(F.col("n_cur"), F.col("t_cur"))
     m = (p + q) / 2.0
     term = F.when(p > 0, p * F.ln(p / m)).otherwise(0.0) + F.when(q > 0, q * F.ln(q / m)).otherwise(0.0)
     return _scored(c.groupBy("column").agg(F.sqrt(F.greatest(F.sum(term) / 2.0, F.lit(0.0))).alias("drift_score")))
@@ -220,18 +220,19 @@ def wasserstein_from_counts(counts: DataFrame) -> DataFrame:
     """
     c = _with_totals(counts.where(F.col("num").isNotNull()).select(
         "column", F.col("num").alias("value"), "n_ref", "n_cur"))
-    mean = c.groupBy("column").agg((F.sum(F.col("value") * F.col("n_ref")) / F.first("t_ref")).alias("mu"))
+    mean = c.groupBy("column").agg(F.try_divide(F.sum(F.col("value") * F.col("n_ref")), F.first("t_ref")).alias("mu"))
     std = (
         c.join(F.broadcast(mean), "column")
         .groupBy("column")
-        .agg(F.sqrt(F.sum(F.col("n_ref") * (F.col("value") - F.col("mu")) ** 2) / F.first("t_ref")).alias("std_ref"))
+        .agg(F.sqrt(F.try_divide(F.sum(F.col("n_ref") * (F.col("value") - F.col("mu")) ** 2), F.first("t_ref")))
+             .alias("std_ref"))
     )
     scanned = ordered_scan(
         c, ["column"], "value",
         [Running("cum_ref", F.col("n_ref")), Running("cum_cur", F.col("n_cur"))],
         next_col="next_value",
     )
-    gap = F.abs(F.col("cum_ref") / F.col("t_ref") - F.col("cum_cur") / F.col("t_cur")) * (
+    gap = F.abs(F.try_divide(F.col("cum_ref"), F.col("t_ref")) - F.try_divide(F.col("cum_cur"), F.col("t_cur"))) * (
         F.col("next_value") - F.col("value"))
     w1 = scanned.groupBy("column").agg(F.sum(F.coalesce(gap, F.lit(0.0))).alias("wasserstein"))
     out = w1.join(F.broadcast(std), "column").select(
@@ -311,10 +312,10 @@ def quality_report(reference: DataFrame, current: DataFrame) -> DataFrame:
     a = counts.where((F.col("column") == ABS_ERROR) & F.col("num").isNotNull())
     v = F.col("num")
     errors = a.agg(
-        F.sqrt(F.sum(v * v * F.col("n_cur")) / F.sum("n_cur")).alias("rmse"),
-        (F.sum(v * F.col("n_cur")) / F.sum("n_cur")).alias("mae"),
-        F.sqrt(F.sum(v * v * F.col("n_ref")) / F.sum("n_ref")).alias("ref_rmse"),
-        (F.sum(v * F.col("n_ref")) / F.sum("n_ref")).alias("ref_mae"),
+        F.sqrt(F.try_divide(F.sum(v * v * F.col("n_cur")), F.sum("n_cur"))).alias("rmse"),
+        F.try_divide(F.sum(v * F.col("n_cur")), F.sum("n_cur")).alias("mae"),
+        F.sqrt(F.try_divide(F.sum(v * v * F.col("n_ref")), F.sum("n_ref"))).alias("ref_rmse"),
+        F.try_divide(F.sum(v * F.col("n_ref")), F.sum("n_ref")).alias("ref_mae"),
     )
     k = F.lit(1).alias("__k")
     row = errors.select(k, "*").join(F.broadcast(scores.select(k, "*")), "__k")
