@@ -113,7 +113,8 @@ def q_split_report(spark, sf_dir):
         format_micros(F.min(PICKUP)).alias("start"),
         format_micros(F.max(PICKUP)).alias("end"),
     )
-    return agg.select("split", "rows", "clean_rows", round6(F.try_divide(F.col("rows") * 100.0, F.lit(inp.splitter.n_rows))).alias("share_pct"),
+    share = F.try_divide(F.col("rows") * 100.0, F.lit(inp.splitter.n_rows))
+    return agg.select("split", "rows", "clean_rows", round6(share).alias("share_pct"),
                       "start", "end")
 
 
