@@ -58,3 +58,23 @@ def test_repeatable_fit(spark, zones, labelled):
     a = score(build_pipeline(zones, FAST).fit(data), data).agg(F.sum("prediction")).first()[0]
     b = score(build_pipeline(zones, FAST).fit(data), data).agg(F.sum("prediction")).first()[0]
     assert a == pytest.approx(b)
+
+
+def test_request_scoring_with_the_fitted_pipeline(spark, zones, labelled):
+    """M9 with the real model: empty requests answer [], predictions keep trip order."""
+    import json
+
+    from tripflow.plans.scoring import parse_requests, score_requests, validate_requests
+
+    model = build_pipeline(zones, FAST).fit(prepare_training_data(labelled))
+    trip = {"VendorID": 2, "lpep_pickup_datetime": "2026-02-04 08:00:00", "PULocationID": 1, "DOLocationID": 3}
+    reqs = [{"trips": [trip, {**trip, "PULocationID": 2}]}, {"trips": []}, {"trips": [{**trip, "VendorID": "x"}]}]
+    bodies = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(reqs)], "request_id bigint, body string")
+    out = {r.request_id: r for r in score_requests(validate_requests(parse_requests(bodies)), PipelineScorer(model),
+                                                   {"model_name": "m", "model_version": 1, "model_alias": "a"}).collect()}
+    direct = score(model, spark.createDataFrame([(2, "2026-02-04 08:00:00", p, 3) for p in (1, 2)],
+                                                "VendorID bigint, lpep_pickup_datetime string, PULocationID bigint, "
+                                                "DOLocationID bigint")).collect()
+    assert out[0].predictions == pytest.approx([r.prediction for r in direct])
+    assert out[1].status == 200 and out[1].predictions == []
+    assert out[2].status == 422

@@ -8,11 +8,11 @@ fields accepted, calendar-checked), optional numeric passenger count and trip
 type. One bad trip rejects its whole request, with the first bad position and
 field as the reason.
 
-Scoring explodes the trips of valid requests (``posexplode_outer`` keeps empty
-requests), runs any scorer (``DataFrame -> DataFrame`` adding ``prediction``:
+Scoring explodes the trips of valid requests, runs any scorer (``DataFrame -> DataFrame`` adding ``prediction``:
 the fitted pipeline or a formula), and rebuilds each request's predictions in
-trip order. Requests hold few trips, so the regrouping shuffle moves one small
-row per trip and no group is large.
+trip order; a valid request without trips answers with an empty list. Requests
+hold few trips, so the regrouping shuffle moves one small row per trip and no
+group is large.
 """
 
 from __future__ import annotations
@@ -99,18 +99,19 @@ def validate_requests(parsed: DataFrame) -> DataFrame:
 
 
 def explode_trips(validated: DataFrame, key: str = "request_id") -> DataFrame:
-    """One row per trip of each valid request (empty requests keep one row with null ``pos``)."""
+    """One row per trip of each valid request, with its position (a request without trips gives no row)."""
     ok = validated.where("valid")
-    return ok.select(key, F.posexplode_outer("trips").alias("pos", "trip")).select(key, "pos", "trip.*")
+    return ok.select(key, F.posexplode("trips").alias("pos", "trip")).select(key, "pos", "trip.*")
 
 
 def score_requests(validated: DataFrame, scorer, metadata: dict, key: str = "request_id") -> DataFrame:
     """M9: per request: status, predictions in trip order, model metadata (rejected: 422, no predictions)."""
-    rows = explode_trips(validated, key)
-    scored = scorer.transform(rows)
-    pairs = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "prediction")))
-    per_request = scored.groupBy(key).agg(F.array_sort(pairs).alias("__pairs")).select(
-        key, F.transform("__pairs", lambda x: x["prediction"]).alias("predictions"))
+    scored = scorer.transform(explode_trips(validated, key))  # only real trips reach the scorer
+    per_request = scored.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "prediction"))).alias("__p")) \
+        .select(key, F.transform("__p", lambda x: x["prediction"]).alias("predictions"))
+    no_trips = validated.where(F.col("valid") & (F.size("trips") == 0)).select(
+        key, F.array().cast(T.ArrayType(T.DoubleType())).alias("predictions"))
+    per_request = per_request.unionByName(no_trips)
     rejected = validated.where(~F.col("valid")).select(key, F.lit(None).cast(T.ArrayType(T.DoubleType())).alias("predictions"))
     both = per_request.select(key, F.lit(OK_STATUS).alias("status"), "predictions").unionByName(
         rejected.select(key, F.lit(REJECTED_STATUS).alias("status"), "predictions"))

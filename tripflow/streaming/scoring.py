@@ -29,7 +29,7 @@ def start_stream_scoring(spark: SparkSession, source_dir: str, sink_dir: str, ch
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            scored = scorer.transform(explode_trips(batch, key).where(F.col("pos").isNotNull()))
+            scored = scorer.transform(explode_trips(batch, key))
             scored.select(key, "pos", "prediction").write.mode("overwrite").parquet(f"{sink_dir}/scored/batch={batch_id}")
             batch.where(~F.col("valid")).select(key, "n_trips", "first_invalid_pos", "first_invalid_field") \
                 .write.mode("overwrite").parquet(f"{sink_dir}/rejected/batch={batch_id}")
