@@ -21,6 +21,10 @@ def test_stage_flow_on_generated_tables(spark):
 
     metrics = run_training(inp.zones, inp.prepared_split, f"{base}/run", FAST)  # M6
     assert set(metrics) == {"train", "val", "test"} and all(m["rows"] > 0 for m in metrics.values())
+    from tripflow.sources.tables import read_metrics_json
+
+    record = read_metrics_json(spark, f"{base}/run/metrics.json")
+    assert record["rmse_test"] == metrics["test"]["rmse"] and record["training_time"] > 0
     seg = spark.read.parquet(f"{base}/run/segments")
     assert seg.where("rows < 100").count() == 0
 
