@@ -82,3 +82,15 @@ def test_tile_array(spark):
     """Samples repeated cyclically."""
     r = spark.range(1).select(tile_array(F.array(F.lit("a"), F.lit("b"), F.lit("c")), 7).alias("t")).first()
     assert r.t == ["a", "b", "c", "a", "b", "c", "a"]
+
+
+def test_register_version_appends_and_promotes(spark):
+    import uuid
+
+    from tripflow.operators.registry import register_version
+    from tripflow.session import scratch_path
+
+    path = scratch_path(spark, f"versions-{uuid.uuid4().hex}")
+    got = [register_version(spark, path, "m", v, r) for v, r in [(1, 9.5), (2, None), (3, 9.1), (4, 9.3), (5, 9.1)]]
+    assert got == ["champion", "challenger", "champion", "challenger", "champion"]
+    assert register_version(spark, path, "other", 1, 20.0) == "champion"  # models are folded separately

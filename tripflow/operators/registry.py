@@ -49,3 +49,21 @@ def best_trial(trials: DataFrame, study: str = "study", trial: str = "trial", me
     out = trials.where(F.col(metric).isNotNull()).groupBy(study).agg(best.alias("b"), F.count(F.lit(1)).alias("n_trials"))
     return out.select(study, "n_trials", F.col("b.t").alias("best_trial"), F.col("b.m").alias(f"best_{metric}"),
                       *[F.col(f"b.{p}").alias(p) for p in params])
+
+
+def register_version(spark, versions_path: str, model: str, version: int, metric: float | None,
+                     metric_name: str = "rmse_test") -> str:
+    """Append one version to the versions table and return the alias it receives (W2 over the whole table).
+
+    The table is the registry's record (parquet, append); the decision comes from the same fold
+    as ``champion_fold``, so re-running it over the table always reproduces every past decision.
+    """
+    from pyspark.sql import types as T
+
+    row = spark.createDataFrame([(model, int(version), None if metric is None else float(metric))],
+                                T.StructType([T.StructField("model", T.StringType()),
+                                              T.StructField("version", T.LongType()),
+                                              T.StructField(metric_name, T.DoubleType())]))
+    row.write.mode("append").parquet(versions_path)
+    decided = champion_fold(spark.read.parquet(versions_path).where(F.col("model") == model), metric=metric_name)
+    return decided.where(F.col("version") == int(version)).first()["decision"]
