@@ -13,7 +13,7 @@ streaming.scoring.start_stream_scoring                    the same as a file str
 operators.monitor.input_report / quality_report           drift, missing share, quality (D1-D5)
 operators.lineage.split_fingerprints / verify_reference_lineage   lineage tags and gate (D7, D8)
 plans.monitoring.run_monitoring     the monitoring run with history append (D6)
-operators.registry.champion_fold    alias decisions over model versions (W2)
+operators.registry.champion_fold / register_version   alias decisions over model versions (W2)
 """
 
 __version__ = "0.1.0"
