@@ -474,12 +474,14 @@ req_scored AS (
 
 ORACLE.update({
     "request_validation": with_ctes(RAW, ZONES, REQUESTS, body="""
-SELECT request_id, n_trips, valid, n_invalid_trips, first_invalid_pos, first_invalid_field FROM validated"""),
+SELECT request_id, n_trips, valid, n_invalid_trips, COALESCE(first_invalid_pos, -1) AS first_invalid_pos,
+       first_invalid_field
+FROM validated"""),
     "request_scoring": with_ctes(RAW, ZONES, REQUESTS, body="""
 , per AS (SELECT request_id, count(*) AS n, string_agg(printf('%.6f', prediction), ',' ORDER BY pos) AS txt
           FROM req_scored GROUP BY request_id)
 SELECT v.request_id, CASE WHEN v.valid THEN 200 ELSE 422 END AS status,
-       CASE WHEN v.valid THEN CAST(per.n AS INTEGER) END AS n_predictions,
+       CAST(CASE WHEN v.valid THEN COALESCE(per.n, 0) ELSE 0 END AS INTEGER) AS n_predictions,
        CASE WHEN v.valid THEN per.txt END AS predictions_text,
        'trip_duration_model' AS model_name, 1 AS model_version, 'champion' AS model_alias
 FROM validated v LEFT JOIN per ON v.request_id = per.request_id"""),

@@ -403,7 +403,9 @@ def _validated_requests(spark, sf_dir):
 def q_request_validation(spark, sf_dir):
     """S7 + P16: every request parsed from JSON and validated; one bad trip rejects the request."""
     v = _validated_requests(spark, sf_dir)
-    return v.select("request_id", "n_trips", "valid", "n_invalid_trips", "first_invalid_pos", "first_invalid_field")
+    # integer outputs stay non-null (-1 = no invalid trip) so both engines hand over plain integers
+    return v.select("request_id", "n_trips", "valid", "n_invalid_trips",
+                    F.coalesce(F.col("first_invalid_pos"), F.lit(-1)).alias("first_invalid_pos"), "first_invalid_field")
 
 
 def q_request_scoring(spark, sf_dir):
@@ -413,8 +415,8 @@ def q_request_scoring(spark, sf_dir):
     inp = Inputs(spark, sf_dir)
     r = score_requests(_validated_requests(spark, sf_dir), inp.scorer, MODEL_METADATA)
     text = F.array_join(F.transform("predictions", lambda x: F.format_string("%.6f", x)), ",")
-    return r.select("request_id", "status", F.when(F.col("predictions").isNotNull(), F.size("predictions"))
-                    .alias("n_predictions"),
+    n = F.when(F.col("predictions").isNull(), F.lit(0)).otherwise(F.size("predictions"))  # non-null integer
+    return r.select("request_id", "status", n.alias("n_predictions"),
                     text.alias("predictions_text"), "model_name", "model_version", "model_alias")
 
 
