@@ -31,6 +31,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # tests and bench leave no stale files
     )
     for key, value in ENGINE_CONF.items():
         builder = builder.config(key, value)
