@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat
+from tripflow.llm import chat, packing
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
+    "op7_best_fit_packing": packing.op7_best_fit_packing,
 }
 
 ORACLE = {
