@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, packing
+from tripflow.llm import chat, packing, pii
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
+    "op10_pii": pii.OP10_SQL,
 }
