@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, packing, pii
+from tripflow.llm import chat, langid, mixing, packing, pii
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
+    "op2_language_id": langid.op2_language_id,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
+    "op9_mixing": mixing.op9_mixing,
     "op10_pii": pii.op10_pii,
 }
 
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
+    "op9_mixing": mixing.OP9_SQL,
     "op10_pii": pii.OP10_SQL,
 }
