@@ -7,7 +7,8 @@ the contexts with the weight that each language leaves to the shorter model. The
 
 A text is scored whole: its n-grams are looked up by binary search, those that no language knows back off to the
 shorter orders, and the language with the lowest cross-entropy per symbol wins. Rejection is calibrated on documents
-of the sample that were kept from the counts: in its own language a text of n symbols has the cross-entropy m, give or
+of the sample that were kept from the counts. It looks at the cross-entropy when each symbol may pick the language that
+knows it best, so that a text in two known languages is not taken for noise: for a text of n symbols this is m, give or
 take sqrt(t + s / n); a text that lies further above m than those documents do, with a margin, is in none of the
 known languages.
 """
@@ -101,9 +102,10 @@ class Models:
             out[miss[known]] += self.weights[order - 1][at[known]]
         return out
 
-    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy per symbol [text, language] and the number of symbols of each text."""
-        total, count = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
+    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cross-entropy per symbol [text, language], the same with the best language for each symbol, and the number
+        of symbols of each text."""
+        total, count = np.zeros((len(texts), len(self.languages) + 1)), np.zeros(len(texts), np.int64)
         codes, owners, held = [], [], 0
         for i, text in enumerate(texts):
             code = symbols(text)
@@ -117,7 +119,8 @@ class Models:
                     codes, owners, held = [], [], 0
         if codes:
             self._add(codes, owners, total, count)
-        return -total / np.maximum(count, 1)[:, None], count
+        entropy = -total / np.maximum(count, 1)[:, None]
+        return entropy[:, :-1], entropy[:, -1], count
 
     def _add(self, codes, owners, total, count) -> None:
         sizes = np.array([len(c) - ORDER + 1 for c in codes])
@@ -127,6 +130,7 @@ class Models:
         # equal n-grams are looked up once
         _, first, back = np.unique(hashes(code, ends, ORDER), return_index=True, return_inverse=True)
         own = self.probabilities(code, ends[first])
+        own = np.column_stack([own, own.max(axis=1)])
         sums = np.add.reduceat(own[back], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0, dtype=np.float64)
         np.add.at(total, owners, sums)
         np.add.at(count, owners, sizes)
@@ -141,13 +145,13 @@ class Models:
         rejected, entropy = ~there, np.full(len(texts), np.nan)
         at = np.flatnonzero(there)
         if len(at):
-            h, n = self.entropies([texts[i] for i in at])
+            h, free, n = self.entropies([texts[i] for i in at])
             best = h.argmin(axis=1)
             least = h[np.arange(len(at)), best]
             # odds over the symbols of a phrase: longer texts are no independent evidence
             odds = np.exp(-np.minimum(n, 40)[:, None] * (h - least[:, None])).sum(axis=1)
             score[at], entropy[at] = 1 / odds, least
-            rejected[at] = self.deviations(best, least, n) > self.limit
+            rejected[at] = self.deviations(best, free, n) > self.limit
             for i, k in zip(at, best):
                 pred[i] = self.languages[k]
         return pred, score, rejected, entropy
@@ -269,10 +273,10 @@ def fit(rows: DataFrame, chars: int = SAMPLE_CHARS, cells: int = SAMPLE_CELLS) -
             langs = b.column("lang").to_pylist()
             texts = b.column("text").to_pylist()
             ok = [i for i, x in enumerate(langs) if x in m.languages and any(ch.isalpha() for ch in texts[i])]
-            h, n = m.entropies([texts[i] for i in ok])
+            _, h, n = m.entropies([texts[i] for i in ok])
             own = [m.languages.index(langs[i]) for i in ok]
             yield pa.RecordBatch.from_pydict({
-                "l": pa.array(own, pa.int32()), "h": pa.array(h[np.arange(len(ok)), own], pa.float64()), "n": pa.array(n, pa.int64())
+                "l": pa.array(own, pa.int32()), "h": pa.array(h, pa.float64()), "n": pa.array(n, pa.int64())
             })
 
     found = sample.where(held).select("lang", "text").mapInArrow(measure, "l int, h double, n bigint").toPandas()
