@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, langid, mixing, packing, pii, quality
+from tripflow.llm import chat, langid, mixing, neardup, packing, pii, quality
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_language_id": langid.op2_language_id,
     "op3_quality_rules": quality.op3_quality_rules,
+    "op4_near_duplicates": neardup.op4_near_duplicates,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op9_mixing": mixing.op9_mixing,
     "op10_pii": pii.op10_pii,
