@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, langid, mixing, neardup, packing, pii, quality
+from tripflow.llm import chat, embeddings, langid, mixing, neardup, packing, pii, quality, substrings
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_language_id": langid.op2_language_id,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_near_duplicates": neardup.op4_near_duplicates,
+    "op6_embedding_near_duplicates": embeddings.op6_embedding_near_duplicates,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_mixing": mixing.op9_mixing,
     "op10_pii": pii.op10_pii,
 }
 
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
+    "op6_embedding_near_duplicates": embeddings.OP6_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op10_pii": pii.OP10_SQL,
 }
