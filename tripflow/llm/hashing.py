@@ -11,11 +11,19 @@ _GAP = np.zeros(256, bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out)
+    """base**0 .. base**(n-1) modulo 2**64; up to two million are remembered."""
+    if base not in _powers or len(_powers[base]) < n:
+        out = np.full(max(n, 1 << 16), base, np.uint64)
+        out[0] = 1
+        out = np.cumprod(out)
+        if n > 2 << 20:
+            return out[:n]
+        _powers[base] = out
+    return _powers[base][:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:

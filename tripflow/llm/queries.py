@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, embeddings, langid, mixing, neardup, packing, pii, quality, substrings
+from tripflow.llm import chat, embeddings, langid, mixing, neardup, packing, pii, quality, substrings, suffixes
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_language_id": langid.op2_language_id,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_near_duplicates": neardup.op4_near_duplicates,
+    "op5_suffix_dedup": suffixes.op5_suffix_dedup,
     "op6_embedding_near_duplicates": embeddings.op6_embedding_near_duplicates,
     "op7_best_fit_packing": packing.op7_best_fit_packing,
     "op8_substring_dedup": substrings.op8_substring_dedup,
