@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import documents, materialise
+from tripflow.llm.common import materialise
 from tripflow.llm.components import connected_components
 from tripflow.llm.hashing import mix, sequences, slices, word_hashes
 
@@ -146,7 +146,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     cannot be linked: their class is null and they are kept. Of rows that repeat a doc_id one is kept. An empty table
     gives no rows; other columns are not carried.
     """
-    docs = documents(docs).select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialise(signatures(docs), "signatures")
     able = signed.where("doc_id is not null and n > 0")
     copies = able.groupBy("digest").agg(F.min("doc_id").alias("rep"))

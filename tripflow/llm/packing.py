@@ -27,7 +27,7 @@ CAPACITY = 2048
 #: Pieces that one window task ranks, at most on average.
 RANK_ROWS = 200_000
 #: Distinct words whose ids a Python worker remembers, and half the number of pre-tokens; a full memory starts afresh.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 

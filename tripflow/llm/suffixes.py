@@ -68,7 +68,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray,
             break
         suffix = order[at]
         group, follow = rank[suffix], suffix + known
-        follow = np.where(follow < n, rank[np.minimum(follow, n - 1)] + 1, 0)
+        follow = np.where(follow < n, rank[np.minimum(follow, n - 1)], n)  # the padding comes last
         by = np.argsort(group * (n + 1) + follow)
         suffix, group, follow = suffix[by], group[by], follow[by]
         order[at] = suffix
