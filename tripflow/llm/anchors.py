@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import parts_for
@@ -23,12 +23,15 @@ from tripflow.llm.common import parts_for
 BLOCK_BYTES = 16 << 20
 
 
+def block_of(doc_id: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(n)).cast("int")
+
+
 def blocked(docs: DataFrame) -> tuple[DataFrame, int]:
     """``block, doc_id, text`` dealt out by block, and the number of blocks."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n = parts_for(rows, F.octet_length("text"), BLOCK_BYTES)
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")
-    return rows.select(block.alias("block"), "doc_id", "text").repartition(n, "block"), n
+    return rows.select(block_of("doc_id", n).alias("block"), "doc_id", "text").repartition(n, "block"), n
 
 
 def window_anchors(h: np.ndarray, width: int) -> np.ndarray:

@@ -5,16 +5,23 @@ same one. (1) Blocks of documents send their distinct seeds; seeds met in severa
 such seed the documents extend to both sides, to every window that has it as its anchor, and send the distinct
 windows; a window met in a smaller doc_id comes back with that doc_id. (3) Runs of such windows are the maximal repeats;
 their words go. Rows are compared in sorted streams, with a row for each block and distinct key.
+
+Equal texts are one: all windows of a copy are in the first document with its text, so copies are marked by their
+digests beforehand and send no windows.
 """
 
 from __future__ import annotations
 
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tripflow.llm.anchors import blocked, column, found_in, met, run_ids, whole_runs, window_anchors
+from tripflow.llm.anchors import block_of, blocked, column, found_in, met, run_ids, whole_runs, window_anchors
+from tripflow.llm.common import materialise
 from tripflow.llm.hashing import mix, sequences, slices, word_hashes, word_spans
 
 WINDOW, GRAM = 13, 5
@@ -67,10 +74,28 @@ def _seeds(window: int, gram: int):
     return run
 
 
+def copies(docs: DataFrame) -> DataFrame:
+    """``doc_id, crc`` of documents whose whole text a smaller doc_id has too."""
+    texts = docs.where("doc_id is not null").select(
+        "doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), F.crc32(F.col("text").cast("binary")).alias("crc"))
+    first = texts.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    return texts.join(first, "digest").where("doc_id > first").select("doc_id", "crc").distinct()
+
+
+def _is_copy(ids: np.ndarray, texts: list[bytes], marks: pa.Table) -> np.ndarray:
+    """Which documents are marked as copies: rows (key, crc) of ``marks`` with a crc."""
+    crc = column(marks, "crc")
+    marked = set(zip(column(marks, "key")[crc >= 0].tolist(), crc[crc >= 0].tolist()))
+    of = {k for k, _ in marked}
+    return np.array([k in of and (k, zlib.crc32(t)) in marked for k, t in zip(ids.tolist(), texts)], bool)
+
+
 def _extend(window: int, gram: int):
     def run(table: pa.Table, wanted: pa.Table) -> pa.Table:
         ids, texts = _ids(table), [t.encode() for t in table.column("text").to_pylist()]
-        seeds = np.sort(column(wanted, "key"))
+        own_text = np.flatnonzero(~_is_copy(ids, texts, wanted))
+        ids, texts = ids[own_text], [texts[k] for k in own_text]
+        seeds = np.sort(column(wanted, "key")[column(wanted, "crc") < 0])
         parts = [[np.zeros(0, np.int64)] * 3]
         for lo, hi in slices(texts):
             h, _, start, seed, own = _windows(texts[lo:hi], window, gram)
@@ -96,13 +121,14 @@ def _earlier(batches):
         np.minimum.at(first, of, least)
         keep = most > first[of]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x[keep]) for x in (block, a, b)] + [pa.array(first[of][keep])], names=["block", "a", "b", "first"])
+            [pa.array(x[keep]) for x in (block, a, b)] + [pa.array(first[of][keep])], names=["block", "key", "b", "first"])
 
 
 def _removed(window: int, gram: int):
     def run(table: pa.Table, repeated: pa.Table) -> pa.Table:
         ids, texts = _ids(table), [t.encode() for t in table.column("text").to_pylist()]
-        a, b, first = (column(repeated, k) for k in ("a", "b", "first"))
+        copy = _is_copy(ids, texts, repeated)
+        a, b, first = (column(repeated, k)[column(repeated, "crc") < 0] for k in ("key", "b", "first"))
         order = np.argsort(a)
         a, b, first = a[order], b[order], first[order]
         rows: dict[str, list] = {k: [] for k in ("n_words", "spans", "kept")}
@@ -117,6 +143,7 @@ def _removed(window: int, gram: int):
             np.add.at(cover, start[hit], 1)
             np.add.at(cover, start[hit] + window, -1)
             gone = np.cumsum(cover[:-1]) > 0
+            gone |= np.repeat(copy[lo:hi] & (n >= window), n)
             stop = 0
             for text, size in zip(texts[lo:hi], n.tolist()):
                 mine, stop = gone[stop : stop + size], stop + size
@@ -141,19 +168,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     another. An empty table gives no rows; other columns are not carried.
     """
     x, n = blocked(docs)
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    marks = materialise(copies(plain).select(
+        block_of("doc_id", n).alias("block"), F.col("doc_id").alias("key"), "crc"), "copies")
     seeds = x.groupBy("block").applyInArrow(_seeds(window, gram), "key bigint, block int, several int")
-    again = met(seeds).repartition(n, "block")
+    again = met(seeds).withColumn("crc", F.lit(-1).cast("bigint")).unionByName(marks).repartition(n, "block")
     sent = x.groupBy("block").cogroup(again.groupBy("block")).applyInArrow(
         _extend(window, gram), "a bigint, b bigint, block int, least bigint, most bigint")
-    earlier = sent.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_earlier, "block int, a bigint, b bigint, first bigint")
+    earlier = sent.repartition("a").sortWithinPartitions("a", "b").mapInArrow(_earlier, "block int, key bigint, b bigint, first bigint")
+    earlier = earlier.withColumn("crc", F.lit(-1).cast("bigint")).unionByName(marks, allowMissingColumns=True).fillna(0, ["b", "first"])
     return x.groupBy("block").cogroup(earlier.repartition(n, "block").groupBy("block")).applyInArrow(
         _removed(window, gram), "doc_id bigint, n_words bigint, spans array<struct<start: bigint, stop: bigint>>, kept string")
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Repeated 13-word windows of all documents, removed behind their first document."""
-    from pyspark.sql import functions as F
-
     found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda acc, s: acc + s["stop"] - s["start"])
     return found.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
