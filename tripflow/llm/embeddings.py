@@ -47,11 +47,17 @@ class CoverTree:
         if len(members) > LEAF and radius > 1e-6:
             rest = members
             while len(rest):
-                near = self._from(rest[0], rest)
-                inside = near <= radius / 2
-                inside[0] = True
-                children.append(self._node(rest[inside], near[inside]))
-                rest = rest[~inside]
+                # distances of a block of centres at once
+                block = self.x[rest[:64]] @ self.x[rest].T
+                block = np.sqrt(np.maximum(2 - 2 * block, 0, out=block))
+                taken = np.zeros(len(rest), bool)
+                for k in range(len(block)):
+                    if not taken[k]:
+                        inside = (block[k] <= radius / 2) & ~taken
+                        inside[k] = True
+                        children.append(self._node(rest[inside], block[k][inside]))
+                        taken |= inside
+                rest = rest[~taken]
         self.nodes.append((members[0], radius + _SLACK, members, np.array(children, np.int64)))
         return len(self.nodes) - 1
 

@@ -7,9 +7,12 @@ and a signature component, and counts for a document if its weight is within the
 point of each component is the signature: two documents share a component with a probability equal to their
 similarity. A process stops once its time is past the latest component, so most shingles cost one point.
 
-Signatures are banded. Equal texts are one vertex. In each bucket the members are first compared with the bucket's
-smallest id, a linear number of pairs; after the links found so far have been joined to components, pairs inside a
-bucket are looked at only across components. Every pair is verified on the exact multisets of both texts.
+Signatures are banded. Equal texts are one vertex. In each bucket the members are first compared with its most
+central member, a linear number of pairs, and the links found are joined to components. What is left are buckets in which
+several components meet, mostly texts that share a passage and are not similar enough. Their members are compared
+through rare shingles: of two multisets with similarity t, each ordered by how many of these documents have a shingle,
+the first n - t n + 1 elements must share one; and what a document shares with any other at all bounds their overlap.
+So texts that only share what many have are not paired. Every pair is verified on the exact multisets of both texts.
 """
 
 from __future__ import annotations
@@ -28,8 +31,9 @@ from tripflow.llm.hashing import mix, sequences, slices, word_hashes
 SHINGLE, THRESHOLD = 5, 0.8
 #: 42 bands of 6: a pair at the threshold is missed with probability (1 - 0.8**6)**42 = 3e-6.
 ROWS, BANDS = 6, 42
-#: Bits by which 252-bit sketches of a pair at the threshold differ: 25 +- 4.8; six deviations more are let through.
-SKETCH_BITS = 54
+#: Bits by which 252-bit sketches of a pair at the threshold differ: 25 +- 4.8; four and a half deviations more are let
+#: through, so that a pair is missed with probability 4e-6.
+SKETCH_BITS = 46
 
 
 def shingles(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -138,6 +142,41 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _rare_pairs(unsettled: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of ``unsettled`` documents (doc_id, c, n, sketch) of different components that share a rare shingle, one
+    of the first ``n - threshold * n + 1`` elements, and whose sizes and sketches allow the threshold."""
+
+    def run(batches):
+        for batch in batches:
+            ids, some = batch.column("doc_id").to_numpy(), [t.encode() for t in batch.column("text").to_pylist()]
+            for lo, hi in slices(some):
+                shingle, owner = shingles(some[lo:hi])
+                _, first, weight = np.unique(mix(shingle + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)),
+                                             return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[lo + owner[first]]), pa.array(shingle[first].view(np.int64)), pa.array(weight.astype(np.int64))],
+                    names=["doc_id", "shingle", "weight"])
+
+    rows = texts.join(unsettled.select("doc_id"), "doc_id", "left_semi").mapInArrow(run, "doc_id bigint, shingle bigint, weight bigint")
+    rows = materialise(rows, "shingles")
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
+    order = Window.partitionBy("doc_id").orderBy("f", "shingle")  # one document's shingles
+    before = F.sum("weight").over(order) - F.col("weight")
+    whole = Window.partitionBy("doc_id")
+    size, common = F.sum("weight").over(whole), F.sum(F.when(F.col("f") > 1, F.col("weight")).otherwise(0)).over(whole)
+    rare = rows.join(shared, "shingle", "left").withColumn("f", F.coalesce("f", F.lit(1))).select(
+        "doc_id", "shingle", "f", before.alias("before"), size.alias("size"), common.alias("common")
+    ).where((F.col("before") < F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1) & (F.col("f") > 1))
+    rare = materialise(rare.select("doc_id", "shingle", "common").join(unsettled, "doc_id"), "rare")
+    x, y = rare.alias("x"), rare.alias("y")
+    differ = sum(F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(4))
+    # similarity t of sizes n and m takes an overlap of t / (1 + t) * (n + m), all of it in shared shingles
+    enough = F.least("x.common", "y.common") >= threshold / (1 + threshold) * (F.col("x.n") + F.col("y.n")) - 1e-9
+    return x.join(y, enough & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.c") != F.col("y.c"))
+                  & (F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n")) & (differ <= SKETCH_BITS)
+                  ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, class_id, kept`` for every row: the smallest doc_id of its class, and whether it stands for it.
 
@@ -155,24 +194,27 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     reps = materialise(able.join(copies, "digest").where("doc_id = rep").dropDuplicates(["doc_id", "digest"])
                        .select("doc_id", "n", "bands", "sketch"), "reps")
     banded = reps.select(F.explode("bands").alias("band"), "doc_id")
-    buckets = banded.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("_last")).where("pivot < _last")
-    # members of buckets with company
-    members = materialise(banded.join(buckets.drop("_last"), "band"), "members")
+    buckets = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    # members of buckets with company; the more company over all bands, the more central a document is
+    members = materialise(banded.join(buckets, "band"), "members")
+    central = members.groupBy("doc_id").agg(F.sum("size").alias("company"))
+    pivots = members.join(central, "doc_id").groupBy("band").agg(
+        F.max_by("doc_id", F.struct(F.col("company"), -F.col("doc_id"))).alias("pivot"))
+    paired = members.join(pivots, "band").where("doc_id <> pivot").select(
+        F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b"), F.col("doc_id").alias("of"))
     sketches = reps.select("doc_id", "n", "sketch")
 
-    def similar(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs whose sizes and sketches allow the threshold."""
-        a = sketches.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-        b = sketches.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        differ = sum(F.bit_count(F.col("sa")[k].bitwiseXOR(F.col("sb")[k])) for k in range(4))
-        sized = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
-        return pairs.join(a, "a").join(b, "b").where(sized & (differ <= SKETCH_BITS)).select("a", "b").distinct()
-
-    starred = materialise(similar(members.where("doc_id > pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()), "starred")
+    a = sketches.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    b = sketches.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    differ = sum(F.bit_count(F.col("sa")[k].bitwiseXOR(F.col("sb")[k])) for k in range(4))
+    sized = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
+    # pairs whose sizes and sketches allow the threshold
+    starred = materialise(paired.distinct().join(a, "a").join(b, "b").where(sized & (differ <= SKETCH_BITS)).select(
+        "a", "b", "of", differ.alias("differ")), "starred")
     wanted = members.select("doc_id").distinct()
     texts = materialise(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
-    nearest = starred.groupBy("b").agg(F.min("a").alias("a"))
+    nearest = starred.groupBy("of").agg(F.min_by(F.struct("a", "b"), F.struct("differ", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
     links = materialise(_verified(nearest, texts, threshold), "links")
     parts = connected_components(links)
 
@@ -183,21 +225,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         own = F.coalesce("ca", "a") != F.coalesce("cb", "b")
         return pairs.join(a, "a", "left").join(b, "b", "left").where(own).select("a", "b")
 
+    starred = starred.select("a", "b").distinct()
     more = materialise(_verified(across(starred), texts, threshold), "links")
     links = links.unionByName(more)
     parts = connected_components(links)
 
-    placed = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").join(
-        sketches, "doc_id").select("band", "doc_id", F.coalesce("component", "doc_id").alias("c"), "n", "sketch")
-    # only buckets in which several components meet are looked at again
+    placed = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "band", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     several = placed.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
-    placed = materialise(placed.join(several, "band", "left_semi"), "placed")
-    x, y = placed.alias("x"), placed.alias("y")
-    differ = sum(F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(4))
-    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.c") != F.col("y.c"))
-                  & (F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n")) & (differ <= SKETCH_BITS)
-                  ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
-    rest = rest.join(starred, ["a", "b"], "left_anti")
+    unsettled = placed.join(several, "band", "left_semi").select("doc_id", "c").distinct()
+    unsettled = materialise(unsettled.join(sketches, "doc_id"), "unsettled")
+    rest = _rare_pairs(unsettled, texts, threshold).join(starred, ["a", "b"], "left_anti")
     last = materialise(_verified(rest, texts, threshold), "links")
     # copies join their representative's component
     parts = connected_components(links.unionByName(last).unionByName(copied.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))))
