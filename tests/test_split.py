@@ -1,5 +1,8 @@
 import datetime as dt
 
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tripflow.operators.split import ChronologicalSplit
@@ -62,3 +65,50 @@ def test_hot_instant_and_null_boundaries(spark):
     s = ChronologicalSplit(buckets=4, exact_rows=2).fit(df)
     got = {r.trip_id: r.split for r in s.assign(df).collect()}
     assert got == _reference(times, keys)
+
+
+def test_keys_that_cannot_order_rows_are_refused(spark):
+    at = dt.datetime(2026, 1, 1)
+    with pytest.raises(ValueError, match="3 rows have no trip_id"):
+        ChronologicalSplit().fit(_frame(spark, [at] * 10, [1, 2, 3, None, 5, None, 7, 8, None, 10]))
+    for times in ([at] * 10, [None] * 10):
+        with pytest.raises(ValueError, match="share the trip_id 5"):
+            ChronologicalSplit().fit(_frame(spark, times, [5] * 10))
+    # equal keys away from the cuts do no harm
+    times = [at + dt.timedelta(hours=i) for i in range(8)]
+    df = _frame(spark, [at, at, *times[1:], times[7]], [9, 9, 1, 2, 3, 4, 5, 6, 7, 8])
+    assert ChronologicalSplit().fit(df).take(df, "train").count() == 6
+
+
+_TIMES = st.lists(st.one_of(st.none(), st.integers(0, 3).map(lambda h: dt.datetime(2026, 1, 1, h))), min_size=1, max_size=40)
+
+
+@settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(times=_TIMES, data=st.data())
+def test_landed_trips_split_whole(spark, tmp_path_factory, times, data):
+    """Null, repeated and missing keys: landed with a row key, every row is in one split, sizes are exact, and take
+    and assign agree."""
+    from tripflow.sources.tables import land_keyed
+
+    keys = data.draw(st.lists(st.one_of(st.none(), st.integers(0, 2)), min_size=len(times), max_size=len(times)))
+    df = spark.createDataFrame(list(zip(keys, times)), "trip_id bigint, lpep_pickup_datetime timestamp_ntz").repartition(3)
+    df = land_keyed(df if data.draw(st.booleans()) else df.drop("trip_id"), str(tmp_path_factory.mktemp("landed") / "t"))
+    assert df.select("trip_id").distinct().count() == len(times)
+    s = ChronologicalSplit(buckets=4, exact_rows=3).fit(df)
+    assigned = {r.trip_id: r.split for r in s.assign(df).collect()}
+    taken = {r.trip_id: name for name in ("train", "val", "test") for r in s.take(df, name).collect()}
+    n = len(times)
+    sizes = [list(assigned.values()).count(x) for x in ("train", "val", "test")]
+    assert assigned == taken and sizes == [int(n * 0.6), int(n * 0.8) - int(n * 0.6), n - int(n * 0.8)]
+    rank = {r.trip_id: (r[1] is None, r[1] or dt.datetime.min, ["train", "val", "test"].index(assigned[r.trip_id]))
+            for r in df.select("trip_id", "lpep_pickup_datetime").collect()}
+    by_time = sorted(rank.values())
+    assert [x[2] for x in by_time] == sorted(x[2] for x in by_time)
+
+
+def test_rows_without_key_after_the_fit_are_in_one_split(spark):
+    at = dt.datetime(2026, 1, 1)
+    s = ChronologicalSplit().fit(_frame(spark, [at] * 10))
+    late = _frame(spark, [at, None, at], [None, None, 2])
+    assert sum(s.take(late, x).count() for x in ("train", "val", "test")) == 3
+    assert {r.split for r in s.assign(late).where("trip_id is null").collect()} == {"test"}

@@ -14,6 +14,11 @@ window partitioned by cut, each partition at most ``exact_rows`` rows) and the
 row at the cut's rank is the boundary; only those rows reach the driver. The
 result is a pair of boundary keys; each split is then a plain comparison
 predicate on (pickup, key) that Catalyst pushes into the parquet scan.
+
+The tie-break key must be there and unique within an instant, else no predicate
+could tell rows of one instant apart: ``fit`` counts null keys in its first pass
+and equal keys at the cuts, and raises. Trips without such a key get a stable one
+from where they are landed (``sources.tables.land_keyed``).
 """
 
 from __future__ import annotations
@@ -76,7 +81,10 @@ class ChronologicalSplit:
         # one row per hour that has data, so the driver gets a small table
         hours = keys.groupBy(F.floor(m / F.lit(HOUR_MICROS)).alias("b")).agg(
             F.count(F.lit(1)).alias("c"), F.min("m").alias("lo"), F.max("m").alias("hi"),
-            F.min("k").alias("klo"), F.max("k").alias("khi")).collect()
+            F.min("k").alias("klo"), F.max("k").alias("khi"), F.count_if(F.col("k").isNull()).alias("keyless")).collect()
+        keyless = sum(r["keyless"] for r in hours)
+        if keyless:
+            raise ValueError(f"{keyless} rows have no {self.key_col}; land the trips with a row key first")
         nulls = next((r for r in hours if r["b"] is None), None)
         timed = sorted((r for r in hours if r["b"] is not None), key=lambda r: r["b"])
         nn = sum(r["c"] for r in timed)
@@ -122,8 +130,10 @@ class ChronologicalSplit:
         wanted = F.reduce(F.array(*[self._in_time(lo, hi) for _, lo, hi, _ in exact]), F.lit(False),
                           lambda acc, x: acc | x)
         tagged = frame.where(wanted).select("m", "k", F.explode(tags).alias("cut")).where(F.col("cut").isNotNull())
-        numbered = tagged.withColumn("rn", F.row_number().over(Window.partitionBy("cut").orderBy("m", "k")))
-        for row in numbered.where(F.col("rn") == ranks[F.col("cut")] + 1).select("cut", "m", "k").collect():
+        numbered = tagged.withColumn("rn", F.row_number().over(Window.partitionBy("cut").orderBy("m", "k"))) \
+            .withColumn("equal", F.count(F.lit(1)).over(Window.partitionBy("cut", "m", "k")))
+        for row in numbered.where(F.col("rn") == ranks[F.col("cut")] + 1).select("cut", "m", "k", "equal").collect():
+            self._check_unique(row["k"], row["equal"])
             self.boundaries[row["cut"]] = Boundary(row["m"], row["k"])
 
     def _narrow(self, frame: DataFrame, value: Column, rank: int, lo: int, hi: int, on_time: bool = False):
@@ -159,18 +169,25 @@ class ChronologicalSplit:
         k = F.col("k")
         while count > self.exact_rows and klo != khi:
             klo, khi, rank, count = self._narrow(frame, k, rank, klo, khi)
-        row = frame.where(k.between(klo, khi)).orderBy("k").offset(rank).limit(1).first()
+        near = frame.where(k.between(klo, khi))
+        row = near.orderBy("k").offset(rank).limit(1).first()
+        self._check_unique(row["k"], near.where(k == F.lit(row["k"])).count())
         return Boundary(ts_micros, row["k"])
 
+    def _check_unique(self, key: int, rows: int) -> None:
+        if rows > 1:
+            raise ValueError(f"{rows} rows at a cut share the {self.key_col} {key}; land the trips with a row key first")
+
     # ----------------------------------------------------------- predicates
     def _before(self, b: Boundary | None) -> Column:
         ts, key = F.col(self.ts_col), F.col(self.key_col)
         if b is None:
             return F.lit(True)
         if b.ts_micros is None:
-            return ts.isNotNull() | (key < F.lit(b.key))
+            return ts.isNotNull() | (key.isNotNull() & (key < F.lit(b.key)))
         t = _ts_literal(b.ts_micros)
-        return ts.isNotNull() & ((ts < t) | ((ts == t) & (key < F.lit(b.key))))
+        # a row that arrived after the fit may lack its key: never null, so take and assign agree on it too
+        return ts.isNotNull() & ((ts < t) | ((ts == t) & key.isNotNull() & (key < F.lit(b.key))))
 
     def split_column(self) -> Column:
         b1, b2 = self.boundaries
