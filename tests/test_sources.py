@@ -26,7 +26,7 @@ def test_union_of_drifting_months(spark, labelled):
 
 def test_all_months_missing_is_an_error(spark):
     base = scratch_path(spark, f"test-none-{uuid.uuid4().hex}")
-    with pytest.raises(ValueError, match="No data files"):
+    with pytest.raises(ValueError, match="requested periods has a file"):
         read_periods(spark, month_grid(base, [2026], [1]))
 
 
@@ -48,3 +48,12 @@ def test_entry_smoke(spark):
     assert set(df.columns) == {"segment_name", "segment", "rows", "rmse", "mae"}
     df.collect()
     assert set(entry.oracle_sql()).issubset(entry.queries())
+
+
+def test_columns_outside_the_contract_are_kept(spark):
+    base = scratch_path(spark, f"test-extra-{uuid.uuid4().hex}")
+    spark.createDataFrame([(1, 5, "h1")], "VendorID int, tip_amount int, license string").write.parquet(f"{base}/a")
+    spark.createDataFrame([(2, float("nan"))], "VendorID bigint, tip_amount double").write.parquet(f"{base}/b")
+    rows = {r.VendorID: r for r in read_periods(spark, {"a": f"{base}/a", "b": f"{base}/b"}).frame.collect()}
+    assert (rows[1].tip_amount, rows[1].license, rows[1].period) == (5.0, "h1", "a")
+    assert (rows[2].tip_amount, rows[2].license, rows[2].total_amount) == (None, None, None)

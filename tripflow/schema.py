@@ -62,6 +62,23 @@ DEFAULT_PASSENGER_COUNT = 1.0
 DEFAULT_TRIP_TYPE = 1.0
 DEFAULT_DISTANCE = 1.0
 
+BASE_FEATURES = [
+    "passenger_count",
+    "pickup_month",
+    "day_of_month",
+    "estimated_distance_miles",
+    "same_borough",
+    "hour_sin",
+    "hour_cos",
+    "day_sin",
+    "day_cos",
+    "is_weekend",
+    "is_rush_hour",
+    "PU_zone_frequency",
+    "DO_zone_frequency",
+    "route_frequency",
+]
+
 CATEGORICAL_FEATURE_COLUMNS = ["VendorID", "trip_type", "PU_Borough", "DO_Borough"]
 
 INPUT_MONITORING_COLUMNS = [
@@ -139,6 +156,18 @@ RAW_TRIP = T.StructType(
         T.StructField("trip_distance", T.DoubleType()),
         T.StructField("trip_type", T.DoubleType()),
         T.StructField("fare_amount", T.DoubleType()),
+        T.StructField("extra", T.DoubleType()),
+        T.StructField("mta_tax", T.DoubleType()),
+        T.StructField("tip_amount", T.DoubleType()),
+        T.StructField("tolls_amount", T.DoubleType()),
+        T.StructField("improvement_surcharge", T.DoubleType()),
+        T.StructField("total_amount", T.DoubleType()),
+        T.StructField("payment_type", T.DoubleType()),
+        T.StructField("congestion_surcharge", T.DoubleType()),
+        T.StructField("cbd_congestion_fee", T.DoubleType()),
+        T.StructField("ehail_fee", T.DoubleType()),
+        T.StructField("store_and_fwd_flag", T.StringType()),
+        T.StructField("RatecodeID", T.DoubleType()),
     ]
 )
 

@@ -32,8 +32,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def conform(df: DataFrame, schema: T.StructType = RAW_TRIP, extra=()) -> DataFrame:
-    """Cast every canonical column that is present; NaN in doubles becomes null (pandas merges the two)."""
+def conform(df: DataFrame, schema: T.StructType = RAW_TRIP) -> DataFrame:
+    """Cast every canonical column that is present; NaN in doubles becomes null (pandas merges the two).
+
+    Columns outside the contract are kept as they are.
+    """
     cols = []
     for f in schema.fields:
         if f.name not in df.columns:
@@ -42,20 +45,21 @@ def conform(df: DataFrame, schema: T.StructType = RAW_TRIP, extra=()) -> DataFra
         if isinstance(f.dataType, T.DoubleType):
             c = F.nanvl(c, F.lit(None).cast("double"))
         cols.append(c.alias(f.name))
-    return df.select(*cols, *[F.col(c) for c in extra if c in df.columns])
+    return df.select(*cols, *[F.col(c) for c in df.columns if c not in schema.fieldNames()])
 
 
-def read_periods(spark: SparkSession, paths: dict[str, str], extra=()) -> MonthlyScan:
-    """S1 + U1: union of every existing period file (tagged with ``period``); error when none exists."""
+def read_periods(spark: SparkSession, paths: dict[str, str]) -> MonthlyScan:
+    """S1 + U1: union of every existing period file, all its columns kept (tagged with ``period``); error when none
+    exists."""
     loaded, missing, frames = [], [], []
     for period, path in paths.items():
         if not path_exists(spark, path):
             missing.append(period)
             continue
-        frames.append(conform(spark.read.parquet(path), extra=extra).withColumn("period", F.lit(period)))
+        frames.append(conform(spark.read.parquet(path)).withColumn("period", F.lit(period)))
         loaded.append(period)
     if not frames:
-        raise ValueError("No data files were found for any requested period.")
+        raise ValueError(f"none of the {len(paths)} requested periods has a file")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -75,3 +79,10 @@ def write_raw(df: DataFrame, path: str) -> None:
     month = F.format_string("%04d-%02d", F.year(PICKUP), F.month(PICKUP))  # wall-clock fields, no zone
     df.withColumn("pickup_month", month).write.mode("overwrite") \
         .partitionBy("pickup_month").parquet(path)
+
+
+def write_raw_sorted(df: DataFrame, path: str, order=(PICKUP,)) -> None:
+    """O1: the raw table in pickup order. Ranges of the order are dealt to files and sorted inside each, so reading
+    the files by name gives the whole order and no task sorts everything; null pickups come last."""
+    by = [F.col(c).asc_nulls_last() for c in order]
+    df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
