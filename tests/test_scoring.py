@@ -78,3 +78,18 @@ def test_stream_equals_batch(spark, zones):
     assert streamed == pytest.approx(expected)
     rejected = spark.read.parquet(f"{base}/sink/rejected").collect()
     assert [r.request_id for r in rejected] == [20]
+
+
+def test_numbers_in_requests_are_exact_and_plain(spark):
+    from tripflow.plans.scoring import parse_requests, validate_requests
+
+    def body(vendor):
+        return f'{{"trips":[{{"VendorID":{vendor},"lpep_pickup_datetime":"2026-02-01 08:00:00","PULocationID":1,"DOLocationID":2}}]}}'
+
+    cases = {'"2d"': None, '"2f"': None, "9007199254740993": 9007199254740993, '"2.0"': 2, "2.5": None, '" 7 "': 7, '"0x10"': None,
+             "1e3": 1000, "true": None, '"9223372036854775808"': None}
+    df = spark.createDataFrame([(i, body(v)) for i, v in enumerate(cases)], "request_id bigint, body string")
+    rows = {r.request_id: r for r in validate_requests(parse_requests(df)).collect()}
+    for i, (text, want) in enumerate(cases.items()):
+        assert rows[i].valid == (want is not None), text
+        assert want is None or rows[i].trips[0].VendorID == want, text

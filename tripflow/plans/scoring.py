@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripflow.functions.columns import integer_or_null, number_or_null
 from tripflow.schema import PICKUP, TRIP_REQUEST, TRIP_REQUEST_FIELDS
 
 # fixed validation rules of the request contract
@@ -37,13 +38,8 @@ def parse_requests(bodies: DataFrame, body_col: str = "body") -> DataFrame:
     return bodies.withColumn("trips", F.from_json(F.col(body_col), TRIP_REQUEST)["trips"]).drop(body_col)
 
 
-def _integral(s: Column) -> Column:
-    d = s.try_cast("double")
-    return d.isNotNull() & ~F.isnan(d) & (d == F.floor(d))
-
-
 def _numeric(s: Column) -> Column:
-    return s.try_cast("double").isNotNull()
+    return number_or_null(s).isNotNull() | F.coalesce(s.rlike(r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"), F.lit(False))
 
 
 def _pickup(s: Column) -> Column:
@@ -60,7 +56,7 @@ def trip_problem(t: Column) -> Column:
     for name in FIELD_ORDER:
         v = t[name]
         if name in REQUIRED_INT_FIELDS:
-            bad = ~F.coalesce(_integral(v), F.lit(False))
+            bad = integer_or_null(v).isNull()
         elif name == PICKUP:
             bad = v.isNull() | _pickup(v).isNull()
         else:
@@ -71,17 +67,18 @@ def trip_problem(t: Column) -> Column:
 
 def typed_trip(t: Column) -> Column:
     return F.struct(
-        t["VendorID"].try_cast("double").cast("bigint").alias("VendorID"),
+        integer_or_null(t["VendorID"]).alias("VendorID"),
         _pickup(t[PICKUP]).alias(PICKUP),
-        t["PULocationID"].try_cast("double").cast("bigint").alias("PULocationID"),
-        t["DOLocationID"].try_cast("double").cast("bigint").alias("DOLocationID"),
+        integer_or_null(t["PULocationID"]).alias("PULocationID"),
+        integer_or_null(t["DOLocationID"]).alias("DOLocationID"),
         t["passenger_count"].try_cast("double").alias("passenger_count"),
         t["trip_type"].try_cast("double").alias("trip_type"),
     )
 
 
-def validate_requests(parsed: DataFrame) -> DataFrame:
-    """Adds valid, n_trips, n_invalid_trips, first_invalid_pos (0-based), first_invalid_field, typed ``trips``."""
+def validate_requests(parsed: DataFrame, raw_col: str | None = None) -> DataFrame:
+    """Adds valid, n_trips, n_invalid_trips, first_invalid_pos (0-based), first_invalid_field, typed ``trips``
+    (and, under ``raw_col``, the trips as they came)."""
     trips = F.col("trips")
     problems = F.transform(trips, trip_problem)
     first = F.array_position(F.transform(problems, lambda p: p.isNotNull()), F.lit(True))
@@ -95,6 +92,7 @@ def validate_requests(parsed: DataFrame) -> DataFrame:
         .alias("first_invalid_field"),
         (trips.isNotNull() & (n_invalid == 0)).alias("valid"),
         F.when(trips.isNotNull(), F.transform(trips, typed_trip)).alias("trips"),
+        *([trips.alias(raw_col)] if raw_col else []),
     )
 
 
@@ -105,18 +103,22 @@ def explode_trips(validated: DataFrame, key: str = "request_id") -> DataFrame:
 
 
 def score_requests(validated: DataFrame, scorer, metadata: dict, key: str = "request_id") -> DataFrame:
-    """M9: per request: status, predictions in trip order, model metadata (rejected: 422, no predictions)."""
-    scored = scorer.transform(explode_trips(validated, key))  # only real trips reach the scorer
-    per_request = scored.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "prediction"))).alias("__p")) \
-        .select(key, F.transform("__p", lambda x: x["prediction"]).alias("predictions"))
-    no_trips = validated.where(F.col("valid") & (F.size("trips") == 0)).select(
-        key, F.array().cast(T.ArrayType(T.DoubleType())).alias("predictions"))
-    per_request = per_request.unionByName(no_trips)
-    rejected = validated.where(~F.col("valid")).select(key, F.lit(None).cast(T.ArrayType(T.DoubleType())).alias("predictions"))
-    both = per_request.select(key, F.lit(OK_STATUS).alias("status"), "predictions").unionByName(
-        rejected.select(key, F.lit(REJECTED_STATUS).alias("status"), "predictions"))
-    return both.select(
-        key, "status", "predictions",
+    """M9: per request: status, predictions in trip order, model metadata (rejected: 422, no predictions).
+
+    One pass: every request gives at least one row. A request without trips to score travels as a neutral trip, so
+    the scorer only ever sees whole trips, and its prediction is left out when the requests are put together again.
+    """
+    trips = F.when(F.col("valid"), F.col("trips"))
+    rows = validated.select(key, "valid", F.posexplode_outer(trips).alias("pos", "trip"))
+    neutral = {"VendorID": F.lit(0), PICKUP: F.lit("2000-01-01 00:00:00").cast(T.TimestampNTZType()),
+               "PULocationID": F.lit(0), "DOLocationID": F.lit(0)}
+    fields = [F.coalesce(F.col(f"trip.{c}"), neutral[c]).alias(c) if c in neutral else F.col(f"trip.{c}").alias(c) for c in FIELD_ORDER]
+    scored = scorer.transform(rows.select(key, "valid", "pos", *fields))
+    answers = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "prediction"))))
+    per_request = scored.groupBy(key, "valid").agg(answers.alias("__p"))
+    return per_request.select(
+        key, F.when(F.col("valid"), F.lit(OK_STATUS)).otherwise(F.lit(REJECTED_STATUS)).alias("status"),
+        F.when(F.col("valid"), F.transform("__p", lambda x: x["prediction"])).alias("predictions"),
         F.lit(metadata.get("model_name")).cast("string").alias("model_name"),
         F.lit(metadata.get("model_version")).cast("int").alias("model_version"),
         F.lit(metadata.get("model_alias")).cast("string").alias("model_alias"),

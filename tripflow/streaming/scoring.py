@@ -1,9 +1,9 @@
 """ST1: continuous scoring of arriving trip requests (Structured Streaming).
 
-File source of JSON request lines -> the same validation expressions as batch
+File source of request lines -> JSON, the line kept -> the same validation expressions as batch
 (P16) -> explode valid trips -> scorer (stateless; stream-static broadcast
 joins only) -> two sinks through ``foreachBatch``: scored trips and rejected
-requests. Each micro-batch writes into its own ``batch=<id>`` folder with
+requests with their bodies. Each micro-batch writes into its own ``batch=<id>`` folder with
 overwrite, so a retried batch replaces its own output (idempotent), and the
 checkpoint folder lives under the session's shared ``spark.checkpoint.dir``.
 No state and no watermark are needed: every output row depends on one input row.
@@ -19,11 +19,9 @@ from tripflow.plans.scoring import explode_trips, request_schema_with_key, valid
 
 def start_stream_scoring(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str, scorer,
                          key: str = "request_id", available_now: bool = True, max_files_per_trigger: int = 64):
-    stream = (
-        spark.readStream.schema(request_schema_with_key(key))
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .json(source_dir)
-    )
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(source_dir)
+    request = F.from_json("value", request_schema_with_key(key))
+    stream = lines.select(F.col("value").alias("body"), request.alias("r")).select("body", f"r.{key}", "r.trips")
     validated = validate_requests(stream)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -31,7 +29,7 @@ def start_stream_scoring(spark: SparkSession, source_dir: str, sink_dir: str, ch
         try:
             scored = scorer.transform(explode_trips(batch, key))
             scored.select(key, "pos", "prediction").write.mode("overwrite").parquet(f"{sink_dir}/scored/batch={batch_id}")
-            batch.where(~F.col("valid")).select(key, "n_trips", "first_invalid_pos", "first_invalid_field") \
+            batch.where(~F.col("valid")).select(key, "body", "n_trips", "first_invalid_pos", "first_invalid_field") \
                 .write.mode("overwrite").parquet(f"{sink_dir}/rejected/batch={batch_id}")
         finally:
             batch.unpersist()
@@ -41,13 +39,14 @@ def start_stream_scoring(spark: SparkSession, source_dir: str, sink_dir: str, ch
     return writer.start()
 
 
-def run_available(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str, scorer, timeout_s: int = 600):
-    """Process everything currently in ``source_dir`` and stop (availableNow)."""
+def run_available(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str, scorer,
+                  timeout_s: float | None = None):
+    """Process everything currently in ``source_dir`` and stop (availableNow); without ``timeout_s``, however long it takes."""
     q = start_stream_scoring(spark, source_dir, sink_dir, checkpoint_dir, scorer)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
-        raise TimeoutError("stream scoring did not finish in time")
+        raise TimeoutError(f"stream scoring did not finish within {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q
