@@ -44,13 +44,26 @@ def test_gate_passes_and_names_changed_split(spark, splits):
 
 def test_gate_requires_tags(spark, splits):
     tags = spark.createDataFrame([("data.train.path", "x")], "tag string, value string")
-    with pytest.raises(ValueError, match="Missing tags"):
+    with pytest.raises(ValueError, match="cannot be checked without the tags"):
         verify_reference_lineage(tags, split_fingerprints(splits))
 
 
-def test_summary_record(spark):
-    s = monitoring_summary(spark, current_name="feb", current_path="/d/feb", rows_reference=10, rows_current=5,
-                           has_labels=True, model={"name": "m", "version": 3}, lineage={"a": "b"},
-                           metrics={"quality_rmse": 1.5})
-    r = s.first()
-    assert r.rows_current == 5 and r.has_labels and '"quality_rmse": 1.5' in r.metrics
+def test_summary_record(spark, tmp_path):
+    for name, rmse in (("feb", 1.5), ("mar", None)):  # a labelled batch without clean rows has no rmse
+        monitoring_summary(spark, current_name=name, current_path="/d/x", rows_reference=10, rows_current=5,
+                           has_labels=True, model={"name": "m", "version": 3, "run_id": "r7"}, lineage={"code.git_revision": "abc"},
+                           metrics={"quality_rmse": rmse}).write.mode("append").parquet(str(tmp_path))
+    rows = {r.current_name: r for r in spark.read.parquet(str(tmp_path)).collect()}
+    assert rows["feb"].metrics == {"quality_rmse": 1.5} and rows["mar"].metrics == {"quality_rmse": None}
+    assert rows["feb"].model["version"] == "3" and (rows["feb"].model_run_id, rows["feb"].code_revision) == ("r7", "abc")
+    assert spark.read.parquet(str(tmp_path)).where("metrics['quality_rmse'] > 1").count() == 1
+
+
+def test_large_file_is_refused(spark, tmp_path, monkeypatch):
+    from tripflow.operators import lineage
+
+    (tmp_path / "f").write_bytes(b"x" * 100)
+    assert lineage.file_sha256(spark, str(tmp_path / "f")) == __import__("hashlib").sha256(b"x" * 100).hexdigest()
+    monkeypatch.setattr(lineage, "LARGEST_FILE", 50)
+    with pytest.raises(ValueError, match="split_fingerprints"):
+        lineage.file_sha256(spark, str(tmp_path / "f"))

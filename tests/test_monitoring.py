@@ -107,3 +107,16 @@ def test_empty_or_all_missing_current_side_does_not_fail(spark, frame):
     assert categorical_drift(frame, empty).count() == 6
     rep = input_report(frame, missing).first()
     assert rep.input_missing_value_share == pytest.approx(6 / 48)
+
+
+def test_exact_sample_orders_only_what_is_left(spark):
+    """The threshold is found from counts: the limit sits above a filter on the hash, and results equal a full sort."""
+    from tripflow.operators import monitor
+
+    df = spark.range(20_000).withColumnRenamed("id", "k")
+    want = [r.k for r in df.withColumn("h", monitor.sample_hash(7, ["k"])).orderBy("h", "k").limit(50).collect()]
+    got = monitor.exact_sample(df, 50, 7)
+    assert sorted(r.k for r in got.collect()) == sorted(want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" in plan and "Filter" in plan.split("Limit")[-1]
+    assert monitor.exact_sample(df, 19_999, 7).count() == 19_999 and monitor.exact_sample(df, 20_000, 7).count() == 20_000

@@ -94,3 +94,12 @@ def test_register_version_appends_and_promotes(spark):
     got = [register_version(spark, path, "m", v, r) for v, r in [(1, 9.5), (2, None), (3, 9.1), (4, 9.3), (5, 9.1)]]
     assert got == ["champion", "challenger", "champion", "challenger", "champion"]
     assert register_version(spark, path, "other", 1, 20.0) == "champion"  # models are folded separately
+
+
+def test_nan_metric_is_no_metric(spark):
+    from tripflow.operators.registry import champion_fold
+
+    nan = float("nan")
+    rows = spark.createDataFrame([("m", 1, nan), ("m", 2, 5.0), ("m", 3, nan), ("m", 4, 6.0), ("m", 5, 5.0)], "model string, version bigint, rmse_test double")
+    got = {r.version: r.decision for r in champion_fold(rows).collect()}
+    assert got == {1: "challenger", 2: "champion", 3: "challenger", 4: "challenger", 5: "champion"}

@@ -1,8 +1,9 @@
 """Training lineage and the reference-data gate.
 
 The reference hashes split files; we fingerprint split *content* with an
-order-insensitive aggregate: row count, sum and xor of a 64-bit row hash, and
-the pickup time range. It is one partial aggregate per split (no shuffle of
+order-insensitive aggregate: row count, sum and xor of 60 bits of each row's
+md5, and the pickup time range. The row's text is spelt out below, so any engine
+can recompute it. It is one partial aggregate per split (no shuffle of
 rows), is unchanged by repartitioning or file layout, and changes when a row is
 added, lost or altered.
 """
@@ -29,6 +30,23 @@ def fingerprint_column():
 CONTENT_COLUMNS = [*MODEL_INPUT_COLUMNS, "duration"]
 
 
+def content_hash(frame: DataFrame, cols):
+    """Row hash: the columns in order of name, joined by ``|``; null is ``~``, numbers with a fraction are whole
+    millionths, times go to the second."""
+    kinds = dict(frame.dtypes)
+
+    def text(c: str):
+        v = F.col(c)
+        if kinds[c] in ("double", "float"):
+            v = F.round(v * 1e6).cast("bigint")
+        elif kinds[c].startswith("timestamp"):
+            v = format_second(v)
+        return F.coalesce(v.cast("string"), F.lit("~"))
+
+    joined = F.concat_ws("|", *[text(c) for c in sorted(cols)])
+    return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("bigint")
+
+
 def split_fingerprints(frame: DataFrame, split_col: str = "split", ts_col: str = PICKUP, cols=None) -> DataFrame:
     """D7 for every split at once: (dataset, n_rows, start, end, fingerprint) — one grouped aggregate.
 
@@ -36,15 +54,17 @@ def split_fingerprints(frame: DataFrame, split_col: str = "split", ts_col: str =
     to override), never pass-through keys, so training and monitoring fingerprint the same thing.
     """
     cols = cols or [c for c in CONTENT_COLUMNS if c in frame.columns]
-    h = F.xxhash64(*[F.col(c) for c in sorted(cols)])
-    agg = frame.groupBy(F.col(split_col).alias("dataset")).agg(
+    by = [split_col] if isinstance(split_col, str) else list(split_col)
+    named = frame.select("*", content_hash(frame, cols).alias("__h"))
+    h = F.col("__h")
+    agg = named.groupBy(*[F.col(c).alias("dataset" if c == "split" or len(by) == 1 else c) for c in by]).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_sum"),
         F.bit_xor(h).alias("hash_xor"),
         format_second(F.min(ts_col)).alias("start"),
         format_second(F.max(ts_col)).alias("end"),
     )
-    return agg.select("dataset", "n_rows", "start", "end", fingerprint_column().alias("fingerprint"))
+    return agg.select(*[c for c in agg.columns if c not in ("hash_sum", "hash_xor")], fingerprint_column().alias("fingerprint"))
 
 
 def training_lineage(fingerprints: DataFrame, paths: dict[str, str], code_revision: str = "unavailable") -> DataFrame:
@@ -84,34 +104,49 @@ def verify_reference_lineage(tags: DataFrame, current: DataFrame) -> None:
     present = {r["tag"]: r["value"] for r in tags.collect()}  # a few dozen tags
     missing = [t for t in LINEAGE_REQUIRED_TAGS if not present.get(t)]
     if missing:
-        raise ValueError(f"Champion model has no lineage tags; retrain and register it first. Missing tags: {missing}")
+        raise ValueError(f"the champion's lineage cannot be checked without the tags {missing}; train and register it again")
     bad = [r["dataset"] for r in lineage_checks(tags, current).collect() if not r["matches"]]
     if bad:
         names = ", ".join(f"{'validation' if d == 'val' else d} split hash" for d in sorted(bad, key=lambda d: d != "train"))
-        raise ValueError(f"Current reference data does not match the champion model ({names}).")
+        raise ValueError(f"the reference data has changed since the champion was trained: {names}")
+
+
+SUMMARY = ("run_at timestamp, current_name string, current_path string, rows_reference bigint, rows_current bigint, "
+           "has_labels boolean, model_run_id string, code_revision string, model map<string,string>, "
+           "lineage map<string,string>, metrics map<string,double>")
 
 
 def monitoring_summary(spark: SparkSession, *, current_name: str, current_path: str, rows_reference: int,
                        rows_current: int, has_labels: bool, model: dict, lineage: dict, metrics: dict) -> DataFrame:
-    """The one-row summary record appended to a monitoring history table."""
-    import json
+    """The one-row summary record appended to a monitoring history table.
+
+    Metrics are a map, so the history can be filtered by metric; one that could not be computed is null.
+    """
+    words = lambda d: {k: None if v is None else str(v) for k, v in d.items()}
+    row = (
+        _dt.datetime.now(_dt.timezone.utc), current_name, current_path, int(rows_reference), int(rows_current),
+        bool(has_labels), None if model.get("run_id") is None else str(model["run_id"]), lineage.get("code.git_revision"),
+        words(model), words(lineage), {k: None if v is None else float(v) for k, v in metrics.items()},
+    )
+    return spark.createDataFrame([row], SUMMARY)
 
-    record = {
-        "run_at": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"),
-        "current_name": current_name, "current_path": current_path,
-        "rows_reference": int(rows_reference), "rows_current": int(rows_current), "has_labels": bool(has_labels),
-        "model": json.dumps(model, sort_keys=True), "lineage": json.dumps(lineage, sort_keys=True),
-        "metrics": json.dumps({k: float(v) for k, v in metrics.items()}, sort_keys=True),
-    }
-    schema = ("run_at string, current_name string, current_path string, rows_reference bigint, rows_current bigint, "
-              "has_labels boolean, model string, lineage string, metrics string")
-    return spark.createDataFrame([tuple(record[k] for k in record)], schema)
+
+#: A row holds one value of less than 2 GB; larger files are compared by content (``split_fingerprints``).
+LARGEST_FILE = (1 << 31) - (1 << 20)
 
 
 def file_sha256(spark: SparkSession, path: str) -> str:
-    """sha-256 of one file's bytes, or ``unavailable`` when it does not exist (a file is one task's unit)."""
+    """sha-256 of one file's bytes, or ``unavailable`` when it does not exist.
+
+    A check for small files: the file is one value in one task. Above what a row holds it raises; for data of any size
+    ``split_fingerprints`` is the check.
+    """
     from tripflow.sources.monthly import path_exists
 
     if not path_exists(spark, path):
         return "unavailable"
-    return spark.read.format("binaryFile").load(path).select(F.sha2(F.col("content"), 256).alias("h")).first()["h"]
+    file = spark.read.format("binaryFile").load(path)
+    size = file.select("length").first()["length"]
+    if size > LARGEST_FILE:
+        raise ValueError(f"{path} has {size} bytes, more than one value holds; compare its content by split_fingerprints")
+    return file.select(F.sha2(F.col("content"), 256).alias("h")).first()["h"]

@@ -11,7 +11,8 @@ report library); the output contract is the reference's:
 Plan: each side is stacked to long form (column, value) by a narrow Generate,
 both sides are unioned and counted in ONE grouped aggregate (map-side partial,
 so hot values are pre-combined), and every score is a second aggregate over
-that bounded value-count table. The Wasserstein integral needs values in order;
+that value-count table: small for categories, for continuous columns as long as
+they have distinct values. The Wasserstein integral needs values in order;
 that runs as a blocked ordered scan (``operators/ordered.py``), never as a
 single-partition window. The whole batch is used; sampling (O5) is optional.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.columns import lax_double, with_sentinel
-from tripflow.functions.timefeat import as_timestamp, to_second, weekday_monday0
+from tripflow.functions.timefeat import as_timestamp, ntz_micros, to_second, weekday_monday0
 from tripflow.operators.evaluate import residual
 from tripflow.operators.ordered import Running, ordered_scan
 from tripflow.schema import (
@@ -66,14 +67,42 @@ def monitoring_frame(inputs: DataFrame, keep=()) -> DataFrame:
     return inputs.select(*out, *[F.col(k) for k in keep])
 
 
+SAMPLE_BITS = 12  # of the hash that one level of the threshold search looks at
+SAMPLE_SLACK = 1000  # rows beyond n that the last ordering may hold
+
+
+def sample_hash(seed: int, cols) -> Column:
+    """60 bits of md5 over the seed and the key as text, the same in any engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def exact_sample(df: DataFrame, n: int, seed: int, key_cols=None) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows chosen by a seeded hash of the row; stable under repartitioning.
+    """Exactly ``min(n, rows)`` rows, those with the least seeded hash of the key (ties by key); stable under
+    repartitioning.
 
-    A top-k by hash: each task keeps its k best rows before the single small merge.
+    The hash below which n rows lie is found from counts per leading bits (a bounded table at each level); only rows
+    up to it are ordered, so no task ever sees much more than n rows.
     """
     cols = key_cols or df.columns
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
-    return df.withColumn("__h", h).orderBy("__h", *cols).limit(n).drop("__h")
+    hashed = df.withColumn("__h", sample_hash(seed, cols))
+    lo, below, width = 0, 0, 60  # all rows under lo are in; the cut lies in lo .. lo + 2**width
+    while width > 0:
+        step = min(SAMPLE_BITS, width)
+        part = F.shiftright(F.col("__h") - F.lit(lo), width - step)
+        counts = sorted((r["b"], r["c"]) for r in hashed.where(F.col("__h").between(lo, lo + (1 << width) - 1))
+                        .groupBy(part.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
+        for b, c in counts:
+            if below + c >= n:
+                break
+            below += c
+        else:
+            return hashed.drop("__h")  # fewer rows than asked for
+        width -= step
+        lo += int(b) << width
+        if below + c <= n + SAMPLE_SLACK:
+            break
+    return hashed.where(F.col("__h") < F.lit(lo + (1 << width))).orderBy("__h", *cols).limit(n).drop("__h")
 
 
 def missing_share(frame: DataFrame, cols=INPUT_MONITORING_COLUMNS) -> DataFrame:
@@ -106,7 +135,7 @@ def load_monitoring_batch(raw: DataFrame, scorer, max_rows: int | None = None, s
 
     if DROPOFF in raw.columns:
         if "trip_distance" not in raw.columns:
-            raise ValueError("Labeled monitoring data must contain trip_distance for training-equivalent filtering.")
+            raise ValueError("a batch with dropoff times needs trip_distance too, to be filtered as in training")
         inputs = prepare_training_data(raw, keep=tuple(keep))
         labelled = True
     else:
@@ -123,14 +152,22 @@ def load_monitoring_batch(raw: DataFrame, scorer, max_rows: int | None = None, s
 
 
 def column_summary(frame: DataFrame, categorical=CATEGORICAL_MONITORING_COLUMNS,
-                   numeric=tuple(NUMERIC_INPUT_COLUMNS)) -> DataFrame:
+                   numeric=tuple(NUMERIC_INPUT_COLUMNS), times=(PICKUP,), target: str = "duration",
+                   prediction: str = "prediction") -> DataFrame:
     """D3: per monitored column: role, rows, missing, distinct, top value (+ min/max/mean/std when numeric).
 
+    Roles are categorical, numerical, datetime and, for a labelled frame, target and prediction. A time is summed up
+    by seconds since 1970 of its wall clock.
+
     One stacked value count over the frame (the frame is read once, hot values pre-combined),
     checkpointed; every figure is an aggregate over that table. Top value: highest count,
     lowest value on ties. Numeric std is the sample std over non-missing values.
     """
     ensure_checkpoint_dir(frame.sparkSession)
+    roles = {**{c: "numerical" for c in numeric}, **{c: "datetime" for c in times},
+             **{c: role for c, role in ((target, "target"), (prediction, "prediction")) if c in frame.columns}}
+    frame = frame.withColumns({c: ntz_micros(F.col(c)) / F.lit(1e6) for c in times})
+    numeric = tuple(roles)
     counts = stacked_counts(frame.limit(0), frame, categorical=categorical, numeric=numeric) \
         .select("column", "value", "num", F.col("n_cur").alias("n")).checkpoint(eager=True)
     cat = counts.where(F.col("column").isin(list(categorical))).groupBy("column").agg(
@@ -151,15 +188,14 @@ def column_summary(frame: DataFrame, categorical=CATEGORICAL_MONITORING_COLUMNS,
         F.sum(F.when(present, F.col("n") * (F.col("num") - F.col("mean")) ** 2)).alias("ss"),
         F.sum(F.when(present, F.col("n"))).alias("k"))
     num = first.join(F.broadcast(spread), "column").select(
-        "column", F.lit("numerical").alias("role"), "rows", "missing", "distinct",
-        F.lit(None).cast("string").alias("top_value"), "min", "max", "mean",
+        "column", F.create_map(*[F.lit(x) for pair in roles.items() for x in pair])[F.col("column")].alias("role"),
+        "rows", "missing", "distinct", F.lit(None).cast("string").alias("top_value"), "min", "max", "mean",
         F.when(F.col("k") > 1, F.sqrt(F.col("ss") / (F.col("k") - 1))).alias("std"))
     return cat.unionByName(num)
 
 
 # ---------------------------------------------------------------- value counts
 NULL_TALLY = "__null_cells__"  # pseudo column: per-row count of missing cells, counted like a value
-ABS_ERROR = "__abs_error"      # pseudo column: |duration - prediction|, counted like a value
 
 
 def stacked_counts(reference: DataFrame, current: DataFrame, categorical=(), numeric=(), tally=()) -> DataFrame:
@@ -299,23 +335,19 @@ def quality_report(reference: DataFrame, current: DataFrame) -> DataFrame:
     rmse and mae within 10 % of the reference batch's, no drift of ``duration``
     and of ``prediction``.
 
-    Each frame is read (and scored) once: the absolute error joins duration and prediction
-    in one stacked value count, checkpointed; rmse and mae are sums over that table.
+    rmse and mae are partial aggregates of the scored frames; only the two drift columns are counted by value.
     """
     ensure_checkpoint_dir(reference.sparkSession)
-    err = F.abs(residual())
-    counts = stacked_counts(reference.withColumn(ABS_ERROR, err), current.withColumn(ABS_ERROR, err),
-                            numeric=["duration", "prediction", ABS_ERROR]).checkpoint(eager=True)
-    drift = wasserstein_from_counts(counts.where(F.col("column").isin("duration", "prediction")))
+    drift = numeric_drift(reference, current, ["duration", "prediction"])
     scores = drift.groupBy().pivot("column", ["duration", "prediction"]).agg(
         F.first("drift_score").alias("s"), F.first("drift_detected").alias("d"))
-    a = counts.where((F.col("column") == ABS_ERROR) & F.col("num").isNotNull())
-    v = F.col("num")
-    errors = a.agg(
-        F.sqrt(F.try_divide(F.sum(v * v * F.col("n_cur")), F.sum("n_cur"))).alias("rmse"),
-        F.try_divide(F.sum(v * F.col("n_cur")), F.sum("n_cur")).alias("mae"),
-        F.sqrt(F.try_divide(F.sum(v * v * F.col("n_ref")), F.sum("n_ref"))).alias("ref_rmse"),
-        F.try_divide(F.sum(v * F.col("n_ref")), F.sum("n_ref")).alias("ref_mae"),
+    sides = reference.select(F.lit(0).alias("side"), residual().alias("e")).unionByName(
+        current.select(F.lit(1).alias("side"), residual().alias("e")))
+    e = F.nanvl(F.col("e"), F.lit(None).cast("double"))
+    on = lambda side: F.when(F.col("side") == side, e)
+    errors = sides.agg(
+        F.sqrt(F.avg(on(1) * on(1))).alias("rmse"), F.avg(F.abs(on(1))).alias("mae"),
+        F.sqrt(F.avg(on(0) * on(0))).alias("ref_rmse"), F.avg(F.abs(on(0))).alias("ref_mae"),
     )
     k = F.lit(1).alias("__k")
     row = errors.select(k, "*").join(F.broadcast(scores.select(k, "*")), "__k")

@@ -20,7 +20,8 @@ CHAMPION, CHALLENGER = "champion", "challenger"
 
 def champion_fold(versions: DataFrame, model: str = "model", version: str = "version",
                   metric: str = "rmse_test") -> DataFrame:
-    """Per version: the champion metric before it and the alias it receives."""
+    """Per version: the champion metric before it and the alias it receives (a NaN metric is no metric)."""
+    versions = versions.withColumn(metric, F.nanvl(F.col(metric).cast("double"), F.lit(None).cast("double")))
     scanned = ordered_scan(versions, [model], version,
                            [Running("champion_metric_before", F.col(metric), kind="min", inclusive=False)])
     m, before = F.col(metric), F.col("champion_metric_before")
@@ -46,7 +47,7 @@ def best_trial(trials: DataFrame, study: str = "study", trial: str = "trial", me
     """The trial with the lowest metric per study (lowest trial number on ties); trials without a metric never win."""
     best = F.min_by(F.struct(F.col(trial).alias("t"), F.col(metric).alias("m"), *[F.col(p) for p in params]),
                     F.struct(F.col(metric), F.col(trial)))
-    out = trials.where(F.col(metric).isNotNull()).groupBy(study).agg(best.alias("b"), F.count(F.lit(1)).alias("n_trials"))
+    out = trials.where(F.col(metric).isNotNull() & ~F.isnan(metric)).groupBy(study).agg(best.alias("b"), F.count(F.lit(1)).alias("n_trials"))
     return out.select(study, "n_trials", F.col("b.t").alias("best_trial"), F.col("b.m").alias(f"best_{metric}"),
                       *[F.col(f"b.{p}").alias(p) for p in params])
 

@@ -3,8 +3,8 @@
 A15 needs exact percentiles per (batch size, concurrency). ``percentile`` keeps
 a value->count map per group in one task; a hot case would hold a third of all
 values there. Instead: count per (case, value) (map-side combined), one blocked
-ordered scan for the running count, then pick the two ranks around each
-percentile position and interpolate linearly (the usual (n-1)*p definition).
+ordered scan for the running count, then one aggregate per case picks the two
+ranks around each percentile position and interpolates linearly (the usual (n-1)*p definition).
 """
 
 from __future__ import annotations
@@ -24,27 +24,19 @@ def exact_percentiles(df: DataFrame, groups: list[str], value: str, percentiles=
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__c"))
     sizes = counts.groupBy(*groups).agg(F.sum("__c").alias("__n"))
     scanned = ordered_scan(counts, groups, value, [Running("__cum", F.col("__c"))])
-    targets = []
+    position = lambda p: (F.col("__n") - 1) * F.lit(p)
+    # one row per case; checked before broadcast
+    ranked = scanned.join(Dimension(sizes).side(), groups, "inner")
+    holds = lambda rank: (rank >= F.col("__cum") - F.col("__c")) & (rank < F.col("__cum"))
+    ends = []
     for name, p in percentiles:
-        h = (F.col("__n") - 1) * F.lit(p)
-        lo = F.floor(h)
-        targets += [
-            F.struct(F.lit(name).alias("name"), F.lit("lo").alias("end"), lo.alias("rank"), (h - lo).alias("frac")),
-            F.struct(F.lit(name).alias("name"), F.lit("hi").alias("end"),
-                     F.least(lo + 1, F.col("__n") - 1).alias("rank"), (h - lo).alias("frac")),
-        ]
-    wanted = sizes.select(*groups, "__n", F.inline(F.array(*targets)))
-    # one row per (case, percentile end): bounded by #cases x 6; checked before broadcast
-    side = Dimension(wanted).side()
-    hit = scanned.join(side, groups, "inner").where(
-        (F.col("rank") >= F.col("__cum") - F.col("__c")) & (F.col("rank") < F.col("__cum")))
-    picked = hit.groupBy(*groups, "name").agg(
-        F.max(F.when(F.col("end") == "lo", F.col(value))).alias("lo_v"),
-        F.max(F.when(F.col("end") == "hi", F.col(value))).alias("hi_v"),
-        F.max("frac").alias("frac"),
-    )
-    interp = picked.select(*groups, "name", (F.col("lo_v") + F.col("frac") * (F.col("hi_v") - F.col("lo_v"))).alias("v"))
-    return interp.groupBy(*groups).pivot("name", [n for n, _ in percentiles]).agg(F.first("v"))
+        lo = F.floor(position(p))
+        ends += [F.max(F.when(holds(lo), F.col(value))).alias(f"__lo_{name}"),
+                 F.max(F.when(holds(F.least(lo + 1, F.col("__n") - 1)), F.col(value))).alias(f"__hi_{name}")]
+    picked = ranked.groupBy(*groups).agg(F.first("__n").alias("__n"), *ends)
+    share = lambda p: position(p) - F.floor(position(p))
+    return picked.select(*groups, *[
+        (F.col(f"__lo_{n}") + share(p) * (F.col(f"__hi_{n}") - F.col(f"__lo_{n}"))).alias(n) for n, p in percentiles])
 
 
 def latency_profile(log: DataFrame) -> DataFrame:
