@@ -98,3 +98,11 @@ def test_unknown_zones_give_zero_same_borough(spark, fitted):
     r = m.transform(row).first().asDict()
     assert r["same_borough"] == 0 and r["estimated_distance_miles"] == m.median_distance
     assert r["PU_zone_frequency"] == 0.0 and r["DO_zone_frequency"] == 0.0
+
+
+def test_physical_names_are_injective():
+    from tripflow.functions.columns import safe_names
+
+    names = ["A B", "A-B", "a b", "A_B", "plain"]
+    out = safe_names(names)
+    assert len({n.lower() for n in out}) == len(names) and out[-1] == "plain"

@@ -53,6 +53,39 @@ def test_random_search_selects_on_validation(spark, zones, labelled):
     assert b.best_rmse_val == min(r.rmse_val for r in trials.collect())
 
 
+def test_winner_keeps_all_parameters_and_retrains(spark, zones, labelled):
+    from tripflow.plans.train import fit_pipeline
+    from tripflow.schema import SEARCH_SPACE
+
+    data = prepare_training_data(labelled).persist()
+    trials = random_search(zones, data, data, n_trials=2, overrides={"n_estimators": 2, "max_depth": 2, "min_child_weight": 1})
+    best = best_trial(trials, params=tuple(SEARCH_SPACE)).first().asDict()
+    params = {k: best[k] for k in SEARCH_SPACE}
+    again = score(fit_pipeline(zones, data, params), data, keep=("duration",))
+    rmse = again.agg(F.sqrt(F.avg((F.col("duration") - F.col("prediction")) ** 2))).first()[0]
+    assert rmse == pytest.approx(best["best_rmse_val"], rel=1e-9)
+    data.unpersist()
+
+
+def test_a_fit_leaves_the_callers_cache_alone(spark, zones, labelled):
+    from pyspark import StorageLevel
+
+    from tripflow.plans.train import fit_pipeline
+
+    data = prepare_training_data(labelled).coalesce(1).persist()
+    fit_pipeline(zones, data, FAST)
+    assert data.storageLevel != StorageLevel.NONE
+    data.unpersist()
+
+
+def test_too_deep_trees_are_refused():
+    from tripflow.plans.train import gbt_from_params
+
+    with pytest.raises(ValueError, match="at most 30"):
+        gbt_from_params({"max_depth": 31})
+    assert gbt_from_params({}, max_bins=64).getMaxBins() == 64
+
+
 def test_repeatable_fit(spark, zones, labelled):
     data = prepare_training_data(labelled)
     a = score(build_pipeline(zones, FAST).fit(data), data).agg(F.sum("prediction")).first()[0]

@@ -26,11 +26,12 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.functions.columns import lax_double, safe_name, same_value_flag, with_sentinel
+from tripflow.functions.columns import lax_double, safe_names, same_value_flag, with_sentinel
 from tripflow.functions.geo import haversine_miles
 from tripflow.functions.timefeat import as_timestamp, cyclical, hour, is_rush_hour, is_weekend, weekday_monday0
 from tripflow.operators.joins import BROADCAST_MAX_ROWS, Dimension
 from tripflow.schema import (
+    BASE_FEATURES,
     CATEGORICAL_FEATURE_COLUMNS,
     DEFAULT_DISTANCE,
     DEFAULT_PASSENGER_COUNT,
@@ -40,22 +41,8 @@ from tripflow.schema import (
 )
 from tripflow.session import ensure_checkpoint_dir
 
-BASE_FEATURES = [
-    "passenger_count",
-    "pickup_month",
-    "day_of_month",
-    "estimated_distance_miles",
-    "same_borough",
-    "hour_sin",
-    "hour_cos",
-    "day_sin",
-    "day_cos",
-    "is_weekend",
-    "is_rush_hour",
-    "PU_zone_frequency",
-    "DO_zone_frequency",
-    "route_frequency",
-]
+#: Categories a column may have: each becomes a feature column.
+MAX_CATEGORIES = 2000
 
 PU, DO = "PULocationID", "DOLocationID"
 
@@ -162,6 +149,9 @@ class TripFeaturesModel(Model, _FeatureParams):
         # the summary row count bounds every lookup table's size (used for the broadcast decision)
         model.route_rows = model.pu_rows = model.do_rows = int(row["summary_rows"])
         model.categories = {c: list(row[c]) for c in CATEGORICAL_FEATURE_COLUMNS}
+        for c, found in model.categories.items():
+            if len(found) > MAX_CATEGORIES:
+                raise ValueError(f"{c} has {len(found)} categories; one column each is only sensible up to {MAX_CATEGORIES}")
         mode = (
             summary.where(F.col("trip_type").isNotNull())
             .groupBy("trip_type").agg(F.sum("n").alias("c"))
@@ -220,7 +210,7 @@ class TripFeaturesModel(Model, _FeatureParams):
 
     # ------------------------------------------------------------ transform
     def physical_names(self) -> list[str]:
-        return [safe_name(n) for n in self.feature_names]
+        return safe_names(self.feature_names)
 
     def getFeatureNamesOut(self) -> list[str]:
         return list(self.feature_names)
@@ -276,7 +266,7 @@ class TripFeaturesModel(Model, _FeatureParams):
             as_text = with_sentinel(source[c], FEATURE_MISSING)
             for cat in self.categories[c][1:]:
                 values[f"{c}_{cat}"] = (as_text == F.lit(cat)).cast("int")
-        out = out.select(*keep, *[values[n].alias(safe_name(n)) for n in self.feature_names])
+        out = out.select(*keep, *[values[n].alias(p) for n, p in zip(self.feature_names, self.physical_names())])
         vec = self.getOrDefault(self.featuresCol)
         if vec:
             from pyspark.ml.feature import VectorAssembler
@@ -287,15 +277,15 @@ class TripFeaturesModel(Model, _FeatureParams):
 
     def long_form(self, transformed: DataFrame, id_cols) -> DataFrame:
         """(ids..., feature, value): one row per feature, display names, doubles. A narrow Generate, no shuffle."""
-        pairs = [F.struct(F.lit(n).alias("feature"), F.col(safe_name(n)).cast("double").alias("value"))
-                 for n in self.feature_names]
+        pairs = [F.struct(F.lit(n).alias("feature"), F.col(p).cast("double").alias("value"))
+                 for n, p in zip(self.feature_names, self.physical_names())]
         return transformed.select(*id_cols, F.inline(F.array(*pairs)))
 
     def assert_no_nulls(self, transformed: DataFrame) -> None:
         """The learner rejects nulls: count nulls over all features in one aggregate."""
-        row = transformed.agg(*[F.count_if(F.col(safe_name(n)).isNull()).alias(safe_name(n))
-                                for n in self.feature_names]).first()
-        bad = [n for n in self.feature_names if row[safe_name(n)]]
+        physical = self.physical_names()
+        row = transformed.agg(*[F.count_if(F.col(p).isNull()).alias(p) for p in physical]).first()
+        bad = [n for n, p in zip(self.feature_names, physical) if row[p]]
         if bad:
             raise ValueError(f"null feature values in {bad}")
 

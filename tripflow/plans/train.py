@@ -38,15 +38,21 @@ FEATURES_VECTOR = "features"
 TOP_FEATURES = 20
 
 
-def gbt_from_params(params: dict, label: str = "duration", seed: int = RANDOM_SEED) -> GBTRegressor:
+#: MLlib's limit on the depth of a tree, and the number of bins a feature is cut into.
+DEEPEST, MAX_BINS = 30, 32
+
+
+def gbt_from_params(params: dict, label: str = "duration", seed: int = RANDOM_SEED, max_bins: int = MAX_BINS) -> GBTRegressor:
     """M4: boosted trees from the reference's parameter names."""
     p = {**CHAMPION_PARAMS, **params}
+    if p["max_depth"] > DEEPEST:
+        raise ValueError(f"max_depth {p['max_depth']}: trees have at most {DEEPEST} levels here")
     return GBTRegressor(
         featuresCol=FEATURES_VECTOR, labelCol=label, predictionCol="prediction", lossType="squared",
-        maxDepth=int(min(p["max_depth"], 30)), stepSize=float(p["learning_rate"]), maxIter=int(p["n_estimators"]),
+        maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]), maxIter=int(p["n_estimators"]),
         subsamplingRate=float(p["subsample"]), minInstancesPerNode=max(1, int(p["min_child_weight"])),
         featureSubsetStrategy=str(float(p["colsample_bytree"])), minInfoGain=float(p["gamma"]),
-        seed=seed, checkpointInterval=10, cacheNodeIds=False, maxBins=32,
+        seed=seed, checkpointInterval=10, cacheNodeIds=False, maxBins=max_bins,
     )
 
 
@@ -56,15 +62,22 @@ def build_pipeline(zones: Dimension, params: dict | None = None, keep=("duration
     return Pipeline(stages=[features, gbt_from_params(params or {})])
 
 
+#: Rows that are worth a task of their own in the many small jobs of tree learning.
+TASK_ROWS = 25_000
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Training input with at least the session's parallelism in partitions.
+    """Training input in as many partitions as its rows can use, up to the session's parallelism.
 
-    Tree learning runs one aggregation job per level over the input partitions; a
-    small landed file arrives as one partition and would use one core. Large inputs
-    already have many partitions and pass through untouched (no shuffle).
+    Tree learning runs two stages per level over the input partitions: a small landed file that arrives as one
+    partition would use one core, and a task for every few rows costs more than it computes. Inputs with at least the
+    session's parallelism in partitions pass through untouched (no shuffle, no count).
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    most, has = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    if has >= most:
+        return df
+    want = max(1, min(most, -(-df.count() // TASK_ROWS)))
+    return df.repartition(want) if want != has else df
 
 
 def fit_pipeline(zones: Dimension, train: DataFrame, params: dict | None = None) -> PipelineModel:
@@ -74,11 +87,16 @@ def fit_pipeline(zones: Dimension, train: DataFrame, params: dict | None = None)
     metadata, split-candidate and binning passes all read it (a lost block is recomputed
     from lineage).
     """
-    data = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    data = spread(train)
+    # a caller's cache is the caller's to keep and to release
+    owned = data.storageLevel == StorageLevel.NONE
+    if owned:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return build_pipeline(zones, params).fit(data)
     finally:
-        data.unpersist()
+        if owned:
+            data.unpersist()
 
 
 def feature_model(model: PipelineModel) -> TripFeaturesModel:
@@ -167,7 +185,7 @@ def random_search(zones: Dimension, train: DataFrame, validation: DataFrame, n_t
 
     Trials are independent Spark jobs submitted from a small driver thread pool
     (as ``CrossValidator(parallelism=)`` does); the trial table is returned and
-    ``operators.registry.best_trial`` picks the winner.
+    ``operators.registry.best_trial`` picks the winner, with all its parameters (``params=tuple(SEARCH_SPACE)``).
     """
     rng = random.Random(seed)
     trials = [(i, {**sample_params(rng), **(overrides or {})}) for i in range(n_trials)]
@@ -180,18 +198,22 @@ def random_search(zones: Dimension, train: DataFrame, validation: DataFrame, n_t
         rmse = e.agg(F.sqrt(F.avg((F.col("duration") - F.col("prediction")) ** 2)).alias("r")).first()["r"]
         return (number, float(rmse), params)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, trials))
-    spark = train.sparkSession
-    rows = [(0, n, r, int(p["max_depth"]), int(p["min_child_weight"]), float(p["learning_rate"]), int(p["n_estimators"]))
-            for n, r, p in results]
-    return spark.createDataFrame(rows, "study int, trial int, rmse_val double, max_depth int, min_child_weight int, "
-                                       "learning_rate double, n_estimators int")
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            results = list(pool.map(run, trials))
+    finally:
+        train_c.unpersist()
+        val_c.unpersist()
+    rows = [(0, n, r, *[float(p[k]) for k in SEARCH_SPACE]) for n, r, p in results]
+    table = train.sparkSession.createDataFrame(
+        rows, "study int, trial int, rmse_val double, " + ", ".join(f"{k} double" for k in SEARCH_SPACE))
+    whole = [k for k, (_, _, kind) in SEARCH_SPACE.items() if kind in ("int", "step50")]
+    return table.withColumns({k: F.col(k).cast("int") for k in whole})
 
 
-def input_example(df: DataFrame, order_col: str = "lpep_pickup_datetime", n: int = 3) -> DataFrame:
+def input_example(df: DataFrame, order_cols=("lpep_pickup_datetime",), n: int = 3) -> DataFrame:
     """The first ``n`` rows in a stated order (a top-k, not a scan of everything to one task)."""
-    return df.orderBy(order_col).limit(n)
+    return df.orderBy(*order_cols).limit(n)
 
 
 def run_training(zones: Dimension, splits: DataFrame, out_path: str, params: dict | None = None,
