@@ -6,6 +6,7 @@ import json
 import pytest
 
 import __spark_entry__ as entry
+from tripflow.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 SKIP = {"gbt_scoring", "feature_importance", "stream_scoring", "monthly_union"}  # fit/write at plan time; shape covered elsewhere
@@ -15,7 +16,7 @@ def _nodes(plan_json):
     return json.loads(plan_json)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP))
 def test_no_global_window(spark, name):
     df = entry.queries()[name](spark, SF)
     nodes = _nodes(df._jdf.queryExecution().optimizedPlan().toJSON())
@@ -57,3 +58,15 @@ def test_fit_summary_is_one_partial_aggregate(spark):
     df = fit_summary(Inputs(spark, SF).prepared("train"))
     plan = _executed(df)
     assert plan.count("partial_count") == 1 and "Window" not in plan
+
+
+def test_results_above_a_broadcast_limit_are_the_same(spark):
+    """Beyond the row limit the lookups are not broadcast by us; the answers stay."""
+    from tripflow.operators.joins import checked_zones, enrich_zones
+    from tripflow.sources import adapter
+
+    raw = adapter.raw_trips(spark, SF).select("trip_id", "PULocationID", "DOLocationID")
+    zones = adapter.zones(spark, SF)
+    few, many = checked_zones(zones, max_rows=3), checked_zones(zones)
+    assert few.side() is few.df and many.side() is not many.df
+    assert sorted(enrich_zones(raw, few).collect()) == sorted(enrich_zones(raw, many).collect())

@@ -369,6 +369,20 @@ decided AS (
                  ELSE 'challenger' END AS decision
   FROM folded)"""
 
+# the row text of the content fingerprint: columns by name, null ~, fractions in millionths
+PRINTS = """hashed AS (
+  SELECT state, split, CAST('0x' || substr(md5(concat_ws('|',
+    coalesce(CAST(DOLocationID AS VARCHAR), '~'), coalesce(CAST(PULocationID AS VARCHAR), '~'),
+    coalesce(CAST(VendorID AS VARCHAR), '~'), coalesce(CAST(CAST(round(duration * 1e6) AS BIGINT) AS VARCHAR), '~'),
+    coalesce(strftime(lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S'), '~'),
+    coalesce(CAST(CAST(round(passenger_count * 1e6) AS BIGINT) AS VARCHAR), '~'),
+    coalesce(CAST(CAST(round(trip_type * 1e6) AS BIGINT) AS VARCHAR), '~'))), 1, 15) AS BIGINT) AS h
+  FROM states),
+prints AS (
+  SELECT state, split, count(*) AS n_rows,
+    sha256(count(*) || ':' || CAST(sum(h) AS VARCHAR) || ':' || CAST(bit_xor(h) AS VARCHAR)) AS fingerprint
+  FROM hashed GROUP BY state, split)"""
+
 REQUEST_LOG = """log AS (
   SELECT event_id AS request_id, [1, 10, 100][event_id % 3 + 1] AS batch_size,
          [1, 5, 10][(event_id // 3) % 3 + 1] AS concurrency,
@@ -383,8 +397,19 @@ ORACLE.update({
 SELECT split AS dataset, count(*) AS n_rows, strftime(min(lpep_pickup_datetime), '%Y-%m-%d %H:%M:%S') AS start,
        strftime(max(lpep_pickup_datetime), '%Y-%m-%d %H:%M:%S') AS "end"
 FROM prepared GROUP BY split"""),
+    "lineage_fingerprint": with_ctes(*BASE, body="""
+, states AS (SELECT 'now' AS state, * FROM prepared), """ + PRINTS + """
+SELECT split AS dataset, n_rows, fingerprint FROM prints"""),
     "lineage_gate": with_ctes(*BASE, body="""
-SELECT split AS dataset, count(*) AS n_rows, true AS matches FROM prepared WHERE split IN ('train', 'val') GROUP BY split"""),
+, hit AS (SELECT min(trip_id) AS id FROM prepared WHERE split = 'train'),
+states AS (
+  SELECT 'untouched' AS state, * FROM prepared
+  UNION ALL SELECT 'altered', * REPLACE (DOLocationID + CAST(trip_id = (SELECT id FROM hit) AS BIGINT) AS DOLocationID) FROM prepared
+  UNION ALL SELECT 'lost', * FROM prepared WHERE trip_id <> (SELECT id FROM hit)
+  UNION ALL SELECT 'added', * FROM prepared
+  UNION ALL SELECT 'added', * FROM prepared WHERE trip_id = (SELECT id FROM hit)), """ + PRINTS + """
+SELECT p.state, p.split AS dataset, p.n_rows, p.fingerprint = u.fingerprint AS matches
+FROM prints p JOIN prints u ON u.state = 'untouched' AND u.split = p.split WHERE p.split IN ('train', 'val')"""),
     "champion_fold": with_ctes(VERSIONS, body="""
 SELECT model, version, rmse_test, champion_metric_before, decision FROM decided"""),
     "model_aliases": with_ctes(VERSIONS, body="""
@@ -422,6 +447,8 @@ REQUESTS = """req_trips AS (
   SELECT trip_id // 10 AS request_id, trip_id,
          '{' || concat_ws(',',
            '"VendorID":' || CASE WHEN trip_id % 101 = 0 THEN '1.5'
+                                 WHEN trip_id % 103 = 0 THEN '"2d"'
+                                 WHEN trip_id % 107 = 0 THEN '9007199254740993'
                                  WHEN trip_id % 13 = 0 THEN '"' || CAST(VendorID AS VARCHAR) || '"'
                                  ELSE CAST(VendorID AS VARCHAR) END,
            '"lpep_pickup_datetime":"' || CASE WHEN trip_id % 97 = 0 THEN strftime(lpep_pickup_datetime, '%d/%m/%Y')
@@ -491,16 +518,22 @@ SELECT request_id, CAST(pos AS INTEGER) AS pos, round(prediction, 6) AS predicti
 
 ORACLE.update({
     "monthly_union": with_ctes(RAW, body="""
-, t AS (SELECT *, least(CAST(floor((day(lpep_pickup_datetime) - 1) / 10) AS INTEGER), 2) AS part FROM raw_trips)
-SELECT trip_id, 'p' || CAST(part AS VARCHAR) AS period, VendorID, passenger_count,
-       CASE WHEN part = 1 THEN NULL ELSE fare_amount END AS fare_amount,
+, t AS (SELECT *, date_trunc('day', (SELECT min(lpep_pickup_datetime) FROM raw_trips)) AS d0, trip_id AS e FROM raw_trips),
+p AS (SELECT *, CASE WHEN lpep_pickup_datetime < d0 + INTERVAL 10 DAY THEN 0 WHEN lpep_pickup_datetime < d0 + INTERVAL 20 DAY THEN 1 ELSE 2 END AS part FROM t)
+SELECT trip_id, 'p' || CAST(part AS VARCHAR) AS period, VendorID, PULocationID, DOLocationID, passenger_count, trip_distance, trip_type,
+       CASE WHEN part <> 1 THEN fare_amount END AS fare_amount, CAST(e % 3 AS DOUBLE) AS extra, CAST(0.5 AS DOUBLE) AS mta_tax,
+       CASE WHEN e % 4 <> 0 THEN CAST(e % 9 AS DOUBLE) END AS tip_amount, CAST(e % 2 AS DOUBLE) AS tolls_amount,
+       CAST(1 AS DOUBLE) AS improvement_surcharge, fare_amount + e % 3 AS total_amount, CAST(e % 5 + 1 AS DOUBLE) AS payment_type,
+       CAST(2.75 AS DOUBLE) AS congestion_surcharge, CAST(0.75 AS DOUBLE) AS cbd_congestion_fee, CAST(NULL AS DOUBLE) AS ehail_fee,
+       CASE WHEN e % 6 = 0 THEN 'Y' ELSE 'N' END AS store_and_fwd_flag, CAST(e % 7 AS DOUBLE) AS RatecodeID,
+       CASE WHEN part = 2 THEN 'h' || CAST(e % 8 AS VARCHAR) END AS hvfhs_license,
        strftime(lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') AS lpep_pickup_datetime
-FROM t"""),
+FROM p"""),
     "signature_cast": with_ctes(RAW, ZONES, REQUESTS, body="""
 SELECT c.request_id, CAST(c.pos AS INTEGER) AS pos,
-       CAST(trunc(CAST(c.trip.VendorID AS DOUBLE)) AS BIGINT) AS VendorID,
-       CAST(trunc(CAST(c.trip.PULocationID AS DOUBLE)) AS BIGINT) AS PULocationID,
-       CAST(trunc(CAST(c.trip.DOLocationID AS DOUBLE)) AS BIGINT) AS DOLocationID,
+       CASE WHEN regexp_full_match(c.trip.VendorID, '[+-]?[0-9]+') THEN TRY_CAST(c.trip.VendorID AS BIGINT) ELSE CAST(trunc(TRY_CAST(c.trip.VendorID AS DOUBLE)) AS BIGINT) END AS VendorID,
+       CASE WHEN regexp_full_match(c.trip.PULocationID, '[+-]?[0-9]+') THEN TRY_CAST(c.trip.PULocationID AS BIGINT) ELSE CAST(trunc(TRY_CAST(c.trip.PULocationID AS DOUBLE)) AS BIGINT) END AS PULocationID,
+       CASE WHEN regexp_full_match(c.trip.DOLocationID, '[+-]?[0-9]+') THEN TRY_CAST(c.trip.DOLocationID AS BIGINT) ELSE CAST(trunc(TRY_CAST(c.trip.DOLocationID AS DOUBLE)) AS BIGINT) END AS DOLocationID,
        TRY_CAST(c.trip.passenger_count AS DOUBLE) AS passenger_count, TRY_CAST(c.trip.trip_type AS DOUBLE) AS trip_type
 FROM checked c JOIN validated v ON c.request_id = v.request_id AND v.valid"""),
 })
@@ -522,5 +555,69 @@ UNION ALL
 SELECT 'passenger_count', 'numerical', count(*), count(*) FILTER (WHERE passenger_count IS NULL),
        count(DISTINCT passenger_count), NULL, round(min(passenger_count), 6), round(max(passenger_count), 6),
        round(avg(passenger_count), 6), round(stddev_samp(passenger_count), 6)
+FROM mon WHERE split = 'test'
+UNION ALL
+SELECT 'lpep_pickup_datetime', 'datetime', count(*), count(*) FILTER (WHERE lpep_pickup_datetime IS NULL),
+       count(DISTINCT lpep_pickup_datetime), NULL, round(min(epoch(lpep_pickup_datetime)), 6), round(max(epoch(lpep_pickup_datetime)), 6),
+       round(avg(epoch(lpep_pickup_datetime)), 6), round(stddev_samp(epoch(lpep_pickup_datetime)), 6)
+FROM mon WHERE split = 'test'
+UNION ALL
+SELECT 'duration', 'target', count(*), count(*) FILTER (WHERE duration IS NULL), count(DISTINCT duration), NULL,
+       round(min(duration), 6), round(max(duration), 6), round(avg(duration), 6), round(stddev_samp(duration), 6)
+FROM mon WHERE split = 'test'
+UNION ALL
+SELECT 'prediction', 'prediction', count(*), count(*) FILTER (WHERE prediction IS NULL), count(DISTINCT prediction), NULL,
+       round(min(prediction), 6), round(max(prediction), 6), round(avg(prediction), 6), round(stddev_samp(prediction), 6)
 FROM mon WHERE split = 'test'"""),
 })
+
+# --------------------------------------------------------------------------- landed tables, sample, history
+def _history() -> str:
+    """The metrics of the input and the quality report, one row each, beside the run's counts."""
+    def stacked(query: str, name: str) -> str:
+        return f"{name} AS (UNPIVOT ({ORACLE[query]}) ON COLUMNS(*) INTO NAME metric VALUE value)"
+
+    return f"""
+WITH {stacked('input_report', 'i')}, {stacked('quality_report', 'q')},
+n AS (SELECT count(*) FILTER (split = 'train') AS r, count(*) FILTER (split = 'test') AS c FROM ({with_ctes(*BASE, body="SELECT split FROM prepared")}))
+SELECT 'test' AS current_name, r AS rows_reference, c AS rows_current, true AS has_labels, 'run-1' AS model_run_id,
+       'r1' AS code_revision, metric, value
+FROM (SELECT * FROM i UNION ALL SELECT * FROM q), n"""
+
+
+ORACLE.update({
+    "split_keyless": with_ctes(RAW, SPLIT, body="""
+SELECT split, count(*) AS "rows", strftime(min(lpep_pickup_datetime), '%Y-%m-%d %H:%M:%S.%f') AS start,
+       strftime(max(lpep_pickup_datetime), '%Y-%m-%d %H:%M:%S.%f') AS "end"
+FROM split_trips GROUP BY split"""),
+    "raw_sorted": with_ctes(RAW, body="""
+SELECT count(*) AS "rows", strftime(min(lpep_pickup_datetime), '%Y-%m-%d %H:%M:%S.%f') AS first,
+       strftime(max(lpep_pickup_datetime), '%Y-%m-%d %H:%M:%S.%f') AS last, CAST(0 AS BIGINT) AS out_of_order,
+       CAST(0 AS BIGINT) AS overlapping_files
+FROM raw_trips"""),
+    "split_roundtrip": with_ctes(*BASE, body="""
+SELECT trip_id, split, strftime(lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') AS lpep_pickup_datetime, round(duration, 6) AS duration
+FROM prepared"""),
+    "zone_csv": with_ctes(ZONES, body="""
+SELECT LocationID, Borough, Zone, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM zones"""),
+    "monitoring_unlabelled": with_ctes(RAW, body="""
+SELECT trip_id, COALESCE(CAST(VendorID AS VARCHAR), '__MISSING__') AS VendorID,
+       COALESCE(CAST(PULocationID AS VARCHAR), '__MISSING__') AS PULocationID,
+       COALESCE(CAST(DOLocationID AS VARCHAR), '__MISSING__') AS DOLocationID,
+       COALESCE(CAST(trip_type AS VARCHAR), '__MISSING__') AS trip_type, CAST(hour(lpep_pickup_datetime) AS VARCHAR) AS pickup_hour,
+       CAST(isodow(lpep_pickup_datetime) - 1 AS VARCHAR) AS pickup_day_of_week, passenger_count,
+       strftime(lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') AS lpep_pickup_datetime, false AS labelled
+FROM raw_trips"""),
+    "input_example": with_ctes(*BASE, body="""
+SELECT trip_id, VendorID, strftime(lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') AS lpep_pickup_datetime, PULocationID, DOLocationID,
+       passenger_count, trip_type
+FROM prepared WHERE split = 'train' ORDER BY prepared.lpep_pickup_datetime, trip_id LIMIT 3"""),
+    "exact_sample": with_ctes(*MON_CTES, body="""
+SELECT trip_id, VendorID, trip_type FROM mon WHERE split = 'test'
+ORDER BY CAST('0x' || substr(md5(concat_ws('|', '42', CAST(trip_id AS VARCHAR))), 1, 15) AS BIGINT), trip_id LIMIT 500"""),
+    "monitoring_history": _history(),
+    "gbt_scoring": with_ctes(*BASE, body="""
+SELECT trip_id, split, round(duration, 6) AS duration, true AS finite, true AS beats_mean FROM prepared"""),
+    "feature_importance": """
+SELECT CAST(range AS INTEGER) AS rank, true AS fitted, true AS falling, true AS within_one FROM range(1, 21)""",
+})

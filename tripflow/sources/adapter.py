@@ -42,6 +42,21 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trips with all columns of a trip file: the payment ones too, and one outside the contract."""
+    trips = raw_trips(spark, sf_dir)
+    eid, fare = F.col(TRIP_KEY), F.col("fare_amount")
+    return trips.select(
+        "*", (eid % 3).cast("double").alias("extra"), F.lit(0.5).alias("mta_tax"),
+        F.when(eid % 4 != 0, eid % 9).cast("double").alias("tip_amount"), (eid % 2).cast("double").alias("tolls_amount"),
+        F.lit(1.0).alias("improvement_surcharge"), (fare + eid % 3).cast("double").alias("total_amount"),
+        (eid % 5 + 1).cast("double").alias("payment_type"), F.lit(2.75).alias("congestion_surcharge"),
+        F.lit(0.75).alias("cbd_congestion_fee"), F.lit(None).cast("double").alias("ehail_fee"),
+        F.when(eid % 6 == 0, "Y").otherwise("N").alias("store_and_fwd_flag"), (eid % 7).cast("double").alias("RatecodeID"),
+        F.concat(F.lit("h"), (eid % 8).cast("string")).alias("hvfhs_license"),
+    )
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_events(read_table(spark, sf_dir, "events"))
 
@@ -121,7 +136,7 @@ def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring requests as JSON text (S7): ten consecutive trips per request, built from ``events``.
 
     Trips exercise the contract: ids quoted as strings (``event_id % 13 = 0``), a fractional vendor
-    (``% 101``), unpadded datetimes (``% 89``), a wrong datetime format (``% 97``) and absent optional
+    (``% 101``), one with a type suffix (``% 103``), one beyond 2**53 (``% 107``), unpadded datetimes (``% 89``), a wrong datetime format (``% 97``) and absent optional
     fields (nulls are omitted).
     """
     t = trips_from_events(read_table(spark, sf_dir, "events"))
@@ -131,6 +146,8 @@ def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(eid % 89 == 0, format_ntz(ts, "%d-%d-%d %d:%d:%d"))
               .otherwise(format_second(ts)))
     vendor = (F.when(eid % 101 == 0, F.lit("1.5"))
+              .when(eid % 103 == 0, F.lit('"2d"'))
+              .when(eid % 107 == 0, F.lit("9007199254740993"))
               .when(eid % 13 == 0, F.concat(F.lit('"'), F.col("VendorID").cast("string"), F.lit('"')))
               .otherwise(F.col("VendorID").cast("string")))
     parts = [
