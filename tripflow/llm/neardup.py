@@ -21,7 +21,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import materialise
@@ -31,9 +31,9 @@ from tripflow.llm.hashing import mix, sequences, slices, word_hashes
 SHINGLE, THRESHOLD = 5, 0.8
 #: 42 bands of 6: a pair at the threshold is missed with probability (1 - 0.8**6)**42 = 3e-6.
 ROWS, BANDS = 6, 42
-#: Bits by which 252-bit sketches of a pair at the threshold differ: 25 +- 4.8; four and a half deviations more are let
-#: through, so that a pair is missed with probability 4e-6.
-SKETCH_BITS = 46
+#: Of 252 components reduced to two bits a pair at the threshold differs in 38 +- 5.7; four and a half deviations more
+#: are let through, so that a pair is missed with probability 4e-6.
+SKETCH_DIFFER = 63
 
 
 def shingles(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +81,7 @@ _SIGNED = "doc_id bigint, digest binary, n bigint, bands array<bigint>, sketch a
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, n, bands, sketch`` of every document: text digest, shingles, band hashes, one bit a component."""
+    """``doc_id, digest, n, bands, sketch`` of every document: text digest, shingles, band hashes, two bits a component."""
 
     def run(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()),
@@ -94,8 +94,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                 n = np.bincount(owner, minlength=len(some))
                 value = bag_minhash(shingle, owner, len(some), ROWS * BANDS).view(np.uint64)
                 band = sequences_across(value.reshape(len(some), BANDS, ROWS))
-                bits = (mix(value) & np.uint64(1)).astype(bool)
-                packed = np.packbits(np.pad(bits, ((0, 0), (0, 256 - bits.shape[1]))), axis=1).view(np.int64)
+                code = mix(value)
+                planes = [((code >> np.uint64(k)) & np.uint64(1)).astype(bool) for k in (0, 1)]
+                packed = np.hstack([np.packbits(np.pad(x, ((0, 0), (0, 256 - x.shape[1]))), axis=1).view(np.int64) for x in planes])
                 lists = lambda x: pa.ListArray.from_arrays(
                     np.arange(len(some) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([
@@ -114,6 +115,11 @@ def sequences_across(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def _differ(x: Column, y: Column) -> Column:
+    """In how many components two sketches differ: in either of their two bit planes of four words."""
+    return sum(F.bit_count(x[k].bitwiseXOR(y[k]).bitwiseOR(x[k + 4].bitwiseXOR(y[k + 4]))) for k in range(4))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose exact weighted Jaccard similarity reaches the threshold."""
 
@@ -167,14 +173,17 @@ def _rare_pairs(unsettled: DataFrame, texts: DataFrame, threshold: float) -> Dat
     rare = rows.join(shared, "shingle", "left").withColumn("f", F.coalesce("f", F.lit(1))).select(
         "doc_id", "shingle", "f", before.alias("before"), size.alias("size"), common.alias("common")
     ).where((F.col("before") < F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1) & (F.col("f") > 1))
-    rare = materialise(rare.select("doc_id", "shingle", "common").join(unsettled, "doc_id"), "rare")
+    rare = rare.withColumn("all_rare", F.collect_list("shingle").over(Window.partitionBy("doc_id")))
+    rare = materialise(rare.select("doc_id", "shingle", "common", "all_rare").join(unsettled, "doc_id"), "rare")
     x, y = rare.alias("x"), rare.alias("y")
-    differ = sum(F.bit_count(F.col("x.sketch")[k].bitwiseXOR(F.col("y.sketch")[k])) for k in range(4))
+    differ = _differ(F.col("x.sketch"), F.col("y.sketch"))
     # similarity t of sizes n and m takes an overlap of t / (1 + t) * (n + m), all of it in shared shingles
     enough = F.least("x.common", "y.common") >= threshold / (1 + threshold) * (F.col("x.n") + F.col("y.n")) - 1e-9
-    return x.join(y, enough & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.c") != F.col("y.c"))
-                  & (F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n")) & (differ <= SKETCH_BITS)
-                  ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    # a pair comes once, at the least shingle that both have
+    once = F.col("x.shingle") == F.array_min(F.array_intersect("x.all_rare", "y.all_rare"))
+    return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.c") != F.col("y.c"))
+                  & (F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n")) & enough & (differ <= SKETCH_DIFFER) & once
+                  ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -206,10 +215,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     a = sketches.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     b = sketches.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    differ = sum(F.bit_count(F.col("sa")[k].bitwiseXOR(F.col("sb")[k])) for k in range(4))
+    differ = _differ(F.col("sa"), F.col("sb"))
     sized = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
     # pairs whose sizes and sketches allow the threshold
-    starred = materialise(paired.distinct().join(a, "a").join(b, "b").where(sized & (differ <= SKETCH_BITS)).select(
+    starred = materialise(paired.distinct().join(a, "a").join(b, "b").where(sized & (differ <= SKETCH_DIFFER)).select(
         "a", "b", "of", differ.alias("differ")), "starred")
     wanted = members.select("doc_id").distinct()
     texts = materialise(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
