@@ -617,7 +617,7 @@ SELECT trip_id, VendorID, trip_type FROM mon WHERE split = 'test'
 ORDER BY CAST('0x' || substr(md5(concat_ws('|', '42', CAST(trip_id AS VARCHAR))), 1, 15) AS BIGINT), trip_id LIMIT 500"""),
     "monitoring_history": _history(),
     "gbt_scoring": with_ctes(*BASE, body="""
-SELECT trip_id, split, round(duration, 6) AS duration, true AS finite, true AS beats_mean FROM prepared"""),
+SELECT trip_id, split, round(duration, 6) AS duration, true AS finite, true AS sound FROM prepared"""),
     "feature_importance": """
 SELECT CAST(range AS INTEGER) AS rank, true AS fitted, true AS falling, true AS within_one FROM range(1, 21)""",
 })

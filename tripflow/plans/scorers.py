@@ -1,6 +1,6 @@
 """Scorers: anything that maps a frame of model inputs to the same frame plus ``prediction``.
 
-The trained model (``plans/model.py``) is one; these two are SQL-expressible and
+The trained model (``plans/train.py``) is one; these two are SQL-expressible and
 serve tests and oracle-checked queries.
 """
 

@@ -105,8 +105,6 @@ SEGMENT_COLUMNS = ["pickup_hour", "PU_Borough", "trip_type"]
 SEGMENT_MIN_ROWS = 100
 
 DRIFT_WARNING_SHARE = 0.30
-REFERENCE_MAX_ROWS = 20000
-CURRENT_MAX_ROWS = 50000
 RANDOM_SEED = 42
 
 # champion training parameters of the reference (XGBoost names)
