@@ -260,3 +260,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP4_SQL = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), starts AS (SELECT doc_id, words, unnest(range(1, len(words) - {SHINGLE - 2})) AS i FROM split),
+bags AS (
+  SELECT doc_id, array_to_string(words[i : i + {SHINGLE - 1}], ' ') AS s, count(*) AS c FROM starts GROUP BY ALL
+  UNION ALL SELECT doc_id, array_to_string(words, ' '), 1 FROM split WHERE len(words) BETWEEN 1 AND {SHINGLE - 1}
+), sizes AS (SELECT doc_id, sum(c) AS n FROM bags GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, sum(least(x.c, y.c)) AS o FROM bags x JOIN bags y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), pairs AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE o >= CAST({THRESHOLD} AS DOUBLE) * (x.n + y.n - o)
+), links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, least(doc_id, coalesce(b, doc_id)) AS class_id, doc_id = least(doc_id, coalesce(b, doc_id)) AS kept
+FROM split LEFT JOIN least_of ON a = doc_id"""

@@ -19,7 +19,9 @@ QUERIES = {
 
 ORACLE = {
     "op1_chat_format": chat.OP1_SQL,
+    "op4_near_duplicates": neardup.OP4_SQL,
     "op6_embedding_near_duplicates": embeddings.OP6_SQL,
+    "op8_substring_dedup": substrings.OP8_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op10_pii": pii.OP10_SQL,
 }

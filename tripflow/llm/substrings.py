@@ -186,3 +186,19 @@ def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:
     found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     gone = F.aggregate("spans", F.lit(0).cast("bigint"), lambda acc, s: acc + s["stop"] - s["start"])
     return found.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP8_SQL = f"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), starts AS (SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM split),
+windows AS (SELECT doc_id, i, array_to_string(words[i : i + {WINDOW - 1}], ' ') AS w FROM starts),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM windows JOIN firsts USING (w) WHERE first < doc_id),
+places AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS p, unnest(words) AS word FROM split),
+left_over AS (
+  SELECT l.doc_id, count(g.p) AS n_removed, string_agg(word, ' ' ORDER BY l.p) FILTER (g.p IS NULL) AS kept
+  FROM places l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.p = g.p GROUP BY l.doc_id
+)
+SELECT s.doc_id, len(s.words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split s LEFT JOIN left_over o ON s.doc_id = o.doc_id"""
