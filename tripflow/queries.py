@@ -588,7 +588,7 @@ def _fitted_pipeline(inp: "Inputs"):
 def q_gbt_scoring(spark, sf_dir):
     """M4 + M5 + M8: fit the champion's parameters on train, score every prepared trip. What holds for any sound
     learner is returned: each trip once with a finite prediction, and whether its split's squared error is below that of
-    the train mean on train and near it elsewhere (the generated durations hold no signal to learn)."""
+    the train mean on train and within twice that elsewhere (the generated durations hold no signal to learn)."""
     from tripflow.plans.train import score
 
     inp = Inputs(spark, sf_dir)
@@ -596,7 +596,7 @@ def q_gbt_scoring(spark, sf_dir):
     p, y = F.col("prediction"), F.col("duration")
     mean = s.where("split = 'train'").agg(F.avg("duration")).first()[0]
     error, plain = F.avg((y - p) ** 2), F.avg((y - F.lit(mean)) ** 2)
-    sound = F.when(F.col("split") == "train", error < plain).otherwise(error < 1.2 * plain)
+    sound = F.when(F.col("split") == "train", error < plain).otherwise(error < 2.0 * plain)
     by_split = s.groupBy("split").agg(sound.alias("sound"))
     # one row per split
     return s.join(F.broadcast(by_split), "split").select(
