@@ -91,3 +91,15 @@ def slices(texts: list, size: int = 1_000_000):
             to += 1
         yield at, to
         at = to
+
+
+def sub_batches(batch, column: str, size: int = 1_000_000):
+    """Row ranges of an Arrow batch whose texts hold about ``size`` bytes, or one row: only those become Python objects."""
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < len(lengths):
+        n = max(1, int(np.searchsorted(np.cumsum(lengths[at : at + 20_000], dtype=np.int64), size, side="right")))
+        yield batch.slice(at, n)
+        at += n

@@ -22,15 +22,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripflow.llm.hashing import sub_batches
+
 ORDER = 5
 #: Bounds of the sample: code points over all languages, and those times the number of languages (table cells).
-SAMPLE_CHARS, SAMPLE_CELLS = 2_000_000, 16_000_000
+SAMPLE_CHARS, SAMPLE_CELLS = 1_000_000, 8_000_000
 #: Every fifth document of the sample calibrates the rejection and is not counted.
 CALIBRATION = 5
 #: A text is rejected above this many deviations, or above the calibration's 99th percentile times the margin.
 LEAST_LIMIT, MARGIN = 6.0, 1.5
 UNDETERMINED = "und"
-STRETCH = 1 << 18  # symbols of a long text that are scored at once
+STRETCH = 1 << 17  # symbols of a long text that are scored at once
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _letters: np.ndarray | None = None
@@ -303,20 +305,13 @@ def predict(docs: DataFrame, models: Models) -> DataFrame:
     def run(batches):
         m = shared.value
         for b in batches:
-            texts, at = b.column("text").to_pylist(), 0
-            while at < len(texts):
-                to, size = at, 0
-                while to < len(texts) and (to == at or size < 1_000_000):
-                    size += len(texts[to] or "")
-                    to += 1
-                pred, score, rejected, entropy = m.choose(texts[at:to])
-                own = b.slice(at, to - at)
+            for own in sub_batches(b, "text"):
+                pred, score, rejected, entropy = m.choose(own.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*own.columns, pa.array(pred, pa.string()), pa.array(score), pa.array(rejected),
                      pa.array(entropy, from_pandas=True)],
                     names=[*own.schema.names, "lang_pred", "score", "rejected", "entropy"],
                 )
-                at = to
 
     schema = "doc_id bigint, text string, lang string, source string, lang_pred string, score double, rejected boolean, entropy double"
     return documents(docs).mapInArrow(run, schema)

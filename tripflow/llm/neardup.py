@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.common import materialise
 from tripflow.llm.components import connected_components
-from tripflow.llm.hashing import mix, sequences, slices, word_hashes
+from tripflow.llm.hashing import mix, sequences, slices, sub_batches, word_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: 42 bands of 6: a pair at the threshold is missed with probability (1 - 0.8**6)**42 = 3e-6.
@@ -87,9 +87,8 @@ def signatures(docs: DataFrame) -> DataFrame:
         schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()),
                             ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
         for batch in batches:
-            ids, texts = batch.column("doc_id"), [(t or "").encode() for t in batch.column("text").to_pylist()]
-            for lo, hi in slices(texts):
-                some = texts[lo:hi]
+            for part in sub_batches(batch, "text"):
+                some = [(t or "").encode() for t in part.column("text").to_pylist()]
                 shingle, owner = shingles(some)
                 n = np.bincount(owner, minlength=len(some))
                 value = bag_minhash(shingle, owner, len(some), ROWS * BANDS).view(np.uint64)
@@ -100,7 +99,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 lists = lambda x: pa.ListArray.from_arrays(
                     np.arange(len(some) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(lo, hi - lo), pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in some], pa.binary()),
+                    part.column("doc_id"), pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in some], pa.binary()),
                     pa.array(n.astype(np.int64)), lists(band.view(np.int64)), lists(packed),
                 ], schema=schema)
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import materialise
+from tripflow.llm.hashing import sub_batches
 
 CAPACITY = 2048
 #: Pieces that one window task ranks, at most on average.
@@ -97,16 +98,6 @@ class Encoder:
                 memory.clear()
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``.
 
@@ -115,17 +106,12 @@ def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, wit
     """
 
     def run(batches):
-        encode = encoder(tokenizer_path)
+        encode = Encoder(tokenizer_path)  # one to a task, so an idle worker holds nothing
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            at = 0
-            while at < len(ids):
-                size, to = 0, at
-                while to < len(ids) and (to == at or size < 4_000_000):
-                    size += len(texts[to] or "")
-                    to += 1
+            for part in sub_batches(batch, "text", 2_000_000):
                 rows = defaultdict(list)
-                for doc_id, buf in zip(ids[at:to], encode([t or "" for t in texts[at:to]])):
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                for doc_id, buf in zip(part.column("doc_id").to_pylist(), encode(texts)):
                     buf += b"\0\0\0\0"
                     for piece, start in enumerate(range(0, len(buf), 4 * capacity)):
                         cut = buf[start : start + 4 * capacity]
@@ -137,7 +123,6 @@ def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, wit
                         if with_ids:
                             rows["ids"].append(cut)
                 yield pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
-                at = to
 
     schema = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
