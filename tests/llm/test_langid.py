@@ -77,3 +77,10 @@ def test_sample_is_bounded(docs):
     sample = langid.bounded_sample(docs.select("doc_id", "text", "lang"), chars=80_000)
     sums = {r.lang: r.n for r in sample.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
     assert sums and all(0 < n <= 20_000 for n in sums.values())
+
+
+def test_default_sample_reads_half_a_million_code_points_a_language(spark):
+    rows = spark.range(8000).selectExpr(
+        "id as doc_id", "repeat(concat('word', id, ' '), 100) as text", "element_at(array('a', 'b', 'c', 'd'), int(id % 4) + 1) as lang")
+    sums = langid.bounded_sample(rows).groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()
+    assert len(sums) == 4 and all(350_000 < r.n <= 500_000 for r in sums)

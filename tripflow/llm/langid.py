@@ -26,7 +26,7 @@ from tripflow.llm.hashing import sub_batches
 
 ORDER = 5
 #: Bounds of the sample: code points over all languages, and those times the number of languages (table cells).
-SAMPLE_CHARS, SAMPLE_CELLS = 1_000_000, 8_000_000
+SAMPLE_CHARS, SAMPLE_CELLS = 2_000_000, 16_000_000
 #: Every fifth document of the sample calibrates the rejection and is not counted.
 CALIBRATION = 5
 #: A text is rejected above this many deviations, or above the calibration's 99th percentile times the margin.
@@ -264,7 +264,7 @@ def fit(rows: DataFrame, chars: int = SAMPLE_CHARS, cells: int = SAMPLE_CELLS) -
     keys = ["lang", f"g{ORDER}"]
     rest = [F.first(x).alias(x) for x in (f"{y}{k}" for k in range(1, ORDER + 1) for y in "gc") if x not in keys]
     counted = sample.where(~held).select("lang", "text").mapInArrow(_count_grams, _COUNTS)
-    models = kneser_ney(counted.groupBy(*keys).agg(F.sum("n").alias("n"), *rest).toPandas())
+    models = kneser_ney(counted.groupBy(*keys).agg(F.sum("n").alias("n"), *rest).toArrow().to_pandas())
     if not models.languages:
         return models
     shared = sample.sparkSession.sparkContext.broadcast(models)
@@ -282,6 +282,7 @@ def fit(rows: DataFrame, chars: int = SAMPLE_CHARS, cells: int = SAMPLE_CELLS) -
             })
 
     found = sample.where(held).select("lang", "text").mapInArrow(measure, "l int, h double, n bigint").toPandas()
+    shared.destroy()  # the calibrated models are broadcast anew; executors hold them once
     if len(found) >= 20:
         lang, h, n = (found[x].to_numpy() for x in "lhn")
         models.mean = np.array([np.median(h[lang == k]) if (lang == k).sum() >= 5 else np.median(h) for k in range(len(models.languages))])
