@@ -84,3 +84,13 @@ def test_default_sample_reads_half_a_million_code_points_a_language(spark):
         "id as doc_id", "repeat(concat('word', id, ' '), 100) as text", "element_at(array('a', 'b', 'c', 'd'), int(id % 4) + 1) as lang")
     sums = langid.bounded_sample(rows).groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()
     assert len(sums) == 4 and all(350_000 < r.n <= 500_000 for r in sums)
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_with_null_or_equal_ids_are_learned_from(spark, docs, doc_id):
+    known = docs.where("lang in ('de', 'en') and length(text) > 200").select("text", "lang").limit(900)
+    rows = known.select(F.lit(doc_id).cast("bigint").alias("doc_id"), "text", "lang").unionByName(
+        spark.range(900).selectExpr(f"cast({doc_id or 'null'} as bigint) as doc_id", "'the hot row of and' as text", "'en' as lang"))
+    sums = {r.lang: r.n for r in langid.bounded_sample(rows, chars=80_000).groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
+    assert sums.keys() == {"de", "en"} and all(20_000 < n <= 40_000 for n in sums.values())
+    assert fit(rows, chars=80_000).languages == ["de", "en"]

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripflow.llm.common import documents, materialise
 from tripflow.llm.hashing import sub_batches
 
 ORDER = 5
@@ -167,23 +168,48 @@ class Models:
 # ---- fitting ---------------------------------------------------------------------------------------------------
 
 
+def _hash() -> Column:
+    """Names a row by id and text: rows with a null or repeated doc_id are as many as their texts."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _index(rows: DataFrame) -> DataFrame:
+    """``lang, _h, _n`` of the distinct rows: a row that is repeated any number of times is one."""
+    found = rows.where("lang is not null and length(text) > 0").groupBy("lang", _hash().alias("_h")).agg(F.max(F.length("text")).alias("_n"))
+    return materialise(found, "langid-index")
+
+
+def _draw(rows: DataFrame, index: DataFrame, share: int) -> DataFrame:
+    """``lang, _h, doc_id, text`` of the rows of ``index`` with the least hashes, whole, up to ``share`` code points for
+    each language; the one that crosses the share is cut there.
+
+    Hashes are sliced at powers of 2**(1/8), so a small aggregate finds the slice that crosses the share, and only the
+    distinct rows of that slice are put in order.
+    """
+    place = F.pmod("_h", F.lit(1 << 53))
+    index = index.withColumn("_slice", F.floor(-8 * F.log2((place + 1) / F.lit(float(1 << 53)))).cast("int"))
+    sums = index.groupBy("lang", "_slice").agg(F.sum("_n").alias("_all"))
+    upto = F.sum("_all").over(Window.partitionBy("lang").orderBy(F.desc("_slice")))
+    # the slices that begin before the share is full; the last of them may cross it
+    begun = sums.withColumn("_before", upto - F.col("_all")).where(F.col("_before") < share)
+    near = index.join(begun, ["lang", "_slice"])
+    whole = near.where(F.col("_before") + F.col("_all") <= share).select("lang", "_h", F.col("_n").alias("_take"))
+    inside = F.sum("_n").over(Window.partitionBy("lang").orderBy(place, "_h"))
+    crossing = near.where(F.col("_before") + F.col("_all") > share).withColumn("_room", share - F.col("_before") - inside + F.col("_n"))
+    cut = crossing.where("_room > 0").select("lang", "_h", F.least("_n", "_room").alias("_take"))
+    chosen = materialise(whole.unionByName(cut), "langid-chosen")
+    found = rows.withColumn("_h", _hash()).join(chosen, ["lang", "_h"])
+    text = F.expr("substring(text, 1, int(_take))").alias("text")
+    return found.select("lang", "_h", "doc_id", text).dropDuplicates(["lang", "_h"])
+
+
 def bounded_sample(rows: DataFrame, chars: int = SAMPLE_CHARS, cells: int = SAMPLE_CELLS) -> DataFrame:
-    """Whole texts of ``rows`` (doc_id, text, lang), those with the least hash of doc_id first, for each language up to
+    """Distinct ``rows`` (doc_id, text, lang), those with the least hash of id and text first, for each language up to
     ``min(chars / languages, cells / languages**2)`` code points. Texts over a tenth of that are left out.
-
-    Hashes are sliced at powers of 2**(1/8), so one small aggregate finds the cut for a corpus of any size.
     """
     langs = max(1, rows.select(F.approx_count_distinct("lang")).first()[0])
     share = min(chars // langs, cells // langs**2)
-    u = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 53)) + 1) / F.lit(float(1 << 53))
-    short = rows.select(
-        "doc_id", "text", "lang", F.length("text").alias("_n"), F.floor(-8 * F.log2(u)).cast("int").alias("_slice")
-    ).where(F.col("_n") <= share // 10)
-    sums = short.groupBy("lang", "_slice").agg(F.sum("_n").alias("n"))
-    reach = F.sum("n").over(Window.partitionBy("lang").orderBy(F.desc("_slice")))
-    cut = sums.withColumn("reach", reach).where(F.col("reach") <= share).groupBy("lang").agg(F.min("_slice").alias("_cut"))
-    # one row per language, at most chars of them
-    return short.join(F.broadcast(cut), "lang").where(F.col("_slice") >= F.col("_cut")).select("doc_id", "text", "lang")
+    return _draw(rows, _index(rows).where(F.col("_n") <= share // 10), share).select("doc_id", "text", "lang")
 
 
 _COUNTS = "lang string, " + ", ".join(f"g{k} bigint, c{k} bigint" for k in range(1, ORDER + 1)) + ", n bigint"
@@ -252,15 +278,13 @@ def kneser_ney(counts) -> Models:
 
 
 def fit(rows: DataFrame, chars: int = SAMPLE_CHARS, cells: int = SAMPLE_CELLS) -> Models:
-    """Models of every language of ``rows`` (doc_id, text, lang): from text and lang alone; doc_id picks the sample.
+    """Models of every language of ``rows`` (doc_id, text, lang): from text and lang alone; id and text pick the sample.
 
     Rows with null text or null lang are passed over; no rows give models without languages.
     """
-    from tripflow.llm.common import materialise
-
     labelled = rows.where("text is not null and lang is not null").select("doc_id", "text", "lang")
     sample = materialise(bounded_sample(labelled, chars, cells), "langid-sample")
-    held = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(CALIBRATION)) == 0
+    held = F.pmod(F.xxhash64("doc_id", "text", F.lit("calibration")), F.lit(CALIBRATION)) == 0
     keys = ["lang", f"g{ORDER}"]
     rest = [F.first(x).alias(x) for x in (f"{y}{k}" for k in range(1, ORDER + 1) for y in "gc") if x not in keys]
     counted = sample.where(~held).select("lang", "text").mapInArrow(_count_grams, _COUNTS)
@@ -299,8 +323,6 @@ def predict(docs: DataFrame, models: Models) -> DataFrame:
     Only the text is an input. Null text and text without a letter are ``und`` with score 0, and rejected. Other
     columns are not carried; repeated rows are predicted alike; an empty table gives no rows.
     """
-    from tripflow.llm.common import documents
-
     shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by the sample
 
     def run(batches):
