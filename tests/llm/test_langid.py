@@ -1,6 +1,8 @@
 """Language identification: model arithmetic, held-out accuracy, rejection, edge cases."""
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +96,47 @@ def test_rows_with_null_or_equal_ids_are_learned_from(spark, docs, doc_id):
     sums = {r.lang: r.n for r in langid.bounded_sample(rows, chars=80_000).groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
     assert sums.keys() == {"de", "en"} and all(20_000 < n <= 40_000 for n in sums.values())
     assert fit(rows, chars=80_000).languages == ["de", "en"]
+
+
+def test_long_texts_and_many_labels_have_models(spark, docs):
+    """Junk labels take nothing from the others, and a text over any bound counts in with its beginning."""
+    known = docs.where("lang in ('de', 'en') and length(text) > 200").select("doc_id", "text", "lang").limit(300)
+    junk = spark.range(300).selectExpr("id as doc_id", "concat('zq', id, repeat(' junkword', 400)) as text", "concat('junk', id) as lang")
+    long = spark.range(2).selectExpr("id as doc_id", "repeat('quam olim abrahae ', 20000) as text", "'la' as lang")
+    rows = known.unionByName(junk).unionByName(long)
+    sums = {r.lang: r.n for r in langid.bounded_sample(rows, chars=200_000).groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
+    assert len(sums) == 303 and min(sums["de"], sums["en"]) > 90_000 and sum(sums.values()) <= 400_000
+    alone = langid.bounded_sample(long, chars=50_000).agg(F.sum(F.length("text"))).first()[0]
+    assert alone == 50_000
+
+
+def test_sparse_model_is_the_dense_one():
+    """Against interpolated Kneser-Ney written out with a table of all languages."""
+    texts = {"a": ["abab ba", "abba"], "b": ["bcbc ab", "cab"]}
+    batch = pa.RecordBatch.from_pydict({"lang": [k for k, v in texts.items() for _ in v], "text": [t for v in texts.values() for t in v]})
+    counts = pd.concat([b.to_pandas() for b in langid._count_grams([batch])])
+    models = langid.kneser_ney(counts)
+    grams = [dict.fromkeys(zip(counts.lang, counts[f"g{k}"], counts[f"c{k}"], counts[f"g{k - 1}"] if k > 1 else counts.c1)) for k in range(1, ORDER + 1)]
+
+    def count(lang, k, gram):
+        own = counts[counts.lang == lang]
+        return own[own[f"g{k}"] == gram].n.sum() if k == ORDER else own[own[f"g{k}"] == gram][f"g{k + 1}"].nunique()
+
+    def probability(lang, code, k):
+        if k == 0:
+            return 1 / 1000
+        end = np.array([len(code) - 1])
+        gram, context = (int(h.view(np.int64)[0]) for h in (langid.hashes(code, end, k), langid.hashes(code, end - 1, k - 1)))
+        own = [(g, count(lang, k, g)) for x, g, c, _ in grams[k - 1] if x == lang and c == context]
+        every = [count(lang, k, g) for x, g, _, _ in grams[k - 1] if x == lang]
+        once, twice = every.count(1), every.count(2)
+        d = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
+        total = sum(n for _, n in own)
+        if not total:
+            return probability(lang, code, k - 1)
+        return max(dict(own).get(gram, 0) - d, 0) / total + d * len(own) / total * probability(lang, code, k - 1)
+
+    code = symbols("abc bab cabba x")
+    for at in range(ORDER - 1, len(code)):
+        want = [np.log(probability(lang, code[: at + 1], ORDER)) for lang in ("a", "b")]
+        assert np.allclose(models.probabilities(code, np.array([at]))[0], want, atol=1e-4)

@@ -2,10 +2,11 @@
 
 Fitting reads a bounded sample of labelled rows (``bounded_sample``). Spark counts its character 5-grams; from the
 distinct ones come, order by order, the continuation counts and the interpolated probabilities. The models are kept as
-sorted arrays: per order the hashes of the n-grams with one column of log probabilities per language, and the hashes of
-the contexts with the weight that each language leaves to the shorter model. Their size is bounded by the sample.
+sorted arrays: per order the hashes of the n-grams, each with the log probabilities of the languages that have it, and
+the hashes of the contexts with the weights that those languages leave to the shorter model. Their size is bounded by
+the sample, whatever the number of languages.
 
-A text is scored whole: its n-grams are looked up by binary search, those that no language knows back off to the
+A text is scored whole: its n-grams are looked up by binary search, a language that does not know one backs off to the
 shorter orders, and the language with the lowest cross-entropy per symbol wins. Rejection is calibrated on documents
 of the sample that were kept from the counts. It looks at the cross-entropy when each symbol may pick the language that
 knows it best, so that a text in two known languages is not taken for noise: for a text of n symbols this is m, give or
@@ -26,8 +27,12 @@ from tripflow.llm.common import documents, materialise
 from tripflow.llm.hashing import sub_batches
 
 ORDER = 5
-#: Bounds of the sample: code points over all languages, and those times the number of languages (table cells).
-SAMPLE_CHARS, SAMPLE_CELLS = 2_000_000, 16_000_000
+#: Code points of the sample over all languages; a language has a twentieth at least while there are up to 100 of them.
+SAMPLE_CHARS = 2_000_000
+#: Labels with fewer distinct rows do not lower the others' bound: together they have as much again among themselves.
+LEAST_ROWS = 20
+#: A text counts in by pieces of this part of its language's bound: the first pieces of all texts, then the second ones.
+PIECES = 10
 #: Every fifth document of the sample calibrates the rejection and is not counted.
 CALIBRATION = 5
 #: A text is rejected above this many deviations, or above the calibration's 99th percentile times the margin.
@@ -76,15 +81,33 @@ def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, table[at] == wanted
 
 
+@dataclass
+class Sparse:
+    """Sorted hashes, and for each of them the values of the languages that have it (``start[i]`` to ``start[i + 1]``)."""
+
+    keys: np.ndarray
+    start: np.ndarray
+    language: np.ndarray
+    value: np.ndarray
+
+    def entries(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of ``wanted``, languages and values of all entries found."""
+        at, hit = _find(self.keys, wanted)
+        rows = np.flatnonzero(hit)
+        at = at[rows]
+        n = self.start[at + 1] - self.start[at]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        where = np.repeat(self.start[at], n) + inside
+        return np.repeat(rows, n), self.language[where], self.value[where]
+
+
 @dataclass
 class Models:
-    """Arrays by order - 1: n-gram hashes and log probabilities, context hashes and back-off weights (logs)."""
+    """By order - 1: log probabilities of the n-grams, and back-off weights (logs) of the contexts."""
 
     languages: list[str]
-    grams: list[np.ndarray]
-    logs: list[np.ndarray]
-    contexts: list[np.ndarray]
-    weights: list[np.ndarray]
+    grams: list[Sparse]
+    contexts: list[Sparse]
     unknown: float
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None
@@ -95,29 +118,31 @@ class Models:
         """[end, language]: log probability of the symbol at each end, given the ``order - 1`` before it."""
         if order == 0:
             return np.full((len(ends), len(self.languages)), self.unknown, np.float32)
-        at, hit = _find(self.grams[order - 1], hashes(code, ends, order))
-        out = self.logs[order - 1][at] if len(self.logs[order - 1]) else np.zeros((len(ends), len(self.languages)), np.float32)
-        miss = np.flatnonzero(~hit)
-        if len(miss):
-            rest = ends[miss]
-            at, known = _find(self.contexts[order - 1], hashes(code, rest - 1, order - 1))
-            out[miss] = self.probabilities(code, rest, order - 1)
-            out[miss[known]] += self.weights[order - 1][at[known]]
-        return out
+        # equal n-grams are looked up once; sorted ones are found faster
+        wanted, first, back = np.unique(hashes(code, ends, order), return_index=True, return_inverse=True)
+        ends = ends[first]
+        out = self.probabilities(code, ends, order - 1)
+        row, language, weight = self.contexts[order - 1].entries(hashes(code, ends - 1, order - 1))
+        out[row, language] += weight
+        row, language, log = self.grams[order - 1].entries(wanted)
+        out[row, language] = log
+        return out[back]
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Cross-entropy per symbol [text, language], the same with the best language for each symbol, and the number
         of symbols of each text."""
         total, count = np.zeros((len(texts), len(self.languages) + 1)), np.zeros(len(texts), np.int64)
         codes, owners, held = [], [], 0
+        # a stretch has a row of the languages for each symbol
+        stretch = max(1000, STRETCH * 8 // max(8, len(self.languages)))
         for i, text in enumerate(texts):
             code = symbols(text)
-            for at in range(0, len(code) - ORDER + 1, STRETCH):
-                part = code[at : at + STRETCH + ORDER - 1]
+            for at in range(0, len(code) - ORDER + 1, stretch):
+                part = code[at : at + stretch + ORDER - 1]
                 codes.append(part)
                 owners.append(i)
                 held += len(part)
-                if held >= 2 * STRETCH:
+                if held >= 2 * stretch:
                     self._add(codes, owners, total, count)
                     codes, owners, held = [], [], 0
         if codes:
@@ -130,11 +155,9 @@ class Models:
         code = np.concatenate(codes)
         starts = np.concatenate([[0], np.cumsum(sizes + ORDER - 1)[:-1]])
         ends = np.concatenate([np.arange(s + ORDER - 1, s + ORDER - 1 + n) for s, n in zip(starts, sizes)])
-        # equal n-grams are looked up once
-        _, first, back = np.unique(hashes(code, ends, ORDER), return_index=True, return_inverse=True)
-        own = self.probabilities(code, ends[first])
+        own = self.probabilities(code, ends)
         own = np.column_stack([own, own.max(axis=1)])
-        sums = np.add.reduceat(own[back], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0, dtype=np.float64)
+        sums = np.add.reduceat(own, np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0, dtype=np.float64)
         np.add.at(total, owners, sums)
         np.add.at(count, owners, sizes)
 
@@ -179,37 +202,54 @@ def _index(rows: DataFrame) -> DataFrame:
     return materialise(found, "langid-index")
 
 
-def _draw(rows: DataFrame, index: DataFrame, share: int) -> DataFrame:
-    """``lang, _h, doc_id, text`` of the rows of ``index`` with the least hashes, whole, up to ``share`` code points for
-    each language; the one that crosses the share is cut there.
+def _shared_out(index: DataFrame, chars: int) -> DataFrame:
+    """``index`` with the ``_share`` of its language: code points that may be learned from."""
+    by = index.groupBy("lang").agg(F.count("*").alias("_rows"))
+    many, few = by.agg(F.count_if(F.col("_rows") >= LEAST_ROWS), F.count_if(F.col("_rows") < LEAST_ROWS)).first()
+    share = max(chars // max(many, 1), min(chars // 20, 5 * chars // max(many, 1)), PIECES)
+    least = max(min(share, chars // max(few, 1)), PIECES)
+    shares = by.select("lang", F.when(F.col("_rows") >= LEAST_ROWS, share).otherwise(least).alias("_share"))
+    return index.join(shares, "lang")
 
+
+def _draw(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """``lang, _h, doc_id, text`` of the rows of ``index`` (lang, _h, _n, _share) with the least hashes, up to
+    ``_share`` code points for each language.
+
+    A text comes in pieces of a tenth of the share, the first pieces of all texts before the second ones: long texts
+    count in, and one alone takes the share only where there are no others. What is drawn of a text is its beginning.
     Hashes are sliced at powers of 2**(1/8), so a small aggregate finds the slice that crosses the share, and only the
     distinct rows of that slice are put in order.
     """
     place = F.pmod("_h", F.lit(1 << 53))
-    index = index.withColumn("_slice", F.floor(-8 * F.log2((place + 1) / F.lit(float(1 << 53)))).cast("int"))
-    sums = index.groupBy("lang", "_slice").agg(F.sum("_n").alias("_all"))
-    upto = F.sum("_all").over(Window.partitionBy("lang").orderBy(F.desc("_slice")))
+    unit = F.ceil(F.col("_share") / PIECES)
+    last = F.least(F.floor((F.col("_n") - 1) / unit), F.lit(PIECES - 1)).cast("int")
+    pieces = index.withColumn("_slice", F.floor(-8 * F.log2((place + 1) / F.lit(float(1 << 53)))).cast("int")).select(
+        "lang", "_h", "_slice", "_share", "_n", F.explode(F.sequence(F.lit(0), last)).alias("_piece")
+    ).withColumn("_n", F.least(F.col("_n") - F.col("_piece") * unit, unit))
+    keys = ["lang", "_piece", "_slice"]
+    sums = pieces.groupBy(*keys).agg(F.sum("_n").alias("_all"), F.first("_share").alias("_share"))
+    upto = F.sum("_all").over(Window.partitionBy("lang").orderBy("_piece", F.desc("_slice")))
     # the slices that begin before the share is full; the last of them may cross it
-    begun = sums.withColumn("_before", upto - F.col("_all")).where(F.col("_before") < share)
-    near = index.join(begun, ["lang", "_slice"])
-    whole = near.where(F.col("_before") + F.col("_all") <= share).select("lang", "_h", F.col("_n").alias("_take"))
-    inside = F.sum("_n").over(Window.partitionBy("lang").orderBy(place, "_h"))
-    crossing = near.where(F.col("_before") + F.col("_all") > share).withColumn("_room", share - F.col("_before") - inside + F.col("_n"))
-    cut = crossing.where("_room > 0").select("lang", "_h", F.least("_n", "_room").alias("_take"))
-    chosen = materialise(whole.unionByName(cut), "langid-chosen")
+    begun = sums.withColumn("_before", upto - F.col("_all")).where(F.col("_before") < F.col("_share")).drop("_share")
+    near = pieces.join(begun, keys)
+    full = F.col("_before") + F.col("_all") <= F.col("_share")
+    inside = F.sum("_n").over(Window.partitionBy(*keys).orderBy(place, "_h"))
+    crossing = near.where(~full).withColumn("_room", F.col("_share") - F.col("_before") - inside + F.col("_n"))
+    taken = near.where(full).select("lang", "_h", "_n").unionByName(
+        crossing.where("_room > 0").select("lang", "_h", F.least("_n", "_room").alias("_n")))
+    chosen = materialise(taken.groupBy("lang", "_h").agg(F.sum("_n").alias("_take")), "langid-chosen")
     found = rows.withColumn("_h", _hash()).join(chosen, ["lang", "_h"])
     text = F.expr("substring(text, 1, int(_take))").alias("text")
     return found.select("lang", "_h", "doc_id", text).dropDuplicates(["lang", "_h"])
 
 
-def bounded_sample(rows: DataFrame, chars: int = SAMPLE_CHARS, cells: int = SAMPLE_CELLS) -> DataFrame:
+def bounded_sample(rows: DataFrame, chars: int = SAMPLE_CHARS) -> DataFrame:
     """Distinct ``rows`` (doc_id, text, lang), those with the least hash of id and text first, for each language up to
-    ``min(chars / languages, cells / languages**2)`` code points. Texts over a tenth of that are left out.
+    its share: ``chars / languages``, and ``chars / 20`` at least while that makes no more than five times ``chars``.
+    Labels with under ``LEAST_ROWS`` distinct rows are not counted there; they share ``chars`` among themselves.
     """
-    langs = max(1, rows.select(F.approx_count_distinct("lang")).first()[0])
-    share = min(chars // langs, cells // langs**2)
-    return _draw(rows, _index(rows).where(F.col("_n") <= share // 10), share).select("doc_id", "text", "lang")
+    return _draw(rows, _shared_out(_index(rows), chars)).select("doc_id", "text", "lang")
 
 
 _COUNTS = "lang string, " + ", ".join(f"g{k} bigint, c{k} bigint" for k in range(1, ORDER + 1)) + ", n bigint"
@@ -239,51 +279,54 @@ def kneser_ney(counts) -> Models:
     lang = np.searchsorted(np.array(languages), counts["lang"].to_numpy()) if languages else np.zeros(0, np.int64)
     column = lambda name: counts[name].to_numpy().astype(np.int64).view(np.uint64)
     g, c = ({k: column(f"{x}{k}") for k in range(1, ORDER + 1)} for x in "gc")
-    out = Models(languages, [], [], [], [], -np.log(1000.0))
-    value = counts["n"].to_numpy().astype(np.float64)
+    out = Models(languages, [], [], -np.log(1000.0))
+    wide = max(len(languages), 1)
+
+    def sparse(keys, entry, value):
+        """Values by entry (key number times languages, plus language; sorted)."""
+        start = np.searchsorted(entry // wide, np.arange(len(keys) + 1))
+        return Sparse(keys, start, (entry % wide).astype(np.int32), value.astype(np.float32))
+
     # from the distinct n-grams of the order above: each is one continuation of its suffix
     tables = {}
-    rows, own = np.arange(len(lang)), value
+    rows, own = np.arange(len(lang)), counts["n"].to_numpy().astype(np.float64)
     for k in range(ORDER, 0, -1):
-        grams, first, back = np.unique(g[k][rows], return_index=True, return_inverse=True)
-        count = np.zeros((len(grams), len(languages)))
-        np.add.at(count, (back, lang[rows]), own)
-        tables[k] = (grams, rows[first], count)
+        grams, back = np.unique(g[k][rows], return_inverse=True)
+        entry, pair, at = np.unique(back * wide + lang[rows], return_index=True, return_inverse=True)
         # distinct (n-gram, language) pairs go on to the next shorter order
-        _, pair = np.unique(back * max(len(languages), 1) + lang[rows], return_index=True)
-        rows = rows[pair]
+        rows, own = rows[pair], np.bincount(at, own, len(entry))
+        tables[k] = (grams, entry, rows, own)
         own = np.ones(len(rows))
-    below = None
+    below = shorter_grams = shorter_entry = None
     for k in range(1, ORDER + 1):
-        grams, first, count = tables[k]
-        contexts, at = np.unique(c[k][first], return_inverse=True)
-        total, types = (np.zeros((len(contexts), len(languages))) for _ in range(2))
-        np.add.at(total, at, count)
-        np.add.at(types, at, count > 0)
-        once, twice = (count == 1).sum(axis=0), (count == 2).sum(axis=0)
+        grams, entry, rows, count = tables[k]
+        of = lang[rows]
+        contexts, back = np.unique(c[k][rows], return_inverse=True)
+        outer, at = np.unique(back * wide + of, return_inverse=True)
+        total, types = np.bincount(at, count, len(outer)), np.bincount(at, minlength=len(outer))
+        once, twice = (np.bincount(of[count == n], minlength=wide) for n in (1, 2))
         discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.9)
-        weight = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
+        weight = discount[outer % wide] * types / total
         if k == 1:
-            shorter = np.full((len(grams), len(languages)), np.exp(out.unknown))
+            shorter = np.full(len(entry), np.exp(out.unknown))
         else:
-            where, there = _find(tables[k - 1][0], g[k - 1][first])
+            where, there = _find(shorter_grams, g[k - 1][rows])
             assert there.all(), "every suffix is an n-gram of the order below"
-            shorter = below[where]
-        below = np.maximum(count - discount, 0) / np.maximum(total[at], 1) + weight[at] * shorter
-        out.grams.append(grams)
-        out.logs.append(np.log(below).astype(np.float32))
-        out.contexts.append(contexts)
-        out.weights.append(np.log(weight).astype(np.float32))
+            shorter = below[np.searchsorted(shorter_entry, where * wide + of)]
+        below = np.maximum(count - discount[of], 0) / total[at] + weight[at] * shorter
+        shorter_grams, shorter_entry = grams, entry
+        out.grams.append(sparse(grams, entry, np.log(below)))
+        out.contexts.append(sparse(contexts, outer, np.log(weight)))
     return out
 
 
-def fit(rows: DataFrame, chars: int = SAMPLE_CHARS, cells: int = SAMPLE_CELLS) -> Models:
+def fit(rows: DataFrame, chars: int = SAMPLE_CHARS) -> Models:
     """Models of every language of ``rows`` (doc_id, text, lang): from text and lang alone; id and text pick the sample.
 
     Rows with null text or null lang are passed over; no rows give models without languages.
     """
     labelled = rows.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    sample = materialise(bounded_sample(labelled, chars, cells), "langid-sample")
+    sample = materialise(bounded_sample(labelled, chars), "langid-sample")
     held = F.pmod(F.xxhash64("doc_id", "text", F.lit("calibration")), F.lit(CALIBRATION)) == 0
     keys = ["lang", f"g{ORDER}"]
     rest = [F.first(x).alias(x) for x in (f"{y}{k}" for k in range(1, ORDER + 1) for y in "gc") if x not in keys]
