@@ -140,3 +140,15 @@ def test_sparse_model_is_the_dense_one():
     for at in range(ORDER - 1, len(code)):
         want = [np.log(probability(lang, code[: at + 1], ORDER)) for lang in ("a", "b")]
         assert np.allclose(models.probabilities(code, np.array([at]))[0], want, atol=1e-4)
+
+
+@pytest.mark.parametrize("n", [1, 4, 40])
+def test_few_long_documents_calibrate_the_rejection(spark, docs, n):
+    """Sampled text of a few documents: noise is rejected, and more of the same text is not."""
+    texts = [r.text for r in docs.where("lang = 'en' and length(text) > 1000").orderBy("doc_id").limit(300).collect()]
+    rows = [(i, " ".join(texts[i : 240 : n]), "en") for i in range(n)]
+    models = fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    rng = np.random.default_rng(5)
+    noise = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 400))
+    _, _, rejected, _ = models.choose([noise, *texts[240:]])
+    assert np.isfinite(models.limit) and rejected[0] and rejected[1:].mean() < 0.1

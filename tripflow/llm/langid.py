@@ -8,7 +8,8 @@ the sample, whatever the number of languages.
 
 A text is scored whole: its n-grams are looked up by binary search, a language that does not know one backs off to the
 shorter orders, and the language with the lowest cross-entropy per symbol wins. Rejection is calibrated on documents
-of the sample that were kept from the counts. It looks at the cross-entropy when each symbol may pick the language that
+that were kept from the counts, whole and in pieces, so that a few long ones are many measurements; where they give too
+few, on pieces kept from a second count. It looks at the cross-entropy when each symbol may pick the language that
 knows it best, so that a text in two known languages is not taken for noise: for a text of n symbols this is m, give or
 take sqrt(t + s / n); a text that lies further above m than those documents do, with a margin, is in none of the
 known languages.
@@ -33,8 +34,10 @@ SAMPLE_CHARS = 2_000_000
 LEAST_ROWS = 20
 #: A text counts in by pieces of this part of its language's bound: the first pieces of all texts, then the second ones.
 PIECES = 10
-#: Every fifth document of the sample calibrates the rejection and is not counted.
-CALIBRATION = 5
+#: Every fifth document is not counted; of those up to so many of each language, and so much of each, calibrate.
+CALIBRATION, CALIBRATION_ROWS, CALIBRATION_TEXT = 5, 200, 20_000
+#: Code points of a piece that is measured; the second where the first gives too few measurements.
+MEASURED, LEAST_MEASURED = (500, 50), 20
 #: A text is rejected above this many deviations, or above the calibration's 99th percentile times the margin.
 LEAST_LIMIT, MARGIN = 6.0, 1.5
 UNDETERMINED = "und"
@@ -212,9 +215,9 @@ def _shared_out(index: DataFrame, chars: int) -> DataFrame:
     return index.join(shares, "lang")
 
 
-def _draw(rows: DataFrame, index: DataFrame) -> DataFrame:
+def _draw(rows: DataFrame, index: DataFrame, upto: str = "int(_take)") -> DataFrame:
     """``lang, _h, doc_id, text`` of the rows of ``index`` (lang, _h, _n, _share) with the least hashes, up to
-    ``_share`` code points for each language.
+    ``_share`` code points for each language, or as many units of ``_n``; of each text the first ``upto`` code points.
 
     A text comes in pieces of a tenth of the share, the first pieces of all texts before the second ones: long texts
     count in, and one alone takes the share only where there are no others. What is drawn of a text is its beginning.
@@ -229,9 +232,9 @@ def _draw(rows: DataFrame, index: DataFrame) -> DataFrame:
     ).withColumn("_n", F.least(F.col("_n") - F.col("_piece") * unit, unit))
     keys = ["lang", "_piece", "_slice"]
     sums = pieces.groupBy(*keys).agg(F.sum("_n").alias("_all"), F.first("_share").alias("_share"))
-    upto = F.sum("_all").over(Window.partitionBy("lang").orderBy("_piece", F.desc("_slice")))
+    running = F.sum("_all").over(Window.partitionBy("lang").orderBy("_piece", F.desc("_slice")))
     # the slices that begin before the share is full; the last of them may cross it
-    begun = sums.withColumn("_before", upto - F.col("_all")).where(F.col("_before") < F.col("_share")).drop("_share")
+    begun = sums.withColumn("_before", running - F.col("_all")).where(F.col("_before") < F.col("_share")).drop("_share")
     near = pieces.join(begun, keys)
     full = F.col("_before") + F.col("_all") <= F.col("_share")
     inside = F.sum("_n").over(Window.partitionBy(*keys).orderBy(place, "_h"))
@@ -240,7 +243,7 @@ def _draw(rows: DataFrame, index: DataFrame) -> DataFrame:
         crossing.where("_room > 0").select("lang", "_h", F.least("_n", "_room").alias("_n")))
     chosen = materialise(taken.groupBy("lang", "_h").agg(F.sum("_n").alias("_take")), "langid-chosen")
     found = rows.withColumn("_h", _hash()).join(chosen, ["lang", "_h"])
-    text = F.expr("substring(text, 1, int(_take))").alias("text")
+    text = F.expr(f"substring(text, 1, {upto})").alias("text")
     return found.select("lang", "_h", "doc_id", text).dropDuplicates(["lang", "_h"])
 
 
@@ -323,40 +326,82 @@ def kneser_ney(counts) -> Models:
 def fit(rows: DataFrame, chars: int = SAMPLE_CHARS) -> Models:
     """Models of every language of ``rows`` (doc_id, text, lang): from text and lang alone; id and text pick the sample.
 
-    Rows with null text or null lang are passed over; no rows give models without languages.
+    Rows with null text or null lang are passed over; no rows give models without languages. Labelled texts that have
+    fewer than 20 pieces of 50 code points to keep out (under about 5,000 in all) calibrate nothing: then only texts
+    without letters are rejected.
     """
     labelled = rows.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    sample = materialise(bounded_sample(labelled, chars), "langid-sample")
-    held = F.pmod(F.xxhash64("doc_id", "text", F.lit("calibration")), F.lit(CALIBRATION)) == 0
-    keys = ["lang", f"g{ORDER}"]
-    rest = [F.first(x).alias(x) for x in (f"{y}{k}" for k in range(1, ORDER + 1) for y in "gc") if x not in keys]
-    counted = sample.where(~held).select("lang", "text").mapInArrow(_count_grams, _COUNTS)
-    models = kneser_ney(counted.groupBy(*keys).agg(F.sum("n").alias("n"), *rest).toArrow().to_pandas())
+    index = _index(labelled)
+    kept_out = F.pmod(F.xxhash64("_h", F.lit("calibration")), F.lit(CALIBRATION)) == 0
+    # a language whose rows would all be kept out is counted
+    free = index.groupBy("lang").agg(F.count_if(~kept_out).alias("_free"))
+    index = materialise(index.join(free, "lang").select("lang", "_h", "_n", (kept_out & (F.col("_free") > 0)).alias("_held")), "langid-split")
+    learn = index.where("not _held").drop("_held")
+    sample = materialise(_draw(labelled, _shared_out(learn, chars)).select("lang", "_h", "text"), "langid-sample")
+    models = kneser_ney(_counted(sample))
     if not models.languages:
         return models
-    shared = sample.sparkSession.sparkContext.broadcast(models)
+    # a row counts as one, so this draws rows
+    calibrate = index.where("_held").select("lang", "_h", F.lit(1).alias("_n"), F.lit(CALIBRATION_ROWS).alias("_share"))
+    held = materialise(_draw(labelled, calibrate, str(CALIBRATION_TEXT)).select("lang", "text"), "langid-held")
+    for size in MEASURED:
+        found = _measured(held, models, size)
+        if len(found) >= LEAST_MEASURED:
+            return _calibrated(models, found)
+    # too little was kept out: every fifth piece of the sample, under models of the other pieces
+    for size in MEASURED:
+        start = F.explode(F.sequence(F.lit(0), F.length("text") - 1, F.lit(size))).alias("_at")
+        pieces = sample.select("lang", "_h", "text", start).select(
+            "lang", "_h", "_at", F.expr(f"substring(text, _at + 1, {size})").alias("text"))
+        out = F.pmod(F.xxhash64("_h", "_at"), F.lit(CALIBRATION)) == 0
+        others = kneser_ney(_counted(pieces.where(~out)))
+        found = _measured(pieces.where(out), others, size) if others.languages else []
+        if len(found) >= LEAST_MEASURED:
+            found["l"] = [models.languages.index(others.languages[k]) for k in found["l"]]
+            return _calibrated(models, found)
+    return models
+
+
+def _counted(sample: DataFrame):
+    keys = ["lang", f"g{ORDER}"]
+    rest = [F.first(x).alias(x) for x in (f"{y}{k}" for k in range(1, ORDER + 1) for y in "gc") if x not in keys]
+    counted = sample.select("lang", "text").mapInArrow(_count_grams, _COUNTS)
+    return counted.groupBy(*keys).agg(F.sum("n").alias("n"), *rest).toArrow().to_pandas()
+
+
+def _measured(held: DataFrame, models: Models, size: int):
+    """Language, cross-entropy and symbols of each text with letters and, where there are several, of its pieces."""
+    shared = held.sparkSession.sparkContext.broadcast(models)
 
     def measure(batches):
         m = shared.value
-        for b in batches:
-            langs = b.column("lang").to_pylist()
-            texts = b.column("text").to_pylist()
-            ok = [i for i, x in enumerate(langs) if x in m.languages and any(ch.isalpha() for ch in texts[i])]
-            _, h, n = m.entropies([texts[i] for i in ok])
-            own = [m.languages.index(langs[i]) for i in ok]
-            yield pa.RecordBatch.from_pydict({
-                "l": pa.array(own, pa.int32()), "h": pa.array(h, pa.float64()), "n": pa.array(n, pa.int64())
-            })
-
-    found = sample.where(held).select("lang", "text").mapInArrow(measure, "l int, h double, n bigint").toPandas()
+        number = {x: k for k, x in enumerate(m.languages)}
+        for batch in batches:
+            for b in sub_batches(batch, "text"):
+                own, texts = [], []
+                for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+                    pieces = [text[at : at + size] for at in range(0, len(text), size)]
+                    for x in [text, *pieces] if len(pieces) > 1 else [text]:
+                        if lang in number and any(ch.isalpha() for ch in x):
+                            own.append(number[lang])
+                            texts.append(x)
+                _, h, n = m.entropies(texts)
+                yield pa.RecordBatch.from_pydict({
+                    "l": pa.array(own, pa.int32()), "h": pa.array(h, pa.float64()), "n": pa.array(n, pa.int64())
+                })
+
+    found = held.select("lang", "text").mapInArrow(measure, "l int, h double, n bigint").toArrow().to_pandas()
     shared.destroy()  # the calibrated models are broadcast anew; executors hold them once
-    if len(found) >= 20:
-        lang, h, n = (found[x].to_numpy() for x in "lhn")
-        models.mean = np.array([np.median(h[lang == k]) if (lang == k).sum() >= 5 else np.median(h) for k in range(len(models.languages))])
-        off = h - models.mean[lang]
-        models.spread = np.full(len(models.languages), 0.02) * models.mean
-        models.noise = float(np.median(off**2 * n) / 0.455)  # the median of a squared unit normal
-        models.limit = max(LEAST_LIMIT, MARGIN * float(np.quantile(models.deviations(lang, h, n), 0.99)))
+    return found
+
+
+def _calibrated(models: Models, found) -> Models:
+    lang, h, n = (found[x].to_numpy() for x in "lhn")
+    models.mean = np.array([np.median(h[lang == k]) if (lang == k).sum() >= 5 else np.median(h) for k in range(len(models.languages))])
+    off = h - models.mean[lang]
+    models.spread = np.full(len(models.languages), 0.02) * models.mean
+    models.noise = float(np.median(off**2 * n) / 0.455)  # the median of a squared unit normal
+    models.limit = max(LEAST_LIMIT, MARGIN * float(np.quantile(models.deviations(lang, h, n), 0.99)))
     return models
 
 
