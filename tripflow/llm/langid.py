@@ -212,7 +212,8 @@ def _shared_out(index: DataFrame, chars: int) -> DataFrame:
     share = max(chars // max(many, 1), min(chars // 20, 5 * chars // max(many, 1)), PIECES)
     least = max(min(share, chars // max(few, 1)), PIECES)
     shares = by.select("lang", F.when(F.col("_rows") >= LEAST_ROWS, share).otherwise(least).alias("_share"))
-    return index.join(shares, "lang")
+    # a row per label; dealt out by label, the index would go to as many tasks as there are languages
+    return index.join(F.broadcast(shares), "lang")
 
 
 def _draw(rows: DataFrame, index: DataFrame, upto: str = "int(_take)") -> DataFrame:
@@ -235,7 +236,7 @@ def _draw(rows: DataFrame, index: DataFrame, upto: str = "int(_take)") -> DataFr
     running = F.sum("_all").over(Window.partitionBy("lang").orderBy("_piece", F.desc("_slice")))
     # the slices that begin before the share is full; the last of them may cross it
     begun = sums.withColumn("_before", running - F.col("_all")).where(F.col("_before") < F.col("_share")).drop("_share")
-    near = pieces.join(begun, keys)
+    near = pieces.join(F.broadcast(begun), keys)
     full = F.col("_before") + F.col("_all") <= F.col("_share")
     inside = F.sum("_n").over(Window.partitionBy(*keys).orderBy(place, "_h"))
     crossing = near.where(~full).withColumn("_room", F.col("_share") - F.col("_before") - inside + F.col("_n"))
@@ -335,7 +336,7 @@ def fit(rows: DataFrame, chars: int = SAMPLE_CHARS) -> Models:
     kept_out = F.pmod(F.xxhash64("_h", F.lit("calibration")), F.lit(CALIBRATION)) == 0
     # a language whose rows would all be kept out is counted
     free = index.groupBy("lang").agg(F.count_if(~kept_out).alias("_free"))
-    index = materialise(index.join(free, "lang").select("lang", "_h", "_n", (kept_out & (F.col("_free") > 0)).alias("_held")), "langid-split")
+    index = materialise(index.join(F.broadcast(free), "lang").select("lang", "_h", "_n", (kept_out & (F.col("_free") > 0)).alias("_held")), "langid-split")
     learn = index.where("not _held").drop("_held")
     sample = materialise(_draw(labelled, _shared_out(learn, chars)).select("lang", "_h", "text"), "langid-sample")
     models = kneser_ney(_counted(sample))
