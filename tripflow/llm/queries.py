@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, embeddings, langid, mixing, neardup, packing, pii, quality, substrings, suffixes
+from tripflow.llm import (
+    chat, embeddings, langid, mixing, neardup, packing, pii, prefixes, quality, spelling, substrings, suffixes, toxicity,
+)
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_mixing": mixing.op9_mixing,
     "op10_pii": pii.op10_pii,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_toxicity": toxicity.op12_toxicity,
+    "op13_prefix_trie": prefixes.op13_prefix_trie,
 }
 
 ORACLE = {
@@ -24,4 +29,6 @@ ORACLE = {
     "op8_substring_dedup": substrings.OP8_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op10_pii": pii.OP10_SQL,
+    "op11_spelling_variants": spelling.OP11_SQL,
+    "op13_prefix_trie": prefixes.OP13_SQL,
 }
