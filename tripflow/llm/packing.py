@@ -21,81 +21,137 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripflow.llm.anchors import found_in
 from tripflow.llm.common import materialise
-from tripflow.llm.hashing import sub_batches
+from tripflow.llm.hashing import Substrings, sub_batches, word_spans
 
 CAPACITY = 2048
 #: Pieces that one window task ranks, at most on average.
 RANK_ROWS = 200_000
-#: Distinct words whose ids a Python worker remembers, and half the number of pre-tokens; a full memory starts afresh.
-REMEMBERED = 150_000
+#: Words whose ids a Python worker remembers, over all its tasks: about 40 bytes each. Beyond, the half used last stays.
+REMEMBERED = 1_000_000
+#: Bytes of text that are encoded at a time.
+SLICE = 2_000_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 # Characters for which lower case, composition and the pre-token classes are plain; words with others go to the
 # tokenizer as they stand.
 _UNSAFE = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]|<\\|")
-_SEPARATOR = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
 _PRETOKEN = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+")
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes, remembered by word and by pre-token.
+    """Ids of whole texts, remembered by word (a run between ASCII white space) in sorted arrays.
 
     The tokenizer drops white space, lower-cases and never joins characters of two pre-tokens, so the ids of a text
-    are those of its words in order, and the ids of a plain word those of its pre-tokens.
+    are those of its words in order, and those of plain words can be asked for many at a time. Words are known by a
+    64-bit hash of their bytes: among ten million words, two are mixed up with a probability of 3e-6.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def encode(self, strings: list[str]) -> Iterator[bytes]:
-        for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False):
-            yield np.array(e.ids, "<u4").tobytes()
-
-    def encode_plain(self, parts: list[str]) -> Iterator[bytes]:
-        """Many pre-tokens as one text; the tokenizer numbers them."""
+        self.remembered = remembered or REMEMBERED
+        self.turn = 0
+        #: Hashes of the words, ascending; where in ``ids`` theirs begin, how many they are, and when they were last used.
+        self.hashes = np.zeros(0, np.uint64)
+        self.at, self.size, self.used = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+        self.ids = np.zeros(1, np.uint32)  # the closing 0 of a document is at 0
+
+    def _parts(self, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of pre-tokens, many as one text, and how many each has: the tokenizer numbers them."""
         for k in range(0, len(parts), 2000):
             some = parts[k : k + 2000]
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, of = np.array(found.ids, "<u4").tobytes(), np.array(found.word_ids, np.int64)
-            ends = 4 * np.searchsorted(of, np.arange(len(some)), side="right")
+            of = np.array(found.word_ids, np.int64)
             if len(of) and of[-1] == len(some) - 1:
-                at = 0
-                for end in ends.tolist():
-                    yield ids[at:end]
-                    at = end
+                yield np.array(found.ids, np.uint32), np.bincount(of, minlength=len(some))
             else:
-                yield from self.encode(some)
-
-    def learn(self, words: list[str]) -> None:
-        odd = [w for w in words if _UNSAFE.search(w)]
-        self.words.update(zip(odd, self.encode(odd)))
-        plain = {w: _PRETOKEN.findall(w.lower()) for w in set(words).difference(odd)}
-        new = list(set().union(*plain.values()).difference(self.parts))
-        self.parts.update(zip(new, self.encode_plain(new)))
-        parts = self.parts
-        for word, own in plain.items():
-            self.words[word] = b"".join([parts[p] for p in own])
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        split = [re.split("[\t-\r ]+", t) if _SEPARATOR.search(t) else t.split() for t in texts]
-        new = list(set().union(*split).difference(self.words))
-        if new:
-            self.learn(new)
-        words = self.words
-        for own in split:
-            yield b"".join([words[w] for w in own])
-        for memory, most in ((self.words, REMEMBERED), (self.parts, 2 * REMEMBERED)):
-            for long in [w for w in new if len(w) > 64]:
-                memory.pop(long, None)
-            if len(memory) > most:
-                memory.clear()
+                yield from self._words(some)
+
+    def _words(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
+            yield np.array(e.ids, np.uint32), np.array([len(e.ids)])
+
+    def _add(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        at = np.cumsum(size) - size + len(self.ids)
+        self.ids = np.concatenate([self.ids, ids])
+        return at
+
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Odd words go to the tokenizer as they stand; the others are put together from their pre-tokens, of which
+        only those that are not known as words already go there."""
+        none = (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        odd = np.array([bool(_UNSAFE.search(w)) for w in words], bool)
+        ids, size = (np.concatenate(x) for x in zip(none, *self._words([w for w, o in zip(words, odd) if o])))
+        rows = [(hashes[odd], self._add(ids, size), size)]
+
+        known: dict[str, int] = {}
+        split = [[w.lower()] if w.isalpha() else _PRETOKEN.findall(w.lower()) for w, o in zip(words, odd) if not o]
+        flat = np.array([known.setdefault(p, len(known)) for own in split for p in own], np.int64)
+        parts = list(known)
+        raw = np.frombuffer(" ".join(parts).encode(), np.uint8)
+        own = Substrings(raw)(*word_spans(raw))
+        place = found_in(own, self.hashes)
+        new = np.flatnonzero(place < 0)
+        ids, size = (np.concatenate(x) for x in zip(none, *self._parts([parts[k] for k in new.tolist()])))
+        part_at, part_size = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        part_at[new], part_size[new] = self._add(ids, size), size
+        old = np.flatnonzero(place >= 0)
+        part_at[old], part_size[old] = self.at[place[old]], self.size[place[old]]
+        rows.append((own[new], part_at[new], part_size[new]))
+
+        many = np.array([len(x) for x in split], np.int64)
+        of = np.repeat(np.arange(len(split)), many)
+        size = np.bincount(of, part_size[flat], len(split)).astype(np.int64)
+        rows.append((hashes[~odd], self._add(self.ids[gather(part_at[flat], part_size[flat])], size), size))
+
+        merged, at, size = (np.concatenate(x) for x in zip((self.hashes, self.at, self.size), *rows))
+        self.hashes, first = np.unique(merged, return_index=True)
+        used = np.concatenate([self.used, np.full(len(merged) - len(self.used), self.turn, np.int32)])
+        self.at, self.size, self.used = at[first], size[first].astype(np.int32), used[first]
+
+    def forget(self) -> None:
+        """Keep the half of the words that were used last, and their ids."""
+        if len(self.hashes) <= self.remembered and len(self.ids) <= 8 * self.remembered:
+            return
+        keep = np.sort(np.argsort(-self.used, kind="stable")[: self.remembered // 2])
+        keep = keep[np.cumsum(self.size[keep]) <= 4 * self.remembered]
+        size = self.size[keep]
+        self.ids = np.concatenate([np.zeros(1, np.uint32), self.ids[gather(self.at[keep], size)]])
+        self.hashes, self.at, self.size, self.used = self.hashes[keep], np.cumsum(size) - size + 1, size, self.used[keep]
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (UTF-8), each with its closing 0, and how many each has."""
+        data = b" ".join(texts)
+        raw = np.frombuffer(data, np.uint8)
+        start, stop = word_spans(raw)
+        hashes, first, own = np.unique(Substrings(raw)(start, stop), return_index=True, return_inverse=True)
+        self.turn += 1
+        new = np.flatnonzero(found_in(hashes, self.hashes) < 0)
+        if len(new):
+            self.learn(hashes[new], [data[a:b].decode() for a, b in zip(start[first[new]].tolist(), stop[first[new]].tolist())])
+        place = found_in(hashes, self.hashes)
+        self.used[place] = self.turn
+        offsets = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+        ends = np.append(np.searchsorted(start, offsets[1:]), len(start)) if texts else np.zeros(0, np.int64)
+        at, size = np.insert(self.at[place][own], ends, 0), np.insert(self.size[place][own], ends, 1)
+        out = self.ids[gather(at, size)]
+        lengths = np.cumsum(size)[ends + np.arange(len(ends))] if len(ends) else ends
+        self.forget()
+        return out, np.diff(lengths, prepend=0)
+
+
+def gather(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indices of runs of ``size`` from ``at``, one after the other."""
+    size = size.astype(np.int64)
+    return np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+_encoders: dict[str, Encoder] = {}
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -106,28 +162,27 @@ def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, wit
     """
 
     def run(batches):
-        encode = Encoder(tokenizer_path)  # one to a task, so an idle worker holds nothing
+        # one for all tasks of a worker; its memory is bounded
+        encode = _encoders.get(tokenizer_path) or _encoders.setdefault(tokenizer_path, Encoder(tokenizer_path))
         for batch in batches:
-            for part in sub_batches(batch, "text", 2_000_000):
-                rows = defaultdict(list)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for doc_id, buf in zip(part.column("doc_id").to_pylist(), encode(texts)):
-                    buf += b"\0\0\0\0"
-                    for piece, start in enumerate(range(0, len(buf), 4 * capacity)):
-                        cut = buf[start : start + 4 * capacity]
-                        rows["doc_id"].append(doc_id)
-                        rows["piece"].append(piece)
-                        rows["start"].append(start // 4)
-                        rows["length"].append(len(cut) // 4)
-                        rows["ids_crc32"].append(zlib.crc32(cut))
-                        if with_ids:
-                            rows["ids"].append(cut)
-                yield pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
-
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-        + [("ids", pa.binary())] * with_ids
-    )
+            for part in sub_batches(batch, "text", SLICE):
+                ids, lengths = encode([(t or "").encode() for t in part.column("text").to_pylist()])
+                ids = ids.astype("<u4", copy=False)
+                pieces = -(-lengths // capacity)
+                row = np.repeat(np.arange(len(lengths)), pieces)
+                piece = np.arange(len(row)) - (np.cumsum(pieces) - pieces)[row]
+                start = piece * capacity
+                length = np.minimum(capacity, lengths[row] - start)
+                low = 4 * ((np.cumsum(lengths) - lengths)[row] + start)
+                view = memoryview(ids).cast("B") if len(ids) else memoryview(b"")
+                cuts = [view[a:b] for a, b in zip(low.tolist(), (low + 4 * length).tolist())]
+                columns = [part.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
+                           pa.array([zlib.crc32(c) for c in cuts], pa.int64())]
+                if with_ids:
+                    columns.append(pa.array([bytes(c) for c in cuts], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, PIECES + ", ids binary" * with_ids)
 
