@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -28,7 +29,7 @@ def test_oracle(spark, name):
     want = con.execute(ORACLE[name]).df()
     got = QUERIES[name](spark, SF).toPandas()
     assert sorted(got.columns) == sorted(want.columns)
-    norm = lambda df: sorted((tuple(None if v is None or v != v else round(v, 6) if isinstance(v, float) else v for v in r) for r in df[sorted(df.columns)].itertuples(index=False)), key=repr)
+    norm = lambda df: sorted((tuple(None if pd.isna(v) else round(v, 6) if isinstance(v, float) else v for v in r) for r in df[sorted(df.columns)].itertuples(index=False)), key=repr)
     assert norm(got) == norm(want)
 
 
