@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.columns import round6
-from tripflow.oracle import BASE, MON, MON_CTES, SCORED_ALL, ZONES, cat_drift_cte, with_ctes
+from tripflow.oracle import ORACLE, BASE, MON, MON_CTES, SCORED_ALL, ZONES, cat_drift_cte, with_ctes
 from tripflow.queries import Inputs, _scratch
 from tripflow.schema import PICKUP
 
@@ -109,3 +109,39 @@ def q_monitoring_window(spark, sf_dir) -> DataFrame:
         (F.abs(F.col("ks_statistic") - F.col("exact")) <= 2 * rank_error() + 1 / GRID).cast("double").alias("value"))
     plain = report.join(F.broadcast(exact_w.select("metric")), "metric", "left_anti").select("metric", round6(F.col("value")).alias("value"))
     return plain.unionByName(near).unionByName(ks)
+
+
+# --------------------------------------------------------------------------- streams
+#: Appends in which the lines of the requests arrive, and seconds by which trips of a request are apart at most.
+APPENDS, JITTER_S = 4, 60
+
+
+@registered("stream_request_answers", ORACLE["request_scoring"])
+def q_stream_request_answers(spark, sf_dir) -> DataFrame:
+    """ST1 per request: the trips of all requests arrive one per line, out of order, some twice, over several appends
+    and micro-batches; the answers equal those of ``request_scoring``."""
+    import datetime as dt
+
+    from tripflow.queries import MODEL_METADATA
+    from tripflow.sources import adapter
+    from tripflow.streaming.answers import run_answers
+
+    inp, run = Inputs(spark, sf_dir), _scratch(spark, "answers")
+    whole = adapter.request_bodies(spark, sf_dir).select("request_id", F.from_json("body", "trips array<string>")["trips"].alias("trips"))
+    last = whole.agg(F.max("request_id")).first()[0] or 0
+    trips = whole.select("request_id", F.size("trips").alias("n_trips"), F.posexplode("trips").alias("pos", "trip"))
+    late = F.pmod(F.xxhash64("request_id", "pos"), F.lit(JITTER_S))
+    at = trips.withColumn("second", F.col("request_id") + late)
+    again = at.where(F.pmod(F.xxhash64("pos", "request_id"), F.lit(9)) == 0).withColumn("second", F.col("second") + JITTER_S // 2)
+    lines = at.unionByName(again).select(
+        "second", F.to_json(F.struct("request_id", "pos", "n_trips", F.date_format(
+            F.timestamp_seconds(F.lit(1_767_225_600) + F.col("second")), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("sent_at"), "trip")).alias("value"))
+    span = (int(last) + 2 * JITTER_S) // APPENDS + 1
+    for k in range(APPENDS):
+        lines.where((F.col("second") >= k * span) & (F.col("second") < (k + 1) * span)).select("value").write.mode("append").text(f"{run}/in")
+    run_answers(spark, f"{run}/in", f"{run}/out", f"{run}/checkpoint", inp.scorer, MODEL_METADATA,
+                patience=dt.timedelta(minutes=10), delay=f"{span + JITTER_S} seconds", max_files_per_trigger=16)
+    r = spark.read.parquet(f"{run}/out")
+    text = F.array_join(F.transform("predictions", lambda x: F.format_string("%.6f", x)), ",")
+    n = F.when(F.col("predictions").isNull(), F.lit(0)).otherwise(F.size("predictions"))
+    return r.select("request_id", "status", n.alias("n_predictions"), text.alias("predictions_text"), "model_name", "model_version", "model_alias")
