@@ -145,3 +145,103 @@ def q_stream_request_answers(spark, sf_dir) -> DataFrame:
     text = F.array_join(F.transform("predictions", lambda x: F.format_string("%.6f", x)), ",")
     n = F.when(F.col("predictions").isNull(), F.lit(0)).otherwise(F.size("predictions"))
     return r.select("request_id", "status", n.alias("n_predictions"), text.alias("predictions_text"), "model_name", "model_version", "model_alias")
+
+
+# --------------------------------------------------------------------------- trees
+#: Trees of the queries whose subject is evaluating, saving and explaining a model rather than its quality.
+FEW_TREES = {"n_estimators": 40, "learning_rate": 0.15}
+
+
+def _with_signal(prepared: DataFrame, zones) -> DataFrame:
+    """The trips with a duration that follows from distance, hour and passengers, and a little noise from the trip's id,
+    so that there is something to learn."""
+    from tripflow.functions.geo import haversine_miles
+    from tripflow.functions.timefeat import is_rush_hour
+    from tripflow.sources.adapter import TRIP_KEY
+
+    z = zones.df
+    side = lambda p: zones.side(z.select(F.col("LocationID").alias(f"{p}k"), F.col("latitude").alias(f"{p}a"), F.col("longitude").alias(f"{p}o")))
+    joined = prepared.join(side("p"), F.col("PULocationID") == F.col("pk"), "left").join(side("d"), F.col("DOLocationID") == F.col("dk"), "left")
+    miles = F.coalesce(haversine_miles(F.col("pa"), F.col("po"), F.col("da"), F.col("do")), F.lit(1.0))
+    noise = (F.pmod(F.col(TRIP_KEY) * 7919, F.lit(101)) - 50) / 100.0
+    duration = 4.0 + 6.0 * miles + 5.0 * is_rush_hour(F.hour(PICKUP)) + F.coalesce("passenger_count", F.lit(1.0)) / 2.0 + noise
+    return joined.withColumn("duration", duration).select(*prepared.columns)
+
+
+def _signal_model(inp: Inputs):
+    from tripflow.plans.train import fit_pipeline
+    from tripflow.schema import CHAMPION_PARAMS
+
+    trips = _with_signal(inp.prepared_split, inp.zones)
+    return fit_pipeline(inp.zones, trips.where("split = 'train'"), {**CHAMPION_PARAMS, **FEW_TREES}), trips
+
+
+@registered("learner_signal", with_ctes(*BASE, body="""
+SELECT split, count(*) AS "rows", true AS learned FROM prepared GROUP BY split"""))
+def q_learner_signal(spark, sf_dir) -> DataFrame:
+    """M4 on durations that can be learned: per split, whether the squared error is below a tenth of the train mean's."""
+    from tripflow.plans.ensemble import EnsembleScorer
+
+    model, trips = _signal_model(Inputs(spark, sf_dir))
+    mean = trips.where("split = 'train'").agg(F.avg("duration")).first()[0]
+    y, p = F.col("duration"), F.col("prediction")
+    return EnsembleScorer(model).transform(trips).groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), (F.avg((y - p) ** 2) < 0.1 * F.avg((y - F.lit(mean)) ** 2)).alias("learned"))
+
+
+@registered("ensemble_scoring", with_ctes(*BASE, body="""
+SELECT 'trip' AS scored, trip_id AS id, true AS equal FROM prepared
+UNION ALL SELECT 'request', request_id, true FROM (""" + "{requests}" + """)"""))
+def q_ensemble_scoring(spark, sf_dir) -> DataFrame:
+    """M8 + M9 by bit vectors: every prepared trip, and every request in one narrow stage; whether the predictions equal
+    those of the learner's own transform (to 1e-9)."""
+    from tripflow.plans.ensemble import EnsembleScorer
+    from tripflow.plans.scoring import score_requests
+    from tripflow.plans.train import PipelineScorer, score
+    from tripflow.queries import MODEL_METADATA, _validated_requests
+    from tripflow.sources.adapter import TRIP_KEY
+
+    model, trips = _signal_model(Inputs(spark, sf_dir))
+    fast = EnsembleScorer(model)
+    own = score(model, trips, keep=(TRIP_KEY,)).withColumnRenamed("prediction", "want")
+    by_trip = fast.transform(trips).join(own, TRIP_KEY).select(
+        F.lit("trip").alias("scored"), F.col(TRIP_KEY).alias("id"), (F.abs(F.col("prediction") - F.col("want")) < 1e-9).alias("equal"))
+    requests = _validated_requests(spark, sf_dir)
+    want = score_requests(requests, PipelineScorer(model), MODEL_METADATA).select("request_id", F.col("status").alias("s"), F.col("predictions").alias("want"))
+    near = F.when(F.col("want").isNull(), F.col("predictions").isNull()).otherwise(
+        (F.size("want") == F.size("predictions")) & ~F.exists(F.zip_with("want", "predictions", lambda a, b: F.abs(a - b) < 1e-9), lambda x: ~x))
+    by_request = fast.score_requests(requests, MODEL_METADATA).join(want, "request_id").select(
+        F.lit("request").alias("scored"), F.col("request_id").alias("id"), ((F.col("status") == F.col("s")) & near).alias("equal"))
+    return by_trip.unionByName(by_request)
+
+
+MORE_ORACLE["ensemble_scoring"] = MORE_ORACLE["ensemble_scoring"].replace("{requests}", "SELECT DISTINCT event_id // 10 AS request_id FROM events")
+
+
+@registered("pipeline_roundtrip", with_ctes(*BASE, body="SELECT trip_id, true AS equal FROM prepared"))
+def q_pipeline_roundtrip(spark, sf_dir) -> DataFrame:
+    """M5 as one artefact: the fitted pipeline saved, loaded as a Spark ML pipeline, and every trip scored by both."""
+    from pyspark.ml import PipelineModel
+
+    from tripflow.plans.train import save_pipeline, score
+    from tripflow.sources.adapter import TRIP_KEY
+
+    model, trips = _signal_model(Inputs(spark, sf_dir))
+    path = _scratch(spark, "pipeline")
+    save_pipeline(model, path)
+    again = score(PipelineModel.load(path), trips, keep=(TRIP_KEY,)).withColumnRenamed("prediction", "again")
+    return score(model, trips, keep=(TRIP_KEY,)).join(again, TRIP_KEY).select(TRIP_KEY, (F.col("prediction") == F.col("again")).alias("equal"))
+
+
+@registered("importance_values", """
+SELECT CAST(range AS INTEGER) AS rank, true AS equal FROM range(1, 21)""")
+def q_importance_values(spark, sf_dir) -> DataFrame:
+    """O2 by value: the importances of the ranked features against those recomputed from the exported tree nodes (the
+    gain of every split times its rows, summed by feature); a feature that never splits has none."""
+    from tripflow.plans.ensemble import importance_from_nodes, tree_nodes
+    from tripflow.plans.train import feature_importance, feature_model
+
+    model, _ = _signal_model(Inputs(spark, sf_dir))
+    nodes = importance_from_nodes(tree_nodes(model.stages[-1]), feature_model(model).getFeatureNamesOut()).withColumnRenamed("importance", "own")
+    return feature_importance(model).join(nodes, "feature", "left").select(
+        "rank", (F.abs(F.col("importance") - F.coalesce("own", F.lit(0.0))) < 1e-9).alias("equal"))

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,7 +112,7 @@ class TripFeatures(Estimator, _FeatureParams):
         return model
 
 
-class TripFeaturesModel(Model, _FeatureParams):
+class TripFeaturesModel(Model, _FeatureParams, MLWritable, MLReadable):
     def __init__(self):
         super().__init__()
         self.zones: Dimension | None = None
@@ -290,35 +291,46 @@ class TripFeaturesModel(Model, _FeatureParams):
             raise ValueError(f"null feature values in {bad}")
 
     # ------------------------------------------------------------ persistence
-    def save(self, path: str) -> None:
-        import json
-
-        spark = self.summary.sparkSession
-        self.summary.write.mode("overwrite").parquet(f"{path}/summary")
-        self.zones.df.write.mode("overwrite").parquet(f"{path}/zones")
-        meta = {
-            "total_rows": self.total_rows, "median_distance": self.median_distance,
-            "trip_type_fallback": self.trip_type_fallback, "categories": self.categories,
-            "feature_names": self.feature_names, "route_rows": self.route_rows, "pu_rows": self.pu_rows,
-            "do_rows": self.do_rows, "zone_rows": self.zones.rows,
-            "broadcastMaxRows": self.getOrDefault(self.broadcastMaxRows), "keepCols": self.getOrDefault(self.keepCols),
-            "featuresCol": self.getOrDefault(self.featuresCol),
-        }
-        spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string").coalesce(1).write.mode(
-            "overwrite").text(f"{path}/meta")
+    def write(self) -> "TripFeaturesWriter":
+        return TripFeaturesWriter(self)
 
     @classmethod
-    def load(cls, spark, path: str) -> "TripFeaturesModel":
-        import json
+    def read(cls) -> "TripFeaturesReader":
+        return TripFeaturesReader(cls)
 
-        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        model = cls()
-        model._set(broadcastMaxRows=meta["broadcastMaxRows"], keepCols=meta["keepCols"],
-                   featuresCol=meta.get("featuresCol", ""))
-        model.summary = spark.read.parquet(f"{path}/summary")
-        model.zones = Dimension(spark.read.parquet(f"{path}/zones"), rows=meta["zone_rows"])
-        for k in ("total_rows", "median_distance", "trip_type_fallback", "categories", "feature_names", "route_rows",
-                  "pu_rows", "do_rows"):
-            setattr(model, k, meta[k])
-        return model
 
+#: What the fit learned beside the tables, stored with the parameters.
+_FITTED = ("total_rows", "median_distance", "trip_type_fallback", "categories", "feature_names", "route_rows", "pu_rows", "do_rows")
+
+
+class TripFeaturesWriter(MLWriter):
+    """Parameters and fitted values as ML metadata, the fit summary and the zones as tables beside it, so the stage is
+    saved and loaded as part of a ``PipelineModel``."""
+
+    def __init__(self, instance: TripFeaturesModel):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        model = self.instance
+        fitted = {k: getattr(model, k) for k in _FITTED}
+        DefaultParamsWriter.saveMetadata(model, path, self.sparkSession, extraMetadata={"fitted": fitted, "zone_rows": model.zones.rows})
+        model.summary.write.mode("overwrite").parquet(f"{path}/summary")
+        model.zones.df.write.mode("overwrite").parquet(f"{path}/zones")
+
+
+class TripFeaturesReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str) -> TripFeaturesModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = self.cls()
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        model.summary = self.sparkSession.read.parquet(f"{path}/summary")
+        model.zones = Dimension(self.sparkSession.read.parquet(f"{path}/zones"), rows=metadata["zone_rows"])
+        for k in _FITTED:
+            setattr(model, k, metadata["fitted"][k])
+        return model

@@ -102,18 +102,23 @@ def explode_trips(validated: DataFrame, key: str = "request_id") -> DataFrame:
     return ok.select(key, F.posexplode("trips").alias("pos", "trip")).select(key, "pos", "trip.*")
 
 
+def neutral_trips(validated: DataFrame, key: str, *more: str) -> DataFrame:
+    """A row for each trip of a valid request, with its position; any other request is one neutral trip without one."""
+    trips = F.when(F.col("valid"), F.col("trips"))
+    rows = validated.select(key, "valid", *more, F.posexplode_outer(trips).alias("pos", "trip"))
+    neutral = {"VendorID": F.lit(0), PICKUP: F.lit("2000-01-01 00:00:00").cast(T.TimestampNTZType()),
+               "PULocationID": F.lit(0), "DOLocationID": F.lit(0)}
+    fields = [F.coalesce(F.col(f"trip.{c}"), neutral[c]).alias(c) if c in neutral else F.col(f"trip.{c}").alias(c) for c in FIELD_ORDER]
+    return rows.select(key, "valid", *more, "pos", *fields)
+
+
 def score_requests(validated: DataFrame, scorer, metadata: dict, key: str = "request_id") -> DataFrame:
     """M9: per request: status, predictions in trip order, model metadata (rejected: 422, no predictions).
 
     One pass: every request gives at least one row. A request without trips to score travels as a neutral trip, so
     the scorer only ever sees whole trips, and its prediction is left out when the requests are put together again.
     """
-    trips = F.when(F.col("valid"), F.col("trips"))
-    rows = validated.select(key, "valid", F.posexplode_outer(trips).alias("pos", "trip"))
-    neutral = {"VendorID": F.lit(0), PICKUP: F.lit("2000-01-01 00:00:00").cast(T.TimestampNTZType()),
-               "PULocationID": F.lit(0), "DOLocationID": F.lit(0)}
-    fields = [F.coalesce(F.col(f"trip.{c}"), neutral[c]).alias(c) if c in neutral else F.col(f"trip.{c}").alias(c) for c in FIELD_ORDER]
-    scored = scorer.transform(rows.select(key, "valid", "pos", *fields))
+    scored = scorer.transform(neutral_trips(validated, key))
     answers = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "prediction"))))
     per_request = scored.groupBy(key, "valid").agg(answers.alias("__p"))
     return per_request.select(

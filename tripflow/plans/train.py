@@ -255,13 +255,9 @@ def run_training(zones: Dimension, splits: DataFrame, out_path: str, params: dic
 
 
 def save_pipeline(model: PipelineModel, path: str) -> None:
-    """The feature stage carries small fitted tables and saves itself; the trees use MLlib's writer."""
-    feature_model(model).save(f"{path}/features")
-    model.stages[-1].write().overwrite().save(f"{path}/gbt")
+    """One artefact: features and trees as a saved Spark ML pipeline (an existing one is replaced)."""
+    model.write().overwrite().save(path)
 
 
 def load_pipeline(spark: SparkSession, path: str) -> PipelineModel:
-    from pyspark.ml.regression import GBTRegressionModel
-
-    return PipelineModel(stages=[TripFeaturesModel.load(spark, f"{path}/features"),
-                                 GBTRegressionModel.load(f"{path}/gbt")])
+    return PipelineModel.load(path)
