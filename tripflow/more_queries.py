@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.columns import round6
-from tripflow.oracle import ORACLE, BASE, MON, MON_CTES, SCORED_ALL, ZONES, cat_drift_cte, with_ctes
+from tripflow.oracle import BASE, FEATURE_CTES, MON, MON_CTES, ORACLE, RAW, REQUESTS, SCORED_ALL, SPLIT, ZONES, cat_drift_cte, with_ctes
 from tripflow.queries import Inputs, _scratch
 from tripflow.schema import PICKUP
 
@@ -245,3 +245,185 @@ def q_importance_values(spark, sf_dir) -> DataFrame:
     nodes = importance_from_nodes(tree_nodes(model.stages[-1]), feature_model(model).getFeatureNamesOut()).withColumnRenamed("importance", "own")
     return feature_importance(model).join(nodes, "feature", "left").select(
         "rank", (F.abs(F.col("importance") - F.coalesce("own", F.lit(0.0))) < 1e-9).alias("equal"))
+
+
+# --------------------------------------------------------------------------- requests by JSON type
+@registered("request_validation_typed", with_ctes(RAW, ZONES, REQUESTS, body="""
+, hit AS (
+  SELECT event_id // 10 AS request_id, count(*) FILTER (WHERE event_id % 7 <> 0) AS with_passengers,
+         count(*) FILTER (WHERE event_id % 20 = 4 AND event_id % 101 <> 0 AND event_id % 103 <> 0 AND event_id % 107 <> 0 AND event_id % 13 <> 0) AS n
+  FROM events GROUP BY 1)
+SELECT v.request_id, v.n_trips, CASE v.request_id % 6
+         WHEN 2 THEN v.valid AND h.with_passengers = 0 WHEN 3 THEN v.valid AND h.with_passengers = 0 WHEN 5 THEN false ELSE v.valid END AS valid
+FROM validated v JOIN hit h USING (request_id)"""))
+def q_request_validation_typed(spark, sf_dir) -> DataFrame:
+    """S7 + P16 by JSON type, over all requests with types exchanged by request: vendors as true (a number, 1), passenger
+    counts as arrays or as the text "true" (no numbers) and as false (0), a pickup that is a number."""
+    from tripflow.plans.scoring import parse_requests_typed, validate_requests
+    from tripflow.sources import adapter
+
+    body, kind = F.col("body"), F.col("request_id") % 6
+    count = r'"passenger_count":[0-9.]+'
+    mixed = (F.when(kind == 1, F.regexp_replace(body, r'"VendorID":[12],', '"VendorID":true,'))
+             .when(kind == 2, F.regexp_replace(body, count, '"passenger_count":[1]'))
+             .when(kind == 3, F.regexp_replace(body, count, '"passenger_count":"true"'))
+             .when(kind == 4, F.regexp_replace(body, count, '"passenger_count":false'))
+             .when(kind == 5, F.regexp_replace(body, r'"lpep_pickup_datetime":"[^"]*"', '"lpep_pickup_datetime":20260115')).otherwise(body))
+    v = validate_requests(parse_requests_typed(adapter.request_bodies(spark, sf_dir).withColumn("body", mixed)))
+    return v.select("request_id", "n_trips", "valid")
+
+
+# --------------------------------------------------------------------------- landed tables, contracts, jobs
+@registered("raw_by_month", with_ctes(RAW, body="""
+SELECT strftime(lpep_pickup_datetime, '%Y-%m') AS pickup_month, count(*) AS "rows", min(trip_id) AS first_trip, max(trip_id) AS last_trip
+FROM raw_trips GROUP BY 1"""))
+def q_raw_by_month(spark, sf_dir) -> DataFrame:
+    """The merged raw table written by pickup month and read back, a folder a month."""
+    from tripflow.sources.adapter import TRIP_KEY
+    from tripflow.sources.monthly import write_raw
+
+    path = _scratch(spark, "by-month")
+    write_raw(Inputs(spark, sf_dir).raw, path)
+    return spark.read.parquet(path).groupBy(F.col("pickup_month").cast("string").alias("pickup_month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(TRIP_KEY).alias("first_trip"), F.max(TRIP_KEY).alias("last_trip"))
+
+
+@registered("metrics_json", with_ctes(*BASE, ZONES, SCORED_ALL, body="""
+, m AS (SELECT split, CAST(count(*) AS DOUBLE) AS n, sqrt(avg((duration - prediction) * (duration - prediction))) AS rmse, avg(abs(duration - prediction)) AS mae
+        FROM scored_all GROUP BY split)
+SELECT 'rows_' || split AS metric, n AS value FROM m UNION ALL SELECT 'rmse_' || split, round(rmse, 6) FROM m
+UNION ALL SELECT 'mae_' || split, round(mae, 6) FROM m"""))
+def q_metrics_json(spark, sf_dir) -> DataFrame:
+    """The metrics of all splits as one JSON record with sorted keys, written and read back by name."""
+    from tripflow.operators.evaluate import split_metrics
+    from tripflow.sources.tables import write_metrics_json
+
+    found = split_metrics(Inputs(spark, sf_dir).scored()).collect()  # one row a split
+    path = _scratch(spark, "metrics")
+    write_metrics_json(spark, {f"{k}_{r['split']}": r[k] for r in found for k in ("rows", "rmse", "mae")}, path)
+    return spark.read.text(path).select(F.explode(F.from_json("value", "map<string,double>")).alias("metric", "value")).withColumn("value", round6(F.col("value")))
+
+
+@registered("optional_defaults", with_ctes(*FEATURE_CTES, body="""
+SELECT trip_id, 'passenger_count' AS feature, 1.0 AS value FROM prepared
+UNION ALL
+SELECT p.trip_id, 'trip_type_' || c.cat, CAST(CAST((SELECT trip_type_mode FROM fit_mode) AS VARCHAR) = c.cat AS DOUBLE)
+FROM prepared p CROSS JOIN cats_ranked c WHERE c.col = 'trip_type' AND c.pos > 1"""))
+def q_optional_defaults(spark, sf_dir) -> DataFrame:
+    """Trips without the optional columns get the passenger default and the learned trip type."""
+    from tripflow.sources.adapter import TRIP_KEY
+
+    inp = Inputs(spark, sf_dir)
+    bare = inp.prepared().drop("passenger_count", "trip_type")
+    long = inp.features.long_form(inp.features.transform(bare), [TRIP_KEY])
+    return long.where((F.col("feature") == "passenger_count") | F.col("feature").startswith("trip_type_")).select(TRIP_KEY, "feature", round6(F.col("value")).alias("value"))
+
+
+@registered("column_sets", """
+SELECT c AS dropped, CASE WHEN c IN ('tip_amount') THEN '' ELSE c END AS missing, (SELECT count(*) FROM events) AS "rows"
+FROM (SELECT unnest(['VendorID', 'lpep_pickup_datetime', 'PULocationID', 'DOLocationID', 'passenger_count', 'trip_type', 'tip_amount']) AS c)""")
+def q_column_sets(spark, sf_dir) -> DataFrame:
+    """The landed trips without one column at a time: which model inputs are then said to be missing."""
+    from tripflow.operators.prepare import require_columns
+    from tripflow.schema import MODEL_INPUT_COLUMNS
+    from tripflow.sources import adapter
+
+    landed, rows = adapter.landed_trips(spark, sf_dir), []
+    for dropped in [*MODEL_INPUT_COLUMNS, "tip_amount"]:
+        try:
+            require_columns(landed.drop(dropped), MODEL_INPUT_COLUMNS, "missing")
+            rows.append((dropped, ""))
+        except ValueError as exc:
+            rows.append((dropped, ",".join(sorted(c for c in MODEL_INPUT_COLUMNS if repr(c) in str(exc)))))
+    said = spark.createDataFrame(rows, "dropped string, missing string")  # a row a column set
+    return said.crossJoin(F.broadcast(landed.agg(F.count(F.lit(1)).alias("rows"))))
+
+
+@registered("file_digest", with_ctes(RAW, SPLIT, body="""
+SELECT split, sha256(string_agg(CAST(trip_id AS VARCHAR), chr(10) ORDER BY trip_id) || chr(10)) AS sha256 FROM split_trips GROUP BY split
+UNION ALL SELECT 'nowhere', 'unavailable'"""))
+def q_file_digest(spark, sf_dir) -> DataFrame:
+    """sha-256 of the bytes of one file a split (its trips' ids, a line each), and of a file that is not there."""
+    from tripflow.operators.lineage import file_sha256
+    from tripflow.sources.adapter import TRIP_KEY
+
+    inp, path = Inputs(spark, sf_dir), _scratch(spark, "digest")
+    ids = inp.splitter.assign(inp.raw)
+    rows = []
+    for split in ("train", "val", "test"):
+        # one file is what the operator takes (see file_sha256); splits of any size have content fingerprints
+        ids.where(F.col("split") == split).select(TRIP_KEY).repartitionByRange(1, TRIP_KEY).sortWithinPartitions(TRIP_KEY).select(
+            F.col(TRIP_KEY).cast("string")).write.text(f"{path}/{split}")
+        name = spark.read.text(f"{path}/{split}").select(F.col("_metadata.file_path")).first()[0]
+        rows.append((split, file_sha256(spark, name)))
+    rows.append(("nowhere", file_sha256(spark, f"{path}/nowhere.txt")))
+    return spark.createDataFrame(rows, "split string, sha256 string")
+
+
+@registered("train_job", with_ctes(*BASE, body="""
+SELECT 'rows_' || split AS name, CAST(count(*) AS BIGINT) AS "rows", true AS sound FROM prepared GROUP BY split
+UNION ALL SELECT 'residual_histogram', 40, true UNION ALL SELECT 'axis_limits', 1, true
+UNION ALL SELECT 'feature_importance', 20, true UNION ALL SELECT 'model_scores', (SELECT count(*) FROM prepared), true"""))
+def q_train_job(spark, sf_dir) -> DataFrame:
+    """M6: the whole training job on durations that can be learned: metrics record, report tables and the saved model,
+    read back; errors must be below those of the train mean, and the loaded model must score every trip."""
+    from tripflow.plans.train import load_pipeline, run_training, score
+    from tripflow.schema import CHAMPION_PARAMS
+    from tripflow.sources.adapter import TRIP_KEY
+    from tripflow.sources.tables import read_metrics_json
+
+    inp, path = Inputs(spark, sf_dir), _scratch(spark, "training")
+    trips = _with_signal(inp.prepared_split, inp.zones)
+    run_training(inp.zones, trips, path, {**CHAMPION_PARAMS, **FEW_TREES})
+    metrics = read_metrics_json(spark, f"{path}/metrics.json")
+    spread_of = {r["split"]: r["s"] for r in trips.groupBy("split").agg(F.stddev_pop("duration").alias("s")).collect()}  # a row a split
+    rows = [(f"rows_{s}", int(metrics[f"rows_{s}"]), bool(0 < metrics[f"mae_{s}"] <= metrics[f"rmse_{s}"] < v)) for s, v in spread_of.items()]
+    rows += [(name, spark.read.parquet(f"{path}/{name}").count(), True) for name in ("residual_histogram", "axis_limits", "feature_importance")]
+    again = score(load_pipeline(spark, f"{path}/model"), trips, keep=(TRIP_KEY,)).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isNull() | F.isnan("prediction")).alias("bad")).first()
+    rows.append(("model_scores", again["n"], again["bad"] == 0))
+    return spark.createDataFrame(rows, "name string, rows bigint, sound boolean")
+
+
+@registered("search_trials", """
+SELECT * FROM (VALUES (0, 9, 5, 3, true), (1, 3, 10, 1, true), (2, 1, 20, 1, true)) AS t(rung, trials, n_estimators, survivors, rule)""")
+def q_search_trials(spark, sf_dir) -> DataFrame:
+    """M7: successive halving of nine trials over the validation split: per rung its trials, trees and survivors, and
+    whether the survivors are the trials of least error and the next rung's trials."""
+    from pyspark.sql import Window
+
+    from tripflow.plans.train import successive_halving
+
+    inp = Inputs(spark, sf_dir)
+    trips = _with_signal(inp.prepared_split, inp.zones)
+    t = successive_halving(inp.zones, trips.where("split = 'train'"), trips.where("split = 'val'"), 9, rungs=(5, 10, 20), parallelism=3)
+    place = F.row_number().over(Window.partitionBy("rung").orderBy("rmse_val", "trial"))  # a row a fit
+    ranked = t.withColumn("place", place).join(
+        t.select((F.col("rung") - 1).alias("rung"), "trial", F.lit(True).alias("goes_on")), ["rung", "trial"], "left")
+    last = F.col("rung") == 2
+    rule = (F.col("survives") == (F.col("place") <= F.when(last, 1).otherwise(F.ceil(F.pow(F.lit(3.0), 1 - F.col("rung")))))) & (
+        last | (F.col("survives") == F.coalesce("goes_on", F.lit(False))))
+    return ranked.groupBy("rung").agg(F.count(F.lit(1)).cast("int").alias("trials"), F.max("n_estimators").alias("n_estimators"),
+                                      F.count_if("survives").cast("int").alias("survivors"), F.every(rule).alias("rule"))
+
+
+@registered("registry_commits", """
+WITH v AS (SELECT event_type AS model, event_id AS version, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS m FROM events),
+last AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY version DESC) AS back FROM v),
+recent AS (SELECT * FROM last WHERE back <= 5),
+folded AS (SELECT *, min(m) OVER (PARTITION BY model ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM recent)
+SELECT model, version, 6 - back AS commit, CASE WHEN m IS NOT NULL AND (before IS NULL OR m <= before) THEN 'champion' ELSE 'challenger' END AS decision
+FROM folded""")
+def q_registry_commits(spark, sf_dir) -> DataFrame:
+    """W2 as it is appended: the five newest versions of each model, committed one by one; the decision of each commit."""
+    from pyspark.sql import Window
+
+    from tripflow.operators.registry import register_version, registered_versions
+    from tripflow.sources import adapter
+
+    newest = adapter.model_versions(spark, sf_dir).withColumn(
+        "back", F.row_number().over(Window.partitionBy("model").orderBy(F.desc("version")))).where("back <= 5")
+    path = _scratch(spark, "registry")
+    for r in newest.orderBy("model", "version").collect():  # five a model: what a training job registers
+        register_version(spark, path, r["model"], r["version"], r["rmse_test"])
+    return registered_versions(spark, path).select("model", "version", F.col("commit"), "decision")

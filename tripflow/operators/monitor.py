@@ -67,8 +67,8 @@ def monitoring_frame(inputs: DataFrame, keep=()) -> DataFrame:
     return inputs.select(*out, *[F.col(k) for k in keep])
 
 
-SAMPLE_BITS = 12  # of the hash that one level of the threshold search looks at
-SAMPLE_SLACK = 1000  # rows beyond n that the last ordering may hold
+#: Partitions whose least rows one task of the merge tree puts together.
+SAMPLE_FAN_IN = 32
 
 
 def sample_hash(seed: int, cols) -> Column:
@@ -81,28 +81,31 @@ def exact_sample(df: DataFrame, n: int, seed: int, key_cols=None) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, those with the least seeded hash of the key (ties by key); stable under
     repartitioning.
 
-    The hash below which n rows lie is found from counts per leading bits (a bounded table at each level); only rows
-    up to it are ordered, so no task ever sees much more than n rows.
+    A bottom-k sketch in one scan: every task keeps its n least rows, and a tree of merges of SAMPLE_FAN_IN each
+    keeps the n least of those, from the session's shuffle partitions down: no task orders more than it is sent. Rows of equal hash and key
+    are interchangeable.
     """
     cols = key_cols or df.columns
-    hashed = df.withColumn("__h", sample_hash(seed, cols))
-    lo, below, width = 0, 0, 60  # all rows under lo are in; the cut lies in lo .. lo + 2**width
-    while width > 0:
-        step = min(SAMPLE_BITS, width)
-        part = F.shiftright(F.col("__h") - F.lit(lo), width - step)
-        counts = sorted((r["b"], r["c"]) for r in hashed.where(F.col("__h").between(lo, lo + (1 << width) - 1))
-                        .groupBy(part.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
-        for b, c in counts:
-            if below + c >= n:
-                break
-            below += c
-        else:
-            return hashed.drop("__h")  # fewer rows than asked for
-        width -= step
-        lo += int(b) << width
-        if below + c <= n + SAMPLE_SLACK:
-            break
-    return hashed.where(F.col("__h") < F.lit(lo + (1 << width))).orderBy("__h", *cols).limit(n).drop("__h")
+    by = ["__h", *cols]
+
+    def least(part: DataFrame) -> DataFrame:
+        # sorted inside each partition, without an exchange; only the first n leave
+        def first(batches):
+            left = n
+            for batch in batches:
+                if left <= 0:
+                    return
+                yield batch.slice(0, left)
+                left -= batch.num_rows
+
+        return part.sortWithinPartitions(*by).mapInArrow(first, part.schema)
+
+    kept = least(df.withColumn("__h", sample_hash(seed, cols)))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while parts > SAMPLE_FAN_IN:
+        parts = -(-parts // SAMPLE_FAN_IN)
+        kept = least(kept.repartition(parts, F.pmod(F.col("__h"), F.lit(parts))))
+    return kept.orderBy(*by).limit(n).drop("__h")
 
 
 def missing_share(frame: DataFrame, cols=INPUT_MONITORING_COLUMNS) -> DataFrame:

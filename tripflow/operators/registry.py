@@ -10,6 +10,9 @@ blocked so a model with a third of all versions never lands in one task.
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,19 +55,77 @@ def best_trial(trials: DataFrame, study: str = "study", trial: str = "trial", me
                       *[F.col(f"b.{p}").alias(p) for p in params])
 
 
+def _commits(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def last_commit(spark, versions_path: str, model: str) -> dict | None:
+    """The newest commit of a model, null before the first: it states the champion, so nothing is folded again."""
+    jvm, fs, folder = _commits(spark, f"{versions_path}/model={model}")
+    if not fs.exists(folder):
+        return None
+    names = sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().startswith("commit-"))
+    if not names:
+        return None
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, names[-1]))
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _create(spark, versions_path: str, record: dict) -> bool:
+    """Write the commit if there is none of its number: false if another writer has taken it.
+
+    Creating a file that must not exist is atomic in HDFS and in object stores with conditional writes. Where a store
+    only checks first, the commit is read again: the writer whose token it holds has made it.
+    """
+    jvm, fs, folder = _commits(spark, f"{versions_path}/model={record['model']}")
+    target = jvm.org.apache.hadoop.fs.Path(folder, f"commit-{record['commit']:012d}.json")
+    try:
+        stream = fs.create(target, False)
+    except Exception as exc:  # noqa: BLE001 - py4j wraps what the store raises
+        if "FileAlreadyExists" in str(exc) or fs.exists(target):
+            return False
+        raise
+    stream.write(bytearray(json.dumps(record, sort_keys=True).encode()))
+    stream.close()
+    stream = fs.open(target)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())["token"] == record["token"]
+    finally:
+        stream.close()
+
+
 def register_version(spark, versions_path: str, model: str, version: int, metric: float | None,
                      metric_name: str = "rmse_test") -> str:
-    """Append one version to the versions table and return the alias it receives (W2 over the whole table).
+    """Commit one version of a model and return the alias it receives.
 
-    The table is the registry's record (parquet, append); the decision comes from the same fold
-    as ``champion_fold``, so re-running it over the table always reproduces every past decision.
+    Commits of a model are numbered files. A writer reads the last one, decides by the champion that it states, and
+    creates the next number; if another writer was faster it starts again from that one's champion. So two writers
+    never decide by the same champion, the order of commits is the order of decisions, and a decision reads one file.
+    Registering a version again returns its first decision.
     """
-    from pyspark.sql import types as T
-
-    row = spark.createDataFrame([(model, int(version), None if metric is None else float(metric))],
-                                T.StructType([T.StructField("model", T.StringType()),
-                                              T.StructField("version", T.LongType()),
-                                              T.StructField(metric_name, T.DoubleType())]))
-    row.write.mode("append").parquet(versions_path)
-    decided = champion_fold(spark.read.parquet(versions_path).where(F.col("model") == model), metric=metric_name)
-    return decided.where(F.col("version") == int(version)).first()["decision"]
+    metric = None if metric is None or metric != metric else float(metric)
+    while True:
+        last = last_commit(spark, versions_path, model) or {"commit": 0, "champion_version": None, "champion_metric": None}
+        if last["commit"]:
+            done = registered_versions(spark, versions_path, metric_name).where((F.col("model") == model) & (F.col("version") == int(version))).first()
+            if done is not None:
+                return done["decision"]
+        before = last["champion_metric"]
+        wins = metric is not None and (before is None or metric <= before)
+        record = {"model": model, "commit": last["commit"] + 1, "version": int(version), "metric": metric, "token": uuid.uuid4().hex,
+                  "decision": CHAMPION if wins else CHALLENGER, "champion_version": int(version) if wins else last["champion_version"],
+                  "champion_metric": metric if wins else before}
+        if _create(spark, versions_path, record):
+            return record["decision"]
+
+
+def registered_versions(spark, versions_path: str, metric_name: str = "rmse_test") -> DataFrame:
+    """All commits as a table: model, commit, version, the metric, decision, champion_version, champion_metric."""
+    schema = "commit bigint, version bigint, metric double, decision string, champion_version bigint, champion_metric double"
+    return spark.read.schema(f"{schema}, model string").json(versions_path).select(
+        F.col("model").cast("string").alias("model"), "commit", "version", F.col("metric").alias(metric_name), "decision", "champion_version", "champion_metric")

@@ -38,6 +38,33 @@ def parse_requests(bodies: DataFrame, body_col: str = "body") -> DataFrame:
     return bodies.withColumn("trips", F.from_json(F.col(body_col), TRIP_REQUEST)["trips"]).drop(body_col)
 
 
+def parse_requests_typed(bodies: DataFrame, body_col: str = "body") -> DataFrame:
+    """S7 by JSON type: as ``parse_requests``, but what the text alone cannot tell apart is told apart by VARIANT.
+
+    The contract accepts numbers, numbers in quotes and, as 1 and 0, ``true`` and ``false`` (in quotes they are text and
+    no number); arrays and objects are no value of any field. A pickup must be text. A body that is no JSON, or whose
+    ``trips`` is no array of objects, has null ``trips``; of a field given twice, as of one that is null, nothing is said
+    here beyond what the parser keeps.
+    """
+    whole = F.try_parse_json(F.col(body_col))
+    trips = F.try_variant_get(whole, "$.trips", "array<variant>")
+
+    def field(t: Column, name: str) -> Column:
+        value = F.try_variant_get(t, f"$.{name}", "variant")
+        kind = F.schema_of_variant(value)
+        text = F.try_variant_get(t, f"$.{name}", "string")
+        if name == PICKUP:
+            return F.when(kind == "STRING", text).when(value.isNull() | (kind == "VOID"), F.lit(None)).otherwise(F.lit("?"))
+        flag = F.try_variant_get(t, f"$.{name}", "boolean")
+        return (F.when(value.isNull() | (kind == "VOID"), F.lit(None))
+                .when(kind == "BOOLEAN", F.when(flag, F.lit("1")).otherwise(F.lit("0")))
+                .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit("?")).otherwise(text))
+
+    typed = F.transform(trips, lambda t: F.struct(*[field(t, n).alias(n) for n in FIELD_ORDER]))
+    objects = F.forall(trips, lambda t: F.coalesce(F.schema_of_variant(t).startswith("OBJECT"), F.lit(False)))
+    return bodies.withColumn("trips", F.when(objects, typed)).drop(body_col)
+
+
 def _numeric(s: Column) -> Column:
     return number_or_null(s).isNotNull() | F.coalesce(s.rlike(r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"), F.lit(False))
 

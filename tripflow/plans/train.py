@@ -211,6 +211,42 @@ def random_search(zones: Dimension, train: DataFrame, validation: DataFrame, n_t
     return table.withColumns({k: F.col(k).cast("int") for k in whole})
 
 
+def successive_halving(zones: Dimension, train: DataFrame, validation: DataFrame, n_trials: int, rungs=(10, 30, 90), keep_one_in: int = 3,
+                       seed: int = RANDOM_SEED, parallelism: int = 2, overrides: dict | None = None) -> DataFrame:
+    """M7 in rungs: all trials are fitted with the first number of trees, the best third of them with the next one, and
+    so on; validation rows only. A row for each fit: ``study, rung, trial, n_estimators, rmse_val, survives`` and the
+    drawn parameters.
+
+    Features are learned once, on the training rows, and both sides are scored from the same assembled vectors; a trial
+    is the learner alone. Survivors are the ``ceil(trials / keep_one_in)`` of least error (ties: the smaller trial).
+    """
+    rng = random.Random(seed)
+    drawn = {i: {**sample_params(rng), **(overrides or {})} for i in range(n_trials)}
+    features = TripFeatures(zones=zones, keepCols=["duration"], featuresCol=FEATURES_VECTOR).fit(train)
+    vectors = lambda df: features.transform(df).select(FEATURES_VECTOR, "duration")
+    train_v, val_v = vectors(spread(train)).persist(StorageLevel.MEMORY_AND_DISK), vectors(validation).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def run(fit):
+        trial, trees = fit
+        model = gbt_from_params({**drawn[trial], "n_estimators": trees}).fit(train_v)
+        error = model.transform(val_v).agg(F.sqrt(F.avg((F.col("duration") - F.col("prediction")) ** 2)).alias("r")).first()["r"]
+        return trial, float(error)
+
+    rows, alive = [], sorted(drawn)
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            for rung, trees in enumerate(rungs):
+                found = list(pool.map(run, [(t, trees) for t in alive]))
+                best = sorted(found, key=lambda x: (x[1], x[0]))[: -(-len(alive) // keep_one_in)]
+                alive = sorted(t for t, _ in best)
+                rows += [(0, rung, t, trees, e, t in alive, *[float(drawn[t][k]) for k in SEARCH_SPACE if k != "n_estimators"]) for t, e in found]
+    finally:
+        train_v.unpersist()
+        val_v.unpersist()
+    names = ", ".join(f"{k} double" for k in SEARCH_SPACE if k != "n_estimators")
+    return train.sparkSession.createDataFrame(rows, f"study int, rung int, trial int, n_estimators int, rmse_val double, survives boolean, {names}")
+
+
 def input_example(df: DataFrame, order_cols=("lpep_pickup_datetime",), n: int = 3) -> DataFrame:
     """The first ``n`` rows in a stated order (a top-k, not a scan of everything to one task)."""
     return df.orderBy(*order_cols).limit(n)
