@@ -77,26 +77,31 @@ def last_commit(spark, versions_path: str, model: str) -> dict | None:
 
 
 def _create(spark, versions_path: str, record: dict) -> bool:
-    """Write the commit if there is none of its number: false if another writer has taken it.
+    """Publish the commit if there is none of its number: false if another writer has taken it.
 
-    Creating a file that must not exist is atomic in HDFS and in object stores with conditional writes. Where a store
-    only checks first, the commit is read again: the writer whose token it holds has made it.
+    The record is written beside and then takes its name, so a reader never sees half of one. A rename that must not
+    replace is atomic in HDFS; a local file takes its name by a hard link, which is atomic there.
     """
     jvm, fs, folder = _commits(spark, f"{versions_path}/model={record['model']}")
-    target = jvm.org.apache.hadoop.fs.Path(folder, f"commit-{record['commit']:012d}.json")
+    path = jvm.org.apache.hadoop.fs.Path
+    target, beside = (path(folder, f"{n}{record['commit']:012d}{e}") for n, e in (("commit-", ".json"), ("_new-", f"-{uuid.uuid4().hex}")))
+    stream = fs.create(beside, False)
+    stream.write(bytearray(json.dumps(record, sort_keys=True).encode()))
+    stream.close()
     try:
-        stream = fs.create(target, False)
+        if fs.getScheme() == "file":
+            local = lambda p: jvm.java.nio.file.Path.of(p.toUri())
+            jvm.java.nio.file.Files.createLink(local(fs.makeQualified(target)), local(fs.makeQualified(beside)))
+            fs.delete(beside, False)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), fs.getConf())
+            context.rename(beside, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
     except Exception as exc:  # noqa: BLE001 - py4j wraps what the store raises
-        if "FileAlreadyExists" in str(exc) or fs.exists(target):
+        fs.delete(beside, False)
+        if "AlreadyExists" in str(exc):
             return False
         raise
-    stream.write(bytearray(json.dumps(record, sort_keys=True).encode()))
-    stream.close()
-    stream = fs.open(target)
-    try:
-        return json.loads(bytes(stream.readAllBytes()).decode())["token"] == record["token"]
-    finally:
-        stream.close()
+    return True
 
 
 def register_version(spark, versions_path: str, model: str, version: int, metric: float | None,
@@ -117,7 +122,7 @@ def register_version(spark, versions_path: str, model: str, version: int, metric
                 return done["decision"]
         before = last["champion_metric"]
         wins = metric is not None and (before is None or metric <= before)
-        record = {"model": model, "commit": last["commit"] + 1, "version": int(version), "metric": metric, "token": uuid.uuid4().hex,
+        record = {"model": model, "commit": last["commit"] + 1, "version": int(version), "metric": metric,
                   "decision": CHAMPION if wins else CHALLENGER, "champion_version": int(version) if wins else last["champion_version"],
                   "champion_metric": metric if wins else before}
         if _create(spark, versions_path, record):
