@@ -304,7 +304,7 @@ def q_metrics_json(spark, sf_dir) -> DataFrame:
     return spark.read.text(path).select(F.explode(F.from_json("value", "map<string,double>")).alias("metric", "value")).withColumn("value", round6(F.col("value")))
 
 
-@registered("optional_defaults", with_ctes(*FEATURE_CTES, body="""
+@registered("missing_optionals", with_ctes(*FEATURE_CTES, body="""
 SELECT trip_id, 'passenger_count' AS feature, 1.0 AS value FROM prepared
 UNION ALL
 SELECT p.trip_id, 'trip_type_' || c.cat, CAST(CAST((SELECT trip_type_mode FROM fit_mode) AS VARCHAR) = c.cat AS DOUBLE)
