@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import materialise
 from tripflow.llm.langid import fit, predict
 from tripflow.llm.mixing import mix
-from tripflow.llm.neardup import near_duplicates
+from tripflow.llm.neardup import text_classes, text_digest
 from tripflow.llm.packing import pack_documents
 from tripflow.llm.pii import find_pii, redact
 
@@ -32,13 +32,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_classes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each class of near duplicates, once; documents without an id stay."""
+    """Keeps the smallest doc_id of each class of near duplicates, once: of several texts the one with the least
+    digest, of equal ones the row with the least language and source. Documents without an id stay."""
     docs = _documents(docs)
-    found = materialise(near_duplicates(docs), "classes")
-    kept = docs.join(found.where("kept and doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
-    if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.select("doc_id", "text", "lang", "source", "n_chars").unionByName(docs.where("doc_id is null"))
+    found = materialise(text_classes(docs), "classes")
+    kept = found.where("kept and doc_id is not null").select("doc_id", "digest", "times")
+    rows = docs.withColumn("digest", text_digest(F.col("text"))).join(kept, ["doc_id", "digest"])
+    least = F.min(F.struct("text", "lang", "source")).alias("r")
+    repeated = rows.where("times > 1").groupBy("doc_id").agg(least).select("doc_id", "r.*")
+    return _documents(rows.where("times = 1").select(*repeated.columns).unionByName(repeated)
+                      .unionByName(docs.where("doc_id is null").select(*repeated.columns)))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

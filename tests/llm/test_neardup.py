@@ -109,6 +109,46 @@ def test_edges(spark):
     assert near_duplicates(df.where("1 = 0")).count() == 0
 
 
+def test_a_repeated_id_has_the_links_of_all_its_texts(spark):
+    words = [f"w{k}" for k in range(120)]
+    one, two = " ".join(words), " ".join(f"z{k}" for k in range(120))
+    rows = [(1, one), (1, two), (2, one.replace("w5 ", "q ")), (3, two.replace("z9 ", "q ")), (4, ""), (4, "lone words"), (5, None), (2, one.replace("w5 ", "q "))]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame([(*r, 0, "x", "y") for r in order], SCHEMA).repartition(3)
+        got = near_duplicates(df).toPandas()
+        assert len(got) == len(rows)
+        assert got.groupby("doc_id").class_id.agg(set).to_dict() == {1: {1}, 2: {1}, 3: {1}, 4: {4}, 5: {5}}
+        assert got[got.kept].doc_id.sort_values().tolist() == [1, 4, 5]
+
+
+def test_a_third_of_all_rows_under_one_id(spark):
+    texts = corpus(9, 150)
+    rows = [(1_000 if i % 3 else i, t, 0, "x", "y") for i, t in enumerate(texts)] + [(1_000, "", 0, "x", "y")] * 70
+    got = near_duplicates(spark.createDataFrame(rows, SCHEMA)).toPandas()
+    bags = {i: t for i, t in enumerate(texts)}
+    root = classes(bags)
+    # all texts of the hot id are one class
+    hot = {root[i] for i in bags if i % 3 and bag(bags[i])}
+    merged = {i: ("hot" if root[i] in hot else root[i]) for i in bags}
+    want = {}
+    for i in bags:
+        want.setdefault(merged[i], set()).add(1_000 if i % 3 else i)
+    want = {d: min(g) for g in want.values() for d in g}
+    assert got.groupby("doc_id").class_id.agg(set).to_dict() == {d: {c} for d, c in want.items()}
+    assert len(got) == len(rows) and got[got.kept].doc_id.tolist().count(1_000) == (want[1_000] == 1_000)
+
+
+def test_long_texts_just_under_the_threshold(spark):
+    """400,000 words each at a similarity of about 0.79: rows of rare shingles stay linear in the text."""
+    words = [f"w{k}" for k in range(400_000)]
+    other = [f"q{k}" if k % 42 == 0 else w for k, w in enumerate(words)]  # a changed word changes five shingles
+    rows = [(1, " ".join(words), 0, "x", "y"), (2, " ".join(other), 0, "x", "y"), (3, " ".join(words[:-1]), 0, "x", "y")]
+    got = near_duplicates(spark.createDataFrame(rows, SCHEMA)).toPandas()
+    same = 1 - 5 / 42
+    assert 0.77 < same / (2 - same) < 0.8
+    assert got.set_index("doc_id").class_id.to_dict() == {1: 1, 2: 2, 3: 1}
+
+
 def test_components_of_paths_and_stars(spark):
     rng = np.random.default_rng(3)
     path = [(k, k + 1) for k in range(100, 160)]

@@ -17,8 +17,6 @@ So texts that only share what many have are not paired. Every pair is verified o
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +32,15 @@ ROWS, BANDS = 6, 42
 #: Of 252 components reduced to two bits a pair at the threshold differs in 38 +- 5.7; four and a half deviations more
 #: are let through, so that a pair is missed with probability 4e-6.
 SKETCH_DIFFER = 63
+#: Of a document's rare shingles so many, the least ones, go with each of its rows to tell where a pair came before.
+LEAST_RARE = 64
+#: Equal rows that one step of the output makes at once.
+ROWS_AT_ONCE = 100_000
+
+
+def text_digest(text: Column) -> Column:
+    """128 bits of the text's SHA-256; null texts are empty ones."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256), 1, 32))
 
 
 def shingles(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -99,11 +106,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                 lists = lambda x: pa.ListArray.from_arrays(
                     np.arange(len(some) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in some], pa.binary()),
+                    part.column("doc_id"), part.column("digest").cast(pa.binary()),
                     pa.array(n.astype(np.int64)), lists(band.view(np.int64)), lists(packed),
                 ], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SIGNED)
+    return docs.select("doc_id", "text", text_digest(F.col("text")).alias("digest")).mapInArrow(run, _SIGNED)
 
 
 def sequences_across(values: np.ndarray) -> np.ndarray:
@@ -125,12 +132,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     def run(batches):
         remembered: dict[int, tuple] = {}
 
-        def bag(doc_id: int, text: str):
-            if doc_id not in remembered:
+        def bag(v: int, text: str):
+            if v not in remembered:
                 if len(remembered) > 200:
                     remembered.clear()
-                remembered[doc_id] = np.unique(shingles([text.encode()])[0], return_counts=True)
-            return remembered[doc_id]
+                remembered[v] = np.unique(shingles([text.encode()])[0], return_counts=True)
+            return remembered[v]
 
         for batch in batches:
             a, b, ta, tb = (batch.column(k).to_pylist() for k in ("a", "b", "ta", "tb"))
@@ -142,85 +149,83 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                 keep.append(both >= threshold * (nx.sum() + ny.sum() - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    left = texts.select(F.col("v").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("v").alias("b"), F.col("text").alias("tb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
 
 
 def _rare_pairs(unsettled: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of ``unsettled`` documents (doc_id, c, n, sketch) of different components that share a rare shingle, one
-    of the first ``n - threshold * n + 1`` elements, and whose sizes and sketches allow the threshold."""
+    """Pairs of ``unsettled`` vertices (v, c, n, sketch) of different components that share a rare shingle, one of the
+    first ``n - threshold * n + 1`` elements, and whose sizes and sketches allow the threshold."""
 
     def run(batches):
         for batch in batches:
-            ids, some = batch.column("doc_id").to_numpy(), [t.encode() for t in batch.column("text").to_pylist()]
+            ids, some = batch.column("v").to_numpy(), [t.encode() for t in batch.column("text").to_pylist()]
             for lo, hi in slices(some):
                 shingle, owner = shingles(some[lo:hi])
                 _, first, weight = np.unique(mix(shingle + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)),
                                              return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[lo + owner[first]]), pa.array(shingle[first].view(np.int64)), pa.array(weight.astype(np.int64))],
-                    names=["doc_id", "shingle", "weight"])
+                    names=["v", "shingle", "weight"])
 
-    rows = texts.join(unsettled.select("doc_id"), "doc_id", "left_semi").mapInArrow(run, "doc_id bigint, shingle bigint, weight bigint")
+    rows = texts.join(unsettled.select("v"), "v", "left_semi").mapInArrow(run, "v bigint, shingle bigint, weight bigint")
     rows = materialise(rows, "shingles")
     shared = rows.groupBy("shingle").agg(F.count("*").alias("f")).where("f > 1")
-    order = Window.partitionBy("doc_id").orderBy("f", "shingle")  # one document's shingles
+    order = Window.partitionBy("v").orderBy("f", "shingle")  # one document's shingles
     before = F.sum("weight").over(order) - F.col("weight")
-    whole = Window.partitionBy("doc_id")
+    whole = Window.partitionBy("v")
     size, common = F.sum("weight").over(whole), F.sum(F.when(F.col("f") > 1, F.col("weight")).otherwise(0)).over(whole)
     rare = rows.join(shared, "shingle", "left").withColumn("f", F.coalesce("f", F.lit(1))).select(
-        "doc_id", "shingle", "f", before.alias("before"), size.alias("size"), common.alias("common")
+        "v", "shingle", "f", before.alias("before"), size.alias("size"), common.alias("common")
     ).where((F.col("before") < F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1) & (F.col("f") > 1))
-    rare = rare.withColumn("all_rare", F.collect_list("shingle").over(Window.partitionBy("doc_id")))
-    rare = materialise(rare.select("doc_id", "shingle", "common", "all_rare").join(unsettled, "doc_id"), "rare")
+    rare = materialise(rare.select("v", "shingle", "common"), "rare")
+    least = rare.groupBy("v").agg(F.slice(F.array_sort(F.collect_list("shingle")), 1, LEAST_RARE).alias("least"))
+    rare = materialise(rare.join(unsettled.join(least, "v"), "v"), "rare")
     x, y = rare.alias("x"), rare.alias("y")
     differ = _differ(F.col("x.sketch"), F.col("y.sketch"))
     # similarity t of sizes n and m takes an overlap of t / (1 + t) * (n + m), all of it in shared shingles
     enough = F.least("x.common", "y.common") >= threshold / (1 + threshold) * (F.col("x.n") + F.col("y.n")) - 1e-9
-    # a pair comes once, at the least shingle that both have
-    once = F.col("x.shingle") == F.array_min(F.array_intersect("x.all_rare", "y.all_rare"))
-    return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.c") != F.col("y.c"))
-                  & (F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n")) & enough & (differ <= SKETCH_DIFFER) & once
-                  ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    # not where the pair has met before, at a lesser shingle of both lists; longer documents may meet more than once
+    met = F.coalesce(F.array_min(F.array_intersect("x.least", "y.least")) < F.col("x.shingle"), F.lit(False))
+    return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.v") < F.col("y.v")) & (F.col("x.c") != F.col("y.c"))
+                  & (F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n")) & enough & (differ <= SKETCH_DIFFER) & ~met
+                  ).select(F.col("x.v").alias("a"), F.col("y.v").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, class_id, kept`` for every row: the smallest doc_id of its class, and whether it stands for it.
+def text_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, digest, times, class_id, kept``: a row for each distinct pair of doc_id and text, and how often it comes.
 
-    A class is everything linked by equal texts or similarities of ``threshold`` and more over five-word shingles
-    (fewer words: one shingle). Texts without words, null ones too, are never duplicates. Rows with a null doc_id
-    cannot be linked: their class is null and they are kept. Of rows that repeat a doc_id one is kept. An empty table
-    gives no rows; other columns are not carried.
+    Of the rows of a kept doc_id the text with the least digest is kept. See ``near_duplicates``.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialise(signatures(docs), "signatures")
-    able = signed.where("doc_id is not null and n > 0")
-    copies = able.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    copied = materialise(able.select("doc_id", "digest").distinct().join(copies, "digest").select("doc_id", "rep"), "copies")
-    # of a repeated doc_id with several texts each text is a vertex of the same id
-    reps = materialise(able.join(copies, "digest").where("doc_id = rep").dropDuplicates(["doc_id", "digest"])
-                       .select("doc_id", "n", "bands", "sketch"), "reps")
-    banded = reps.select(F.explode("bands").alias("band"), "doc_id")
+    distinct = materialise(signed.groupBy("doc_id", "digest").agg(F.count("*").alias("times"), F.max("n").alias("n")), "distinct")
+    able = distinct.where("doc_id is not null and n > 0")
+    # a vertex is a text; its number is written with it and means nothing else
+    copies = able.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    reps = signed.where("n > 0").join(copies, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
+    reps = materialise(reps.select(F.monotonically_increasing_id().alias("v"), "doc_id", "digest", "n", "bands", "sketch"), "reps")
+    banded = reps.select(F.explode("bands").alias("band"), "v")
     buckets = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     # members of buckets with company; the more company over all bands, the more central a document is
     members = materialise(banded.join(buckets, "band"), "members")
-    central = members.groupBy("doc_id").agg(F.sum("size").alias("company"))
-    pivots = members.join(central, "doc_id").groupBy("band").agg(
-        F.max_by("doc_id", F.struct(F.col("company"), -F.col("doc_id"))).alias("pivot"))
-    paired = members.join(pivots, "band").where("doc_id <> pivot").select(
-        F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b"), F.col("doc_id").alias("of"))
-    sketches = reps.select("doc_id", "n", "sketch")
-
-    a = sketches.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    b = sketches.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    central = members.groupBy("v").agg(F.sum("size").alias("company"))
+    pivots = members.join(central, "v").groupBy("band").agg(F.max_by("v", F.struct(F.col("company"), -F.col("v"))).alias("pivot"))
+    paired = members.join(pivots, "band").where("v <> pivot").select(
+        F.least("v", "pivot").alias("a"), F.greatest("v", "pivot").alias("b"), F.col("v").alias("of"))
+    sketches = reps.select("v", "n", "sketch")
+
+    a = sketches.select(F.col("v").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    b = sketches.select(F.col("v").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     differ = _differ(F.col("sa"), F.col("sb"))
     sized = F.least("na", "nb") >= threshold * F.greatest("na", "nb")
     # pairs whose sizes and sketches allow the threshold
     starred = materialise(paired.distinct().join(a, "a").join(b, "b").where(sized & (differ <= SKETCH_DIFFER)).select(
         "a", "b", "of", differ.alias("differ")), "starred")
-    wanted = members.select("doc_id").distinct()
-    texts = materialise(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    wanted = reps.join(members.select("v").distinct(), "v", "left_semi").select("v", "doc_id", "digest")
+    texts = docs.withColumn("digest", text_digest(F.col("text"))).join(wanted, ["doc_id", "digest"])
+    texts = materialise(texts.dropDuplicates(["doc_id", "digest"]).select("v", "text"), "texts")
 
     nearest = starred.groupBy("of").agg(F.min_by(F.struct("a", "b"), F.struct("differ", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
     links = materialise(_verified(nearest, texts, threshold), "links")
@@ -238,22 +243,53 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = links.unionByName(more)
     parts = connected_components(links)
 
-    placed = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "band", "doc_id", F.coalesce("component", "doc_id").alias("c"))
+    placed = members.join(parts.withColumnRenamed("id", "v"), "v", "left").select("band", "v", F.coalesce("component", "v").alias("c"))
     several = placed.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("band")
-    unsettled = placed.join(several, "band", "left_semi").select("doc_id", "c").distinct()
-    unsettled = materialise(unsettled.join(sketches, "doc_id"), "unsettled")
+    unsettled = placed.join(several, "band", "left_semi").select("v", "c").distinct()
+    unsettled = materialise(unsettled.join(sketches, "v"), "unsettled")
     rest = _rare_pairs(unsettled, texts, threshold).join(starred, ["a", "b"], "left_anti")
     last = materialise(_verified(rest, texts, threshold), "links")
-    # copies join their representative's component
-    parts = connected_components(links.unionByName(last).unionByName(copied.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))))
-
-    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("digest"))
-    rows = signed.select("doc_id", "digest").withColumn("_row", F.when(F.col("doc_id").isNull(), 1).otherwise(once))
-    return rows.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "doc_id", F.coalesce("component", "doc_id").alias("class_id"),
-        (F.col("doc_id").isNull() | ((F.coalesce("component", "doc_id") == F.col("doc_id")) & (F.col("_row") == 1))).alias("kept"),
-    )
+    # texts of one doc_id belong together
+    several = able.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1").select("doc_id")
+    held = able.select("doc_id", "digest").join(several, "doc_id", "left_semi").join(reps.select("digest", "v"), "digest")
+    held = materialise(held.select("doc_id", "v"), "held")
+    same = held.join(held.groupBy("doc_id").agg(F.min("v").alias("a")), "doc_id").where("v <> a").select("a", F.col("v").alias("b"))
+    parts = connected_components(links.unionByName(last).unionByName(same))
+
+    # the smallest doc_id of a component, by its texts' smallest ones
+    named = reps.select("v", "doc_id", "digest").join(parts.withColumnRenamed("id", "v"), "v", "left").select(
+        "doc_id", "digest", F.coalesce("component", "v").alias("c"))
+    named = materialise(named, "named")
+    smallest = named.groupBy("c").agg(F.min("doc_id").alias("class_id"))
+    classes = named.join(smallest, "c").select("digest", "class_id")
+    found = able.select("doc_id", "digest").join(classes, "digest")
+    # a text without words beside others of its doc_id is in their class
+    by_id = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    kept = distinct.where("doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("least"))
+    verdicts = kept.join(by_id, "doc_id", "left").select("doc_id", "least", F.coalesce("class_id", "doc_id").alias("class_id"))
+    whole = distinct.where("doc_id is not null").join(verdicts, "doc_id").select(
+        "doc_id", "digest", "times", "class_id", ((F.col("class_id") == F.col("doc_id")) & (F.col("digest") == F.col("least"))).alias("kept"))
+    none = distinct.where("doc_id is null").select("doc_id", "digest", "times", F.lit(None).cast("long").alias("class_id"), F.lit(True).alias("kept"))
+    return whole.unionByName(none)
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, class_id, kept`` for every row: the smallest doc_id of its class, and whether it stands for it.
+
+    A class is everything linked by equal texts or similarities of ``threshold`` and more over five-word shingles
+    (fewer words: one shingle), or by a common doc_id: of a repeated doc_id every text has its links. Texts without
+    words, null ones too, are never duplicates. Rows with a null doc_id cannot be linked: their class is null and they
+    are kept. Of rows that repeat a doc_id one is kept, with the least digest. An empty table gives no rows; other
+    columns are not carried.
+    """
+    rows = text_classes(docs, threshold)
+    # equal rows come back as often as they were there, in steps
+    step = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / ROWS_AT_ONCE)))
+    rows = rows.select("*", step.alias("_step"))
+    upto = F.least(F.col("times") - F.col("_step") * ROWS_AT_ONCE, F.lit(ROWS_AT_ONCE).cast("long"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), upto)).alias("_row"))
+    one = (F.col("_step") == 0) & (F.col("_row") == 1)
+    return rows.select("doc_id", "class_id", (F.col("kept") & (one | F.col("doc_id").isNull())).alias("kept"))
 
 
 def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:
