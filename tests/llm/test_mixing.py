@@ -61,6 +61,24 @@ def test_entropy_target_and_budget(spark):
     assert abs(used.tokens.sum() - 5_000) <= 300
 
 
+@pytest.mark.parametrize("hot_id", [None, 7])
+def test_null_and_repeated_ids_meet_their_weight(spark, hot_id):
+    """A source whose rows have one id, or none, is dealt into blocks as any other."""
+    rows = [(hot_id, f"h{i} " + "w " * 9, None, "b", 0, "clash") for i in range(300)]
+    rows += [(1_000 + i, "w " * 10, None, "a", 0, "clash") for i in range(900)]
+    used = mix(spark.createDataFrame(rows, SCHEMA), max_repeat=1.4, block_tokens=50).toPandas()
+    want = weights({"a": 900, "b": 300}, 1 - math.log(1.4) / math.log(3))
+    assert abs((used.source == "b").mean() - want["b"]) < 0.01
+    b = used[(used.source == "b") & (used.epoch == 0)]
+    assert len(b) == 300 and b.place.nunique() == 300
+
+
+def test_equal_rows_stay_together(spark):
+    rows = [(None, "the same text", None, "a", 0, "x")] * 50 + [(i, f"text {i} here", None, "a", 0, "x") for i in range(50)]
+    used = mix(spark.createDataFrame(rows, SCHEMA), max_repeat=1.0).toPandas()
+    assert len(used) == 100 and used[used.doc_id.isna()].place.nunique() == 1
+
+
 def test_edges(spark):
     rows = [(1, None, "en", None), (2, "", "en", None), (3, "a b", None, "s"), (3, "a b", None, "s"), (4, "w " * 50_000, None, "t"), (None, "x", None, "s")]
     used = mix(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string"), max_repeat=1.0).toPandas()

@@ -29,6 +29,11 @@ def hashed(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
+def digest(text: Column) -> Column:
+    """Documents are dealt by doc_id and this, so that null or repeated ids spread; null texts have none."""
+    return F.md5(F.encode(text, "UTF-8"))
+
+
 def tokens(text: Column) -> Column:
     """The unit of budgets: words."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
@@ -86,11 +91,12 @@ def mix(
     (tokens) the budget is the least that uses every document once, so nothing is dropped and smaller sources repeat.
 
     A null source is a source of its own. Null and blank texts have no tokens; a source without any tokens is used
-    once, outside the weights. Repeated rows are documents of their own. An empty table gives no rows; other columns
-    of the input are not carried.
+    once, outside the weights. Null and repeated doc_ids are dealt out by their texts. Repeated rows (doc_id and text)
+    are documents of their own that stay together: they are in one block and at one place. An empty table gives no rows;
+    other columns of the input are not carried.
     """
-    rows = documents(docs).withColumn("tokens", tokens(F.col("text")))
-    slim = materialise(rows.select("doc_id", "source", "tokens"), "mix-sizes")
+    rows = documents(docs).withColumn("tokens", tokens(F.col("text"))).withColumn("digest", digest(F.col("text")))
+    slim = materialise(rows.select("doc_id", "source", "tokens", "digest"), "mix-sizes")
     totals = materialise(slim.groupBy("source").agg(F.sum("tokens").alias("n")), "mix-sources")
     total = totals.agg(F.sum("n").alias("total")).first()["total"] or 0
     totals = totals.withColumn("total", F.lit(total).cast("bigint"))
@@ -115,7 +121,7 @@ def mix(
     def blocked(df: DataFrame) -> DataFrame:
         own = targets.select(F.col("source").alias("_source"), F.col("n_blocks").alias("_blocks"))
         return df.join(own, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
-            "block", F.pmod(hashed(F.lit(seed), F.col("doc_id")), F.col("_blocks"))
+            "block", F.pmod(hashed(F.lit(seed), F.col("doc_id"), F.col("digest")), F.col("_blocks"))
         ).drop("_source", "_blocks")
 
     blocks = blocked(slim).groupBy("source", "block").agg(F.sum("tokens").alias("in_block"))
@@ -133,7 +139,7 @@ def mix(
         F.col("source").alias("_source"), F.col("block").alias("_block"), "epoch", "weight", "in_block", "before", "n", "repeat"
     ), "mix-plan")
 
-    within = hashed(F.lit(seed), F.col("epoch"), F.col("doc_id")) / F.lit(float(1 << 60))
+    within = hashed(F.lit(seed), F.col("epoch"), F.col("doc_id"), F.col("digest")) / F.lit(float(1 << 60))
     place = F.when(F.col("n") > 0, (F.col("epoch") * F.col("n") + F.col("before") + within * F.col("in_block")) / (F.col("repeat") * F.col("n"))).otherwise(within)
     return blocked(rows).join(
         plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
@@ -154,7 +160,8 @@ def _sql() -> str:
 
     return f"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens FROM documents
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens, md5(text) AS digest
+  FROM documents
 ), totals AS (
   SELECT source, CAST(sum(tokens) AS BIGINT) AS n, CAST(sum(sum(tokens)) OVER () AS BIGINT) AS total FROM sized GROUP BY source
 ), exponent AS (  -- largest repetition is (largest / smallest source) ** (1 - a)
@@ -169,7 +176,7 @@ WITH sized AS (
     greatest({LEAST_BLOCKS}, CAST(ceil(n / {BLOCK_TOKENS}) AS BIGINT)) AS n_blocks
   FROM totals, scales
 ), blocked AS (
-  SELECT s.*, {h('0', 's.doc_id')} % n_blocks AS block FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+  SELECT s.*, {h('0', 's.doc_id', 's.digest')} % n_blocks AS block FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), passes AS (
   SELECT b.source, b.block, in_block, n, weight, repeat, unnest(range(greatest(CAST(ceil(repeat) AS BIGINT), 1))) AS epoch
   FROM (SELECT source, block, sum(tokens) AS in_block FROM blocked GROUP BY source, block) b
@@ -178,7 +185,7 @@ WITH sized AS (
   SELECT *, sum(in_block) OVER (PARTITION BY source, epoch ORDER BY {h('0', 'source', 'epoch', 'block')}, block) - in_block AS before FROM passes
 ), used AS (
   SELECT b.doc_id, b.source, b.tokens, epoch, b.block, n, repeat, weight, in_block, before,
-    {h('0', 'epoch', 'b.doc_id')} / pow(2, 60) AS within
+    {h('0', 'epoch', 'b.doc_id', 'b.digest')} / pow(2, 60) AS within
   FROM blocked b JOIN plan p ON b.source IS NOT DISTINCT FROM p.source AND b.block = p.block
   WHERE before + in_block / 2 <= (repeat - epoch) * n OR epoch + 1 <= repeat
 )
