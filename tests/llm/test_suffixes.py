@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tripflow.llm.suffixes import common_prefixes, remove_repeated_bytes, repeated_windows, suffix_array
+from tripflow.llm.suffixes import common_prefixes, least_grams, remove_repeated_bytes, repeated_windows, suffix_array
 
 SCHEMA = "doc_id bigint, text string, block int, f string, kept int"
 
@@ -26,6 +26,16 @@ def test_suffix_array_and_prefixes():
             assert got[y] >= n and got[y] - n <= 8  # the padding may count up to the last word
 
 
+def test_anchor_is_the_rightmost_least_of_each_window(monkeypatch):
+    monkeypatch.setattr("tripflow.llm.suffixes.STEP", 100)
+    rng = np.random.default_rng(0)
+    for width in (1, 2, 3, 9, 16, 201):
+        h = rng.integers(0, 6, 700).astype(np.uint64) << np.uint64(40)
+        at = least_grams(h, width)
+        assert at.tolist() == [i + width - 1 - int(h[i : i + width][::-1].argmin()) for i in range(700 - width + 1)]
+    assert len(least_grams(np.zeros(3, np.uint64), 4)) == 0
+
+
 def test_repeated_windows_brute_force():
     rng = random.Random(3)
     for _ in range(150):
@@ -78,3 +88,11 @@ def test_edges(spark):
     assert got == [(0, 10, 0, 0), (1, 0, 0, 0), (2, 0, 0, 0), (3, 399, 0, 0), (4, 400, 0, 0), (5, 300_000, 1000, 2), (6, 402, 400, 1),
                    (7, 0, 0, 0), (7, 401, 401, 1), (8, 650, 650, 1), (8, 650, 650, 1)]
     assert remove_repeated_bytes(df.where("1 = 0")).count() == 0
+
+
+def test_rows_with_null_or_equal_ids(spark, texts, monkeypatch):
+    monkeypatch.setattr("tripflow.llm.anchors.BLOCK_BYTES", 1000)
+    ids = [None if k % 3 == 0 else 7 if k % 3 == 1 else k for k in range(len(texts))]
+    df = spark.createDataFrame([(k, t, 0, "x", 1) for k, t in zip(ids, texts)], SCHEMA)
+    got = sorted(((r.doc_id or 0), r.n_bytes, len(r.spans), bytes(r.kept)) for r in remove_repeated_bytes(df, 24, 12, 500, 3).collect())
+    assert got == sorted(((k or 0), *w) for k, w in zip(ids, brute([t.encode() for t in texts], 24)))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.anchors import blocked, column, found_in, met, run_ids, whole_runs, window_anchors
+from tripflow.llm.anchors import blocked, column, found_in, met, run_ids, whole_runs
 from tripflow.llm.common import materialise
 from tripflow.llm.hashing import Substrings, slices
 
@@ -55,7 +55,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray,
     """
     n = len(data)
     key = words_at(data)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     new = np.ones(n, bool)
     new[1:] = key[order][1:] != key[order][:-1]
     rank = np.empty(n, np.int64)
@@ -144,6 +144,37 @@ def repeated_windows(segments: list[bytes], window: int = WINDOW) -> tuple[list[
 
 # ---- passes over the blocks ------------------------------------------------------------------------------------
 
+#: Windows whose anchors are found at a time, so that the arrays stay in a core's cache; the low bits hold a place.
+STEP = 1 << 15
+_PLACE = (1 << 20) - 1
+
+
+def least_grams(h: np.ndarray, width: int) -> np.ndarray:
+    """Index of the gram with the least hash (upper 44 bits, rightmost on a tie) of each window of ``width`` grams.
+
+    The place replaces the low bits of the hash, falling from left to right, so one minimum finds hash and place;
+    equal windows have equal anchors, since all of this follows from what the window holds.
+    """
+    n = len(h) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    step = min(STEP, _PLACE - width)
+    low = np.uint64(_PLACE)
+    down = np.arange(_PLACE, _PLACE - step - width, -1, dtype=np.uint64)
+    out = np.empty(n, np.int64)
+    for at in range(0, n, step):
+        to = min(n, at + step)
+        least = h[at : to + width - 1] & ~low
+        least |= down[: len(least)]
+        size = 1
+        while 2 * size <= width:  # windows of doubled size from two halves
+            least = np.minimum(least[size:], least[:-size])
+            size *= 2
+        if width > size:
+            least = np.minimum(least[width - size :], least[: size - width])
+        out[at:to] = (at + _PLACE) - (least & low).view(np.int64)
+    return out
+
 
 class _Slice:
     """Some documents of a block as bytes, and the segments of their windows."""
@@ -160,7 +191,7 @@ class _Slice:
         if len(data) < window:
             return
         h = Substrings(self.data).every(gram)
-        at = window_anchors(h, window - gram + 1)
+        at = least_grams(h, window - gram + 1)
         doc = np.repeat(np.arange(len(texts)), sizes)[: len(at)]
         start = np.flatnonzero(np.arange(len(at)) + window <= self.stops[doc])
         if not len(start):
@@ -333,10 +364,10 @@ def _cut(window: int, gram: int):
         order = np.argsort(column(runs, "f"))
         a, f, g, start, stop = (column(runs, k)[order] for k in ("a", "f", "g", "start", "stop"))
         keys = np.sort(a)
-        spans, kept = [], []
+        none = np.zeros(0, np.int64)
+        first, last, spans, kept, left_over = [none], [none], [none], [none], [np.zeros(0, np.uint8)]
         for lo, hi in slices(texts):
-            some = texts[lo:hi]
-            part = _Slice(some, window, gram)
+            part = _Slice(texts[lo:hi], window, gram)
             at = np.flatnonzero(found_in(part.key, keys) >= 0)
             pf, pg = part.prints(at)
             left, right = np.searchsorted(f, pf, "left"), np.searchsorted(f, pf, "right")
@@ -349,19 +380,32 @@ def _cut(window: int, gram: int):
             whole = stop[row] < 0  # the whole segment
             begin = np.where(whole, low, low + start[row])
             end = np.where(whole, part.high[at[which]], low + stop[row] - 1 + window)
-            cover = np.zeros(len(part.data) + 1, np.int64)
-            np.add.at(cover, begin, 1)
-            np.add.at(cover, end, -1)
+            size = len(part.data)
+            cover = np.bincount(begin, minlength=size + 1) - np.bincount(end, minlength=size + 1)
             gone = np.cumsum(cover[:-1]) > 0
-            at = 0
-            for text, to in zip(some, part.stops.tolist()):
-                mine, at = gone[at:to], to
-                edge = np.flatnonzero(np.diff(mine.astype(np.int8), prepend=0, append=0))
-                spans.append([{"start": int(x), "stop": int(y)} for x, y in zip(edge[::2], edge[1::2])])
-                kept.append(np.frombuffer(text, np.uint8)[~mine].tobytes() if len(edge) else text)
+            # runs end with their document
+            stops = part.stops
+            starts = np.concatenate([[0], stops[:-1]])
+            joined = np.zeros(size + 1, bool)  # with the byte before it
+            joined[1:size] = gone[1:] & gone[:-1]
+            joined[stops] = False
+            joined[starts] = False
+            x = np.flatnonzero(gone & ~joined[:-1])
+            y = np.flatnonzero(gone & ~joined[1:]) + 1
+            own = np.searchsorted(stops, x, "right")
+            first.append(x - starts[own])
+            last.append(y - starts[own])
+            spans.append(np.bincount(own, minlength=len(stops)))
+            before = np.concatenate([[0], np.cumsum(~gone)])
+            kept.append(before[stops] - before[starts])
+            left_over.append(part.data[~gone])
+        first, last, spans, kept = (np.concatenate(k) for k in (first, last, spans, kept))
+        runs_of = pa.StructArray.from_arrays([pa.array(first), pa.array(last)], names=["start", "stop"])
+        places, data = np.concatenate([[0], np.cumsum(kept)]), np.concatenate(left_over)
         return pa.table({"doc_id": table.column("doc_id"), "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
-                         "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                         "kept": pa.array(kept, pa.binary())})
+                         "spans": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(spans)]), pa.int32()), runs_of),
+                         "kept": pa.LargeBinaryArray.from_buffers(
+                             pa.large_binary(), len(texts), [None, pa.py_buffer(places), pa.py_buffer(data)]).cast(pa.binary())})
 
     return run
 
