@@ -6,7 +6,9 @@ import re
 import numpy as np
 import pytest
 
-from tripflow.llm.anchors import window_anchors
+from pyspark.sql import functions as F
+
+from tripflow.llm.anchors import blocked, window_anchors
 from tripflow.llm.substrings import remove_repeats
 
 SCHEMA = "doc_id bigint, text string, block int, key string, n_words int"
@@ -68,3 +70,14 @@ def test_other_window(spark, rows):
 
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_rows_with_null_or_equal_ids_spread_over_blocks(spark, rows, monkeypatch):
+    monkeypatch.setattr("tripflow.llm.anchors.BLOCK_BYTES", 1000)
+    hot = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, t) for k, (_, t) in enumerate(rows[:220])]
+    df = spark.createDataFrame([(*r, 0, "x", 1) for r in hot], SCHEMA)
+    blocks = {r.doc_id: r.n for r in blocked(df)[0].groupBy("doc_id").agg(F.countDistinct("block").alias("n")).collect()}
+    assert blocks[None] > 10 and blocks[7] > 10
+    found = remove_repeats(df).collect()
+    got = sorted((float("inf") if r.doc_id is None else r.doc_id, r.n_words, sum(s.stop - s.start for s in r.spans), r.kept) for r in found)
+    assert got == brute(hot, 13)

@@ -23,15 +23,16 @@ from tripflow.llm.common import parts_for
 BLOCK_BYTES = 16 << 20
 
 
-def block_of(doc_id: str, n: int) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(n)).cast("int")
+def block_of(n: int) -> Column:
+    """By doc_id and text, so that rows with null or equal ids spread; only rows that repeat both meet for certain."""
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
 
 
 def blocked(docs: DataFrame) -> tuple[DataFrame, int]:
     """``block, doc_id, text`` dealt out by block, and the number of blocks."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n = parts_for(rows, F.octet_length("text"), BLOCK_BYTES)
-    return rows.select(block_of("doc_id", n).alias("block"), "doc_id", "text").repartition(n, "block"), n
+    return rows.select(block_of(n).alias("block"), "doc_id", "text").repartition(n, "block"), n
 
 
 def window_anchors(h: np.ndarray, width: int) -> np.ndarray:

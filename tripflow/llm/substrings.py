@@ -74,12 +74,12 @@ def _seeds(window: int, gram: int):
     return run
 
 
-def copies(docs: DataFrame) -> DataFrame:
-    """``doc_id, crc`` of documents whose whole text a smaller doc_id has too."""
+def copies(docs: DataFrame, n: int) -> DataFrame:
+    """``block, key, crc`` of documents whose whole text a smaller doc_id has too; the key is the doc_id."""
     texts = docs.where("doc_id is not null").select(
-        "doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), F.crc32(F.col("text").cast("binary")).alias("crc"))
+        block_of(n).alias("block"), "doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), F.crc32(F.col("text").cast("binary")).alias("crc"))
     first = texts.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    return texts.join(first, "digest").where("doc_id > first").select("doc_id", "crc").distinct()
+    return texts.join(first, "digest").where("doc_id > first").select("block", F.col("doc_id").alias("key"), "crc").distinct()
 
 
 def _is_copy(ids: np.ndarray, texts: list[bytes], marks: pa.Table) -> np.ndarray:
@@ -169,8 +169,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     """
     x, n = blocked(docs)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    marks = materialise(copies(plain).select(
-        block_of("doc_id", n).alias("block"), F.col("doc_id").alias("key"), "crc"), "copies")
+    marks = materialise(copies(plain, n), "copies")
     seeds = x.groupBy("block").applyInArrow(_seeds(window, gram), "key bigint, block int, several int")
     again = met(seeds).withColumn("crc", F.lit(-1).cast("bigint")).unionByName(marks).repartition(n, "block")
     sent = x.groupBy("block").cogroup(again.groupBy("block")).applyInArrow(
