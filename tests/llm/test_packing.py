@@ -82,3 +82,33 @@ def test_documents_brute_force(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     assert tokenise(none, PATH).count() == 0 and pack_documents(none, PATH).count() == 0
+
+
+def test_worker_keeps_one_encoder_and_drops_it_when_idle(spark, monkeypatch):
+    import os
+    import time
+
+    import pandas as pd
+
+    from tripflow.llm import packing
+
+    def kept(_):
+        from tripflow.llm import packing as own
+
+        yield pd.DataFrame({"pid": [os.getpid()], "n": [len(own._encoders)]})
+
+    df = spark.range(200).selectExpr("id AS doc_id", "concat('word ', id) AS text").repartition(8)
+    assert packing.tokenise(df, PATH).count() == 200
+    found = spark.range(8).repartition(8).mapInPandas(kept, "pid long, n long").collect()
+    assert max(r.n for r in found) == 1
+
+    monkeypatch.setattr(packing, "KEPT_S", 0.2)
+    first = packing._taken(PATH)
+    packing._given_back(PATH, first)
+    again = packing._taken(PATH)
+    assert again is first
+    time.sleep(0.6)  # the timer of the earlier return leaves an encoder in use alone
+    packing._given_back(PATH, again)
+    assert packing._encoders
+    time.sleep(0.6)
+    assert not packing._encoders

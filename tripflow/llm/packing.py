@@ -10,8 +10,11 @@ of all pieces share is spread over many tasks.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
+import threading
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -151,7 +154,36 @@ def gather(at: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
+#: Seconds that a Python worker keeps an encoder without a task; then its memory is there for other work.
+KEPT_S = 10.0
 _encoders: dict[str, Encoder] = {}
+_timers: dict[str, threading.Timer] = {}
+
+
+def _taken(path: str) -> Encoder:
+    """The worker's encoder, or a new one; until it is given back nothing else takes or drops it."""
+    encoder = _encoders.pop(path, None)
+    return encoder if encoder is not None else Encoder(path)
+
+
+def _given_back(path: str, encoder: Encoder) -> None:
+    _encoders[path] = encoder
+    if path in _timers:
+        _timers[path].cancel()
+    timer = _timers[path] = threading.Timer(KEPT_S, _dropped, [path])
+    timer.daemon = True
+    timer.start()
+
+
+def _dropped(path: str) -> None:
+    """Forget an idle encoder and hand the free memory back, which allocators otherwise keep for this worker."""
+    if _encoders.pop(path, None) is None:
+        return
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -163,24 +195,30 @@ def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, wit
 
     def run(batches):
         # one for all tasks of a worker; its memory is bounded
-        encode = _encoders.get(tokenizer_path) or _encoders.setdefault(tokenizer_path, Encoder(tokenizer_path))
-        for batch in batches:
-            for part in sub_batches(batch, "text", SLICE):
-                ids, lengths = encode([(t or "").encode() for t in part.column("text").to_pylist()])
-                ids = ids.astype("<u4", copy=False)
-                pieces = -(-lengths // capacity)
-                row = np.repeat(np.arange(len(lengths)), pieces)
-                piece = np.arange(len(row)) - (np.cumsum(pieces) - pieces)[row]
-                start = piece * capacity
-                length = np.minimum(capacity, lengths[row] - start)
-                low = 4 * ((np.cumsum(lengths) - lengths)[row] + start)
-                view = memoryview(ids).cast("B") if len(ids) else memoryview(b"")
-                cuts = [view[a:b] for a, b in zip(low.tolist(), (low + 4 * length).tolist())]
-                columns = [part.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
-                           pa.array([zlib.crc32(c) for c in cuts], pa.int64())]
-                if with_ids:
-                    columns.append(pa.array([bytes(c) for c in cuts], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        encode = _taken(tokenizer_path)
+        try:
+            for batch in batches:
+                for part in sub_batches(batch, "text", SLICE):
+                    yield pieces_of(encode, part)
+        finally:
+            _given_back(tokenizer_path, encode)
+
+    def pieces_of(encode: Encoder, part: pa.RecordBatch) -> pa.RecordBatch:
+        ids, lengths = encode([(t or "").encode() for t in part.column("text").to_pylist()])
+        ids = ids.astype("<u4", copy=False)
+        pieces = -(-lengths // capacity)
+        row = np.repeat(np.arange(len(lengths)), pieces)
+        piece = np.arange(len(row)) - (np.cumsum(pieces) - pieces)[row]
+        start = piece * capacity
+        length = np.minimum(capacity, lengths[row] - start)
+        low = 4 * ((np.cumsum(lengths) - lengths)[row] + start)
+        view = memoryview(ids).cast("B") if len(ids) else memoryview(b"")
+        cuts = [view[a:b] for a, b in zip(low.tolist(), (low + 4 * length).tolist())]
+        columns = [part.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
+                   pa.array([zlib.crc32(c) for c in cuts], pa.int64())]
+        if with_ids:
+            columns.append(pa.array([bytes(c) for c in cuts], pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
