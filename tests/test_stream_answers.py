@@ -63,3 +63,30 @@ def test_incomplete_malformed_and_late(spark, zones):
     run.feed([line(8, 0, 1, 21, trip(1)), line(1, 1, 2, 0.2, trip(2))])  # far too late for request 1
     got = {k: (r.status, r.predictions is None) for k, r in run.answers().items()}
     assert got == {1: (408, True), 2: (422, True), 3: (422, True), 8: (200, False), 9: (200, False)}
+
+
+def test_a_batch_is_read_once(spark, zones):
+    """A second look at a batch of the stream would run its stateful step again."""
+    from tripflow.streaming.answers import answer
+
+    batch = spark.range(3).selectExpr("id AS request_id", "element_at(array('complete', 'malformed', 'incomplete'), CAST(id + 1 AS INT)) AS state",
+                                      "0 AS n_received", "IF(id = 0, '{\"trips\":[]}', NULL) AS body")
+    got = answer(batch, DistanceFormulaScorer(zones), META)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    assert {r.request_id: (r.status, r.predictions) for r in got.collect()} == {0: (200, []), 1: (422, None), 2: (408, None)}
+    assert got.columns == ["request_id", "status", "predictions", "model_name", "model_version", "model_alias"]
+
+
+def test_trips_wait_over_several_batches(spark, zones):
+    run = Run(spark, zones)
+    trips = [trip(k) for k in range(3)]
+    run.feed([line(1, 0, 3, 0, trips[0]), line(2, 0, 2, 0, trip(1)), line(3, 1, 2, 0), line(4, 0, 1, 0, trip(1))])
+    run.feed([line(1, 2, 3, 0.1, trips[2]), line(1, 2, 3, 0.1, trip(7)), line(2, 1, 3, 0.1, trip(2)), line(1, 0, 3, 0.1, trip(8))])
+    assert {k: r.status for k, r in run.answers().items()} == {2: 422, 4: 200}  # another n_trips than the first one
+    run.feed([line(1, 1, 3, 0.2, trips[1]), line(3, 0, 2, 0.2, trip(1))])
+    got = run.answers()
+    first = json.dumps(min([trips[2], trip(7)], key=json.dumps))  # within a batch the smallest text
+    body = '{"trips":[' + ",".join([json.dumps(trips[0]), json.dumps(trips[1]), first]) + "]}"
+    want = score_requests(validate_requests(parse_requests(spark.createDataFrame([(1, body)], "request_id bigint, body string"))), run.scorer, META).first()
+    assert got[1].predictions == pytest.approx(want.predictions) and got[1].status == 200
+    assert got[3].status == 422  # a trip that is null

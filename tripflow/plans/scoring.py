@@ -139,21 +139,22 @@ def neutral_trips(validated: DataFrame, key: str, *more: str) -> DataFrame:
     return rows.select(key, "valid", *more, "pos", *fields)
 
 
-def score_requests(validated: DataFrame, scorer, metadata: dict, key: str = "request_id") -> DataFrame:
-    """M9: per request: status, predictions in trip order, model metadata (rejected: 422, no predictions).
+def score_requests(validated: DataFrame, scorer, metadata: dict, key: str = "request_id", more: tuple[str, ...] = ()) -> DataFrame:
+    """M9: per request: status, predictions in trip order, model metadata (rejected: 422, no predictions), and the
+    columns ``more`` of the request.
 
     One pass: every request gives at least one row. A request without trips to score travels as a neutral trip, so
     the scorer only ever sees whole trips, and its prediction is left out when the requests are put together again.
     """
-    scored = scorer.transform(neutral_trips(validated, key))
+    scored = scorer.transform(neutral_trips(validated, key, *more))
     answers = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "prediction"))))
-    per_request = scored.groupBy(key, "valid").agg(answers.alias("__p"))
+    per_request = scored.groupBy(key, "valid", *more).agg(answers.alias("__p"))
     return per_request.select(
         key, F.when(F.col("valid"), F.lit(OK_STATUS)).otherwise(F.lit(REJECTED_STATUS)).alias("status"),
         F.when(F.col("valid"), F.transform("__p", lambda x: x["prediction"])).alias("predictions"),
         F.lit(metadata.get("model_name")).cast("string").alias("model_name"),
         F.lit(metadata.get("model_version")).cast("int").alias("model_version"),
-        F.lit(metadata.get("model_alias")).cast("string").alias("model_alias"),
+        F.lit(metadata.get("model_alias")).cast("string").alias("model_alias"), *more,
     )
 
 

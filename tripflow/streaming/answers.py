@@ -2,8 +2,8 @@
 
 A line is ``{"request_id", "pos", "n_trips", "sent_at", "trip"}`` (``trip`` as the client sent it; a request without
 trips is one line with n_trips 0 and no pos). Lines of a request may be out of order, repeated, and spread over files
-and micro-batches. The state of a request is its trips by position (``transformWithStateInPandas``, kept in RocksDB and
-checkpointed to the shared folder):
+and micro-batches. The state of a request is its trips and which positions it holds (``transformWithState``, kept in RocksDB
+and checkpointed to the shared folder):
 
 * when all ``n_trips`` positions are there, the request leaves as one body and only its being answered is remembered;
 * a repeated position is ignored: the line of the earlier batch counts, within a batch the smallest text;
@@ -14,6 +14,10 @@ checkpointed to the shared folder):
 
 So each request leaves once, whatever is repeated or late. The stateless rest is the batch code: the same parsing,
 validation and scoring, in ``foreachBatch``, a folder for each batch.
+
+A request costs a few calls to the state, whatever its trips: rows rather than a pandas frame a request, its state read
+and written as one value, trips that wait appended at once. A batch is read once, since a second look at it would run
+the stateful step again.
 """
 
 from __future__ import annotations
@@ -21,8 +25,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -44,55 +47,67 @@ class RequestAssembler(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.trips = handle.getMapState("trips", "pos int", "trip string")
-        self.head = handle.getValueState("head", "n_trips int, held int, left boolean")
+        self.trips = handle.getListState("trips", "pos int, trip string")
+        self.head = handle.getValueState("head", "n_trips int, held array<int>, left boolean, ends bigint")
 
-    def _leave(self, key, state: str, received: int, body: str | None, until: int) -> pd.DataFrame:
-        if self.trips.exists():
-            self.trips.clear()
-        self.head.update((0, received, True))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+    def _leave(self, key, state: str, received: int, body: str | None, until: int) -> Row:
+        self.head.update((0, [], True, until))
         self.handle.registerTimer(until)
-        return pd.DataFrame({"request_id": [key[0]], "state": [state], "n_received": pd.array([received], "int32"), "body": [body]})
+        return Row(request_id=key[0], state=state, n_received=received, body=body)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        head = self.head.get() if self.head.exists() else None
+    def _forget(self, head) -> None:
+        """Drops the trips that wait, and the timer that would end the request."""
+        if head is not None:
+            if head[1]:
+                self.trips.clear()
+            self.handle.deleteTimer(head[3])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        head = self.head.get()
         if head is not None and head[2]:
             return
-        lines = pd.concat(list(rows), ignore_index=True)
-        sent = int(lines["sent_at"].min().timestamp() * 1000)
+        lines = list(rows)
         # a timer must lie ahead of the watermark
-        until = max(sent, timerValues.getCurrentWatermarkInMs() or 0) + self.patience_ms
-        counts = sorted({-1 if pd.isna(n) else int(n) for n in lines["n_trips"]})
+        until = max(min(r.sent_ms for r in lines), timerValues.getCurrentWatermarkInMs() or 0) + self.patience_ms
+        counts = sorted({-1 if r.n_trips is None else r.n_trips for r in lines})
         expected = counts[0] if head is None else head[0]
-        received = 0 if head is None else head[1]
-        lines = lines[lines["pos"].notna()].sort_values(["pos", "trip"]).drop_duplicates("pos")
-        positions = [int(p) for p in lines["pos"]]
-        if expected < 0 or counts != [expected] or any(not 0 <= p < expected for p in positions):
-            yield self._leave(key, MALFORMED, received, None, until)
+        held = [] if head is None else list(head[1])
+        arrived: dict[int, str | None] = {}
+        for r in lines:
+            # within a batch the smallest text, none last
+            if r.pos is not None and (r.pos not in arrived or arrived[r.pos] is None or r.trip is not None and r.trip < arrived[r.pos]):
+                arrived[r.pos] = r.trip
+        if expected < 0 or counts != [expected] or any(not 0 <= p < expected for p in arrived):
+            self._forget(head)
+            yield self._leave(key, MALFORMED, len(held), None, until)
             return
-        new = [(p, t) for p, t in zip(positions, lines["trip"]) if not (received and self.trips.containsKey((p,)))]
-        received += len(new)
+        known = set(held)
+        new = [(p, arrived[p]) for p in sorted(arrived) if p not in known]
+        received = len(held) + len(new)
         if received == expected:
             whole = dict(new)
-            if received > len(new):
-                whole.update({k[0]: v[0] for k, v in self.trips.iterator()})
-            body = '{"trips":[' + ",".join("null" if whole[p] is None or whole[p] != whole[p] else whole[p] for p in range(expected)) + "]}"
+            if held:
+                whole.update((p, t) for p, t in self.trips.get())
+            self._forget(head)
+            body = '{"trips":[' + ",".join("null" if whole[p] is None else whole[p] for p in range(expected)) + "]}"
             yield self._leave(key, COMPLETE, received, body, until)
             return
-        for p, t in new:
-            self.trips.updateValue((p,), (t,))
-        self.head.update((expected, received, False))
+        if new:
+            self.trips.appendList(new)
+        if new or head is None:
+            self.head.update((expected, held + [p for p, _ in new], False, until if head is None else head[3]))
         if head is None:
             self.handle.registerTimer(until)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        _, received, left = self.head.get()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        _, held, left, _ = self.head.get()
         if left:
             self.head.clear()
             return
-        yield self._leave(key, INCOMPLETE, received, None, expiredTimerInfo.getExpiryTimeInMs() + self.patience_ms)
+        if held:
+            self.trips.clear()
+        # the timer that expired goes by itself
+        yield self._leave(key, INCOMPLETE, len(held), None, expiredTimerInfo.getExpiryTimeInMs() + self.patience_ms)
 
     def close(self) -> None:
         pass
@@ -103,17 +118,16 @@ def assemble_requests(lines: DataFrame, patience: dt.timedelta, delay: str) -> D
     sent_at or JSON are no request's and are left out."""
     line = F.from_json("value", LINE)
     parsed = lines.select(line.alias("l")).select("l.*").where("request_id is not null and sent_at is not null")
-    return parsed.withWatermark("sent_at", delay).groupBy("request_id").transformWithStateInPandas(
-        RequestAssembler(patience), ASSEMBLED, "Append", "EventTime")
+    timed = parsed.withWatermark("sent_at", delay).withColumn("sent_ms", F.unix_millis("sent_at"))
+    return timed.groupBy("request_id").transformWithState(RequestAssembler(patience), ASSEMBLED, "Append", "EventTime")
 
 
 def answer(batch: DataFrame, scorer, metadata: dict) -> DataFrame:
     """The answers of assembled requests, with the columns of ``score_requests``: whole ones as in batch, malformed
     ones rejected, incomplete ones with INCOMPLETE_STATUS; both without predictions."""
-    scored = score_requests(validate_requests(parse_requests(batch.drop("n_received"))).drop("state"), scorer, metadata)
-    # a request is one row on both sides
-    state = batch.select("request_id", "state")
-    return scored.join(state, "request_id").withColumn(
+    # the state travels with the request: a batch that is read twice runs the stateful step twice
+    scored = score_requests(validate_requests(parse_requests(batch.drop("n_received"))), scorer, metadata, more=("state",))
+    return scored.withColumn(
         "status", F.when(F.col("state") == INCOMPLETE, INCOMPLETE_STATUS).when(F.col("state") == MALFORMED, REJECTED_STATUS).otherwise(F.col("status"))).drop("state")
 
 
