@@ -107,7 +107,8 @@ class Weights:
         hit = np.unique(np.concatenate(hits))  # once for each text
         if len(hit):
             np.add.at(margin, hit >> BITS, self.values[np.searchsorted(self.features, hit & ((1 << BITS) - 1))])
-        return 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
+        # nothing learned: no text is toxic at all
+        return np.where(margin == -np.inf, 0.0, 1 / (1 + np.exp(-np.clip(margin, -700, 700))))
 
 
 def ftrl(rows: list[tuple[np.ndarray, int]], alpha=ALPHA, beta=BETA, l1=L1, l2=L2, epochs=EPOCHS) -> Weights:
